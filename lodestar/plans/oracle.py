@@ -51,3 +51,188 @@ ORACLE["taxi_fare_weekday"] = f"""
                CASE WHEN {portable_bucket_sql('trip_id', 42)} < 800 THEN 'train' ELSE 'test' END AS split
         FROM ({CLEAN_TAXI}) c) t
   GROUP BY split, day_of_week, is_weekend"""
+
+
+def _b(key: str, seed, modulus: int = 1000) -> str:
+    """Portable bucket; ``seed`` may be an int or a SQL expression."""
+    s = f"'{seed}'" if isinstance(seed, int) else f"CAST({seed} AS VARCHAR)"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '-' || {s}), 1, 8))::BIGINT % {modulus})"
+
+
+def _money(col: str) -> str:
+    return f"CAST(SUM(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+# ----------------------------------------------------------------- sampling / splitting
+ORACLE["hash_sample"] = f"""
+  SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_b('o_orderkey', 7)} < 800"""
+
+ORACLE["fixed_count_sample"] = f"""
+  SELECT o_orderkey, o_totalprice FROM orders
+  ORDER BY {_b('o_orderkey', 0, 4294967296)}, o_orderkey LIMIT 1000"""
+
+ORACLE["split_counts"] = f"""
+  SELECT seed, split, COUNT(*) AS n, {_money('o_totalprice')} AS total_price
+  FROM (SELECT o_totalprice, seed,
+               CASE WHEN {_b('o_orderkey', 'seed')} < 800 THEN 'train' ELSE 'test' END AS split
+        FROM orders, (VALUES (0), (1), (2), (3), (4)) s(seed)) t
+  GROUP BY seed, split"""
+
+ORACLE["kfold_counts"] = f"""
+  SELECT CAST({_b('o_orderkey', 0, 5)} AS INTEGER) AS fold, COUNT(*) AS n, {_money('o_totalprice')} AS total_price
+  FROM orders GROUP BY 1"""
+
+ORACLE["row_estimate"] = f"""
+  WITH per AS (
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS source, COUNT(*) AS sampled,
+           CAST(round(COUNT(*) / 0.1) AS BIGINT) AS estimate
+    FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997) AND {_b('o_orderkey', 3)} < 100
+    GROUP BY 1)
+  SELECT * FROM per
+  UNION ALL SELECT NULL, CAST(SUM(sampled) AS BIGINT), CAST(SUM(estimate) AS BIGINT) FROM per"""
+
+ORACLE["ordered_split"] = """
+  SELECT split, COUNT(*) AS n, MIN(o_orderkey) AS first_key, MAX(o_orderkey) AS last_key
+  FROM (SELECT o_orderkey,
+               CASE WHEN row_number() OVER (ORDER BY o_orderkey)
+                         <= (SELECT COUNT(*) - ceil(COUNT(*) * 0.2) FROM orders) THEN 'train' ELSE 'test' END AS split
+        FROM orders) t
+  GROUP BY split"""
+
+ORACLE["train_infer_split"] = f"""
+  SELECT 'train' AS part, COUNT(*) AS n FROM orders WHERE {_b('o_orderkey', 5)} < 750
+  UNION ALL SELECT 'infer', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5)} >= 750
+  UNION ALL SELECT 'infer_overlapping', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5)} < 250"""
+
+# ----------------------------------------------------------------- date / geo
+ORACLE["date_features"] = """
+  SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(year(ts) AS INTEGER) AS year,
+         CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+         CAST((dayofweek(ts) + 1) % 7 AS INTEGER) AS dow_sat0, CAST(isodow(ts) - 1 AS INTEGER) AS weekday,
+         CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend
+  FROM events"""
+
+ORACLE["weekend_flag"] = """
+  SELECT CAST((dayofweek(l_shipdate) + 1) % 7 AS INTEGER) AS dow_sat0,
+         CAST(isodow(l_shipdate) >= 6 AS INTEGER) AS is_weekend, COUNT(*) AS n
+  FROM lineitem GROUP BY 1, 2"""
+
+ORACLE["duration_seconds"] = """
+  SELECT l_orderkey, l_linenumber, date_diff('second', o_orderdate, l_shipdate) AS duration_s
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+GEO_RAW = """
+  SELECT l_orderkey AS trip_id, CAST(l_linenumber AS BIGINT) AS leg,
+         40.0::DOUBLE + (l_partkey % 200) / 100 AS pickup_latitude,
+         -75.0::DOUBLE + (l_suppkey % 200) / 100 AS pickup_longitude,
+         40.5::DOUBLE + (l_partkey % 200) / 100 AS dropoff_latitude,
+         -75.0::DOUBLE + (l_orderkey % 200) / 100 AS dropoff_longitude
+  FROM lineitem"""
+
+
+def _round01(x: str) -> str:
+    return f"(floor({x} / 0.01::DOUBLE) * 0.01::DOUBLE)"
+
+
+def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    a = (f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+         f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))")
+    return f"(12742.0::DOUBLE * asin(least(1.0::DOUBLE, sqrt({a}))))"
+
+
+ORACLE["geo_round"] = f"""
+  SELECT trip_id, leg,
+         round({_round01('pickup_latitude')}, 6) AS pickup_latitude_r,
+         round({_round01('pickup_longitude')}, 6) AS pickup_longitude_r,
+         round({_round01('dropoff_latitude')}, 6) AS dropoff_latitude_r,
+         round({_round01('dropoff_longitude')}, 6) AS dropoff_longitude_r
+  FROM ({GEO_RAW}) g"""
+
+ORACLE["haversine_km"] = f"""
+  SELECT trip_id, leg,
+         round({_hav('pickup_latitude', 'pickup_longitude', 'dropoff_latitude', 'dropoff_longitude')}, 6) AS h_distance,
+         round({_hav(_round01('pickup_latitude'), _round01('pickup_longitude'),
+                     _round01('dropoff_latitude'), _round01('dropoff_longitude'))}, 6) AS h_distance_rounded
+  FROM ({GEO_RAW}) g"""
+
+ORACLE["taxi_features"] = f"""
+  SELECT trip_id, leg, CAST(hour(pickup_datetime) AS INTEGER) AS hour, CAST(year(pickup_datetime) AS INTEGER) AS year,
+         CAST(month(pickup_datetime) AS INTEGER) AS month, CAST(day(pickup_datetime) AS INTEGER) AS day,
+         CAST(isodow(pickup_datetime) - 1 AS INTEGER) AS day_of_week,
+         CAST(isodow(pickup_datetime) >= 6 AS INTEGER) AS is_weekend,
+         CAST({_hav('CAST(pickup_latitude AS DOUBLE)', 'CAST(pickup_longitude AS DOUBLE)',
+                    'CAST(dropoff_latitude AS DOUBLE)', 'CAST(dropoff_longitude AS DOUBLE)')} AS FLOAT) AS h_distance
+  FROM ({CLEAN_TAXI}) c"""
+
+# ----------------------------------------------------------------- encoders
+ORACLE["label_encode"] = f"""
+  WITH train AS (SELECT * FROM part WHERE {_b('p_partkey', 1)} < 700),
+       test AS (SELECT * FROM part WHERE {_b('p_partkey', 1)} >= 700),
+       db AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS code
+              FROM (SELECT DISTINCT p_brand FROM train WHERE p_brand IS NOT NULL) x),
+       dt AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
+              FROM (SELECT DISTINCT p_type FROM train WHERE p_type IS NOT NULL) x)
+  SELECT t.p_partkey,
+         CAST(CASE WHEN t.p_brand IS NULL THEN -1 ELSE COALESCE(db.code, (SELECT COUNT(*) FROM db)) END AS INTEGER) AS p_brand_code,
+         CAST(CASE WHEN t.p_type IS NULL THEN -1 ELSE COALESCE(dt.code, (SELECT COUNT(*) FROM dt)) END AS INTEGER) AS p_type_code
+  FROM test t LEFT JOIN db ON t.p_brand = db.p_brand LEFT JOIN dt ON t.p_type = dt.p_type"""
+
+ORACLE["category_codes"] = """
+  WITH o AS (SELECT o_orderkey, o_orderpriority, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders),
+       dp AS (SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS code
+              FROM (SELECT DISTINCT o_orderpriority FROM o WHERE o_orderpriority IS NOT NULL) x),
+       ds AS (SELECT o_orderstatus, CAST(row_number() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS code
+              FROM (SELECT DISTINCT o_orderstatus FROM o WHERE o_orderstatus IS NOT NULL) x)
+  SELECT o.o_orderkey,
+         CAST(CASE WHEN o.o_orderpriority IS NULL THEN -1 ELSE COALESCE(dp.code, (SELECT COUNT(*) FROM dp)) END AS INTEGER) AS o_orderpriority_code,
+         CAST(CASE WHEN o.o_orderstatus IS NULL THEN -1 ELSE COALESCE(ds.code, (SELECT COUNT(*) FROM ds)) END AS INTEGER) AS o_orderstatus_code
+  FROM o LEFT JOIN dp ON o.o_orderpriority = dp.o_orderpriority LEFT JOIN ds ON o.o_orderstatus = ds.o_orderstatus"""
+
+ORACLE["target_encode_oof"] = """
+  WITH d AS (SELECT o_orderkey, o_orderpriority, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
+                    CAST(o_orderkey % 5 AS INTEGER) AS fold FROM orders),
+       cf AS (SELECT o_orderpriority, fold, SUM(CAST(y AS DOUBLE)) AS s_cf, COUNT(y) AS n_cf FROM d GROUP BY 1, 2),
+       c AS (SELECT o_orderpriority, SUM(s_cf) AS s_c, SUM(n_cf) AS n_c FROM cf GROUP BY 1),
+       m AS (SELECT AVG(CAST(y AS DOUBLE)) AS mu FROM d)
+  SELECT d.o_orderkey, d.fold,
+         round((c.s_c - cf.s_cf + 0.001::DOUBLE * m.mu) / (CAST(c.n_c - cf.n_cf AS DOUBLE) + 0.001::DOUBLE), 6) AS te
+  FROM d JOIN cf ON d.o_orderpriority = cf.o_orderpriority AND d.fold = cf.fold
+         JOIN c ON d.o_orderpriority = c.o_orderpriority CROSS JOIN m"""
+
+ORACLE["target_encode_apply"] = f"""
+  WITH d AS (SELECT o_orderkey, o_custkey % 97 AS cust_bucket, CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orders),
+       train AS (SELECT * FROM d WHERE {_b('o_orderkey', 2)} < 800),
+       test AS (SELECT * FROM d WHERE {_b('o_orderkey', 2)} >= 800),
+       c AS (SELECT cust_bucket, SUM(CAST(y AS DOUBLE)) AS s_c, COUNT(y) AS n_c FROM train GROUP BY 1),
+       m AS (SELECT AVG(CAST(y AS DOUBLE)) AS mu FROM train)
+  SELECT t.o_orderkey,
+         round(CASE WHEN c.n_c IS NULL THEN m.mu
+                    ELSE (c.s_c + 0.001::DOUBLE * m.mu) / (CAST(c.n_c AS DOUBLE) + 0.001::DOUBLE) END, 6) AS te
+  FROM test t LEFT JOIN c ON t.cust_bucket = c.cust_bucket CROSS JOIN m"""
+
+# ----------------------------------------------------------------- feature generation / selection
+_PAIR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber_f"]
+
+
+def _pairwise_sql() -> str:
+    import itertools
+    exprs = [f"round({a} + {b}, 6) AS {a}_{b}_plus" for a, b in itertools.combinations(_PAIR_COLS, 2)]
+    return (f"SELECT l_orderkey, l_linenumber, {', '.join(exprs)} FROM "
+            f"(SELECT *, CAST(l_linenumber AS DOUBLE) AS l_linenumber_f FROM lineitem) x")
+
+
+ORACLE["pairwise_sums"] = _pairwise_sql()
+
+ORACLE["chi2_scores"] = """
+  WITH pc AS (SELECT l_returnflag, COUNT(*) AS n,
+                     CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS l_quantity,
+                     CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS l_discount,
+                     CAST(SUM(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS l_tax,
+                     CAST(SUM(CAST(l_linenumber AS DECIMAL(18,2))) AS DOUBLE) AS l_linenumber
+              FROM lineitem GROUP BY 1),
+       lg AS (UNPIVOT pc ON l_quantity, l_discount, l_tax, l_linenumber INTO NAME feature VALUE observed),
+       x AS (SELECT *, n / SUM(n) OVER (PARTITION BY feature) AS p, SUM(observed) OVER (PARTITION BY feature) AS tot
+             FROM lg),
+       s AS (SELECT feature, SUM(pow(observed - p * tot, 2) / (p * tot)) AS chi2 FROM x GROUP BY feature)
+  SELECT feature, round(chi2, 6) AS chi2, CAST(row_number() OVER (ORDER BY chi2 DESC, feature) AS INTEGER) AS rank
+  FROM s"""

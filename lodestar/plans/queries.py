@@ -58,3 +58,197 @@ def taxi_fare_weekday(spark, sf_dir):
                    r(F.avg("fare_amount"), 4).alias("mean_fare"),
                    r(F.stddev_samp("fare_amount"), 4).alias("std_fare"),
                    r(F.avg("trip_distance"), 6).alias("mean_distance")))
+
+
+# --------------------------------------------------------------------------- sampling / splitting
+from lodestar.operators import sampling  # noqa: E402
+
+
+def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")):
+    return load(spark, sf_dir, "orders", list(cols))
+
+
+def money_sum(col):
+    """Exact money total: decimal sum, reported as double."""
+    return F.sum(F.col(col).cast("decimal(18,2)")).cast("double")
+
+
+@register("hash_sample")
+def hash_sample(spark, sf_dir):
+    return sampling.hash_sample(_orders(spark, sf_dir, ("o_orderkey", "o_custkey", "o_totalprice")),
+                                "o_orderkey", 0.8, seed=7)
+
+
+@register("fixed_count_sample")
+def fixed_count_sample(spark, sf_dir):
+    return sampling.fixed_count_sample(_orders(spark, sf_dir, ("o_orderkey", "o_totalprice")),
+                                       "o_orderkey", 1000, seed=0)
+
+
+@register("split_counts")
+def split_counts(spark, sf_dir):
+    df = sampling.repeated_holdout(_orders(spark, sf_dir, ("o_orderkey", "o_totalprice")),
+                                   "o_orderkey", seeds=[0, 1, 2, 3, 4], train_fraction=0.8)
+    return df.groupBy("seed", "split").agg(F.count(F.lit(1)).alias("n"),
+                                           money_sum("o_totalprice").alias("total_price"))
+
+
+@register("kfold_counts")
+def kfold_counts(spark, sf_dir):
+    df = _orders(spark, sf_dir, ("o_orderkey", "o_totalprice"))
+    return (df.withColumn("fold", sampling.kfold_column("o_orderkey", 5, seed=0))
+              .groupBy("fold").agg(F.count(F.lit(1)).alias("n"), money_sum("o_totalprice").alias("total_price")))
+
+
+@register("row_estimate")
+def row_estimate(spark, sf_dir):
+    orders = _orders(spark, sf_dir, ("o_orderkey", "o_orderdate"))
+    sources = {str(y): orders.filter(F.year("o_orderdate") == y) for y in (1995, 1996, 1997)}
+    return sampling.estimate_rows(sources, "o_orderkey", 0.1, seed=3)
+
+
+@register("ordered_split")
+def ordered_split(spark, sf_dir):
+    df = sampling.ordered_split(_orders(spark, sf_dir, ("o_orderkey", "o_totalprice")), ["o_orderkey"], 0.2)
+    return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"),
+                                   F.max("o_orderkey").alias("last_key"))
+
+
+@register("train_infer_split")
+def train_infer_split(spark, sf_dir):
+    df = _orders(spark, sf_dir, ("o_orderkey", "o_totalprice"))
+    train, infer = sampling.train_infer_split(df, "o_orderkey", infer_fraction=0.25, seed=5)
+    _, overlap = sampling.infer_subsample(df, "o_orderkey", 0.25, seed=5)
+    parts = [train.agg(F.lit("train").alias("part"), F.count(F.lit(1)).alias("n")),
+             infer.agg(F.lit("infer").alias("part"), F.count(F.lit(1)).alias("n")),
+             overlap.agg(F.lit("infer_overlapping").alias("part"), F.count(F.lit(1)).alias("n"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --------------------------------------------------------------------------- date / geo features
+from lodestar.functions import geo  # noqa: E402
+
+
+@register("date_features")
+def date_features(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["event_id", "ts"])
+    return ev.select("event_id", *[c.alias(k) for k, c in dates.date_parts("ts").items()],
+                     dates.day_of_week_sat0("ts").alias("dow_sat0"),
+                     dates.weekday_mon0("ts").alias("weekday"),
+                     dates.is_weekend("ts").alias("is_weekend"))
+
+
+@register("weekend_flag")
+def weekend_flag(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_shipdate"])
+    return (li.select(dates.day_of_week_sat0("l_shipdate").alias("dow_sat0"),
+                      dates.is_weekend("l_shipdate").alias("is_weekend"))
+              .groupBy("dow_sat0", "is_weekend").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("duration_seconds")
+def duration_seconds(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"])
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    return j.select("l_orderkey", "l_linenumber",
+                    dates.duration_seconds("o_orderdate", "l_shipdate").alias("duration_s"))
+
+
+def _geo_source(spark, sf_dir):
+    raw = fixtures.taxi_trips(spark, sf_dir)
+    return raw.select(F.col("Trip_Id").alias("trip_id"), F.col("Leg").alias("leg"),
+                      "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
+
+
+@register("geo_round")
+def geo_round(spark, sf_dir):
+    g = _geo_source(spark, sf_dir)
+    return g.select("trip_id", "leg", *[r(geo.round_coordinate(c), 6).alias(f"{c}_r")
+                                        for c in ("pickup_latitude", "pickup_longitude",
+                                                  "dropoff_latitude", "dropoff_longitude")])
+
+
+@register("haversine_km")
+def haversine_km(spark, sf_dir):
+    g = _geo_source(spark, sf_dir)
+    c = ("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
+    rc = [geo.round_coordinate(x) for x in c]
+    return g.select("trip_id", "leg", r(geo.haversine_km(*c), 6).alias("h_distance"),
+                    r(geo.haversine_km(*rc), 6).alias("h_distance_rounded"))
+
+
+@register("taxi_features")
+def taxi_features(spark, sf_dir):
+    """D1-D10 as one stage on the cleaned trips: parts, weekday, weekend, distance."""
+    from lodestar.operators import features
+    df = cleaned_taxi(spark, sf_dir)
+    out = features.add_taxi_features(df, pickup="pickup_datetime", dropoff=None, round_step=None)
+    return out.select("trip_id", "leg", "hour", "year", "month", "day", "day_of_week", "is_weekend",
+                      "h_distance")
+
+
+# --------------------------------------------------------------------------- encoders
+from lodestar.operators import encoders  # noqa: E402
+
+
+@register("label_encode")
+def label_encode(spark, sf_dir):
+    part = load(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type"])
+    train, test = sampling.train_test_split(part, "p_partkey", 0.7, seed=1)
+    enc = encoders.LabelEncoder(["p_brand", "p_type"]).fit(train)
+    return enc.transform(test).select("p_partkey", "p_brand_code", "p_type_code")
+
+
+@register("category_codes")
+def category_codes(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    od = od.withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')"))
+    out = encoders.category_codes(od, ["o_orderpriority", "o_orderstatus"])
+    return out.select("o_orderkey", "o_orderpriority_code", "o_orderstatus_code")
+
+
+@register("target_encode_oof")
+def target_encode_oof(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+    od = od.select("o_orderkey", "o_orderpriority",
+                   (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+                   sampling.interleaved_fold("o_orderkey", 5).alias("fold"))
+    out = encoders.target_encode_oof(od, "o_orderpriority", "y", "fold", smooth=0.001, out="te")
+    return out.select("o_orderkey", "fold", r(F.col("te"), 6).alias("te"))
+
+
+@register("target_encode_apply")
+def target_encode_apply(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    od = od.select("o_orderkey", (F.pmod("o_custkey", F.lit(97))).alias("cust_bucket"),
+                   (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    train, test = sampling.train_test_split(od, "o_orderkey", 0.8, seed=2)
+    out = encoders.target_encode_apply(train, test, "cust_bucket", "y", smooth=0.001, out="te")
+    return out.select("o_orderkey", r(F.col("te"), 6).alias("te"))
+
+
+# --------------------------------------------------------------------------- feature generation / selection
+from lodestar.operators import combos, selection  # noqa: E402
+
+LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+
+@register("pairwise_sums")
+def pairwise_sums(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *LINE_NUMERIC[:-1]])
+    li = li.withColumn("l_linenumber_f", F.col("l_linenumber").cast("double"))
+    cols = [*LINE_NUMERIC[:-1], "l_linenumber_f"]
+    gen = combos.pairwise_features(li, cols, "+", keep_original=True)
+    new = [c for c in gen.columns if c not in li.columns]
+    return gen.select("l_orderkey", "l_linenumber", *[r(F.col(c), 6).alias(c) for c in new])
+
+
+@register("chi2_scores")
+def chi2_scores(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_returnflag"])
+    # Exact (decimal) inputs so the per-class sums do not depend on summation order.
+    li = li.select("l_returnflag", *[F.col(c).cast("decimal(18,2)").alias(c)
+                                     for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")])
+    out = selection.chi2_scores(li, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_returnflag")
+    return out.select("feature", r(F.col("chi2"), 6).alias("chi2"), "rank")
