@@ -9,6 +9,7 @@ Spark but depend on partitioning, so they are not used here.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,8 @@ MODULUS = 1000
 
 
 def _threshold(fraction: float, modulus: int = MODULUS) -> int:
-    return int(round(min(max(fraction, 0.0), 1.0) * modulus))
+    # half-up rounding of the fraction to the bucket grid
+    return int(math.floor(min(max(fraction, 0.0), 1.0) * modulus + 0.5))
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int,

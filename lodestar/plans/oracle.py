@@ -236,3 +236,193 @@ ORACLE["chi2_scores"] = """
        s AS (SELECT feature, SUM(pow(observed - p * tot, 2) / (p * tot)) AS chi2 FROM x GROUP BY feature)
   SELECT feature, round(chi2, 6) AS chi2, CAST(row_number() OVER (ORDER BY chi2 DESC, feature) AS INTEGER) AS rank
   FROM s"""
+
+
+# ----------------------------------------------------------------- aggregates
+TIMING = """
+  SELECT event_id, event_type AS type, CAST(user_id % 4 + 1 AS INTEGER) AS n_workers,
+         CASE WHEN hour(ts) < 12 THEN 'cpu' ELSE 'gpu' END AS hardware, value AS elapsed_ms
+  FROM events"""
+
+TRIAL_LOG = """
+  SELECT user_id AS trial, event_id, ts, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step
+  FROM events"""
+
+RUNNING_MEAN = f"""
+  SELECT trial, step, value,
+         round(SUM(value) OVER w / COUNT(value) OVER w, 9) AS rm
+  FROM ({TRIAL_LOG}) l
+  WINDOW w AS (PARTITION BY trial ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+ORACLE["tip_ratio_by_size"] = """
+  SELECT CAST(l_quantity AS INTEGER) AS size,
+         round(AVG(l_extendedprice * l_tax / l_extendedprice * 100.0::DOUBLE), 6) AS mean_tip_percentage
+  FROM lineitem GROUP BY 1"""
+
+ORACLE["elapsed_ci"] = f"""
+  SELECT type, n_workers, hardware, n, round(mean, 6) AS mean, round(std, 6) AS std,
+         round(1.96::DOUBLE * std / sqrt(n), 6) AS ci,
+         round(mean - 1.96::DOUBLE * std / sqrt(n), 6) AS ci_low,
+         round(mean + 1.96::DOUBLE * std / sqrt(n), 6) AS ci_high
+  FROM (SELECT type, n_workers, hardware, AVG(elapsed_ms * 0.001::DOUBLE) AS mean,
+               stddev_samp(elapsed_ms * 0.001::DOUBLE) AS std, COUNT(elapsed_ms) AS n
+        FROM ({TIMING}) t GROUP BY 1, 2, 3) g"""
+
+ORACLE["box_stats"] = f"""
+  SELECT type, n_workers, COUNT(elapsed_ms) AS n,
+         round(quantile_cont(elapsed_ms, 0.25), 6) AS q1, round(quantile_cont(elapsed_ms, 0.5), 6) AS median,
+         round(quantile_cont(elapsed_ms, 0.75), 6) AS q3,
+         round(quantile_cont(elapsed_ms, 0.75) - quantile_cont(elapsed_ms, 0.25), 6) AS iqr,
+         round(MIN(elapsed_ms), 6) AS min, round(MAX(elapsed_ms), 6) AS max
+  FROM ({TIMING}) t GROUP BY 1, 2"""
+
+ORACLE["throughput_ratio"] = f"""
+  WITH g AS (SELECT type, COUNT(*) AS rows, CAST(SUM(CAST(elapsed_ms AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS elapsed_s
+             FROM ({TIMING}) t GROUP BY 1)
+  SELECT type, rows, elapsed_s, round(rows / elapsed_s, 6) AS rows_per_s,
+         round((rows / elapsed_s) / MAX(CASE WHEN type = 'view' THEN rows / elapsed_s END) OVER (), 6) AS speedup
+  FROM g"""
+
+ORACLE["best_so_far"] = """
+  SELECT step, round(AVG(best), 6) AS mean_best, COUNT(best) AS n_runs
+  FROM (SELECT row_number() OVER w AS step, MAX(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) c
+  GROUP BY step"""
+
+ORACLE["replicate_band"] = f"""
+  SELECT step, round(mean, 6) AS mean, round(std, 6) AS std, round(mx, 6) AS max, round(mn, 6) AS min,
+         round(least(mean + std, mx), 6) AS upper, round(greatest(mean - std, mn), 6) AS lower
+  FROM (SELECT step, AVG(value) AS mean, stddev_samp(value) AS std, MAX(value) AS mx, MIN(value) AS mn
+        FROM ({TRIAL_LOG}) l GROUP BY step) g"""
+
+ORACLE["union_years"] = """
+  SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE year(l_shipdate) = 1995
+  UNION ALL BY NAME
+  SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem WHERE year(l_shipdate) = 1996
+  UNION ALL BY NAME
+  SELECT l_orderkey, l_linenumber, l_tax, l_quantity FROM lineitem WHERE year(l_shipdate) = 1997"""
+
+ORACLE["score_heatmap"] = """
+  SELECT l_linenumber,
+         round(AVG(CASE WHEN l_returnflag = 'A' THEN l_discount END), 6) AS "A",
+         round(AVG(CASE WHEN l_returnflag = 'N' THEN l_discount END), 6) AS "N",
+         round(AVG(CASE WHEN l_returnflag = 'R' THEN l_discount END), 6) AS "R"
+  FROM lineitem GROUP BY 1"""
+
+ORACLE["preview_head"] = """
+  SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5"""
+
+# ----------------------------------------------------------------- metrics
+DOC_PRED = """
+  SELECT l.doc_id, l.quality, d.n_chars,
+         1.0::DOUBLE / (1.0::DOUBLE + exp(-(CAST(d.n_chars AS DOUBLE) - 1500.0::DOUBLE) / 500.0::DOUBLE)) AS prob,
+         CAST(d.n_chars >= 1500 AS INTEGER) AS pred
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+ORACLE["accuracy"] = f"""
+  SELECT COUNT(*) AS n, round(AVG(CAST(CAST(quality AS DOUBLE) = CAST(pred AS DOUBLE) AS INTEGER)), 6) AS accuracy,
+         round(1.0::DOUBLE - AVG(CAST(CAST(quality AS DOUBLE) = CAST(pred AS DOUBLE) AS INTEGER)), 6) AS error_rate
+  FROM ({DOC_PRED}) p"""
+
+ORACLE["auc_rank"] = f"""
+  WITH h AS (SELECT n_chars, SUM(CAST(quality AS BIGINT)) AS pos, COUNT(*) AS cnt FROM ({DOC_PRED}) p GROUP BY 1),
+       c AS (SELECT *, SUM(cnt) OVER (ORDER BY n_chars ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM h),
+       t AS (SELECT SUM(pos * (cum - cnt + (cnt + 1) / 2.0::DOUBLE)) AS rsum, CAST(SUM(pos) AS BIGINT) AS n_pos,
+                    CAST(SUM(cnt - pos) AS BIGINT) AS n_neg FROM c)
+  SELECT n_pos, n_neg,
+         round((rsum - n_pos * (n_pos + 1) / 2.0::DOUBLE) / (CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE)), 6) AS auc
+  FROM t"""
+
+ORACLE["logloss"] = f"""
+  SELECT COUNT(*) AS n,
+         round(AVG(-(CAST(quality AS DOUBLE) * ln(least(greatest(prob, 1e-15), 1 - 1e-15))
+                   + (1.0::DOUBLE - CAST(quality AS DOUBLE)) * ln(1.0::DOUBLE - least(greatest(prob, 1e-15), 1 - 1e-15)))), 6)
+           AS log_loss
+  FROM ({DOC_PRED}) p"""
+
+PRICE_PRED = """
+  SELECT l_extendedprice / 1000 AS y, l_quantity * 1.5::DOUBLE * (1.0::DOUBLE - l_discount) AS pred FROM lineitem"""
+
+ORACLE["rmse"] = f"""
+  SELECT COUNT(*) AS n, round(AVG((y - pred) * (y - pred)), 6) AS mse,
+         round(sqrt(AVG((y - pred) * (y - pred))), 6) AS rmse, round(AVG(abs(y - pred)), 6) AS mae
+  FROM ({PRICE_PRED}) p"""
+
+ORACLE["r2"] = f"""
+  SELECT COUNT(*) AS n, round(1.0::DOUBLE - SUM((y - pred) * (y - pred)) / (COUNT(*) * var_pop(y)), 6) AS r2
+  FROM ({PRICE_PRED}) p"""
+
+ORACLE["purity"] = """
+  WITH c AS (SELECT CAST(list_position(embedding[1:8], list_max(embedding[1:8])) - 1 AS INTEGER) AS cluster, label
+             FROM embeddings),
+       cnt AS (SELECT cluster, label, COUNT(*) AS c FROM c GROUP BY 1, 2),
+       b AS (SELECT cluster, MAX(c) AS m, SUM(c) AS n FROM cnt GROUP BY 1)
+  SELECT COUNT(*) AS n_clusters, CAST(SUM(n) AS BIGINT) AS n, round(SUM(m) / SUM(n), 6) AS purity FROM b"""
+
+# ----------------------------------------------------------------- trials
+ORACLE["trial_table"] = f"""
+  SELECT trial, COUNT(*) AS n_steps, round(MAX(value), 6) AS best, round(arg_max(value, step), 6) AS last,
+         round(AVG(value), 6) AS mean, MAX(CAST(isnan(value) OR abs(value) = 'inf'::DOUBLE AS INTEGER)) AS is_bad,
+         MIN(ts) AS start, MAX(ts) AS complete,
+         CASE WHEN MAX(CAST(isnan(value) OR abs(value) = 'inf'::DOUBLE AS INTEGER)) = 1 THEN 'failed'
+              WHEN COUNT(*) >= 60 THEN 'complete' ELSE 'running' END AS state
+  FROM ({TRIAL_LOG}) l GROUP BY trial"""
+
+ORACLE["nonfinite_trials"] = """
+  SELECT event_id, user_id AS trial FROM events WHERE event_type = 'error' AND value > 300"""
+
+ORACLE["best_trial"] = """
+  SELECT user_id AS trial, round(AVG(value), 6) AS score, COUNT(*) AS n
+  FROM events GROUP BY user_id ORDER BY score DESC, trial LIMIT 1"""
+
+ORACLE["median_stop"] = f"""
+  WITH rm AS ({RUNNING_MEAN}),
+       d AS (SELECT t.trial, t.step, t.rm,
+                    (SELECT COUNT(*) FROM rm o WHERE o.step = t.step AND o.trial <> t.trial) AS n_oth,
+                    (SELECT median(o.rm) FROM rm o WHERE o.step = t.step AND o.trial <> t.trial) AS med
+             FROM rm t)
+  SELECT trial, MAX(step) AS n_steps, MIN(CASE WHEN step > 1 AND n_oth >= 3 AND rm < med THEN step END) AS stop_step
+  FROM d GROUP BY trial"""
+
+
+def _halving_sql(rungs=(1, 3, 9, 27), reduction: int = 3) -> str:
+    ctes = [f"rm AS ({RUNNING_MEAN})"]
+    prev = None
+    for r in rungs:
+        cond = f"step = {r}" + (f" AND trial IN (SELECT trial FROM p{prev} WHERE promoted)" if prev else "")
+        ctes.append(f"""r{r} AS (SELECT {r} AS rung, trial, rm AS metric,
+                           row_number() OVER (ORDER BY rm DESC, trial) AS rank, COUNT(*) OVER () AS n
+                    FROM rm WHERE {cond})""")
+        ctes.append(f"p{r} AS (SELECT rung, trial, metric, rank, rank <= floor(n / {reduction}) AS promoted FROM r{r})")
+        prev = r
+    union = " UNION ALL ".join(f"SELECT rung, trial, round(metric, 6) AS metric, rank, promoted FROM p{r}"
+                               for r in rungs)
+    return "WITH " + ",\n".join(ctes) + "\n" + union
+
+
+ORACLE["halving_rungs"] = _halving_sql()
+
+ORACLE["param_importance"] = f"""
+  WITH s AS (SELECT user_id AS trial, AVG(value) AS score FROM events GROUP BY 1),
+       p AS (SELECT trial, score, {_b('trial', 21, 5)} AS lr_bin, {_b('trial', 22, 4)} AS depth,
+                    {_b('trial', 23, 3)} AS reg FROM s),
+       lg AS (SELECT score, 'lr_bin' AS param, CAST(lr_bin AS VARCHAR) AS level FROM p
+              UNION ALL SELECT score, 'depth', CAST(depth AS VARCHAR) FROM p
+              UNION ALL SELECT score, 'reg', CAST(reg AS VARCHAR) FROM p),
+       g AS (SELECT param, level, COUNT(*) AS n, AVG(score) AS m FROM lg GROUP BY 1, 2),
+       t AS (SELECT AVG(score) AS mu, var_pop(score) AS var, COUNT(*) AS nn FROM s),
+       e AS (SELECT param, SUM(n * pow(m - mu, 2)) / (MAX(nn) * MAX(var)) AS eta_sq FROM g, t GROUP BY param)
+  SELECT param, round(eta_sq, 6) AS eta_sq, CAST(row_number() OVER (ORDER BY eta_sq DESC, param) AS INTEGER) AS rank
+  FROM e"""
+
+ORACLE["scaling_sweep"] = f"""
+  WITH c(scaling_type, n_workers, fraction) AS (VALUES
+         ('weak', 1, 0.0625::DOUBLE), ('strong', 1, 0.5::DOUBLE), ('weak', 2, 0.125::DOUBLE), ('strong', 2, 0.5::DOUBLE),
+         ('weak', 4, 0.25::DOUBLE), ('strong', 4, 0.5::DOUBLE), ('weak', 8, 0.5::DOUBLE), ('strong', 8, 0.5::DOUBLE)),
+       b AS (SELECT {_b('o_orderkey', 11)} AS bucket FROM orders)
+  SELECT c.scaling_type, CAST(c.n_workers AS INTEGER) AS n_workers, round(c.fraction, 6) AS fraction,
+         CAST(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 1000) AS BIGINT) THEN 1 ELSE 0 END) AS BIGINT) AS rows,
+         round(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 1000) AS BIGINT) THEN 1 ELSE 0 END) / c.n_workers, 6)
+           AS rows_per_worker
+  FROM c, b GROUP BY c.scaling_type, c.n_workers, c.fraction"""

@@ -252,3 +252,218 @@ def chi2_scores(spark, sf_dir):
                                      for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")])
     out = selection.chi2_scores(li, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_returnflag")
     return out.select("feature", r(F.col("chi2"), 6).alias("chi2"), "rank")
+
+
+# --------------------------------------------------------------------------- aggregates
+from lodestar.operators import aggregates  # noqa: E402
+from lodestar.operators import metrics as metric_ops  # noqa: E402
+from lodestar.operators import trials as trial_ops  # noqa: E402
+from lodestar.plans import scan  # noqa: E402
+
+
+def _timing(spark, sf_dir):
+    """events as a timing table: type, workers, hardware, elapsed (ms)."""
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "value"])
+    return ev.select("event_id", F.col("event_type").alias("type"),
+                     (F.pmod("user_id", F.lit(4)) + 1).cast("int").alias("n_workers"),
+                     F.when(F.hour("ts") < 12, F.lit("cpu")).otherwise(F.lit("gpu")).alias("hardware"),
+                     F.col("value").alias("elapsed_ms"))
+
+
+def _trial_log(spark, sf_dir):
+    """events as a trial log: trial = user, step = position by (ts, event_id), metric = value."""
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
+    return trial_ops.trial_log(ev.withColumnRenamed("user_id", "trial"), "trial", ["ts", "event_id"], "value")
+
+
+@register("tip_ratio_by_size")
+def tip_ratio_by_size(spark, sf_dir):
+    from lodestar.functions import ratio_percent
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice", "l_tax"])
+    df = li.select(F.col("l_quantity").cast("int").alias("size"),
+                   ratio_percent(F.col("l_extendedprice") * F.col("l_tax"), "l_extendedprice").alias("tip_percentage"))
+    out = aggregates.grouped_mean(df, ["size"], "tip_percentage", out="mean_tip_percentage")
+    return out.select("size", r(F.col("mean_tip_percentage"), 6).alias("mean_tip_percentage"))
+
+
+@register("elapsed_ci")
+def elapsed_ci(spark, sf_dir):
+    t = _timing(spark, sf_dir)
+    out = aggregates.confidence_interval(t, ["type", "n_workers", "hardware"], "elapsed_ms", scale=0.001)
+    return out.select("type", "n_workers", "hardware", "n",
+                      *[r(F.col(c), 6).alias(c) for c in ("mean", "std", "ci", "ci_low", "ci_high")])
+
+
+@register("box_stats")
+def box_stats(spark, sf_dir):
+    t = _timing(spark, sf_dir)
+    out = aggregates.box_stats(t, ["type", "n_workers"], "elapsed_ms", exact=True)
+    return out.select("type", "n_workers", "n",
+                      *[r(F.col(c), 6).alias(c) for c in ("q1", "median", "q3", "iqr", "min", "max")])
+
+
+@register("throughput_ratio")
+def throughput_ratio(spark, sf_dir):
+    t = _timing(spark, sf_dir).withColumn("elapsed_s", F.col("elapsed_ms").cast("decimal(18,2)") / 1000)
+    out = aggregates.throughput(t, "type", "elapsed_s", baseline="view")
+    return out.select("type", "rows", F.col("elapsed").cast("double").alias("elapsed_s"),
+                      r(F.col("rows_per_s").cast("double"), 6).alias("rows_per_s"),
+                      r(F.col("speedup").cast("double"), 6).alias("speedup"))
+
+
+@register("best_so_far")
+def best_so_far(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
+    curves = aggregates.best_so_far(ev, "user_id", ["ts", "event_id"], "value", step="step", out="best")
+    out = aggregates.mean_curve(curves, "step", "best")
+    return out.select("step", r(F.col("mean"), 6).alias("mean_best"), "n_runs")
+
+
+@register("replicate_band")
+def replicate_band(spark, sf_dir):
+    out = aggregates.replicate_band(_trial_log(spark, sf_dir), "step", "value")
+    return out.select("step", *[r(F.col(c), 6).alias(c) for c in ("mean", "std", "max", "min", "upper", "lower")])
+
+
+@register("union_years")
+def union_years(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                                          "l_shipdate"])
+    y = F.year("l_shipdate")
+    a = li.filter(y == 1995).select("l_orderkey", "l_linenumber", "l_quantity")
+    b = li.filter(y == 1996).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    c = li.filter(y == 1997).select("l_orderkey", "l_linenumber", "l_tax", "l_quantity")
+    return aggregates.union_by_name([a, b, c])
+
+
+@register("score_heatmap")
+def score_heatmap(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_linenumber", "l_returnflag", "l_discount"])
+    return (li.groupBy("l_linenumber").pivot("l_returnflag", ["A", "N", "R"])
+              .agg(r(F.avg("l_discount"), 6)))
+
+
+@register("preview_head")
+def preview_head(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"])
+    return od.orderBy("o_orderkey").limit(5)
+
+
+# --------------------------------------------------------------------------- metrics
+def _doc_predictions(spark, sf_dir):
+    lab = load(spark, sf_dir, "labels", ["doc_id", "quality"])
+    docs = load(spark, sf_dir, "documents", ["doc_id", "n_chars"])
+    j = lab.join(docs, "doc_id")
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("n_chars").cast("double") - F.lit(1500.0)) / F.lit(500.0)))
+    return j.select("doc_id", "quality", "n_chars", p.alias("prob"),
+                    (F.col("n_chars") >= 1500).cast("int").alias("pred"))
+
+
+@register("accuracy")
+def accuracy(spark, sf_dir):
+    out = metric_ops.accuracy(_doc_predictions(spark, sf_dir), "quality", "pred")
+    return out.select("n", r(F.col("accuracy"), 6).alias("accuracy"), r(F.col("error_rate"), 6).alias("error_rate"))
+
+
+@register("auc_rank")
+def auc_rank(spark, sf_dir):
+    out = metric_ops.auc_rank(_doc_predictions(spark, sf_dir), "quality", "n_chars")
+    return out.select("n_pos", "n_neg", r(F.col("auc"), 6).alias("auc"))
+
+
+@register("logloss")
+def logloss(spark, sf_dir):
+    out = metric_ops.log_loss(_doc_predictions(spark, sf_dir), "quality", "prob")
+    return out.select("n", r(F.col("log_loss"), 6).alias("log_loss"))
+
+
+def _price_predictions(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice", "l_discount"])
+    return li.select((F.col("l_extendedprice") / 1000).alias("y"),
+                     (F.col("l_quantity") * F.lit(1.5) * (F.lit(1.0) - F.col("l_discount"))).alias("pred"))
+
+
+@register("rmse")
+def rmse(spark, sf_dir):
+    out = metric_ops.regression_metrics(_price_predictions(spark, sf_dir), "y", "pred")
+    return out.select("n", r(F.col("mse"), 6).alias("mse"), r(F.col("rmse"), 6).alias("rmse"),
+                      r(F.col("mae"), 6).alias("mae"))
+
+
+@register("r2")
+def r2(spark, sf_dir):
+    out = metric_ops.regression_metrics(_price_predictions(spark, sf_dir), "y", "pred")
+    return out.select("n", r(F.col("r2"), 6).alias("r2"))
+
+
+def embedding_cluster(col: str = "embedding", dims: int = 8):
+    """Cluster id = position of the largest of the first ``dims`` coordinates (0-based)."""
+    head = F.slice(F.col(col), 1, dims)
+    return (F.array_position(head, F.array_max(head)) - 1).cast("int")
+
+
+@register("purity")
+def purity(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    out = metric_ops.cluster_purity(emb.select(embedding_cluster().alias("cluster"), "label"), "cluster", "label")
+    return out.select("n_clusters", "n", r(F.col("purity"), 6).alias("purity"))
+
+
+# --------------------------------------------------------------------------- trials
+@register("trial_table")
+def trial_table(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]).withColumnRenamed("user_id", "trial")
+    log = trial_ops.trial_log(ev, "trial", ["ts", "event_id"], "value")
+    out = trial_ops.trial_summary(log, "trial", "step", "value", complete_at=60, ts="ts")
+    return out.select("trial", "n_steps", r(F.col("best"), 6).alias("best"), r(F.col("last"), 6).alias("last"),
+                      r(F.col("mean"), 6).alias("mean"), "is_bad", "start", "complete", "state")
+
+
+@register("nonfinite_trials")
+def nonfinite_trials(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    scored = ev.select("event_id", F.col("user_id").alias("trial"),
+                       F.when((F.col("event_type") == "error") & (F.col("value") > 300), F.lit(float("nan")))
+                        .otherwise(F.col("value")).alias("score"))
+    return trial_ops.nonfinite_rows(scored, "score").select("event_id", "trial")
+
+
+@register("best_trial")
+def best_trial(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["user_id", "value"])
+    scores = ev.groupBy(F.col("user_id").alias("trial")).agg(F.round(F.avg("value"), 6).alias("score"),
+                                                             F.count(F.lit(1)).alias("n"))
+    return trial_ops.best_trial(scores, "trial", "score")
+
+
+@register("median_stop")
+def median_stop(spark, sf_dir):
+    return trial_ops.median_stopping(_trial_log(spark, sf_dir), "trial", "step", "value",
+                                     grace_period=1, min_samples=3)
+
+
+@register("halving_rungs")
+def halving_rungs(spark, sf_dir):
+    out = trial_ops.successive_halving(_trial_log(spark, sf_dir), "trial", "step", "value",
+                                       max_t=50, grace_period=1, reduction=3)
+    return out.select("rung", "trial", r(F.col("metric"), 6).alias("metric"), "rank", "promoted")
+
+
+@register("param_importance")
+def param_importance(spark, sf_dir):
+    ev = load(spark, sf_dir, "events", ["user_id", "value"])
+    scores = ev.groupBy(F.col("user_id").alias("trial")).agg(F.avg("value").alias("score")).select(
+        "trial", "score",
+        portable_bucket("trial", 21, 5).alias("lr_bin"),
+        portable_bucket("trial", 22, 4).alias("depth"),
+        portable_bucket("trial", 23, 3).alias("reg"))
+    out = trial_ops.param_importance(scores, ["lr_bin", "depth", "reg"], "score")
+    return out.select("param", r(F.col("eta_sq"), 6).alias("eta_sq"), "rank")
+
+
+@register("scaling_sweep")
+def scaling_sweep(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey"])
+    out = trial_ops.scaling_sweep(od, "o_orderkey", [1, 2, 4, 8], max_fraction=0.5)
+    return out.select("scaling_type", "n_workers", r(F.col("fraction"), 6).alias("fraction"), "rows",
+                      r(F.col("rows_per_worker"), 6).alias("rows_per_worker"))
