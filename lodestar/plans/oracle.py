@@ -426,3 +426,98 @@ ORACLE["scaling_sweep"] = f"""
          round(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 1000) AS BIGINT) THEN 1 ELSE 0 END) / c.n_workers, 6)
            AS rows_per_worker
   FROM c, b GROUP BY c.scaling_type, c.n_workers, c.fraction"""
+
+
+# ----------------------------------------------------------------- linear models / explanation
+ORACLE["ols_normal_eq"] = """
+  WITH s AS (SELECT COUNT(*) AS n, SUM(x1) AS sx1, SUM(x2) AS sx2, SUM(y) AS sy, SUM(x1 * x1) AS s11,
+                    SUM(x1 * x2) AS s12, SUM(x2 * x2) AS s22, SUM(x1 * y) AS s1y, SUM(x2 * y) AS s2y
+             FROM (SELECT l_quantity AS x1, l_discount AS x2, l_extendedprice / 1000 AS y FROM lineitem) d),
+       c AS (SELECT sx1 / n AS mx1, sx2 / n AS mx2, sy / n AS my,
+                    s11 - n * (sx1 / n) * (sx1 / n) AS a11, s12 - n * (sx1 / n) * (sx2 / n) AS a12,
+                    s22 - n * (sx2 / n) * (sx2 / n) AS a22,
+                    s1y - n * (sx1 / n) * (sy / n) AS b1, s2y - n * (sx2 / n) * (sy / n) AS b2 FROM s),
+       k AS (SELECT *, (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS c1,
+                       (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS c2 FROM c)
+  SELECT 'intercept' AS term, round(my - mx1 * c1 - mx2 * c2, 6) AS value FROM k
+  UNION ALL SELECT 'l_quantity', round(c1, 6) FROM k
+  UNION ALL SELECT 'l_discount', round(c2, 6) FROM k"""
+
+ORACLE["ridge_grid"] = f"""
+  WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y,
+                    CAST({_b('l_orderkey * 8 + l_linenumber', 0, 5)} AS INTEGER) AS fold FROM lineitem),
+       f AS (SELECT fold, CAST(COUNT(*) AS DOUBLE) AS n, SUM(x) AS sx, SUM(y) AS sy, SUM(x * x) AS sxx,
+                    SUM(x * y) AS sxy, SUM(y * y) AS syy FROM d GROUP BY fold),
+       t AS (SELECT SUM(n) AS n, SUM(sx) AS sx, SUM(sy) AS sy, SUM(sxx) AS sxx, SUM(sxy) AS sxy FROM f),
+       g AS (SELECT f.*, t.n - f.n AS tn, t.sx - f.sx AS tsx, t.sy - f.sy AS tsy, t.sxx - f.sxx AS tsxx,
+                    t.sxy - f.sxy AS tsxy, lam
+             FROM f, t, (VALUES (0.0::DOUBLE), (10.0::DOUBLE), (100.0::DOUBLE), (1000.0::DOUBLE)) l(lam)),
+       b AS (SELECT *, (tsxy - tn * (tsx / tn) * (tsy / tn)) / (tsxx - tn * (tsx / tn) * (tsx / tn) + lam) AS beta FROM g),
+       a AS (SELECT *, tsy / tn - (tsx / tn) * beta AS alpha FROM b)
+  SELECT lam AS lambda, fold,
+         round((syy - 2 * (alpha * sy + beta * sxy) + (n * alpha * alpha + 2 * alpha * beta * sx + beta * beta * sxx)) / n, 6)
+           AS mse,
+         CAST(n AS BIGINT) AS n_heldout
+  FROM a"""
+
+
+def _linear_shap_sql() -> str:
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    p = len(feats)
+    sums = ", ".join([f"SUM(x{i}) AS sx{i}" for i in range(p)]
+                     + [f"SUM(x{i} * x{j}) AS s{i}{j}" for i in range(p) for j in range(i, p)]
+                     + [f"SUM(x{i} * y) AS s{i}y" for i in range(p)])
+    cent = ", ".join([f"sx{i} / n AS m{i}" for i in range(p)] + ["sy / n AS my"]
+                     + [f"s{i}{j} - n * (sx{i} / n) * (sx{j} / n) AS a{i}{j}" for i in range(p) for j in range(i, p)]
+                     + [f"s{i}y - n * (sx{i} / n) * (sy / n) AS b{i}" for i in range(p)])
+
+    def a(i, j):
+        return f"a{min(i, j)}{max(i, j)}"
+
+    def det(m):
+        return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+                f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+                f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+
+    mat = [[a(i, j) for j in range(p)] for i in range(p)]
+    d = det(mat)
+    coefs = []
+    for c in range(p):
+        m = [[(f"b{i}" if j == c else mat[i][j]) for j in range(p)] for i in range(p)]
+        coefs.append(f"{det(m)} / {d} AS c{c}")
+    xs = ", ".join(f"{f} AS x{i}" for i, f in enumerate(feats))
+    contrib = ", ".join(f"round(k.c{i} * (x.x{i} - k.m{i}), 6) AS c_{f}" for i, f in enumerate(feats))
+    pred = " + ".join(f"k.c{i} * x.x{i}" for i in range(p))
+    return f"""
+  WITH x AS (SELECT l_orderkey, l_linenumber, {xs}, l_extendedprice / 1000 AS y FROM lineitem),
+       s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(y) AS sy, {sums} FROM x),
+       c AS (SELECT n, {cent} FROM s),
+       k AS (SELECT *, {', '.join(coefs)} FROM c)
+  SELECT x.l_orderkey, x.l_linenumber, {contrib}, round(k.my, 6) AS bias,
+         round(k.my - ({' + '.join(f'k.m{i} * k.c{i}' for i in range(p))}) + {pred}, 6) AS prediction
+  FROM x, k"""
+
+
+ORACLE["linear_shap"] = _linear_shap_sql()
+
+ORACLE["importance_topk"] = f"""
+  WITH c AS ({_linear_shap_sql()}),
+       imp AS (SELECT 'l_quantity' AS feature, AVG(abs(c_l_quantity)) AS importance FROM c
+               UNION ALL SELECT 'l_discount', AVG(abs(c_l_discount)) FROM c
+               UNION ALL SELECT 'l_tax', AVG(abs(c_l_tax)) FROM c),
+       r AS (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rank FROM imp)
+  SELECT feature, round(importance, 6) AS importance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2"""
+
+KNN_PAIRS = """
+  WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
+       p AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, b.label AS nlabel, list_distance(a.v, b.v) AS d
+             FROM e a, e b {cond}),
+       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, neighbor_id) AS rank FROM p)"""
+
+ORACLE["knn_exact"] = KNN_PAIRS.format(cond="") + """
+  SELECT query_id, neighbor_id, round(d, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5"""
+
+ORACLE["knn_classify"] = KNN_PAIRS.format(cond="WHERE a.vec_id <> b.vec_id") + """,
+       v AS (SELECT query_id, nlabel, COUNT(*) AS votes FROM r WHERE rank <= 5 GROUP BY 1, 2),
+       w AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, nlabel) AS pick FROM v)
+  SELECT w.query_id, w.nlabel AS prediction, e.label FROM w JOIN embeddings e ON e.vec_id = w.query_id WHERE pick = 1"""

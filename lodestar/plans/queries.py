@@ -467,3 +467,69 @@ def scaling_sweep(spark, sf_dir):
     out = trial_ops.scaling_sweep(od, "o_orderkey", [1, 2, 4, 8], max_fraction=0.5)
     return out.select("scaling_type", "n_workers", r(F.col("fraction"), 6).alias("fraction"), "rows",
                       r(F.col("rows_per_worker"), 6).alias("rows_per_worker"))
+
+
+# --------------------------------------------------------------------------- linear models / explanation
+from lodestar.operators import linear, neighbors  # noqa: E402
+
+
+def _line_xy(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                                          "l_extendedprice"])
+    return li.withColumn("y", F.col("l_extendedprice") / 1000)
+
+
+@register("ols_normal_eq")
+def ols_normal_eq(spark, sf_dir):
+    fit = linear.fit_linear(_line_xy(spark, sf_dir), ["l_quantity", "l_discount"], "y")
+    return fit.coefficient_frame(spark).select("term", r(F.col("value"), 6).alias("value"))
+
+
+@register("ridge_grid")
+def ridge_grid(spark, sf_dir):
+    df = _line_xy(spark, sf_dir).withColumn(
+        "fold", portable_bucket(F.col("l_orderkey") * 8 + F.col("l_linenumber"), 0, 5).cast("int"))
+    out = linear.ridge_cv(df, ["l_quantity"], "y", "fold", [0.0, 10.0, 100.0, 1000.0])
+    return out.select("lambda", "fold", r(F.col("mse"), 6).alias("mse"), "n_heldout")
+
+
+SHAP_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _linear_shap_frame(spark, sf_dir):
+    df = _line_xy(spark, sf_dir)
+    fit = linear.fit_linear(df, SHAP_FEATURES, "y")
+    contrib = fit.contributions(prefix="c_")
+    return df.select("l_orderkey", "l_linenumber", *[c.alias(k) for k, c in contrib.items()],
+                     F.lit(float(fit.label_mean)).alias("bias"), fit.prediction().alias("prediction"))
+
+
+@register("linear_shap")
+def linear_shap(spark, sf_dir):
+    out = _linear_shap_frame(spark, sf_dir)
+    return out.select("l_orderkey", "l_linenumber",
+                      *[r(F.col(c), 6).alias(c) for c in out.columns if c not in ("l_orderkey", "l_linenumber")])
+
+
+@register("importance_topk")
+def importance_topk(spark, sf_dir):
+    from lodestar.operators import explain
+    contrib = _linear_shap_frame(spark, sf_dir)
+    imp = explain.global_importance(contrib, [f"c_{f}" for f in SHAP_FEATURES])
+    top = explain.top_k_importance(imp, 2)
+    return top.select("feature", r(F.col("importance"), 6).alias("importance"), "rank")
+
+
+@register("knn_exact")
+def knn_exact(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    nb = neighbors.knn(emb, emb, "vec_id", "embedding", k=5, include_self=True)
+    return nb.select("query_id", "neighbor_id", r(F.col("distance"), 6).alias("distance"), "rank")
+
+
+@register("knn_classify")
+def knn_classify(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    nb = neighbors.knn(emb, emb, "vec_id", "embedding", k=5, include_self=False)
+    pred = neighbors.knn_classify(nb, emb, "vec_id", "label")
+    return pred.join(emb.select(F.col("vec_id").alias("query_id"), "label"), "query_id")
