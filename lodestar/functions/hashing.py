@@ -25,3 +25,15 @@ def portable_bucket_sql(key_sql: str, seed: int, modulus: int = 1000) -> str:
     """The same bucket as ANSI-ish SQL text (used by the oracle queries)."""
     return (f"(('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || '-' || '{seed}'), 1, 8))"
             f"::BIGINT % {modulus})")
+
+
+def portable_row_id(*cols: Column | str) -> Column:
+    """60-bit row id from md5 of the '|'-joined key columns (reproducible in SQL)."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    digest = F.md5(F.concat_ws("|", *parts))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def portable_row_id_sql(*cols_sql: str) -> str:
+    inner = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols_sql)
+    return f"(('0x' || substr(md5(concat_ws('|', {inner})), 1, 15))::BIGINT)"

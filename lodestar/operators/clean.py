@@ -72,10 +72,13 @@ def strings_to_float(df: DataFrame, skip: Iterable[str] = (), on_string: str = "
     return df.withColumns(exprs) if exprs else df
 
 
-def downcast_numeric(df: DataFrame) -> DataFrame:
+def downcast_numeric(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
     """int64 -> int32 and float64 -> float32 (out-of-range ints become NULL, not an error)."""
     exprs = {}
+    sk = set(skip)
     for f in df.schema.fields:
+        if f.name in sk:
+            continue
         if isinstance(f.dataType, T.LongType):
             exprs[f.name] = F.col(f.name).try_cast("int")
         elif isinstance(f.dataType, T.DoubleType):
@@ -83,10 +86,13 @@ def downcast_numeric(df: DataFrame) -> DataFrame:
     return df.withColumns(exprs) if exprs else df
 
 
-def fill_numeric(df: DataFrame, value: float = -1) -> DataFrame:
+def fill_numeric(df: DataFrame, value: float = -1, skip: Iterable[str] = ()) -> DataFrame:
     """Fill NULL (and NaN) in numeric columns; timestamps and strings untouched."""
     exprs = {}
+    sk = set(skip)
     for f in df.schema.fields:
+        if f.name in sk:
+            continue
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
             exprs[f.name] = F.coalesce(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)),
                                        F.lit(value).cast(f.dataType))
@@ -167,14 +173,16 @@ def filter_query(df: DataFrame, predicate: str | Column, extra: str | None = Non
 def clean_frame(df: DataFrame, keep: Sequence[str], rename: Mapping[str, str] | None = None,
                 timestamp_cols: Sequence[str] = (), on_string: str = "cast",
                 null_text: str | None = "-1", fill: float | None = -1,
-                filters: Sequence[str] = (), filter_stage: str = "raw") -> DataFrame:
+                filters: Sequence[str] = (), filter_stage: str = "raw",
+                id_cols: Sequence[str] = ()) -> DataFrame:
     """The standard cleaning chain: names, rename, keep-list, parse, cast, fill, filter.
 
     ``filter_stage='raw'`` applies the range filters right after renaming, on
     the source values, so they are pushed into the Parquet scan (casts in
     front of a predicate block pushdown). For open ranges whose lower bound is
     above the fill value this gives the same rows as filtering after the fill;
-    ``'clean'`` filters the cleaned values instead.
+    ``'clean'`` filters the cleaned values instead. ``id_cols`` keep their
+    type and are never filled.
     """
     out = normalize_names(df)
     if rename:
@@ -184,9 +192,9 @@ def clean_frame(df: DataFrame, keep: Sequence[str], rename: Mapping[str, str] |
         out = apply_range_filter(out, filters)
     out = strings_to_timestamp(out, timestamp_cols)
     out = strings_to_float(out, skip=timestamp_cols, on_string=on_string, null_text=null_text)
-    out = downcast_numeric(out)
+    out = downcast_numeric(out, skip=id_cols)
     if fill is not None:
-        out = fill_numeric(out, fill)
+        out = fill_numeric(out, fill, skip=id_cols)
     if filter_stage == "clean":
         out = apply_range_filter(out, filters)
     return out

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lodestar.functions.hashing import portable_bucket_sql
+from lodestar.functions.hashing import portable_bucket_sql, portable_row_id_sql
+
+LINE_ID = portable_row_id_sql("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 ORACLE: dict[str, str] = {}
 
 # Analogue taxi source, same projection as fixtures.taxi_trips.
-TAXI_RAW = """
-  SELECT l_orderkey AS trip_id, CAST(l_linenumber AS BIGINT) AS leg,
+TAXI_RAW = f"""
+  SELECT {LINE_ID} AS row_id, l_orderkey AS trip_id, CAST(l_linenumber AS BIGINT) AS leg,
          l_extendedprice AS fare_amount, CAST(nullif(l_linenumber, 3) AS BIGINT) AS passenger_count,
          l_quantity AS trip_distance, l_returnflag AS rate_code_id, l_discount AS tip_rate,
          l_tax AS tax_rate, l_shipdate AS pickup_datetime,
@@ -19,7 +21,7 @@ TAXI_RAW = """
   FROM lineitem"""
 
 CLEAN_TAXI = f"""
-  SELECT TRY_CAST(trip_id AS INTEGER) AS trip_id,
+  SELECT row_id, TRY_CAST(trip_id AS INTEGER) AS trip_id,
          COALESCE(TRY_CAST(leg AS INTEGER), -1) AS leg,
          COALESCE(CAST(fare_amount AS FLOAT), -1) AS fare_amount,
          COALESCE(TRY_CAST(passenger_count AS INTEGER), -1) AS passenger_count,
@@ -521,3 +523,12 @@ ORACLE["knn_classify"] = KNN_PAIRS.format(cond="WHERE a.vec_id <> b.vec_id") + "
        v AS (SELECT query_id, nlabel, COUNT(*) AS votes FROM r WHERE rank <= 5 GROUP BY 1, 2),
        w AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, nlabel) AS pick FROM v)
   SELECT w.query_id, w.nlabel AS prediction, e.label FROM w JOIN embeddings e ON e.vec_id = w.query_id WHERE pick = 1"""
+
+ORACLE["delay_label"] = f"""
+  SELECT COALESCE(CAST(date_diff('day', o_orderdate, l_shipdate) > 10 AS INTEGER), 0) AS ArrDelayBinary,
+         {LINE_ID} AS flight_id,
+         o_totalprice / 1000 AS CRSElapsedTime, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS DayOfWeek,
+         CAST(day(o_orderdate) AS INTEGER) AS DayofMonth, l_quantity AS Distance, l_linenumber AS FlightNum,
+         CAST(month(o_orderdate) AS INTEGER) AS Month, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS Origin_code,
+         l_tax AS TaxiIn, l_discount AS TaxiOut, CAST(year(o_orderdate) AS INTEGER) AS Year
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""

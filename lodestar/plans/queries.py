@@ -36,7 +36,7 @@ def cleaned_taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.taxi_trips(spark, sf_dir)
     return clean.clean_frame(raw, keep=fixtures.TAXI_KEEP, rename=fixtures.TAXI_RENAME,
                              timestamp_cols=("pickup_datetime",), on_string="cast",
-                             null_text="-1", fill=-1, filters=fixtures.TAXI_FILTERS)
+                             null_text="-1", fill=-1, filters=fixtures.TAXI_FILTERS, id_cols=("row_id",))
 
 
 @register("clean_taxi")
@@ -533,3 +533,198 @@ def knn_classify(spark, sf_dir):
     nb = neighbors.knn(emb, emb, "vec_id", "embedding", k=5, include_self=False)
     pred = neighbors.knn_classify(nb, emb, "vec_id", "label")
     return pred.join(emb.select(F.col("vec_id").alias("query_id"), "label"), "query_id")
+
+
+# --------------------------------------------------------------------------- delay label / models
+from lodestar.operators import models  # noqa: E402
+
+
+def delay_table(spark, sf_dir):
+    """Flights with a binary label (delay > 10 days), leaking column dropped, origin encoded,
+    columns reordered label first + alphabetical inputs."""
+    df = fixtures.flights(spark, sf_dir)
+    df = clean.add_threshold_label(df, "ArrDelay", "ArrDelayBinary", 10.0, drop_source=True)
+    df = df.withColumn("Origin_code", F.substring("Origin", 1, 1).try_cast("int")).drop("Origin")
+    inputs = clean.columns_difference(df, ["ArrDelayBinary", "flight_id"])
+    return clean.select_label_first(df, "ArrDelayBinary", ["flight_id", *inputs])
+
+
+@register("delay_label")
+def delay_label(spark, sf_dir):
+    return delay_table(spark, sf_dir)
+
+
+def _delay_split(spark, sf_dir):
+    df = delay_table(spark, sf_dir).withColumn("ArrDelayBinary", F.col("ArrDelayBinary").cast("double"))
+    return sampling.train_test_split(df, "flight_id", 0.8, seed=0)
+
+
+@register("rf_fit")
+def rf_fit(spark, sf_dir):
+    train, test = _delay_split(spark, sf_dir)
+    m = models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_estimators=10, max_depth=5,
+                             max_features=1.0, n_bins=64, seed=0).fit(train)
+    return models.score(m, test, ["flight_id", "ArrDelayBinary"])
+
+
+@register("gbt_fit")
+def gbt_fit(spark, sf_dir):
+    df = cleaned_taxi(spark, sf_dir)
+    train, test = sampling.train_test_split(df, "row_id", 0.8, seed=0)
+    feats = ["passenger_count", "trip_distance", "tip_rate", "tax_rate", "pickup_longitude", "pickup_latitude",
+             "dropoff_longitude", "dropoff_latitude"]
+    m = models.boosted_trees(feats, "fare_amount", task="regression", n_rounds=10, max_depth=5,
+                             learning_rate=0.15, subsample=0.7, colsample=0.7).fit(train)
+    return models.score(m, test, ["row_id", "fare_amount"], classification=False)
+
+
+@register("logreg_fit")
+def logreg_fit(spark, sf_dir):
+    train, test = _delay_split(spark, sf_dir)
+    m = models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", penalty="elasticnet", C=1.0,
+                                   l1_ratio=0.5, n_rows=1000).fit(train)
+    return models.score(m, test, ["flight_id", "ArrDelayBinary"])
+
+
+def _embedding_vectors(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    from pyspark.ml.functions import array_to_vector
+    return emb.withColumn("features", array_to_vector("embedding"))
+
+
+@register("kmeans_fit")
+def kmeans_fit(spark, sf_dir):
+    emb = _embedding_vectors(spark, sf_dir)
+    m = models.kmeans(None, k=10, max_iter=50, tol=1e-5, seed=1, vector_col="features").fit(emb)
+    return m.transform(emb).select("vec_id", "label", "cluster")
+
+
+@register("pca_fit")
+def pca_fit(spark, sf_dir):
+    emb = _embedding_vectors(spark, sf_dir)
+    m = models.centered_pca(None, k=5, vector_col="features").fit(emb)
+    from pyspark.ml.functions import vector_to_array
+    out = m.transform(emb).select("vec_id", vector_to_array("pca").alias("p"))
+    return out.select("vec_id", *[F.col("p")[i].alias(f"pc{i}") for i in range(5)])
+
+
+@register("svd_fit")
+def svd_fit(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    vecs, _ = models.truncated_svd(emb, "embedding", 64, k=5)
+    return emb.select("vec_id", *[c.alias(k) for k, c in models.project("embedding", vecs, "sv").items()])
+
+
+@register("rff_svm")
+def rff_svm(spark, sf_dir):
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    emb = emb.withColumn("y", (F.col("label") < 5).cast("double"))
+    feats = emb.select("vec_id", "y", models.random_fourier_features("embedding", 64, 64, gamma=1.0, seed=0))
+    train, test = sampling.train_test_split(feats, "vec_id", 0.8, seed=0)
+    m = models.linear_svc("y", C=100.0, n_rows=1000).fit(train)
+    return m.transform(test).select("vec_id", "y", "prediction")
+
+
+@register("linear_family")
+def linear_family(spark, sf_dir):
+    df = _line_xy(spark, sf_dir)
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    rows = []
+    for name, reg, enet, solver in [("ols", 0.0, 0.0, "normal"), ("ridge", 0.1, 0.0, "normal"),
+                                    ("lasso", 0.1, 1.0, "auto"), ("elastic_net", 0.1, 0.5, "auto"),
+                                    ("cd_lbfgs", 0.0, 0.0, "l-bfgs")]:
+        lm = linear.spark_ml_linear(df, feats, "y", reg=reg, elastic_net=enet, solver=solver).stages[-1]
+        rows.append((name, "intercept", float(lm.intercept)))
+        rows += [(name, f, float(c)) for f, c in zip(feats, lm.coefficients.toArray())]
+    return spark.createDataFrame(rows, "model string, term string, value double")
+
+
+@register("leaderboard")
+def leaderboard(spark, sf_dir):
+    """RF, boosted trees, logistic regression and KNN on one split; soft-vote ensemble row."""
+    train, test = _delay_split(spark, sf_dir)
+    # Several fits and evaluations read the same split: cache it once, release at the end.
+    train, test = train.persist(), test.persist()
+    feats = list(fixtures.FLIGHT_FEATURES)
+    label = "ArrDelayBinary"
+    builders = {
+        "random_forest": models.random_forest(feats, label, n_estimators=10, max_depth=6, seed=0),
+        "boosted_trees": models.boosted_trees(feats, label, n_rounds=10, max_depth=4, seed=0),
+        "logistic_regression": models.logistic_regression(feats, label, penalty="l2", C=1.0, n_rows=1000),
+    }
+    preds = {}
+    for name, est in builders.items():
+        preds[name] = models.score(est.fit(train), test, ["flight_id", label])
+    # KNN member on standardised inputs: probability = share of positive neighbours.
+    scaled = _standardized_vectors(train, test, feats)
+    nb = neighbors.knn(scaled["test"], scaled["train"], "flight_id", "vec", k=15, include_self=False)
+    lab = train.select(F.col("flight_id").alias("neighbor_id"), F.col(label).alias("__y"))
+    knn_p = nb.join(lab, "neighbor_id").groupBy(F.col("query_id").alias("flight_id")).agg(F.avg("__y").alias("prob"))
+    preds["knn"] = knn_p.join(test.select("flight_id", label), "flight_id").withColumn(
+        "prediction", (F.col("prob") > 0.5).cast("double"))
+    rows = []
+    frames = []
+    for name, p in preds.items():
+        frames.append(p.select("flight_id", F.col("prob").alias(name)))
+        acc = metric_ops.accuracy(p, label, "prediction").collect()[0]["accuracy"]
+        rows.append((name, float(acc), models.auc(p, label)))
+    ens = frames[0]
+    for f in frames[1:]:
+        ens = ens.join(f, "flight_id")
+    ens = ens.withColumn("prob", sum(F.col(n) for n in preds) / F.lit(float(len(preds))))
+    ens = ens.join(test.select("flight_id", label), "flight_id").withColumn(
+        "prediction", (F.col("prob") > 0.5).cast("double"))
+    rows.append(("soft_vote", float(metric_ops.accuracy(ens, label, "prediction").collect()[0]["accuracy"]),
+                 models.auc(ens, label)))
+    board = spark.createDataFrame(rows, "model string, accuracy double, auc double")
+    train.unpersist()
+    test.unpersist()
+    from pyspark.sql import Window
+    return board.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("auc"), F.asc("model"))))
+
+
+def _standardized_vectors(train, test, feats):
+    stats = train.agg(*[F.avg(f).alias(f"m_{f}") for f in feats], *[F.stddev_pop(f).alias(f"s_{f}") for f in feats])
+    row = stats.collect()[0]  # 2 * #features numbers
+
+    def vec(df):
+        return df.select("flight_id", F.array(*[
+            ((F.col(f) - F.lit(float(row[f"m_{f}"] or 0.0))) / F.lit(float(row[f"s_{f}"] or 1.0) or 1.0))
+            for f in feats]).alias("vec"))
+    return {"train": vec(train), "test": vec(test)}
+
+
+@register("tree_shap_sampled")
+def tree_shap_sampled(spark, sf_dir):
+    """Sampled Shapley values of a boosted-tree fare model for 50 held-out rows (lowest keys)."""
+    from lodestar.operators import explain
+    df = cleaned_taxi(spark, sf_dir)
+    train, test = sampling.train_test_split(df, "row_id", 0.8, seed=0)
+    feats = ["passenger_count", "trip_distance", "tip_rate", "tax_rate", "pickup_longitude", "pickup_latitude"]
+    m = models.boosted_trees(feats, "fare_amount", task="regression", n_rounds=10, max_depth=4).fit(train)
+    rows = test.orderBy("row_id").limit(50)
+    background = sampling.fixed_count_sample(train, "row_id", 200, seed=1)
+    return explain.sampled_shapley(m, rows, background, "row_id", feats, n_samples=16, seed=0)
+
+
+@register("grid_search")
+def grid_search(spark, sf_dir):
+    train, _ = _delay_split(spark, sf_dir)
+    train = train.withColumn("fold", sampling.kfold_column("flight_id", 3, seed=0))
+    est = models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_rows=1000)
+    return models.grid_search(est, {"regParam": [0.0, 0.01], "elasticNetParam": [0.0, 1.0]}, train,
+                              "ArrDelayBinary", "fold", parallelism=2)
+
+
+@register("random_search")
+def random_search(spark, sf_dir):
+    train, test = _delay_split(spark, sf_dir)
+    space = trial_ops.SearchSpace({"max_depth": ("int", 3, 8), "n_estimators": ("int", 5, 15),
+                                   "max_features": ("uniform", 0.3, 1.0)})
+    cands = space.random(4, seed=0)
+    feats = list(fixtures.FLIGHT_FEATURES)
+
+    def build(c):
+        return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(c["n_estimators"]),
+                                    max_depth=int(c["max_depth"]), max_features=float(c["max_features"]), seed=0)
+    return models.evaluate_candidates(cands, build, train, test, "ArrDelayBinary", parallelism=2)
