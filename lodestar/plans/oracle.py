@@ -532,3 +532,45 @@ ORACLE["delay_label"] = f"""
          CAST(month(o_orderdate) AS INTEGER) AS Month, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS Origin_code,
          l_tax AS TaxiIn, l_discount AS TaxiOut, CAST(year(o_orderdate) AS INTEGER) AS Year
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+# ----------------------------------------------------------------- sources and sinks
+ORACLE["csv_roundtrip"] = """
+  SELECT l_orderkey AS order_key, l_linenumber AS line, CAST(l_quantity AS FLOAT) AS qty,
+         l_extendedprice AS price, l_shipdate AS ship_ts, l_returnflag AS flag FROM lineitem"""
+
+ORACLE["orc_cache"] = CLEAN_TAXI
+
+ORACLE["partition_scan"] = """
+  SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+         CAST(month(o_orderdate) AS INTEGER) AS o_month
+  FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) IN (11, 12)"""
+
+ORACLE["glob_scan"] = """
+  SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+         CAST(month(o_orderdate) AS INTEGER) AS o_month
+  FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) IN (1, 10, 11, 12)"""
+
+ORACLE["date_range_scan"] = """
+  SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1996-03-31'"""
+
+ORACLE["format_detect"] = "SELECT p_partkey, p_brand, p_size, p_retailprice FROM part"
+
+ORACLE["delimited_label"] = """
+  SELECT l_extendedprice AS label, l_discount AS weight, CAST(l_quantity AS FLOAT) AS f0,
+         CAST(l_tax AS FLOAT) AS f1, CAST(l_linenumber AS FLOAT) AS f2 FROM lineitem"""
+
+ORACLE["row_limited"] = """
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+  ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000"""
+
+ORACLE["spec_ingest"] = """
+  SELECT l_orderkey AS order_key, COALESCE(CAST(l_quantity AS FLOAT), 0) AS qty,
+         COALESCE(CAST(l_extendedprice AS FLOAT), 0) AS price, CAST(0 AS FLOAT) AS tip, l_shipdate AS ship_ts
+  FROM lineitem WHERE l_quantity > 10 AND l_extendedprice < 50000"""
+
+ORACLE["result_append"] = """
+  SELECT user_id, COUNT(*) AS n, MAX(value) AS best, event_type AS kind FROM events
+  WHERE event_type IN ('view', 'click') GROUP BY user_id, event_type"""
+
+ORACLE["split_artifact"] = f"SELECT * FROM ({CLEAN_TAXI}) c WHERE {_b('row_id', 0)} >= 800"

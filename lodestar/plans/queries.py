@@ -728,3 +728,185 @@ def random_search(spark, sf_dir):
         return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(c["n_estimators"]),
                                     max_depth=int(c["max_depth"]), max_features=float(c["max_features"]), seed=0)
     return models.evaluate_candidates(cands, build, train, test, "ArrDelayBinary", parallelism=2)
+
+
+# --------------------------------------------------------------------------- request / stream scoring
+import hashlib  # noqa: E402
+
+from lodestar.session import shared_path  # noqa: E402
+
+
+def _tag(sf_dir: str) -> str:
+    return hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+
+
+def _request_bodies(spark, sf_dir, n_features=16):
+    """Request bodies built from embeddings: 8 consecutive vectors per request; every
+    ninth request is malformed text."""
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    inst = emb.select(F.floor(F.col("vec_id") / 8).cast("long").alias("request_id"), "vec_id",
+                      F.slice("embedding", 1, n_features).cast("array<double>").alias("x"))
+    grouped = inst.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("vec_id", "x"))).alias("__r"))
+    body = F.to_json(F.transform("__r", lambda s: s["x"]))
+    return grouped.select("request_id", F.when(F.pmod("request_id", F.lit(9)) == 0,
+                                               F.concat(F.lit("{not json "), F.col("request_id").cast("string")))
+                          .otherwise(body).alias("body"))
+
+
+def _embedding_classifier(spark, sf_dir, n_features=16):
+    from pyspark.ml.functions import array_to_vector
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    train = emb.select(array_to_vector(F.slice("embedding", 1, n_features).cast("array<double>")).alias("features"),
+                       (F.col("label") < 5).cast("double").alias("y"))
+    from pyspark.ml.classification import LogisticRegression
+    return LogisticRegression(featuresCol="features", labelCol="y", regParam=0.01, maxIter=50).fit(train)
+
+
+@register("json_score_batch")
+def json_score_batch(spark, sf_dir):
+    from lodestar.streaming import score_requests
+    model = _embedding_classifier(spark, sf_dir)
+    return score_requests(model, _request_bodies(spark, sf_dir), "request_id", "body", n_features=16,
+                          threshold=0.5)
+
+
+@register("stream_score")
+def stream_score(spark, sf_dir):
+    """Embeddings land as files; a Structured Streaming query scores them in bounded batches."""
+    from pyspark.ml.functions import array_to_vector
+    from lodestar.streaming import stream_score as run_stream
+    run = shared_path(spark, "stream_score", _tag(sf_dir), unique=True)
+    landing, out, ckpt = f"{run}/landing", f"{run}/scored", f"{run}/_checkpoint"
+    emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    emb.repartition(4, "vec_id").write.mode("overwrite").parquet(landing)
+    model = _embedding_classifier(spark, sf_dir)
+
+    def prepare(df):
+        return df.withColumn("features", array_to_vector(F.slice("embedding", 1, 16).cast("array<double>")))
+    return run_stream(spark, model, landing, emb.schema, out, ckpt, prepare, keep=["vec_id"],
+                      max_files_per_trigger=1)
+
+
+# --------------------------------------------------------------------------- sources and sinks
+from lodestar import sources  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+CSV_SCHEMA = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("line", T.IntegerType()),
+                           T.StructField("qty", T.FloatType()), T.StructField("price", T.DoubleType()),
+                           T.StructField("ship_ts", T.TimestampNTZType()), T.StructField("flag", T.StringType())])
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Write chosen columns as headered CSV, read back with names imposed by position and typed schema."""
+    path = shared_path(spark, "csv_roundtrip", _tag(sf_dir), unique=True)
+    li = load(spark, sf_dir, "lineitem")
+    sources.write_csv_columns(li, path, ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                         "l_shipdate", "l_returnflag"])
+    return sources.read_csv(spark, path, CSV_SCHEMA, header=True)
+
+
+@register("orc_cache")
+def orc_cache(spark, sf_dir):
+    """Prepare-once cache of the cleaned trips as ORC (written only when absent)."""
+    path = shared_path(spark, "orc_cache", f"{_tag(sf_dir)}-v1")
+    return sources.write_orc_once(cleaned_taxi(spark, sf_dir), path)
+
+
+def _orders_partitioned(spark, sf_dir) -> str:
+    base = shared_path(spark, "orders_by_month", f"{_tag(sf_dir)}-v1")
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    (od.withColumns({"o_year": F.year("o_orderdate"), "o_month": F.month("o_orderdate")})
+       .write.mode("ignore").partitionBy("o_year", "o_month").parquet(base))
+    return base
+
+
+@register("partition_scan")
+def partition_scan(spark, sf_dir):
+    base = _orders_partitioned(spark, sf_dir)
+    df = sources.read_partitioned(spark, base, "o_year = 1996 AND o_month IN (11, 12)")
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_year", "o_month")
+
+
+@register("glob_scan")
+def glob_scan(spark, sf_dir):
+    """Path glob over partition folders (month 1* matches 1, 10, 11, 12)."""
+    base = _orders_partitioned(spark, sf_dir)
+    df = spark.read.option("basePath", base).parquet(f"{base}/o_year=1997/o_month=1*")
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_year", "o_month")
+
+
+@register("date_range_scan")
+def date_range_scan(spark, sf_dir):
+    od = load(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    return sources.read_date_range(od, "o_orderdate", "1996-01-01", "1996-03-31")
+
+
+PART_SPEC_FIELDS = [("p_partkey", T.LongType()), ("p_brand", T.StringType()), ("p_size", T.IntegerType()),
+                    ("p_retailprice", T.DoubleType())]
+
+
+@register("format_detect")
+def format_detect(spark, sf_dir):
+    """A folder holding both CSV and Parquet copies: the CSV files are the ones read."""
+    path = shared_path(spark, "format_detect", _tag(sf_dir), unique=True)
+    part = load(spark, sf_dir, "part", [n for n, _ in PART_SPEC_FIELDS])
+    part.write.mode("overwrite").option("header", True).csv(path)
+    part.filter("p_size > 25").write.mode("append").parquet(path)
+    spec = sources.DatasetSpec(T.StructType([T.StructField(n, t) for n, t in PART_SPEC_FIELDS]))
+    return sources.read_detected(spark, path, spec)
+
+
+@register("delimited_label")
+def delimited_label(spark, sf_dir):
+    """Headerless ';'-separated numeric text: delimiter sniffed, label and weight picked by index."""
+    path = shared_path(spark, "delimited", _tag(sf_dir), unique=True)
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_discount", "l_extendedprice", "l_tax", "l_linenumber"])
+    li.write.mode("overwrite").option("sep", ";").option("header", False).csv(path)
+    return sources.read_delimited_with_label(spark, path, n_columns=5, label_column=2, weight_column=1)
+
+
+@register("row_limited")
+def row_limited(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem", [*fixtures.LINE_KEY, "l_quantity"])
+    return sources.limit_rows(li, 1000, order_by=list(fixtures.LINE_KEY))
+
+
+@register("spec_ingest")
+def spec_ingest(spark, sf_dir):
+    """Spec-driven ingest: rename, pushed filters, keep-list with casts (absent column -> NULL), fill."""
+    spec = sources.DatasetSpec(
+        T.StructType([T.StructField("order_key", T.LongType()), T.StructField("qty", T.FloatType()),
+                      T.StructField("price", T.FloatType()), T.StructField("tip", T.FloatType()),
+                      T.StructField("ship_ts", T.TimestampNTZType())]),
+        rename={"l_orderkey": "order_key", "l_quantity": "qty", "l_extendedprice": "price",
+                "l_shipdate": "ship_ts", "no_such_column": "x"},
+        filters=("qty > 10", "price < 50000"), fill=0.0)
+    return sources.read_dataset(spark, fixtures_path(sf_dir, "lineitem"), spec)
+
+
+def fixtures_path(sf_dir, name):
+    from lodestar.plans.catalog import table_path
+    return table_path(sf_dir, name)
+
+
+@register("result_append")
+def result_append(spark, sf_dir):
+    """Overwrite a result table with one batch of records, append a second, read the table."""
+    path = shared_path(spark, "results", _tag(sf_dir), unique=True)
+    ev = load(spark, sf_dir, "events", ["user_id", "event_type", "value"])
+
+    def batch(kind):
+        return (ev.filter(F.col("event_type") == kind).groupBy("user_id")
+                  .agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best"))
+                  .withColumn("kind", F.lit(kind)))
+    sources.write_result_table(batch("view"), path, append_to_existing=False)
+    return sources.write_result_table(batch("click"), path, append_to_existing=True)
+
+
+@register("split_artifact")
+def split_artifact(spark, sf_dir):
+    """Persist the held-out split (for later explanation) and read it back."""
+    path = shared_path(spark, "split_artifact", _tag(sf_dir), unique=True)
+    _, test = sampling.train_test_split(cleaned_taxi(spark, sf_dir), "row_id", 0.8, seed=0)
+    return sources.write_split(test, path, key_cols=["row_id"])
