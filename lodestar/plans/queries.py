@@ -567,15 +567,20 @@ def rf_fit(spark, sf_dir):
     return models.score(m, test, ["flight_id", "ArrDelayBinary"])
 
 
+def delay_days_table(spark, sf_dir):
+    """Flights with the delay in days as a regression target (origin encoded)."""
+    df = fixtures.flights(spark, sf_dir)
+    return (df.withColumn("Origin_code", F.substring("Origin", 1, 1).try_cast("int")).drop("Origin")
+              .withColumn("ArrDelay", F.col("ArrDelay").cast("double")))
+
+
 @register("gbt_fit")
 def gbt_fit(spark, sf_dir):
-    df = cleaned_taxi(spark, sf_dir)
-    train, test = sampling.train_test_split(df, "row_id", 0.8, seed=0)
-    feats = ["passenger_count", "trip_distance", "tip_rate", "tax_rate", "pickup_longitude", "pickup_latitude",
-             "dropoff_longitude", "dropoff_latitude"]
-    m = models.boosted_trees(feats, "fare_amount", task="regression", n_rounds=10, max_depth=5,
-                             learning_rate=0.15, subsample=0.7, colsample=0.7).fit(train)
-    return models.score(m, test, ["row_id", "fare_amount"], classification=False)
+    """Boosted-tree regression of the delay (days): depth 5, lr 0.15, row/column subsampling 0.7."""
+    train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
+    m = models.boosted_trees(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression", n_rounds=10,
+                             max_depth=5, learning_rate=0.15, subsample=0.7, colsample=0.7).fit(train)
+    return models.score(m, test, ["flight_id", "ArrDelay"], classification=False)
 
 
 @register("logreg_fit")
@@ -696,15 +701,14 @@ def _standardized_vectors(train, test, feats):
 
 @register("tree_shap_sampled")
 def tree_shap_sampled(spark, sf_dir):
-    """Sampled Shapley values of a boosted-tree fare model for 50 held-out rows (lowest keys)."""
+    """Sampled Shapley values of a boosted-tree delay model for 50 held-out rows (lowest ids)."""
     from lodestar.operators import explain
-    df = cleaned_taxi(spark, sf_dir)
-    train, test = sampling.train_test_split(df, "row_id", 0.8, seed=0)
-    feats = ["passenger_count", "trip_distance", "tip_rate", "tax_rate", "pickup_longitude", "pickup_latitude"]
-    m = models.boosted_trees(feats, "fare_amount", task="regression", n_rounds=10, max_depth=4).fit(train)
-    rows = test.orderBy("row_id").limit(50)
-    background = sampling.fixed_count_sample(train, "row_id", 200, seed=1)
-    return explain.sampled_shapley(m, rows, background, "row_id", feats, n_samples=16, seed=0)
+    train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
+    feats = list(fixtures.FLIGHT_FEATURES)
+    m = models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4).fit(train)
+    rows = test.orderBy("flight_id").limit(50)
+    background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
+    return explain.sampled_shapley(m, rows, background, "flight_id", feats, n_samples=16, seed=0)
 
 
 @register("grid_search")

@@ -125,9 +125,11 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
     keys = list(partition_by)
     order = list(order_by)
     specs = [(out, op, col) for out, (op, col) in aggs.items()]
-    for _, op, _ in specs:
+    for out, op, _ in specs:
         if op not in _OPS:
             raise ValueError(f"unsupported running op {op!r}")
+        if out in df.columns:
+            raise ValueError(f"output column {out!r} already exists")
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     types = dict((f.name, f.dataType) for f in df.schema.fields)
