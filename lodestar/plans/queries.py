@@ -914,3 +914,11 @@ def split_artifact(spark, sf_dir):
     path = shared_path(spark, "split_artifact", _tag(sf_dir), unique=True)
     _, test = sampling.train_test_split(cleaned_taxi(spark, sf_dir), "row_id", 0.8, seed=0)
     return sources.write_split(test, path, key_cols=["row_id"])
+
+
+# --------------------------------------------------------------------------- workflows
+@register("feature_search")
+def feature_search(spark, sf_dir):
+    """Encode + pairwise features + chi-square ranking + 10-trial logistic-regression search."""
+    from lodestar.plans.workflows import feature_search as run
+    return run(spark, sf_dir, n_trials=10)
