@@ -23,11 +23,20 @@ def mean_std_count(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
                                F.count(F.col(value)).alias("n"))
 
 
+def exact_mean(col: str, scale: int = 2):
+    """Mean from an exact decimal sum of values with ``scale`` decimals (order-independent)."""
+    return F.sum(F.col(col).cast(f"decimal(38,{scale})")).cast("double") / F.count(col)
+
+
 def confidence_interval(df: DataFrame, by: Sequence[str], value: str, z: float = Z95,
-                        scale: float = 1.0) -> DataFrame:
-    """mean +/- z * std / sqrt(n) per group, after multiplying values by ``scale``."""
+                        scale: float = 1.0, exact_scale: int | None = None) -> DataFrame:
+    """mean +/- z * std / sqrt(n) per group, after multiplying values by ``scale``.
+
+    ``exact_scale``: the values have that many decimals; the mean is then taken
+    from an exact decimal sum (reproducible to the last bit)."""
     v = F.col(value) * F.lit(scale)
-    g = df.groupBy(*by).agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+    mean = exact_mean(value, exact_scale) * F.lit(scale) if exact_scale is not None else F.avg(v)
+    g = df.groupBy(*by).agg(mean.alias("mean"), F.stddev_samp(v).alias("std"),
                             F.count(v).alias("n"))
     half = F.lit(z) * F.col("std") / F.sqrt(F.col("n"))
     return g.withColumns({"ci": half, "ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
@@ -77,9 +86,10 @@ def mean_curve(curves: DataFrame, step: str, value: str) -> DataFrame:
     return curves.groupBy(step).agg(F.avg(value).alias("mean"), F.count(F.col(value)).alias("n_runs"))
 
 
-def replicate_band(df: DataFrame, step: str, value: str) -> DataFrame:
+def replicate_band(df: DataFrame, step: str, value: str, exact_scale: int | None = None) -> DataFrame:
     """Per step: mean, std, max, min across replicate runs and the clipped mean+/-std band."""
-    g = df.groupBy(step).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+    mean = exact_mean(value, exact_scale) if exact_scale is not None else F.avg(value)
+    g = df.groupBy(step).agg(mean.alias("mean"), F.stddev_samp(value).alias("std"),
                              F.max(value).alias("max"), F.min(value).alias("min"))
     return g.withColumns({
         "upper": F.least(F.col("mean") + F.col("std"), F.col("max")),

@@ -160,6 +160,23 @@ def linear_svc(label: str, C: float = 100.0, n_rows: int = 1, features_col: str
                      maxIter=max_iter)
 
 
+def scaled_linear(features: Sequence[str], label: str, reg: float = 0.0) -> Pipeline:
+    """Standardise (mean 0, sample std 1) then ordinary/ridge least squares."""
+    from pyspark.ml.regression import LinearRegression
+    return Pipeline(stages=[assembler(features, "__raw"),
+                            StandardScaler(inputCol="__raw", outputCol=FEATURES, withMean=True, withStd=True),
+                            LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, solver="normal")])
+
+
+def fit_cached(estimator: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the training rows persisted for the fit's passes, then release them."""
+    cached = train.persist()
+    try:
+        return estimator.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def positive_probability(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 

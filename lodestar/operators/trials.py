@@ -28,11 +28,14 @@ def trial_log(df: DataFrame, trial: str, order: Sequence[str], metric: str,
 
 
 def trial_summary(log: DataFrame, trial: str, step: str, metric: str, mode: str = "max",
-                  complete_at: int | None = None, ts: str | None = None) -> DataFrame:
+                  complete_at: int | None = None, ts: str | None = None,
+                  exact_scale: int | None = None) -> DataFrame:
     """Per-trial result row: steps, best/last/mean metric, non-finite flag, state."""
     best = F.max(metric) if mode == "max" else F.min(metric)
+    mean = (F.sum(F.col(metric).cast(f"decimal(38,{exact_scale})")).cast("double") / F.count(metric)
+            if exact_scale is not None else F.avg(metric))
     aggs = [F.count(F.lit(1)).alias("n_steps"), best.alias("best"),
-            F.max_by(metric, step).alias("last"), F.avg(metric).alias("mean"),
+            F.max_by(metric, step).alias("last"), mean.alias("mean"),
             F.max((F.isnan(F.col(metric)) | (F.abs(F.col(metric)) == F.lit(float("inf")))).cast("int"))
              .alias("is_bad")]
     if ts:
@@ -64,7 +67,7 @@ def running_mean(log: DataFrame, trial: str, step: str, metric: str, out: str =
 
 
 def median_stopping(log: DataFrame, trial: str, step: str, metric: str, grace_period: int = 1,
-                    min_samples: int = 3, mode: str = "max") -> DataFrame:
+                    min_samples: int = 3, mode: str = "max", checkpoint: bool = True) -> DataFrame:
     """Median stopping rule on running means.
 
     At (trial, step) the trial stops when step > grace_period, at least
@@ -75,26 +78,30 @@ def median_stopping(log: DataFrame, trial: str, step: str, metric: str, grace_pe
     Output: trial, n_steps, stop_step (NULL = never stopped).
     """
     rm = running_mean(log, trial, step, metric, out="__rm")
-    ranked = scan.row_number(rm, [step], ["__rm", trial], out="__r")
-    counts = rm.groupBy(step).agg(F.count(F.lit(1)).alias("__m"))
-    ranked = ranked.join(counts, on=step)
+    # Read three times below (counts, middle values, decisions): keep it once.
+    ranked = scan.row_number(rm, [step], ["__rm", trial], out="__r").persist()
+    counts = ranked.groupBy(step).agg(F.count(F.lit(1)).alias("__m"))
+    ranked_m = ranked.join(counts, on=step)
     h = F.floor((F.col("__m") - 1) / 2)
     pos = F.col("__r") - 1
-    mids = ranked.groupBy(step).agg(
+    mids = ranked_m.groupBy(step).agg(
         F.max(F.when(pos == h - 1, F.col("__rm"))).alias("__vm1"),
         F.max(F.when(pos == h, F.col("__rm"))).alias("__v0"),
         F.max(F.when(pos == h + 1, F.col("__rm"))).alias("__vp1"))
-    j = ranked.join(mids, on=step)
-    hh = F.floor((F.col("__m") - 1) / 2)
-    p = F.col("__r") - 1
-    oth_h = F.when(hh < p, F.col("__v0")).otherwise(F.col("__vp1"))
-    oth_hm1 = F.when(hh - 1 < p, F.col("__vm1")).otherwise(F.col("__v0"))
+    j = ranked_m.join(mids, on=step)
+    oth_h = F.when(h < pos, F.col("__v0")).otherwise(F.col("__vp1"))
+    oth_hm1 = F.when(h - 1 < pos, F.col("__vm1")).otherwise(F.col("__v0"))
     med = F.when(F.col("__m") % 2 == 0, oth_h).otherwise((oth_hm1 + oth_h) / F.lit(2.0))
     worse = F.col("__rm") < med if mode == "max" else F.col("__rm") > med
     stop = (F.col(step) > F.lit(grace_period)) & ((F.col("__m") - 1) >= F.lit(min_samples)) & worse
-    j = j.withColumn("__stop", stop)
-    return j.groupBy(trial).agg(F.max(step).alias("n_steps"),
-                                F.min(F.when(F.col("__stop"), F.col(step))).alias("stop_step"))
+    out = j.withColumn("__stop", stop).groupBy(trial).agg(
+        F.max(step).alias("n_steps"), F.min(F.when(F.col("__stop"), F.col(step))).alias("stop_step"))
+    if not checkpoint:
+        return out
+    # The decision table has one row per trial: materialise it and release the cache.
+    out = out.checkpoint(eager=True)
+    ranked.unpersist()
+    return out
 
 
 def halving_rungs(max_t: int, grace_period: int = 1, reduction: int = 3) -> list[int]:
@@ -115,11 +122,16 @@ def successive_halving(log: DataFrame, trial: str, step: str, metric: str, max_t
     are promoted. Survivor sets (one row per trial) are checkpointed between
     rungs to keep the lineage short. Output: rung, trial, metric, rank, promoted.
     """
+    rungs = halving_rungs(max_t, grace_period, reduction)
     rm = running_mean(log, trial, step, metric, out="__rm")
+    # One row per (trial, rung step): computed once, then every rung reads it.
+    rung_rows = rm.filter(F.col(step).isin(rungs)).select(trial, step, F.col("__rm").alias("metric"))
+    if checkpoint:
+        rung_rows = rung_rows.checkpoint(eager=True)
     survivors = None
     outs = []
-    for rung in halving_rungs(max_t, grace_period, reduction):
-        cands = rm.filter(F.col(step) == rung).select(trial, F.col("__rm").alias("metric"))
+    for rung in rungs:
+        cands = rung_rows.filter(F.col(step) == rung).select(trial, "metric")
         if survivors is not None:
             cands = cands.join(survivors, on=trial, how="left_semi")
         key = F.col("metric") if mode != "max" else -F.col("metric")

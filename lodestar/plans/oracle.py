@@ -8,6 +8,19 @@ LINE_ID = portable_row_id_sql("l_orderkey", "l_linenumber", "l_partkey", "l_supp
 
 ORACLE: dict[str, str] = {}
 
+
+def _xmean(col: str, scale: int = 2) -> str:
+    """Mean from an exact decimal sum (identical double in every engine)."""
+    return f"(CAST(SUM(CAST({col} AS DECIMAL(38,{scale}))) AS DOUBLE) / COUNT({col}))"
+
+
+def _fr(x: str, digits: int = 6) -> str:
+    """Half-up rounding written as IEEE arithmetic (same bits in Spark and here)."""
+    m = f"{10.0 ** digits!r}::DOUBLE"
+    return f"(floor(({x}) * {m} + 0.5::DOUBLE) / {m})"
+
+
+
 # Analogue taxi source, same projection as fixtures.taxi_trips.
 TAXI_RAW = f"""
   SELECT {LINE_ID} AS row_id, l_orderkey AS trip_id, CAST(l_linenumber AS BIGINT) AS leg,
@@ -46,8 +59,8 @@ ORACLE["clean_taxi"] = CLEAN_TAXI
 
 ORACLE["taxi_fare_weekday"] = f"""
   SELECT split, day_of_week, is_weekend, COUNT(*) AS n_trips,
-         round(avg(fare_amount), 4) AS mean_fare, round(stddev_samp(fare_amount), 4) AS std_fare,
-         round(avg(trip_distance), 6) AS mean_distance
+         {_fr(_xmean('fare_amount'), 4)} AS mean_fare, round(stddev_samp(fare_amount), 4) AS std_fare,
+         {_fr(_xmean('trip_distance'))} AS mean_distance
   FROM (SELECT *, isodow(pickup_datetime) - 1 AS day_of_week,
                CAST(isodow(pickup_datetime) >= 6 AS INTEGER) AS is_weekend,
                CASE WHEN {portable_bucket_sql('trip_id', 42)} < 800 THEN 'train' ELSE 'test' END AS split
@@ -263,11 +276,11 @@ ORACLE["tip_ratio_by_size"] = """
   FROM lineitem GROUP BY 1"""
 
 ORACLE["elapsed_ci"] = f"""
-  SELECT type, n_workers, hardware, n, round(mean, 6) AS mean, round(std, 6) AS std,
+  SELECT type, n_workers, hardware, n, {_fr('mean')} AS mean, round(std, 6) AS std,
          round(1.96::DOUBLE * std / sqrt(n), 6) AS ci,
          round(mean - 1.96::DOUBLE * std / sqrt(n), 6) AS ci_low,
          round(mean + 1.96::DOUBLE * std / sqrt(n), 6) AS ci_high
-  FROM (SELECT type, n_workers, hardware, AVG(elapsed_ms * 0.001::DOUBLE) AS mean,
+  FROM (SELECT type, n_workers, hardware, {_xmean('elapsed_ms')} * 0.001::DOUBLE AS mean,
                stddev_samp(elapsed_ms * 0.001::DOUBLE) AS std, COUNT(elapsed_ms) AS n
         FROM ({TIMING}) t GROUP BY 1, 2, 3) g"""
 
@@ -286,16 +299,16 @@ ORACLE["throughput_ratio"] = f"""
          round((rows / elapsed_s) / MAX(CASE WHEN type = 'view' THEN rows / elapsed_s END) OVER (), 6) AS speedup
   FROM g"""
 
-ORACLE["best_so_far"] = """
-  SELECT step, round(AVG(best), 6) AS mean_best, COUNT(best) AS n_runs
+ORACLE["best_so_far"] = f"""
+  SELECT step, {_fr(_xmean('best'))} AS mean_best, COUNT(best) AS n_runs
   FROM (SELECT row_number() OVER w AS step, MAX(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) c
   GROUP BY step"""
 
 ORACLE["replicate_band"] = f"""
-  SELECT step, round(mean, 6) AS mean, round(std, 6) AS std, round(mx, 6) AS max, round(mn, 6) AS min,
+  SELECT step, {_fr('mean')} AS mean, round(std, 6) AS std, round(mx, 6) AS max, round(mn, 6) AS min,
          round(least(mean + std, mx), 6) AS upper, round(greatest(mean - std, mn), 6) AS lower
-  FROM (SELECT step, AVG(value) AS mean, stddev_samp(value) AS std, MAX(value) AS mx, MIN(value) AS mn
+  FROM (SELECT step, {_xmean('value')} AS mean, stddev_samp(value) AS std, MAX(value) AS mx, MIN(value) AS mn
         FROM ({TRIAL_LOG}) l GROUP BY step) g"""
 
 ORACLE["union_years"] = """
@@ -305,11 +318,11 @@ ORACLE["union_years"] = """
   UNION ALL BY NAME
   SELECT l_orderkey, l_linenumber, l_tax, l_quantity FROM lineitem WHERE year(l_shipdate) = 1997"""
 
-ORACLE["score_heatmap"] = """
+ORACLE["score_heatmap"] = f"""
   SELECT l_linenumber,
-         round(AVG(CASE WHEN l_returnflag = 'A' THEN l_discount END), 6) AS "A",
-         round(AVG(CASE WHEN l_returnflag = 'N' THEN l_discount END), 6) AS "N",
-         round(AVG(CASE WHEN l_returnflag = 'R' THEN l_discount END), 6) AS "R"
+         {_fr(_xmean("CASE WHEN l_returnflag = 'A' THEN l_discount END"))} AS "A",
+         {_fr(_xmean("CASE WHEN l_returnflag = 'N' THEN l_discount END"))} AS "N",
+         {_fr(_xmean("CASE WHEN l_returnflag = 'R' THEN l_discount END"))} AS "R"
   FROM lineitem GROUP BY 1"""
 
 ORACLE["preview_head"] = """
@@ -323,7 +336,7 @@ DOC_PRED = """
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
 
 ORACLE["accuracy"] = f"""
-  SELECT COUNT(*) AS n, round(AVG(CAST(CAST(quality AS DOUBLE) = CAST(pred AS DOUBLE) AS INTEGER)), 6) AS accuracy,
+  SELECT COUNT(*) AS n, {_fr("AVG(CAST(CAST(quality AS DOUBLE) = CAST(pred AS DOUBLE) AS INTEGER))")} AS accuracy,
          round(1.0::DOUBLE - AVG(CAST(CAST(quality AS DOUBLE) = CAST(pred AS DOUBLE) AS INTEGER)), 6) AS error_rate
   FROM ({DOC_PRED}) p"""
 
@@ -365,7 +378,7 @@ ORACLE["purity"] = """
 # ----------------------------------------------------------------- trials
 ORACLE["trial_table"] = f"""
   SELECT trial, COUNT(*) AS n_steps, round(MAX(value), 6) AS best, round(arg_max(value, step), 6) AS last,
-         round(AVG(value), 6) AS mean, MAX(CAST(isnan(value) OR abs(value) = 'inf'::DOUBLE AS INTEGER)) AS is_bad,
+         {_fr(_xmean('value'))} AS mean, MAX(CAST(isnan(value) OR abs(value) = 'inf'::DOUBLE AS INTEGER)) AS is_bad,
          MIN(ts) AS start, MAX(ts) AS complete,
          CASE WHEN MAX(CAST(isnan(value) OR abs(value) = 'inf'::DOUBLE AS INTEGER)) = 1 THEN 'failed'
               WHEN COUNT(*) >= 60 THEN 'complete' ELSE 'running' END AS state
@@ -374,8 +387,8 @@ ORACLE["trial_table"] = f"""
 ORACLE["nonfinite_trials"] = """
   SELECT event_id, user_id AS trial FROM events WHERE event_type = 'error' AND value > 300"""
 
-ORACLE["best_trial"] = """
-  SELECT user_id AS trial, round(AVG(value), 6) AS score, COUNT(*) AS n
+ORACLE["best_trial"] = f"""
+  SELECT user_id AS trial, {_fr(_xmean('value'))} AS score, COUNT(*) AS n
   FROM events GROUP BY user_id ORDER BY score DESC, trial LIMIT 1"""
 
 ORACLE["median_stop"] = f"""
@@ -574,3 +587,24 @@ ORACLE["result_append"] = """
   WHERE event_type IN ('view', 'click') GROUP BY user_id, event_type"""
 
 ORACLE["split_artifact"] = f"SELECT * FROM ({CLEAN_TAXI}) c WHERE {_b('row_id', 0)} >= 800"
+
+ORACLE["fold_scores"] = f"""
+  WITH r AS ({ORACLE['ridge_grid']})
+  SELECT "lambda", round(AVG(mse), 6) AS mean_score, round(MAX(mse), 6) AS best_score, round(MIN(mse), 6) AS worst_score,
+         round(SUM(mse), 6) AS total, COUNT(*) AS n_folds
+  FROM r GROUP BY 1"""
+
+ORACLE["aligned_runs"] = """
+  WITH s AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS step
+             FROM events)
+  SELECT step, MAX(CASE WHEN event_type = 'click' THEN value END) AS click,
+         MAX(CASE WHEN event_type = 'error' THEN value END) AS error,
+         MAX(CASE WHEN event_type = 'purchase' THEN value END) AS purchase,
+         MAX(CASE WHEN event_type = 'signup' THEN value END) AS signup,
+         MAX(CASE WHEN event_type = 'view' THEN value END) AS "view"
+  FROM s GROUP BY step"""
+
+ORACLE["optimization_history"] = f"""
+  WITH s AS (SELECT user_id AS trial, {_fr(_xmean('value'))} AS score FROM events GROUP BY 1)
+  SELECT trial, score, MAX(score) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far
+  FROM s"""

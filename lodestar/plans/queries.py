@@ -31,6 +31,18 @@ def r(col, digits: int = 6):
     return F.round(col, digits)
 
 
+def fr(col, digits: int = 6):
+    """Half-up rounding as plain IEEE arithmetic (bit-identical to the SQL oracle's)."""
+    m = F.lit(10.0 ** digits)
+    return F.floor(col * m + F.lit(0.5)) / m
+
+
+def xmean(col, scale: int = 2):
+    """Mean from an exact decimal sum, so summation order cannot change it."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double") / F.count(c)
+
+
 # --------------------------------------------------------------------------- cleaning / filters
 def cleaned_taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.taxi_trips(spark, sf_dir)
@@ -55,9 +67,9 @@ def taxi_fare_weekday(spark, sf_dir):
     })
     return (df.groupBy("split", "day_of_week", "is_weekend")
               .agg(F.count(F.lit(1)).alias("n_trips"),
-                   r(F.avg("fare_amount"), 4).alias("mean_fare"),
+                   fr(xmean("fare_amount"), 4).alias("mean_fare"),
                    r(F.stddev_samp("fare_amount"), 4).alias("std_fare"),
-                   r(F.avg("trip_distance"), 6).alias("mean_distance")))
+                   fr(xmean("trip_distance")).alias("mean_distance")))
 
 
 # --------------------------------------------------------------------------- sampling / splitting
@@ -289,9 +301,10 @@ def tip_ratio_by_size(spark, sf_dir):
 @register("elapsed_ci")
 def elapsed_ci(spark, sf_dir):
     t = _timing(spark, sf_dir)
-    out = aggregates.confidence_interval(t, ["type", "n_workers", "hardware"], "elapsed_ms", scale=0.001)
-    return out.select("type", "n_workers", "hardware", "n",
-                      *[r(F.col(c), 6).alias(c) for c in ("mean", "std", "ci", "ci_low", "ci_high")])
+    out = aggregates.confidence_interval(t, ["type", "n_workers", "hardware"], "elapsed_ms", scale=0.001,
+                                         exact_scale=2)
+    return out.select("type", "n_workers", "hardware", "n", fr(F.col("mean")).alias("mean"),
+                      *[r(F.col(c), 6).alias(c) for c in ("std", "ci", "ci_low", "ci_high")])
 
 
 @register("box_stats")
@@ -315,14 +328,14 @@ def throughput_ratio(spark, sf_dir):
 def best_so_far(spark, sf_dir):
     ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
     curves = aggregates.best_so_far(ev, "user_id", ["ts", "event_id"], "value", step="step", out="best")
-    out = aggregates.mean_curve(curves, "step", "best")
-    return out.select("step", r(F.col("mean"), 6).alias("mean_best"), "n_runs")
+    return curves.groupBy("step").agg(fr(xmean("best")).alias("mean_best"), F.count("best").alias("n_runs"))
 
 
 @register("replicate_band")
 def replicate_band(spark, sf_dir):
-    out = aggregates.replicate_band(_trial_log(spark, sf_dir), "step", "value")
-    return out.select("step", *[r(F.col(c), 6).alias(c) for c in ("mean", "std", "max", "min", "upper", "lower")])
+    out = aggregates.replicate_band(_trial_log(spark, sf_dir), "step", "value", exact_scale=2)
+    return out.select("step", fr(F.col("mean")).alias("mean"),
+                      *[r(F.col(c), 6).alias(c) for c in ("std", "max", "min", "upper", "lower")])
 
 
 @register("union_years")
@@ -340,7 +353,7 @@ def union_years(spark, sf_dir):
 def score_heatmap(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", ["l_linenumber", "l_returnflag", "l_discount"])
     return (li.groupBy("l_linenumber").pivot("l_returnflag", ["A", "N", "R"])
-              .agg(r(F.avg("l_discount"), 6)))
+              .agg(fr(xmean("l_discount"))))
 
 
 @register("preview_head")
@@ -362,7 +375,7 @@ def _doc_predictions(spark, sf_dir):
 @register("accuracy")
 def accuracy(spark, sf_dir):
     out = metric_ops.accuracy(_doc_predictions(spark, sf_dir), "quality", "pred")
-    return out.select("n", r(F.col("accuracy"), 6).alias("accuracy"), r(F.col("error_rate"), 6).alias("error_rate"))
+    return out.select("n", fr(F.col("accuracy")).alias("accuracy"), r(F.col("error_rate"), 6).alias("error_rate"))
 
 
 @register("auc_rank")
@@ -414,9 +427,9 @@ def purity(spark, sf_dir):
 def trial_table(spark, sf_dir):
     ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]).withColumnRenamed("user_id", "trial")
     log = trial_ops.trial_log(ev, "trial", ["ts", "event_id"], "value")
-    out = trial_ops.trial_summary(log, "trial", "step", "value", complete_at=60, ts="ts")
+    out = trial_ops.trial_summary(log, "trial", "step", "value", complete_at=60, ts="ts", exact_scale=2)
     return out.select("trial", "n_steps", r(F.col("best"), 6).alias("best"), r(F.col("last"), 6).alias("last"),
-                      r(F.col("mean"), 6).alias("mean"), "is_bad", "start", "complete", "state")
+                      fr(F.col("mean")).alias("mean"), "is_bad", "start", "complete", "state")
 
 
 @register("nonfinite_trials")
@@ -431,7 +444,7 @@ def nonfinite_trials(spark, sf_dir):
 @register("best_trial")
 def best_trial(spark, sf_dir):
     ev = load(spark, sf_dir, "events", ["user_id", "value"])
-    scores = ev.groupBy(F.col("user_id").alias("trial")).agg(F.round(F.avg("value"), 6).alias("score"),
+    scores = ev.groupBy(F.col("user_id").alias("trial")).agg(fr(xmean("value")).alias("score"),
                                                              F.count(F.lit(1)).alias("n"))
     return trial_ops.best_trial(scores, "trial", "score")
 
@@ -562,8 +575,8 @@ def _delay_split(spark, sf_dir):
 @register("rf_fit")
 def rf_fit(spark, sf_dir):
     train, test = _delay_split(spark, sf_dir)
-    m = models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_estimators=10, max_depth=5,
-                             max_features=1.0, n_bins=64, seed=0).fit(train)
+    m = models.fit_cached(models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_estimators=10,
+                                               max_depth=5, max_features=1.0, n_bins=64, seed=0), train)
     return models.score(m, test, ["flight_id", "ArrDelayBinary"])
 
 
@@ -578,16 +591,17 @@ def delay_days_table(spark, sf_dir):
 def gbt_fit(spark, sf_dir):
     """Boosted-tree regression of the delay (days): depth 5, lr 0.15, row/column subsampling 0.7."""
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
-    m = models.boosted_trees(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression", n_rounds=10,
-                             max_depth=5, learning_rate=0.15, subsample=0.7, colsample=0.7).fit(train)
+    m = models.fit_cached(models.boosted_trees(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression",
+                                               n_rounds=10, max_depth=5, learning_rate=0.15, subsample=0.7,
+                                               colsample=0.7), train)
     return models.score(m, test, ["flight_id", "ArrDelay"], classification=False)
 
 
 @register("logreg_fit")
 def logreg_fit(spark, sf_dir):
     train, test = _delay_split(spark, sf_dir)
-    m = models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", penalty="elasticnet", C=1.0,
-                                   l1_ratio=0.5, n_rows=1000).fit(train)
+    m = models.fit_cached(models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary",
+                                                     penalty="elasticnet", C=1.0, l1_ratio=0.5, n_rows=1000), train)
     return models.score(m, test, ["flight_id", "ArrDelayBinary"])
 
 
@@ -705,7 +719,8 @@ def tree_shap_sampled(spark, sf_dir):
     from lodestar.operators import explain
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     feats = list(fixtures.FLIGHT_FEATURES)
-    m = models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4).fit(train)
+    m = models.fit_cached(models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4),
+                          train)
     rows = test.orderBy("flight_id").limit(50)
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
     return explain.sampled_shapley(m, rows, background, "flight_id", feats, n_samples=16, seed=0)
@@ -922,3 +937,63 @@ def feature_search(spark, sf_dir):
     """Encode + pairwise features + chi-square ranking + 10-trial logistic-regression search."""
     from lodestar.plans.workflows import feature_search as run
     return run(spark, sf_dir, n_trials=10)
+
+
+# --------------------------------------------------------------------------- more trial/score tables
+@register("fold_scores")
+def fold_scores(spark, sf_dir):
+    """Per-lambda mean / best / worst / total of the held-out fold errors (fold mean = final score)."""
+    folds = ridge_grid(spark, sf_dir)
+    out = metric_ops.fold_summary(folds, ["lambda"], "mse")
+    return out.select("lambda", *[r(F.col(c), 6).alias(c) for c in ("mean_score", "best_score", "worst_score",
+                                                                     "total")], "n_folds")
+
+
+@register("aligned_runs")
+def aligned_runs(spark, sf_dir):
+    """Runs (one per event type) aligned side by side by their step index (column-wise concat)."""
+    ev = load(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
+    steps = scan.row_number(ev, ["event_type"], ["ts", "event_id"], out="step")
+    return steps.groupBy("step").pivot("event_type", ["click", "error", "purchase", "signup", "view"]).agg(
+        F.first("value"))
+
+
+@register("optimization_history")
+def optimization_history(spark, sf_dir):
+    """Trial scores in trial order with the best value found so far (the table behind the plot)."""
+    ev = load(spark, sf_dir, "events", ["user_id", "value"])
+    scores = ev.groupBy(F.col("user_id").alias("trial")).agg(fr(xmean("value")).alias("score"))
+    return scan.running_aggregate(scores, [], ["trial"], {"best_so_far": ("max", "score")})
+
+
+@register("rf_regress_fit")
+def rf_regress_fit(spark, sf_dir):
+    train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
+    m = models.fit_cached(models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression",
+                                               n_estimators=10, max_depth=12, seed=0), train)
+    return models.score(m, test, ["flight_id", "ArrDelay"], classification=False)
+
+
+@register("scaled_linear")
+def scaled_linear(spark, sf_dir):
+    """Standard scaler -> linear regression pipeline, fit on train rows, scored on test rows."""
+    df = _line_xy(spark, sf_dir).withColumn("row_id", portable_bucket("l_orderkey", 9, 1000))
+    train, test = sampling.train_test_split(df, "l_orderkey", 0.8, seed=4)
+    m = models.scaled_linear(["l_quantity", "l_discount", "l_tax"], "y").fit(train)
+    return models.score(m, test, ["l_orderkey", "l_linenumber", "y"], classification=False)
+
+
+@register("refit_best_model")
+def refit_best_model(spark, sf_dir):
+    """Random search, then the best trial's parameters refit on all labelled rows and scored."""
+    train, test = _delay_split(spark, sf_dir)
+    feats = list(fixtures.FLIGHT_FEATURES)
+
+    def build(c):
+        return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(c["n_estimators"]),
+                                    max_depth=int(c["max_depth"]), seed=0)
+    space = trial_ops.SearchSpace({"max_depth": ("int", 3, 7), "n_estimators": ("int", 5, 10)})
+    table = models.evaluate_candidates(space.random(3, seed=1), build, train, test, "ArrDelayBinary")
+    everything = train.unionByName(test)
+    model = models.refit_best(table, build, everything)
+    return models.score(model, everything, ["flight_id", "ArrDelayBinary"])

@@ -14,8 +14,9 @@ scan here instead:
 4. broadcasts that carry table (bounded by the partition count, not by the
    data) and folds it into the local results.
 
-Both branches sit on the same range exchange (Spark reuses it), so partition
-ids agree even when tasks are retried or the input order is not deterministic.
+Both branches sit on the same range exchange (Spark reuses it; the number of
+partitions is fixed, so AQE does not coalesce it), so partition ids agree even
+when tasks are retried or the input order is not deterministic.
 """
 
 from __future__ import annotations
@@ -141,15 +142,17 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
                           + [T.StructField(o, out_types[o], True) for o, _, _ in specs])
     local = ranged.mapInPandas(_local_scan_fn(keys, specs, out_types), schema=schema)
 
-    # Segment totals per (partition, key): raw values, map-side partial aggregation.
+    # Segment totals per (partition, key) from the raw values, with map-side
+    # partial aggregation. Taken from ``local``: the Python pass consumes every
+    # column, so both branches share one (reused) range exchange and partition
+    # ids agree even when the input order is not deterministic. The price is a
+    # second, shuffle-free pass over the local partition.
     seg_aggs = []
     for out, op, col in specs:
         if op == "count":
             seg_aggs.append((F.count(F.col(col)) if col else F.count(F.lit(1))).alias(out))
         else:
             seg_aggs.append(getattr(F, op)(F.col(col)).alias(out))
-    # Taken from ``local`` so both branches read one (reused) range exchange even
-    # when the input order is not deterministic.
     summary = local.groupBy(_PID, *keys).agg(*seg_aggs)
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(_PID) \
         .rowsBetween(Window.unboundedPreceding, -1)

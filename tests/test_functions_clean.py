@@ -70,3 +70,11 @@ def test_drop_nulls_and_filters(spark):
     assert kept.count() == 1
     with pytest.raises(Exception):
         clean.apply_range_filter(df, ["no_such_col > 1"]).count()
+
+
+def test_cast_drop_strings_and_text_predicates(spark):
+    df = spark.createDataFrame([(True, 3, "4.5", "load"), (False, 1, "x", "fit")], "b boolean, i long, s string, type string")
+    casted = clean.cast_all_float(df.drop("type"))
+    assert set(t for _, t in casted.dtypes) == {"float"}
+    assert clean.drop_string_columns(df).columns == ["b", "i"]
+    assert clean.filter_query(df, "type != 'load'", "i > 0").count() == 1

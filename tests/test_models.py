@@ -100,3 +100,16 @@ def test_sampled_shapley_efficiency(spark):
     phi = explain.sampled_shapley(M(), df.filter("id < 5"), df, "id", ["a", "b"], n_samples=8).toPandas()
     assert len(phi) == 10
     assert phi.phi.notna().all()
+
+
+def test_best_model_saver_and_reload(spark):
+    from lodestar.session import shared_path
+    df = spark.createDataFrame(pd.DataFrame({"a": np.arange(50.0), "y": np.arange(50.0) * 2 + 1}))
+    model = models.scaled_linear(["a"], "y").fit(df)
+    path = shared_path(spark, "t_best_model", unique=True)
+    saver = models.BestModelSaver(path)
+    assert saver.offer(model, 0.5) and not saver.offer(model, 0.5) and saver.offer(model, 0.7)
+    assert not saver.offer(model, float("nan"))
+    again = models.load_model(path)
+    p = again.transform(df).select("prediction").toPandas().prediction.to_numpy()
+    assert np.allclose(p, np.arange(50.0) * 2 + 1)

@@ -44,3 +44,11 @@ def test_global_scan_and_quantiles(spark):
             assert abs(row[name] - grp.v.quantile(p)) < 1e-9
     q0 = scan.exact_quantiles(df, [], "v", [0.5], names=["med"]).toPandas()
     assert abs(q0.med[0] - pdf.v.quantile(0.5)) < 1e-9
+
+
+def test_scan_reuses_one_range_exchange(spark):
+    ev = _events(spark)
+    d = scan.running_aggregate(ev, ["user_id"], ["ts", "event_id"], {"best": ("max", "value")})
+    d.collect()
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 or "ReusedExchange" in plan
