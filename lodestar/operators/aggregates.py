@@ -62,13 +62,17 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str, exact: bool = True,
     return j.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
-def throughput(df: DataFrame, by: str, elapsed: str, baseline: str, rows: str | None = None) -> DataFrame:
+def throughput(df: DataFrame, by: str, elapsed: str, baseline: str, rows: str | None = None,
+               divisor: float = 1.0) -> DataFrame:
     """rows per second per group and speed-up relative to the ``baseline`` group.
 
-    The baseline lookup is a window over the aggregated table (one row per group).
+    Elapsed times are summed (exactly, for decimal input), converted to double
+    and divided by ``divisor`` (e.g. 1000 for milliseconds). The baseline
+    lookup is a window over the aggregated table (one row per group).
     """
     n = F.sum(F.col(rows)) if rows else F.count(F.lit(1))
-    g = df.groupBy(by).agg(n.alias("rows"), F.sum(elapsed).alias("elapsed"))
+    g = df.groupBy(by).agg(n.alias("rows"),
+                           (F.sum(elapsed).cast("double") / F.lit(float(divisor))).alias("elapsed"))
     g = g.withColumn("rows_per_s", F.col("rows") / F.col("elapsed"))
     base = F.max(F.when(F.col(by) == F.lit(baseline), F.col("rows_per_s"))).over(Window.partitionBy(F.lit(1)))
     return g.withColumn("speedup", F.col("rows_per_s") / base)
