@@ -168,11 +168,24 @@ def scaled_linear(features: Sequence[str], label: str, reg: float = 0.0) -> Pipe
                             LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, solver="normal")])
 
 
+def right_size(df: DataFrame, target_bytes: int = 256 << 20) -> DataFrame:
+    """Coalesce a materialised (cached) frame to max(default parallelism, size / target_bytes)
+    partitions. Iterative fits pay per-task overhead on every pass; a cached training
+    set split finer than the cores and the target size gains nothing from it."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics unavailable: leave as is
+        return df
+    want = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
+    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+
+
 def fit_cached(estimator: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with the training rows persisted for the fit's passes, then release them."""
     cached = train.persist()
     try:
-        return estimator.fit(cached)
+        cached.count()
+        return estimator.fit(right_size(cached))
     finally:
         cached.unpersist()
 
@@ -195,7 +208,15 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str], classificati
 
 
 def auc(pred: DataFrame, label: str, prob: str = "prob") -> float:
-    ev = BinaryClassificationEvaluator(rawPredictionCol=prob, labelCol=label, metricName="areaUnderROC")
+    """Exact ROC AUC (rank form, ties averaged) of a scored frame."""
+    from lodestar.operators.metrics import auc_rank
+    return float(auc_rank(pred, label, prob).collect()[0]["auc"])
+
+
+def auc_binned(pred: DataFrame, label: str, prob: str = "prob", bins: int = 1000) -> float:
+    """Spark ML's ROC AUC (down-sampled to ``bins`` thresholds: approximate)."""
+    ev = BinaryClassificationEvaluator(rawPredictionCol=prob, labelCol=label, metricName="areaUnderROC",
+                                       numBins=bins)
     return float(ev.evaluate(pred.withColumn(label, F.col(label).cast("double"))))
 
 

@@ -14,9 +14,9 @@ scan here instead:
 4. broadcasts that carry table (bounded by the partition count, not by the
    data) and folds it into the local results.
 
-Both branches sit on the same range exchange (Spark reuses it; the number of
-partitions is fixed, so AQE does not coalesce it), so partition ids agree even
-when tasks are retried or the input order is not deterministic.
+The range-partitioned rows are checkpointed once (reliable checkpoint in the
+shared folder), so both branches see the same partitions even when the input
+order is not deterministic or an executor is lost.
 """
 
 from __future__ import annotations
@@ -115,13 +115,20 @@ def _local_scan_fn(key_cols: list[str], specs: list[tuple[str, str, str | None]]
 
 def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                       aggs: Mapping[str, tuple[str, str | None]],
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """Inclusive running aggregates, like ``agg(col).over(partitionBy.orderBy.rowsBetween(-inf, 0))``.
 
     ``aggs`` maps output name -> (op, column); op in sum/max/min/count and a
     ``None`` column counts rows (a row number when the order is total).
     ``order_by`` must be a total order within each key for deterministic results
     (add a unique id as the last element).
+
+    ``materialize`` (default) writes the range-partitioned, sorted rows once
+    with a reliable ``checkpoint()`` to the shared checkpoint folder, so the
+    scan branch and the carry branch read identical partitions whatever the
+    input's order, and a lost executor re-reads files instead of re-sampling
+    range bounds. Without it, both branches rely on Spark reusing one range
+    exchange, which is only guaranteed for deterministic inputs.
     """
     keys = list(partition_by)
     order = list(order_by)
@@ -136,24 +143,25 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     out_types = {out: _out_type(op, types.get(col) if col else None) for out, op, col in specs}
 
-    parted = df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-    ranged = parted.sortWithinPartitions(*(keys + order)).withColumn(_PID, F.spark_partition_id())
+    parted = df.repartitionByRange(n, *[F.col(c) for c in keys + order]).sortWithinPartitions(*(keys + order))
+    if materialize:
+        parted = parted.checkpoint(eager=True)
+    ranged = parted.withColumn(_PID, F.spark_partition_id())
     schema = T.StructType(list(ranged.schema.fields)
                           + [T.StructField(o, out_types[o], True) for o, _, _ in specs])
     local = ranged.mapInPandas(_local_scan_fn(keys, specs, out_types), schema=schema)
 
     # Segment totals per (partition, key) from the raw values, with map-side
-    # partial aggregation. Taken from ``local``: the Python pass consumes every
-    # column, so both branches share one (reused) range exchange and partition
-    # ids agree even when the input order is not deterministic. The price is a
-    # second, shuffle-free pass over the local partition.
+    # partial aggregation. With a materialised input they come straight from
+    # the checkpoint (no second Python pass); otherwise from ``local``, whose
+    # Python pass consumes every column so both branches share one exchange.
     seg_aggs = []
     for out, op, col in specs:
         if op == "count":
             seg_aggs.append((F.count(F.col(col)) if col else F.count(F.lit(1))).alias(out))
         else:
             seg_aggs.append(getattr(F, op)(F.col(col)).alias(out))
-    summary = local.groupBy(_PID, *keys).agg(*seg_aggs)
+    summary = (ranged if materialize else local).groupBy(_PID, *keys).agg(*seg_aggs)
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(_PID) \
         .rowsBetween(Window.unboundedPreceding, -1)
     prefix = {}

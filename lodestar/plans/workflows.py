@@ -2,51 +2,88 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lodestar.operators import combos, encoders, models, sampling, selection
+from lodestar.operators import combos, encoders, models, sampling
 from lodestar.operators import trials as trial_ops
 from lodestar.plans import fixtures
 
 LABEL = "ArrDelayBinary"
+VEC = "all_features"
 
 
 def engineered_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Train/test flights with label-encoded and out-of-fold target-encoded origin plus
-    pairwise sums of the numeric inputs. Returns (train, test, feature names)."""
+    """Train/test flights with the out-of-fold target-encoded origin and pairwise sums of the
+    numeric inputs, assembled into one vector column. Returns (train, test, feature names);
+    both frames hold only flight_id, label and the vector, and are persisted (caller unpersists)."""
     from lodestar.plans.queries import delay_table
-    df = delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double"))
-    train, test = sampling.train_test_split(df, "flight_id", 0.8, seed=0)
+    base = delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double")).persist()
+    train, test = sampling.train_test_split(base, "flight_id", 0.8, seed=0)
     train = train.withColumn("__fold", sampling.interleaved_fold("flight_id", 5))
-    train = encoders.target_encode_oof(train, "Origin_code", LABEL, "__fold", smooth=0.001, out="Origin_te").drop("__fold")
-    test = encoders.target_encode_apply(train, test, "Origin_code", LABEL, smooth=0.001, out="Origin_te")
-    base = [*fixtures.FLIGHT_FEATURES, "Origin_te"]
-    train = combos.pairwise_features(train, base, "+")
-    test = combos.pairwise_features(test, base, "+")
-    feats = [c for c in train.columns if c not in ("flight_id", LABEL)]
-    return train, test, feats
+    train_te = encoders.target_encode_oof(train, "Origin_code", LABEL, "__fold", smooth=0.001,
+                                          out="Origin_te").drop("__fold")
+    test_te = encoders.target_encode_apply(train, test, "Origin_code", LABEL, smooth=0.001, out="Origin_te")
+    cols = [*fixtures.FLIGHT_FEATURES, "Origin_te"]
+    feats = None
+    out = []
+    for part in (train_te, test_te):
+        wide = combos.pairwise_features(part.select("flight_id", LABEL, *cols), cols, "+")
+        feats = [c for c in wide.columns if c not in ("flight_id", LABEL)]
+        va = VectorAssembler(inputCols=feats, outputCol=VEC, handleInvalid="keep")
+        out.append(va.transform(wide).select("flight_id", LABEL, VEC).persist())
+    for o in out:
+        o.count()  # materialise both caches before the shared base is released
+    base.unpersist()
+    return out[0], out[1], feats
 
 
-def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int = 2,
+def chi2_vector_scores(df: DataFrame, vec: str, names: list[str], label: str) -> list[tuple[str, float]]:
+    """Chi-square score per vector slot (non-negative features): one grouped pass, per-class sums."""
+    arr = vector_to_array(F.col(vec))
+    sums = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"),
+                                 *[F.sum(arr[i]).alias(f"s{i}") for i in range(len(names))]).collect()
+    n = np.array([r["__n"] for r in sums], dtype=float)
+    obs = np.array([[r[f"s{i}"] for i in range(len(names))] for r in sums], dtype=float)
+    expected = (n / n.sum())[:, None] * obs.sum(axis=0)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi2 = np.nansum((obs - expected) ** 2 / expected, axis=0)
+    order = sorted(range(len(names)), key=lambda i: (-chi2[i], names[i]))
+    return [(names[i], float(chi2[i])) for i in order]
+
+
+def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int = 4,
                    seed: int = 0) -> DataFrame:
-    """Chi-square-ranked features (scored once, one pass), then a seeded random search over
-    (k, C, penalty) of logistic regression; each trial fits on the top-k features.
-    Returns the trial table (trial_id, k, C, l1, auc, state)."""
-    train, test, feats = engineered_flights(spark, sf_dir)
-    train, test = train.persist(), test.persist()
-    scores = selection.chi2_scores(train, feats, LABEL).orderBy("rank").collect()  # one row per feature
-    ranked = [r["feature"] for r in scores]
-    space = trial_ops.SearchSpace({"k": ("int", 5, min(60, len(ranked))), "C": ("loguniform", 1e-3, 10.0),
+    """Chi-square-ranked features (scored once), then a seeded random search over (k, C, penalty)
+    of logistic regression; each trial fits on the top-k slots of the cached feature vector.
+    Returns the trial table (trial_id, k, C, l1, auc, state, features)."""
+    train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
+    train, test = models.right_size(train_cache), models.right_size(test_cache)
+    ranked = chi2_vector_scores(train, VEC, feats, LABEL)
+    position = {f: i for i, f in enumerate(feats)}
+    space = trial_ops.SearchSpace({"k": ("int", 5, min(60, len(feats))), "C": ("loguniform", 1e-3, 10.0),
                                    "l1": ("choice", [0.0, 1.0])})
     cands = space.random(n_trials, seed=seed)
     n_rows = 1000
 
     def build(c):
-        top = ranked[: int(c["k"])]
-        pen = "l1" if c["l1"] >= 0.5 else "l2"
-        return models.logistic_regression(top, LABEL, penalty=pen, C=float(c["C"]), n_rows=n_rows, max_iter=50)
-    out = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=parallelism)
-    train.unpersist()
-    test.unpersist()
+        top = [position[f] for f, _ in ranked[: int(c["k"])]]
+        reg = 1.0 / (max(float(c["C"]), 1e-12) * n_rows)
+        return Pipeline(stages=[VectorSlicer(inputCol=VEC, outputCol="features", indices=sorted(top)),
+                                LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
+                                                   elasticNetParam=1.0 if c["l1"] >= 0.5 else 0.0, maxIter=50)])
+    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=parallelism)
+    top_names = spark.createDataFrame([(i, ",".join(f for f, _ in ranked[: int(c["k"])]))
+                                       for i, c in enumerate(cands)],
+                                      T.StructType([T.StructField("trial_id", T.IntegerType()),
+                                                    T.StructField("features", T.StringType())]))
+    out = table.join(top_names, "trial_id").checkpoint(eager=True)
+    train_cache.unpersist()
+    test_cache.unpersist()
     return out

@@ -46,9 +46,30 @@ def test_global_scan_and_quantiles(spark):
     assert abs(q0.med[0] - pdf.v.quantile(0.5)) < 1e-9
 
 
-def test_scan_reuses_one_range_exchange(spark):
+def test_scan_reads_checkpoint_once_in_python(spark):
     ev = _events(spark)
     d = scan.running_aggregate(ev, ["user_id"], ["ts", "event_id"], {"best": ("max", "value")})
     d.collect()
     plan = d._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_NUM") == 1 or "ReusedExchange" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("MapInPandas") == 1          # one Python pass over the rows
+    assert "Scan ExistingRDD" in final               # both branches read the checkpoint
+    assert "rangepartitioning" not in final          # no second, independently sampled exchange
+
+
+def test_scan_over_shuffled_input_matches_brute_force(spark):
+    # input produced by a shuffle (order not deterministic), many distinct values
+    import numpy as np
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"s": rng.random(20000).round(6), "y": rng.integers(0, 2, 20000)})
+    df = spark.createDataFrame(pdf).repartition(11)
+    hist = df.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    cum = scan.running_aggregate(hist, [], ["s"], {"cum": ("sum", "c")}, num_partitions=13).toPandas()
+    cum = cum.sort_values("s")
+    assert (cum.cum.to_numpy() == cum.c.cumsum().to_numpy()).all()
+    from lodestar.operators import metrics
+    got = metrics.auc_rank(df, "y", "s").collect()[0].auc
+    ranks = pdf.s.rank()
+    n1 = pdf.y.sum()
+    n0 = len(pdf) - n1
+    assert abs(got - (ranks[pdf.y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)) < 1e-12
