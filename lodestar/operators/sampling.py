@@ -73,15 +73,26 @@ def ordered_split(df: DataFrame, order_by: Sequence[str], test_fraction: float =
                   out: str = "split") -> DataFrame:
     """Unshuffled split: the first ``n - ceil(test_fraction*n)`` rows by ``order_by`` are train.
 
-    Row positions come from the skew-safe global scan; the row count is a
-    one-row aggregate joined by broadcast.
+    Only the ordering columns are scanned: their histogram (distinct tuples
+    with counts) gets cumulative counts from the skew-safe scan, the tuple at
+    the cut position is found with one aggregate, and the split itself is a
+    comparison against that cut (a filter that does not move the rows).
+    Rows whose ordering tuple equals the cut all go to train.
     """
-    numbered = scan.row_number(df, [], list(order_by), out="__pos")
-    total = df.agg(F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
-    j = numbered.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one")
+    cols = list(order_by)
+    hist = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
+    cum = scan.running_aggregate(hist, [], cols, {"__cum": ("sum", "__c")})
     n_train = F.col("__n") - F.ceil(F.col("__n") * F.lit(float(test_fraction)))
-    return (j.withColumn(out, F.when(F.col("__pos") <= n_train, F.lit("train")).otherwise(F.lit("test")))
-             .drop("__one", "__n", "__pos"))
+    total = hist.agg(F.sum("__c").alias("__n")).withColumn("__one", F.lit(1))
+    key = F.struct(*[F.col(c) for c in cols])
+    cut = (cum.withColumn("__one", F.lit(1)).join(F.broadcast(total), "__one")
+              .filter(F.col("__cum") >= n_train)
+              .agg(F.min(key).alias("__cut"), F.max(F.lit(1)).alias("__one"),
+                   F.first(n_train <= 0, ignorenulls=True).alias("__empty")))
+    j = df.withColumn("__one", F.lit(1)).join(F.broadcast(cut), "__one", "left")
+    is_train = F.coalesce(~F.col("__empty"), F.lit(False)) & (key <= F.col("__cut"))
+    return (j.withColumn(out, F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
+             .drop("__one", "__cut", "__empty"))
 
 
 def repeated_holdout(df: DataFrame, key: str, seeds: Sequence[int], train_fraction: float = 0.8,

@@ -113,3 +113,23 @@ def test_best_model_saver_and_reload(spark):
     again = models.load_model(path)
     p = again.transform(df).select("prediction").toPandas().prediction.to_numpy()
     assert np.allclose(p, np.arange(50.0) * 2 + 1)
+
+
+def test_sampled_interactions_of_additive_model_vanish(spark):
+    from lodestar.operators import explain
+    pdf = pd.DataFrame({"id": range(30), "a": np.arange(30.0), "b": np.arange(30.0) % 5, "c": np.arange(30.0) % 3})
+    df = spark.createDataFrame(pdf)
+
+    class Additive:
+        def transform(self, d):
+            return d.withColumn("prediction", F.col("a") * 2 + F.col("b") - F.col("c"))
+
+    class Product:
+        def transform(self, d):
+            return d.withColumn("prediction", F.col("a") * F.col("b"))
+    add = explain.sampled_interactions(Additive(), df.filter("id < 4"), df, "id", ["a", "b", "c"], n_samples=4).toPandas()
+    assert len(add) == 4 * 6 and np.allclose(add.value, 0.0)
+    prod = explain.sampled_interactions(Product(), df.filter("id < 4"), df, "id", ["a", "b", "c"], n_samples=4).toPandas()
+    ab = prod[(prod.feature_i == "a") & (prod.feature_j == "b")].set_index("id").value
+    ba = prod[(prod.feature_i == "b") & (prod.feature_j == "a")].set_index("id").value
+    assert np.allclose(ab, ba) and (prod[prod.feature_i == "c"].value.abs() < 1e-9).all()
