@@ -1009,3 +1009,22 @@ def tree_shap_interactions(spark, sf_dir):
     rows = test.orderBy("flight_id").limit(50)
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
     return explain.sampled_interactions(m, rows, background, "flight_id", feats, n_samples=8, seed=0)
+
+
+@register("json_score_stream")
+def json_score_stream(spark, sf_dir):
+    """Request bodies land as JSON files; a streaming query scores them (malformed -> 'unsupported')."""
+    from lodestar.streaming import score_requests
+    run = shared_path(spark, "json_score_stream", _tag(sf_dir), unique=True)
+    bodies = _request_bodies(spark, sf_dir)
+    bodies.repartition(4, "request_id").write.mode("overwrite").json(f"{run}/in")
+    model = _embedding_classifier(spark, sf_dir)
+    stream = spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", 1).json(f"{run}/in")
+    out = score_requests(model, stream, "request_id", "body", n_features=16, threshold=0.5)
+    q = (out.writeStream.format("parquet").option("checkpointLocation", f"{run}/_checkpoint")
+         .outputMode("append").trigger(availableNow=True).start(f"{run}/out"))
+    q.awaitTermination(600)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("request stream did not finish")
+    return spark.read.parquet(f"{run}/out")

@@ -22,19 +22,21 @@ REQUEST_SCHEMA = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 def parse_requests(df: DataFrame, request_id: str, body: str, n_features: int | None = None
                    ) -> tuple[DataFrame, DataFrame]:
-    """(instances, rejected): instances = request_id, position, values; rejected = request_id, status."""
+    """(instances, rejected): instances = request_id, position, values; rejected = request_id, status.
+
+    Pure per-row expressions (no joins or aggregation), so the same code runs
+    on a batch frame and inside a streaming query. A request is rejected when
+    its body is not a JSON list of arrays, is empty, or (with ``n_features``)
+    any instance has the wrong width.
+    """
     parsed = df.select(request_id, F.from_json(F.col(body), REQUEST_SCHEMA).alias("__rows"))
-    ok = parsed.filter(F.col("__rows").isNotNull() & (F.size("__rows") > 0))
-    inst = ok.select(request_id, F.posexplode("__rows").alias("position", "values"))
+    valid = F.col("__rows").isNotNull() & (F.size("__rows") > 0)
     if n_features is not None:
-        bad_len = inst.filter(F.size("values") != n_features).select(request_id).distinct()
-        inst = inst.join(bad_len, on=request_id, how="left_anti")
-    else:
-        bad_len = None
-    rejected = parsed.filter(F.col("__rows").isNull() | (F.size("__rows") <= 0)).select(request_id)
-    if bad_len is not None:
-        rejected = rejected.unionByName(bad_len)
-    return inst, rejected.withColumn("status", F.lit("unsupported"))
+        valid = valid & F.forall("__rows", lambda x: F.size(x) == F.lit(n_features))
+    parsed = parsed.withColumn("__ok", F.coalesce(valid, F.lit(False)))
+    inst = parsed.filter("__ok").select(request_id, F.posexplode("__rows").alias("position", "values"))
+    rejected = parsed.filter(~F.col("__ok")).select(request_id, F.lit("unsupported").alias("status"))
+    return inst, rejected
 
 
 def score_requests(model, df: DataFrame, request_id: str, body: str, n_features: int | None = None,

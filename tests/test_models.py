@@ -133,3 +133,21 @@ def test_sampled_interactions_of_additive_model_vanish(spark):
     ab = prod[(prod.feature_i == "a") & (prod.feature_j == "b")].set_index("id").value
     ba = prod[(prod.feature_i == "b") & (prod.feature_j == "a")].set_index("id").value
     assert np.allclose(ab, ba) and (prod[prod.feature_i == "c"].value.abs() < 1e-9).all()
+
+
+def test_request_scoring_in_a_stream(spark):
+    from lodestar.session import shared_path
+    from lodestar.streaming import score_requests
+    model = queries._embedding_classifier(spark, SF_SMALL)
+    base = shared_path(spark, "t_req_stream", unique=True)
+    reqs = spark.createDataFrame([(1, json.dumps([[0.1] * 16])), (2, "oops"), (3, json.dumps([[0.3] * 16, [0.0] * 16]))],
+                                 "rid long, body string")
+    reqs.coalesce(1).write.json(f"{base}/in")
+    stream = spark.readStream.schema("rid long, body string").option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    out = score_requests(model, stream, "rid", "body", n_features=16, threshold=0.5)
+    q = (out.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start(f"{base}/out"))
+    q.awaitTermination(300)
+    res = spark.read.parquet(f"{base}/out").toPandas()
+    assert sorted(res[res.status == "ok"].rid.tolist()) == [1, 3, 3]
+    assert res[res.status == "unsupported"].rid.tolist() == [2]

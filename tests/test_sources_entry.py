@@ -55,3 +55,9 @@ def test_column_pruning_in_scan(spark):
     from lodestar.plans import queries
     plan = queries.hash_sample(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+
+
+def test_local_frame_to_partitioned(spark):
+    import pandas as pd
+    df = sources.from_pandas(spark, pd.DataFrame({"a": range(100)}), num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 100
