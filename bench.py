@@ -23,7 +23,7 @@ HEADLINE = [
     "label_encode", "target_encode_oof", "pairwise_sums", "chi2_scores", "split_counts", "kfold_counts",
     "elapsed_ci", "box_stats", "throughput_ratio", "best_so_far", "median_stop", "halving_rungs",
     "auc_rank", "rmse", "linear_shap", "ridge_grid", "knn_exact", "csv_roundtrip", "rf_fit", "gbt_fit",
-    "kmeans_fit", "json_score_batch", "feature_search",
+    "kmeans_fit", "json_score_batch", "feature_engineering", "feature_search",
 ]
 
 

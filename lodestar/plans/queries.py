@@ -1028,3 +1028,10 @@ def json_score_stream(spark, sf_dir):
         q.stop()
         raise TimeoutError("request stream did not finish")
     return spark.read.parquet(f"{run}/out")
+
+
+@register("feature_engineering")
+def feature_engineering(spark, sf_dir):
+    """Target encoding + pairwise sums of the flight inputs, every feature scored by chi-square."""
+    from lodestar.plans.workflows import feature_engineering as run
+    return run(spark, sf_dir)

@@ -87,3 +87,15 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
     train_cache.unpersist()
     test_cache.unpersist()
     return out
+
+
+def feature_engineering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode + pairwise features + chi-square ranking of every generated feature (no search).
+    Returns feature, chi2, rank."""
+    train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
+    ranked = chi2_vector_scores(train_cache, VEC, feats, LABEL)
+    out = spark.createDataFrame([(f, c, i + 1) for i, (f, c) in enumerate(ranked)],
+                                "feature string, chi2 double, rank int")
+    train_cache.unpersist()
+    test_cache.unpersist()
+    return out
