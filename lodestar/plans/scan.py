@@ -113,6 +113,20 @@ def _local_scan_fn(key_cols: list[str], specs: list[tuple[str, str, str | None]]
     return fn
 
 
+def scan_partitions(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Range partitions for a scan: the plan's size estimate / target, at least the default
+    parallelism, at most ``spark.sql.shuffle.partitions`` (AQE cannot coalesce a fixed-count
+    range exchange, so small inputs should not get hundreds of partitions)."""
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+        return cap
+    want = max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))
+    return max(1, min(cap, want))
+
+
 def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                       aggs: Mapping[str, tuple[str, str | None]],
                       num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
@@ -139,7 +153,7 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
         if out in df.columns:
             raise ValueError(f"output column {out!r} already exists")
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or scan_partitions(df)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     out_types = {out: _out_type(op, types.get(col) if col else None) for out, op, col in specs}
 
