@@ -300,3 +300,50 @@ def refit_best(trials: DataFrame, build: Callable[[dict], Pipeline], data: DataF
     best = trials.orderBy(F.desc(metric), F.asc(trial_col)).limit(1).collect()[0].asDict()
     params = {k: v for k, v in best.items() if k not in (trial_col, metric, "state")}
     return build(params).fit(data)
+
+
+def load_hyperparameters(path: str | None, defaults: Mapping[str, object]) -> dict:
+    """Hyper-parameters from a JSON file (a small driver-side config), over ``defaults``.
+
+    A missing or unreadable file yields the defaults (never ``None``); values
+    are cast to the type of the default they replace.
+    """
+    import json
+    import os
+    params = dict(defaults)
+    if not path or not os.path.exists(path):
+        return params
+    try:
+        with open(path) as fh:
+            loaded = json.load(fh)
+    except (OSError, ValueError):
+        return params
+    for k, v in loaded.items():
+        if k in defaults and defaults[k] is not None and not isinstance(defaults[k], str):
+            v = type(defaults[k])(v)
+        params[k] = v
+    return params
+
+
+def holdout_cv(df: DataFrame, key: str, label: str, build: Callable[[], Pipeline], seeds: Sequence[int],
+               train_fraction: float = 0.8, saver: "BestModelSaver | None" = None) -> DataFrame:
+    """Repeated hold-out evaluation: per seed a fresh split, fit, accuracy on the held-out rows.
+
+    The input is persisted once for all folds; the best model is saved on strict
+    improvement when a ``saver`` is given. Returns fold, accuracy, n_test.
+    """
+    from lodestar.operators.metrics import accuracy
+    from lodestar.operators.sampling import train_test_split
+    data = df.persist()
+    rows = []
+    try:
+        for s in seeds:
+            train, test = train_test_split(data, key, train_fraction, seed=int(s))
+            model = build().fit(train)
+            res = accuracy(score(model, test, [label]), label, "prediction").collect()[0]
+            rows.append((int(s), float(res["accuracy"]), int(res["n"])))
+            if saver is not None:
+                saver.offer(model, float(res["accuracy"]))
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold int, accuracy double, n_test long")

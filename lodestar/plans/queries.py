@@ -1035,3 +1035,24 @@ def feature_engineering(spark, sf_dir):
     """Target encoding + pairwise sums of the flight inputs, every feature scored by chi-square."""
     from lodestar.plans.workflows import feature_engineering as run
     return run(spark, sf_dir)
+
+
+@register("holdout_cv")
+def holdout_cv(spark, sf_dir):
+    """One search trial as a job: repeated hold-out folds of a random forest on the delay table,
+    best fold model saved, final score = fold mean."""
+    params = models.load_hyperparameters(None, {"n_estimators": 10, "max_depth": 5, "max_features": 1.0,
+                                                "n_bins": 64, "seed": 0})
+    df = delay_table(spark, sf_dir).withColumn("ArrDelayBinary", F.col("ArrDelayBinary").cast("double"))
+    feats = list(fixtures.FLIGHT_FEATURES)
+    saver = models.BestModelSaver(shared_path(spark, "holdout_cv_best", _tag(sf_dir), unique=True))
+
+    def build():
+        return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(params["n_estimators"]),
+                                    max_depth=int(params["max_depth"]), max_features=params["max_features"],
+                                    n_bins=int(params["n_bins"]), seed=int(params["seed"]))
+    folds = models.holdout_cv(df, "flight_id", "ArrDelayBinary", build, seeds=[0, 1, 2], saver=saver)
+    summary = metric_ops.fold_summary(folds.withColumn("__one", F.lit(1)), ["__one"], "accuracy")
+    # one summary row, joined by broadcast on a constant key
+    return folds.withColumn("__one", F.lit(1)).join(F.broadcast(summary.select("__one", "mean_score")),
+                                                    "__one").drop("__one")

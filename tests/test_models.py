@@ -151,3 +151,18 @@ def test_request_scoring_in_a_stream(spark):
     res = spark.read.parquet(f"{base}/out").toPandas()
     assert sorted(res[res.status == "ok"].rid.tolist()) == [1, 3, 3]
     assert res[res.status == "unsupported"].rid.tolist() == [2]
+
+
+def test_hyperparameters_default_when_missing(tmp_path):
+    defaults = {"n_estimators": 10, "max_depth": 5, "lr": 0.3}
+    assert models.load_hyperparameters(str(tmp_path / "absent.json"), defaults) == defaults
+    p = tmp_path / "hp.json"
+    p.write_text(json.dumps({"max_depth": "8", "extra": 1}))
+    got = models.load_hyperparameters(str(p), defaults)
+    assert got["max_depth"] == 8 and got["n_estimators"] == 10 and got["extra"] == 1
+
+
+def test_holdout_cv_fold_table(spark):
+    out = queries.holdout_cv(spark, SF_SMALL).toPandas()
+    assert sorted(out.fold) == [0, 1, 2] and ((out.accuracy > 0) & (out.accuracy <= 1)).all()
+    assert abs(out.mean_score.iloc[0] - out.accuracy.mean()) < 1e-12
