@@ -714,15 +714,14 @@ def _standardized_vectors(train, test, feats):
 
 @register("tree_shap_sampled")
 def tree_shap_sampled(spark, sf_dir):
-    """Sampled Shapley values of a boosted-tree delay model for 50 held-out rows (lowest ids)."""
+    """Sampled Shapley values of a boosted-tree delay model for every held-out row."""
     from lodestar.operators import explain
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     feats = list(fixtures.FLIGHT_FEATURES)
     m = models.fit_cached(models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4),
                           train)
-    rows = test.orderBy("flight_id").limit(50)
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
-    return explain.sampled_shapley(m, rows, background, "flight_id", feats, n_samples=16, seed=0)
+    return explain.sampled_shapley(m, test, background, "flight_id", feats, n_samples=16, seed=0)
 
 
 @register("grid_search")
@@ -1000,15 +999,14 @@ def refit_best_model(spark, sf_dir):
 
 @register("tree_shap_interactions")
 def tree_shap_interactions(spark, sf_dir):
-    """Sampled pairwise interaction values of the boosted-tree delay model for 50 held-out rows."""
+    """Sampled pairwise interaction values of the boosted-tree delay model for every held-out row."""
     from lodestar.operators import explain
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     feats = list(fixtures.FLIGHT_FEATURES)
     m = models.fit_cached(models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4),
                           train)
-    rows = test.orderBy("flight_id").limit(50)
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
-    return explain.sampled_interactions(m, rows, background, "flight_id", feats, n_samples=8, seed=0)
+    return explain.sampled_interactions(m, test, background, "flight_id", feats, n_samples=8, seed=0)
 
 
 @register("json_score_stream")
