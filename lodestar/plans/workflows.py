@@ -58,10 +58,12 @@ def chi2_vector_scores(df: DataFrame, vec: str, names: list[str], label: str) ->
     return [(names[i], float(chi2[i])) for i in order]
 
 
-def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int = 4,
+def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int | None = None,
                    seed: int = 0) -> DataFrame:
     """Chi-square-ranked features (scored once), then a seeded random search over (k, C, penalty)
     of logistic regression; each trial fits on the top-k slots of the cached feature vector.
+    Trials are independent distributed jobs; by default all of them are submitted at once, so the
+    per-iteration job latency of one fit overlaps the work of the others (results do not depend on it).
     Returns the trial table (trial_id, k, C, l1, auc, state, features)."""
     train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
     train, test = models.right_size(train_cache), models.right_size(test_cache)
@@ -78,7 +80,7 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
         return Pipeline(stages=[VectorSlicer(inputCol=VEC, outputCol="features", indices=sorted(top)),
                                 LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
                                                    elasticNetParam=1.0 if c["l1"] >= 0.5 else 0.0, maxIter=50)])
-    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=parallelism)
+    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=parallelism or len(cands))
     top_names = spark.createDataFrame([(i, ",".join(f for f, _ in ranked[: int(c["k"])]))
                                        for i, c in enumerate(cands)],
                                       T.StructType([T.StructField("trial_id", T.IntegerType()),
