@@ -68,14 +68,17 @@ def throughput(df: DataFrame, by: str, elapsed: str, baseline: str, rows: str |
 
     Elapsed times are summed (exactly, for decimal input), converted to double
     and divided by ``divisor`` (e.g. 1000 for milliseconds). The baseline
-    lookup is a window over the aggregated table (one row per group).
+    rate is a one-row aggregate joined back by broadcast, so no task ever
+    holds the whole grouped table, however many groups there are.
     """
     n = F.sum(F.col(rows)) if rows else F.count(F.lit(1))
     g = df.groupBy(by).agg(n.alias("rows"),
                            (F.sum(elapsed).cast("double") / F.lit(float(divisor))).alias("elapsed"))
     g = g.withColumn("rows_per_s", F.col("rows") / F.col("elapsed"))
-    base = F.max(F.when(F.col(by) == F.lit(baseline), F.col("rows_per_s"))).over(Window.partitionBy(F.lit(1)))
-    return g.withColumn("speedup", F.col("rows_per_s") / base)
+    base = (g.agg(F.max(F.when(F.col(by) == F.lit(baseline), F.col("rows_per_s"))).alias("__base"))
+             .withColumn("__one", F.lit(1)))
+    out = g.withColumn("__one", F.lit(1)).join(F.broadcast(base), "__one")
+    return out.withColumn("speedup", F.col("rows_per_s") / F.col("__base")).drop("__one", "__base")
 
 
 def best_so_far(df: DataFrame, run: str, order: Sequence[str], metric: str, mode: str = "max",
