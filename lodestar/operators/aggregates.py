@@ -13,6 +13,11 @@ from lodestar.plans import scan
 Z95 = 1.96
 
 
+def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
+    """Row count as a one-row frame (a partial count per task; the scan reads no columns)."""
+    return df.agg(F.count(F.lit(1)).alias(out))
+
+
 def grouped_mean(df: DataFrame, by: Sequence[str], value: str, out: str = "mean") -> DataFrame:
     return df.groupBy(*by).agg(F.avg(value).alias(out))
 

@@ -57,6 +57,10 @@ CLEAN_TAXI = f"""
 
 ORACLE["clean_taxi"] = CLEAN_TAXI
 
+ORACLE["row_counts"] = f"""
+  SELECT (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS rows_loaded,
+         (SELECT CAST(count(*) AS BIGINT) FROM ({CLEAN_TAXI}) c) AS rows_clean"""
+
 ORACLE["taxi_fare_weekday"] = f"""
   SELECT split, day_of_week, is_weekend, COUNT(*) AS n_trips,
          {_fr(_xmean('fare_amount'), 4)} AS mean_fare, round(stddev_samp(fare_amount), 4) AS std_fare,

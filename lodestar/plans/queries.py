@@ -56,6 +56,15 @@ def clean_taxi(spark, sf_dir):
     return cleaned_taxi(spark, sf_dir)
 
 
+@register("row_counts")
+def row_counts(spark, sf_dir):
+    """Rows loaded and rows kept by the cleaning chain (the counts behind load/ETL throughput)."""
+    from lodestar.operators.aggregates import row_count
+    loaded = row_count(fixtures.taxi_trips(spark, sf_dir), "rows_loaded").withColumn("__one", F.lit(1))
+    kept = row_count(cleaned_taxi(spark, sf_dir), "rows_clean").withColumn("__one", F.lit(1))
+    return loaded.join(F.broadcast(kept), "__one").drop("__one")  # two one-row counts
+
+
 @register("taxi_fare_weekday")
 def taxi_fare_weekday(spark, sf_dir):
     """Flagship slice: clean -> date features -> seeded split -> grouped mean/std/count."""

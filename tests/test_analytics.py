@@ -90,3 +90,13 @@ def test_search_space_tables(spark):
     assert len(grid) == 6
     assert sp.to_frame(spark, c1).count() == 5
     assert trials.halving_rungs(50, 1, 3) == [1, 3, 9, 27]
+
+
+def test_row_counts_query(spark):
+    from lodestar.plans.queries import QUERIES
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    got = QUERIES["row_counts"](spark, SF_SMALL).collect()
+    assert len(got) == 1
+    assert got[0]["rows_loaded"] == li.count()
+    assert 0 < got[0]["rows_clean"] <= got[0]["rows_loaded"]
+    assert aggregates.row_count(li.filter("l_quantity > 25"), "n").collect()[0]["n"] == li.filter("l_quantity > 25").count()
