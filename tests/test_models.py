@@ -166,3 +166,15 @@ def test_holdout_cv_fold_table(spark):
     out = queries.holdout_cv(spark, SF_SMALL).toPandas()
     assert sorted(out.fold) == [0, 1, 2] and ((out.accuracy > 0) & (out.accuracy <= 1)).all()
     assert abs(out.mean_score.iloc[0] - out.accuracy.mean()) < 1e-12
+
+
+def test_shapley_query_explains_every_heldout_row(spark):
+    from conftest import SF_SMALL
+    from lodestar.operators import sampling
+    from lodestar.plans import fixtures
+    from lodestar.plans.queries import QUERIES, delay_days_table
+    _, test = sampling.train_test_split(delay_days_table(spark, SF_SMALL), "flight_id", 0.8, seed=0)
+    phi = QUERIES["tree_shap_sampled"](spark, SF_SMALL)
+    n_test = test.count()
+    assert phi.select("flight_id").distinct().count() == n_test
+    assert phi.count() == n_test * len(fixtures.FLIGHT_FEATURES)
