@@ -168,24 +168,35 @@ def scaled_linear(features: Sequence[str], label: str, reg: float = 0.0) -> Pipe
                             LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, solver="normal")])
 
 
-def right_size(df: DataFrame, target_bytes: int = 256 << 20) -> DataFrame:
-    """Coalesce a materialised (cached) frame to max(default parallelism, size / target_bytes)
-    partitions. Iterative fits pay per-task overhead on every pass; a cached training
-    set split finer than the cores and the target size gains nothing from it."""
+def right_size(df: DataFrame, target_bytes: int = 256 << 20, grow: bool = False) -> DataFrame:
+    """Partition a training set for iterative fits: coalesce to max(default parallelism,
+    size / target_bytes) partitions when it is split finer (every pass pays per-task
+    overhead), and with ``grow`` spread it over the default parallelism when it has fewer
+    partitions than that (a small source file with few row groups would otherwise leave
+    cores idle on every pass). ``grow`` adds one shuffle, so it is meant for frames that
+    are about to be persisted; on a cluster, inputs already have more partitions than
+    cores and are never grown."""
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - statistics unavailable: leave as is
         return df
-    want = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // target_bytes))
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = max(cores, -(-size // target_bytes))
+    have = df.rdd.getNumPartitions()
+    if have > want:
+        return df.coalesce(want)
+    if grow and have < cores:
+        return df.repartition(cores)
+    return df
 
 
 def fit_cached(estimator: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training rows persisted for the fit's passes, then release them."""
-    cached = train.persist()
+    """Fit with the training rows persisted (right-sized first) for the fit's passes, then
+    release them."""
+    cached = right_size(train, grow=True).persist()
     try:
         cached.count()
-        return estimator.fit(right_size(cached))
+        return estimator.fit(cached)
     finally:
         cached.unpersist()
 
@@ -334,7 +345,7 @@ def holdout_cv(df: DataFrame, key: str, label: str, build: Callable[[], Pipeline
     """
     from lodestar.operators.metrics import accuracy
     from lodestar.operators.sampling import train_test_split
-    data = df.persist()
+    data = right_size(df, grow=True).persist()
     rows = []
     try:
         for s in seeds:

@@ -671,7 +671,8 @@ def leaderboard(spark, sf_dir):
     """RF, boosted trees, logistic regression and KNN on one split; soft-vote ensemble row."""
     train, test = _delay_split(spark, sf_dir)
     # Several fits and evaluations read the same split: cache it once, release at the end.
-    train, test = train.persist(), test.persist()
+    train = models.right_size(train, grow=True).persist()
+    test = models.right_size(test, grow=True).persist()
     feats = list(fixtures.FLIGHT_FEATURES)
     label = "ArrDelayBinary"
     builders = {
