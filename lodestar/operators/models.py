@@ -168,20 +168,24 @@ def scaled_linear(features: Sequence[str], label: str, reg: float = 0.0) -> Pipe
                             LinearRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, solver="normal")])
 
 
-def right_size(df: DataFrame, target_bytes: int = 256 << 20, grow: bool = False) -> DataFrame:
+def right_size(df: DataFrame, target_bytes: int = 256 << 20, grow: bool = False,
+               min_partitions: int | None = None) -> DataFrame:
     """Partition a training set for iterative fits: coalesce to max(default parallelism,
     size / target_bytes) partitions when it is split finer (every pass pays per-task
     overhead), and with ``grow`` spread it over the default parallelism when it has fewer
     partitions than that (a small source file with few row groups would otherwise leave
     cores idle on every pass). ``grow`` adds one shuffle, so it is meant for frames that
     are about to be persisted; on a cluster, inputs already have more partitions than
-    cores and are never grown."""
+    cores and are never grown. ``min_partitions`` lowers the floor from the core count for
+    fits that run several at once: each then needs only its share of the cores, and fewer
+    partitions spare every optimiser pass the extra tree-aggregation stage."""
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - statistics unavailable: leave as is
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    want = max(cores, -(-size // target_bytes))
+    floor = cores if min_partitions is None else max(1, min(cores, int(min_partitions)))
+    want = max(floor, -(-size // target_bytes))
     have = df.rdd.getNumPartitions()
     if have > want:
         return df.coalesce(want)

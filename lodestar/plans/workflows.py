@@ -66,13 +66,16 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
     per-iteration job latency of one fit overlaps the work of the others (results do not depend on it).
     Returns the trial table (trial_id, k, C, l1, auc, state, features)."""
     train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
-    train, test = models.right_size(train_cache), models.right_size(test_cache)
-    ranked = chi2_vector_scores(train, VEC, feats, LABEL)
+    ranked = chi2_vector_scores(train_cache, VEC, feats, LABEL)
     position = {f: i for i, f in enumerate(feats)}
     space = trial_ops.SearchSpace({"k": ("int", 5, min(60, len(feats))), "C": ("loguniform", 1e-3, 10.0),
                                    "l1": ("choice", [0.0, 1.0])})
     cands = space.random(n_trials, seed=seed)
     n_rows = 1000
+    concurrent = max(1, min(len(cands), parallelism or len(cands)))
+    share = -(-spark.sparkContext.defaultParallelism // concurrent)  # cores per concurrent fit
+    train = models.right_size(train_cache, min_partitions=share)
+    test = models.right_size(test_cache, min_partitions=share)
 
     def build(c):
         top = [position[f] for f, _ in ranked[: int(c["k"])]]
