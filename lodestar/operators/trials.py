@@ -27,6 +27,15 @@ def trial_log(df: DataFrame, trial: str, order: Sequence[str], metric: str,
     return scan.row_number(df, [trial], list(order), out=step)
 
 
+def trial_log_running_mean(df: DataFrame, trial: str, order: Sequence[str], metric: str, step: str = "step",
+                           out: str = "running_mean", digits: int = 9) -> DataFrame:
+    """``trial_log`` and ``running_mean`` in one skew-safe scan: the step number and the running
+    sums share the trial key and the total order, so one range-partitioned pass yields both."""
+    r = scan.running_aggregate(df, [trial], list(order), {step: ("count", None), "__s": ("sum", metric),
+                                                           "__k": ("count", metric)})
+    return r.withColumn(out, F.round(F.col("__s") / F.col("__k"), digits)).drop("__s", "__k")
+
+
 def trial_summary(log: DataFrame, trial: str, step: str, metric: str, mode: str = "max",
                   complete_at: int | None = None, ts: str | None = None,
                   exact_scale: int | None = None) -> DataFrame:
@@ -67,7 +76,8 @@ def running_mean(log: DataFrame, trial: str, step: str, metric: str, out: str =
 
 
 def median_stopping(log: DataFrame, trial: str, step: str, metric: str, grace_period: int = 1,
-                    min_samples: int = 3, mode: str = "max", checkpoint: bool = True) -> DataFrame:
+                    min_samples: int = 3, mode: str = "max", checkpoint: bool = True,
+                    running: str | None = None) -> DataFrame:
     """Median stopping rule on running means.
 
     At (trial, step) the trial stops when step > grace_period, at least
@@ -75,9 +85,12 @@ def median_stopping(log: DataFrame, trial: str, step: str, metric: str, grace_pe
     worse than the median of the other trials' running means there. The
     median of the *others* is derived from the three middle order statistics
     of the step (positions from the skew-safe scan), so no pairs are built.
+    ``running`` names a running-mean column the log already carries (from
+    ``trial_log_running_mean``); otherwise it is computed here.
     Output: trial, n_steps, stop_step (NULL = never stopped).
     """
-    rm = running_mean(log, trial, step, metric, out="__rm")
+    rm = (log.withColumnRenamed(running, "__rm") if running
+          else running_mean(log, trial, step, metric, out="__rm"))
     # Read three times below (counts, middle values, decisions): keep it once.
     ranked = scan.row_number(rm, [step], ["__rm", trial], out="__r").persist()
     counts = ranked.groupBy(step).agg(F.count(F.lit(1)).alias("__m"))
@@ -114,7 +127,7 @@ def halving_rungs(max_t: int, grace_period: int = 1, reduction: int = 3) -> list
 
 def successive_halving(log: DataFrame, trial: str, step: str, metric: str, max_t: int = 50,
                        grace_period: int = 1, reduction: int = 3, mode: str = "max",
-                       checkpoint: bool = True) -> DataFrame:
+                       checkpoint: bool = True, running: str | None = None) -> DataFrame:
     """Synchronous successive halving on running means.
 
     At each rung r (grace * reduction^i <= max_t) the surviving trials that
@@ -123,7 +136,8 @@ def successive_halving(log: DataFrame, trial: str, step: str, metric: str, max_t
     rungs to keep the lineage short. Output: rung, trial, metric, rank, promoted.
     """
     rungs = halving_rungs(max_t, grace_period, reduction)
-    rm = running_mean(log, trial, step, metric, out="__rm")
+    rm = (log.withColumnRenamed(running, "__rm") if running  # precomputed running mean
+          else running_mean(log, trial, step, metric, out="__rm"))
     # One row per (trial, rung step): computed once, then every rung reads it.
     rung_rows = rm.filter(F.col(step).isin(rungs)).select(trial, step, F.col("__rm").alias("metric"))
     if checkpoint:

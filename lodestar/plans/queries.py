@@ -297,6 +297,13 @@ def _trial_log(spark, sf_dir):
     return trial_ops.trial_log(ev.withColumnRenamed("user_id", "trial"), "trial", ["ts", "event_id"], "value")
 
 
+def _trial_log_running(spark, sf_dir):
+    """The trial log with each trial's running mean of value, from one scan."""
+    ev = load(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
+    return trial_ops.trial_log_running_mean(ev.withColumnRenamed("user_id", "trial"), "trial", ["ts", "event_id"],
+                                            "value", out="running_mean")
+
+
 @register("tip_ratio_by_size")
 def tip_ratio_by_size(spark, sf_dir):
     from lodestar.functions import ratio_percent
@@ -459,14 +466,14 @@ def best_trial(spark, sf_dir):
 
 @register("median_stop")
 def median_stop(spark, sf_dir):
-    return trial_ops.median_stopping(_trial_log(spark, sf_dir), "trial", "step", "value",
-                                     grace_period=1, min_samples=3)
+    return trial_ops.median_stopping(_trial_log_running(spark, sf_dir), "trial", "step", "value",
+                                     grace_period=1, min_samples=3, running="running_mean")
 
 
 @register("halving_rungs")
 def halving_rungs(spark, sf_dir):
-    out = trial_ops.successive_halving(_trial_log(spark, sf_dir), "trial", "step", "value",
-                                       max_t=50, grace_period=1, reduction=3)
+    out = trial_ops.successive_halving(_trial_log_running(spark, sf_dir), "trial", "step", "value",
+                                       max_t=50, grace_period=1, reduction=3, running="running_mean")
     return out.select("rung", "trial", r(F.col("metric"), 6).alias("metric"), "rank", "promoted")
 
 

@@ -100,3 +100,14 @@ def test_row_counts_query(spark):
     assert got[0]["rows_loaded"] == li.count()
     assert 0 < got[0]["rows_clean"] <= got[0]["rows_loaded"]
     assert aggregates.row_count(li.filter("l_quantity > 25"), "n").collect()[0]["n"] == li.filter("l_quantity > 25").count()
+
+
+def test_fused_trial_log_matches_two_scans(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumnRenamed("user_id", "trial")
+    fused = trials.trial_log_running_mean(ev, "trial", ["ts", "event_id"], "value", out="rm").select(
+        "event_id", "step", "rm").toPandas().sort_values("event_id").reset_index(drop=True)
+    log = trials.trial_log(ev, "trial", ["ts", "event_id"], "value")
+    two = trials.running_mean(log, "trial", "step", "value", out="rm").select(
+        "event_id", "step", "rm").toPandas().sort_values("event_id").reset_index(drop=True)
+    assert fused["step"].tolist() == two["step"].tolist()
+    assert fused["rm"].tolist() == two["rm"].tolist()
