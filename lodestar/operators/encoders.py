@@ -23,6 +23,30 @@ def fit_dictionary(df: DataFrame, column: str) -> DataFrame:
     return numbered.select(column, (F.col("__pos") - 1).cast("int").alias(f"{column}__code"))
 
 
+def fit_dictionaries(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """``fit_dictionary`` for several columns. Columns of one type share one skew-safe scan:
+    their distinct values are stacked as (column, value) and numbered per column, so a column
+    with many values is still split across tasks by the scan's range partitioning."""
+    types = dict(df.dtypes)
+    by_type: dict[str, list[str]] = {}
+    for c in columns:
+        by_type.setdefault(types[c], []).append(c)
+    out: dict[str, DataFrame] = {}
+    for cols in by_type.values():
+        if len(cols) == 1:
+            out[cols[0]] = fit_dictionary(df, cols[0])
+            continue
+        stacked = None
+        for c in cols:
+            part = df.select(F.lit(c).alias("__col"), F.col(c).alias("__val")).where(F.col("__val").isNotNull())
+            stacked = part if stacked is None else stacked.unionByName(part)
+        numbered = scan.row_number(stacked.distinct(), ["__col"], ["__val"], out="__pos")
+        for c in cols:
+            out[c] = numbered.where(F.col("__col") == F.lit(c)).select(
+                F.col("__val").alias(c), (F.col("__pos") - 1).cast("int").alias(f"{c}__code"))
+    return {c: out[c] for c in columns}
+
+
 def apply_dictionary(df: DataFrame, dictionary: DataFrame, column: str, out: str,
                      unseen: str = "separate", null_code: int = -1) -> DataFrame:
     """Replace ``column`` codes: NULL -> ``null_code``; unseen -> n (``separate``) or 0 (``compat``)."""
@@ -41,9 +65,10 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, column: str, out: str
 
 def category_codes(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """String columns -> integer codes in dictionary (sorted) order; NULL -> -1."""
+    dictionaries = fit_dictionaries(df, columns)
     out = df
     for c in columns:
-        out = apply_dictionary(out, fit_dictionary(df, c), c, f"{c}{suffix}")
+        out = apply_dictionary(out, dictionaries[c], c, f"{c}{suffix}")
     return out
 
 
@@ -57,7 +82,7 @@ class LabelEncoder:
         self.dictionaries: dict[str, DataFrame] = {}
 
     def fit(self, df: DataFrame) -> "LabelEncoder":
-        self.dictionaries = {c: fit_dictionary(df, c) for c in self.columns}
+        self.dictionaries = fit_dictionaries(df, self.columns)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
