@@ -77,15 +77,3 @@ def test_chi2_matches_manual(spark):
         exp = pdf.y.value_counts(normalize=True).reindex(obs.index) * pdf[f].sum()
         assert abs(((obs - exp) ** 2 / exp).sum() - got.loc[f, "chi2"]) < 1e-9
     assert selection.select_k_best(spark.createDataFrame(pdf), ["a", "b"], "y", 1) == [got.chi2.idxmax()]
-
-
-def test_shared_scan_dictionaries_match_single(spark):
-    from conftest import SF_SMALL
-    from lodestar.operators import encoders
-    part = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_brand", "p_type", "p_size")
-    both = encoders.fit_dictionaries(part, ["p_brand", "p_type", "p_size"])
-    for c in ("p_brand", "p_type", "p_size"):
-        one = encoders.fit_dictionary(part, c).toPandas().sort_values(c).reset_index(drop=True)
-        got = both[c].toPandas().sort_values(c).reset_index(drop=True)
-        assert got.equals(one), c
-        assert got[f"{c}__code"].tolist() == list(range(len(got)))
