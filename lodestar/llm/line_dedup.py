@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,15 +90,18 @@ SHARD_SCHEMA = ("shard long, load long, bits binary, sizes binary, prints binary
                 "has binary, firsts binary")
 
 
+BLOBS = ("bits", "sizes", "prints", "counts", "has", "firsts")
+
+
 class _Shard:
     """The arrays of one shard, as read by a probing task."""
 
-    def __init__(self, row) -> None:
-        self.packed, self.sizes = np.frombuffer(row.bits, np.uint8), np.frombuffer(row.sizes, np.int64)
-        self.prints, self.counts = np.frombuffer(row.prints, np.uint32), np.frombuffer(row.counts, np.int64)
-        has = np.unpackbits(np.frombuffer(row.has, np.uint8), count=len(self.prints)).astype(bool)
+    def __init__(self, row: dict[str, bytes]) -> None:
+        self.packed, self.sizes = np.frombuffer(row["bits"], np.uint8), np.frombuffer(row["sizes"], np.int64)
+        self.prints, self.counts = np.frombuffer(row["prints"], np.uint32), np.frombuffer(row["counts"], np.int64)
+        has = np.unpackbits(np.frombuffer(row["has"], np.uint8), count=len(self.prints)).astype(bool)
         self.firsts = np.full(len(has), -1, np.int64)
-        self.firsts[has] = np.frombuffer(row.firsts, np.int64)
+        self.firsts[has] = np.frombuffer(row["firsts"], np.int64)
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count and first document of each line; 0 and -1 where the fingerprint says that the line isn't in."""
@@ -110,26 +114,24 @@ class _Shard:
         return count, first
 
 
-def _probe_sorted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _probe_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard, its arrays first: holds one shard and one batch of lines at a time."""
     number, shard = None, None
-    for pdf in frames:
-        ids = pdf.shard.to_numpy()
-        cuts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
+    for batch in batches:
+        ids = batch["shard"].to_numpy()
+        head = np.asarray(batch["bits"].is_valid())
+        cuts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | head[1:] | head[:-1]]) if len(ids) else []
         for a, b in zip(cuts, [*cuts[1:], len(ids)]):
-            part = pdf.iloc[a:b]
-            head = part[part.bits.notna()]
-            if len(head):
-                number, shard = ids[a], _Shard(head.iloc[0])
-            lines = part[part.bits.isna()]
-            if not len(lines):
+            if head[a]:
+                number, shard = ids[a], _Shard({c: batch[c][int(a)].as_py() for c in BLOBS})
                 continue
             if number != ids[a]:
                 raise ValueError(f"lines of shard {ids[a]} came before its arrays")
-            count, first = shard.probe(lines.h1.to_numpy(np.int64), lines.h2.to_numpy(np.int64))
-            gone = (first != -1) & (first != lines.d.to_numpy(np.int64))
-            yield pd.DataFrame({"d": lines.d[gone].astype("int64"), "t": lines.t[gone].astype("int64"),
-                                "line": lines.line[gone].astype("int32"), "count": count[gone]})
+            part = batch.slice(a, b - a)
+            count, first = shard.probe(part["h1"].to_numpy(), part["h2"].to_numpy())
+            gone = (first != -1) & (first != part["d"].to_numpy())
+            rows = part.select(["d", "t", "line"]).filter(pa.array(gone))
+            yield rows.append_column("count", pa.array(count[gone]))
 
 
 # ------------------------------------------------------------------ operator
@@ -161,12 +163,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, shard_keys: int = SHARD_
                     .withColumn("copy", F.pmod(F.xxhash64("d", "line"), F.coalesce("copies", F.lit(1))).cast("int")))
     heads = (shards.join(hot, "shard", "left")
                    .withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))))
-    blobs = [c for c in shards.columns if c not in ("shard", "load")]
-    both = heads.select("shard", "copy", *blobs).unionByName(
+    both = heads.select("shard", "copy", *BLOBS).unionByName(
         probes.select("shard", "copy", "d", "t", "line", "h1", "h2"), allowMissingColumns=True)
     dealt = (both.repartition("shard", "copy")
                  .sortWithinPartitions("shard", "copy", F.col("bits").isNull()))
-    return dealt.mapInPandas(_probe_sorted, "d long, t long, line int, count long")
+    return dealt.mapInArrow(_probe_sorted, "d long, t long, line int, count long")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, shard_keys: int = SHARD_KEYS) -> DataFrame:
