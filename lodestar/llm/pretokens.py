@@ -23,6 +23,8 @@ WHITE_SPACE = (
     "    　"
 )
 LETTER, DIGIT, SIGN, SPACE = 0, 1, 2, 3
+#: Characters that are cut at a time, so that the arrays stay small.
+STEP = 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -75,13 +77,13 @@ def _starts(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-def split(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct pre-tokens, the code of each pre-token in order, and each text's first code (plus the end)."""
+def _cut(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+    """All pre-tokens of the texts in order, and each text's first pre-token (plus the end)."""
     data = "".join(texts).encode("utf-8", "surrogatepass")
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     edges = np.concatenate([[0], np.cumsum(lengths)])
     if not data:
-        return pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        return pa.array([], pa.large_binary()), np.zeros(len(texts) + 1, np.int64)
     raw = np.frombuffer(data, np.uint8)
     if edges[-1] == len(raw):
         chars, at = raw, None
@@ -89,11 +91,24 @@ def split(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         chars = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
         at = np.flatnonzero((raw & 0xC0) != 0x80)
     start = np.flatnonzero(_starts(chars, np.unique(edges[:-1][lengths > 0])))
-    docs = np.searchsorted(start, edges)
     cuts = np.concatenate([start if at is None else at[start], [len(raw)]]).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
-    coded = words.dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy(), docs
+    return words, np.searchsorted(start, edges)
+
+
+def split(texts: Sequence[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens, the code of each pre-token in order, and each text's first code (plus the end)."""
+    words, docs, total = [], [np.zeros(1, np.int64)], 0
+    for part in batches(texts, STEP):
+        w, d = _cut(texts[part])
+        words.append(w)
+        docs.append(total + d[1:])
+        total += len(w)
+    coded = pa.chunked_array(words, pa.large_binary()).dictionary_encode().unify_dictionaries()
+    if not coded.num_chunks:
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.concatenate(docs)
+    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+    return coded.chunk(coded.num_chunks - 1).dictionary, codes, np.concatenate(docs)
 
 
 def batches(texts: Sequence[str], size: int) -> Iterator[slice]:
