@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import line_dedup
+from lodestar.llm import bpe, line_dedup, token_counts, token_file
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,28 @@ _DEDUP_LINES = f"""
 ORACLE["op8_line_dedup"] = f"""
 WITH docs_in AS (SELECT doc_id, text FROM documents), {_DEDUP_LINES}
 SELECT doc_id, n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(text) AS kept_sha256 FROM deduped"""
+
+
+@register
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    out = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@register
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer_json = f.read()
+    path = token_file.new_path(spark)
+    token_file.write_token_file(docs, tokenizer_json, path, end_id=2)
+    return token_file.read_token_file(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
