@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, line_dedup, token_counts, token_file
+from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,44 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_file.write_token_file(docs, tokenizer_json, path, end_id=2)
     return token_file.read_token_file(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(load(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                      load(spark, sf_dir, "benchmark", ["item_id", "text"]))
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def _words(text: str) -> str:
+    """DuckDB list of the words of a text."""
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+#: Of the relation docs_in (doc_id, text): n_words, n_hit, the item ids and the rule.
+_CONTAMINATION = f"""
+  item_words AS (SELECT item_id, {_words('text')} AS w FROM benchmark),
+  windows AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS phrase, least(len(w), 13) AS n
+              FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+                    FROM item_words WHERE len(w) > 0)),
+  doc_words AS (SELECT doc_id, {_words('text')} AS w FROM docs_in),
+  sizes AS (SELECT DISTINCT n FROM windows),
+  grams AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+            FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS i
+                  FROM doc_words, sizes)),
+  found AS (SELECT g.doc_id, g.i, g.n, t.item_id FROM grams g JOIN windows t USING (phrase, n)),
+  hit_words AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+                FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, i, n FROM found))
+                GROUP BY doc_id),
+  hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id),
+  judged AS (SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+                    coalesce(items, '') AS items,
+                    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+             FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id))"""
+
+ORACLE["op1_decontaminate"] = f"""
+WITH docs_in AS (SELECT doc_id, text FROM documents), {_CONTAMINATION}
+SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM judged"""
