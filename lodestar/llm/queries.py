@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file
+from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file, url_filter
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ _CONTAMINATION = f"""
 ORACLE["op1_decontaminate"] = f"""
 WITH docs_in AS (SELECT doc_id, text FROM documents), {_CONTAMINATION}
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM judged"""
+
+
+@register
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = url_filter.judge(load(spark, sf_dir, "pages", ["page_id", "url"]))
+    return out.select("page_id", "host", "path", "rule", "verdict")
