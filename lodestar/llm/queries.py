@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file, url_filter
+from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file, toxicity, url_filter
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,15 @@ SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contamina
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filter.judge(load(spark, sf_dir, "pages", ["page_id", "url"]))
     return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def toxicity_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """Low quality first, then toxic."""
+    return toxicity.fit_chain(docs, labels, {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1})
+
+
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    chain = toxicity_chain(docs, load(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
+    return toxicity.score_documents(docs, chain).withColumnRenamed("flagged", "toxic")
