@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontaminate, line_dedup, token_counts, token_file, toxicity, url_filter
+from lodestar.llm import bpe, decontaminate, line_dedup, ngram_join, token_counts, token_file, toxicity, url_filter
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
     chain = toxicity_chain(docs, load(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
     return toxicity.score_documents(docs, chain).withColumnRenamed("flagged", "toxic")
+
+
+@register
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(load(spark, sf_dir, "documents", ["doc_id", "text"]))
