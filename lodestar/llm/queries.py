@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, bpe, decontaminate, line_dedup, ngram_join, token_counts, token_file, toxicity, url_filter
+from lodestar.llm import ann, bpe, decontaminate, line_dedup, ngram_join, suffix_dedup, token_counts, token_file, toxicity, url_filter
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,9 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = ann.usable(load(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), "vec_id", "embedding")
     found = ann.search(vectors, vectors.where(F.col("id") % 50 == 0), k=5)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
+@register
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_strings(load(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
