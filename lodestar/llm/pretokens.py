@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Unicode's White_Space characters.
 WHITE_SPACE = (
@@ -121,3 +122,19 @@ def batches(texts: Sequence[str], size: int) -> Iterator[slice]:
         total += len(t)
     if begin < len(texts):
         yield slice(begin, len(texts))
+
+
+def texts_of(column: pa.Array) -> list[str]:
+    """Texts of a column, null as the empty text."""
+    return [t or "" for t in column.to_pylist()]
+
+
+def runs(column: pa.Array, size: int) -> Iterator[slice]:
+    """Like ``batches``, for a column of texts that aren't Python's yet (``size`` in bytes)."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64))
+    begin, n = 0, len(ends)
+    while begin < n:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield slice(begin, end)
+        begin = end

@@ -29,7 +29,7 @@ from lodestar.llm import pretokens
 from lodestar.llm.bpe import read_ranks
 
 SHIFT = 2.7
-#: Characters of text whose distinct pre-tokens make one trie.
+#: Bytes of text whose distinct pre-tokens make one trie.
 BATCH = 8_000_000
 
 
@@ -67,15 +67,15 @@ def terminal_counts(words: Sequence[bytes], scores: dict[bytes, float], longest:
 def _count(batches: Iterator[pa.RecordBatch], keep: Sequence[str], scores: dict[bytes, float]) -> Iterator[pa.RecordBatch]:
     longest = max(map(len, scores))
     for batch in batches:
-        texts = [t or "" for t in batch["text"].to_pylist()]
-        for part in pretokens.batches(texts, BATCH):
-            words, codes, docs = pretokens.split(texts[part])
+        for part in pretokens.runs(batch["text"], BATCH):
+            mine = batch.slice(part.start, part.stop - part.start)
+            words, codes, docs = pretokens.split(pretokens.texts_of(mine["text"]))
             listed = words.to_pylist()
             order = sorted(range(len(listed)), key=listed.__getitem__)
             counts = np.zeros(len(listed), np.int64)
             counts[order] = terminal_counts([listed[i] for i in order], scores, longest)
             sums = np.concatenate([[0], np.cumsum(counts[codes])])[docs]
-            out = {c: batch[c].slice(part.start, part.stop - part.start) for c in keep}
+            out = {c: mine[c] for c in keep}
             out["n_pretokens"], out["n_tokens"] = pa.array(np.diff(docs)), pa.array(np.diff(sums))
             yield pa.RecordBatch.from_pydict(out)
 

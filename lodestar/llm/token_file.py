@@ -35,8 +35,10 @@ from lodestar.session import shared_path
 BLOCK = 256
 #: Share of a block's differences that fit its width; the rest are exceptions.
 PERCENTILE = 0.97
-#: Characters of text that make a segment, about.
+#: Bytes of text that make a segment, about.
 SEGMENT = 1_000_000
+#: Segments up to which their starts are broadcast.
+BROADCAST_ROWS = 500_000
 #: Pre-tokens that a worker remembers between batches.
 REMEMBERED = 300_000
 
@@ -136,10 +138,10 @@ def _segments(batches: Iterator[pa.RecordBatch], tokenizer_json: str, end_id: in
     shard = TaskContext.get().partitionId()  # partitions are ranges of ids, in order
     segment = 0
     for batch in batches:
-        texts, ids = batch["text"].to_pylist(), batch["d"].to_numpy()
-        for part in pretokens.batches(texts, SEGMENT):
+        ids = batch["d"].to_numpy()
+        for part in pretokens.runs(batch["text"], SEGMENT):
             lo, hi = part.start, part.stop
-            words, codes, docs = pretokens.split(texts[lo:hi])
+            words, codes, docs = pretokens.split(pretokens.texts_of(batch["text"].slice(lo, hi - lo)))
             lists = encoder.ids(words.to_pylist())
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             values = np.concatenate([*lists, np.array([end_id], np.uint32)])
@@ -198,6 +200,8 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     starts = (index.withColumn("inside", F.coalesce(F.sum("n_values").over(inside), F.lit(0)))
                    .join(shard_start, "shard")
                    .select("shard", "segment", (F.col("shard_start") + F.col("inside")).alias("first")))
+    if index.count() <= BROADCAST_ROWS:  # a few numbers for each; the documents' ids then stay where they are
+        starts = F.broadcast(starts)
     docs = segments.mapInArrow(_read_segments, "d long, shard long, segment long, place long, n_tokens long, ids binary")
     return (docs.join(starts, ["shard", "segment"])
                 .select(id_value("d").alias("doc_id"), (F.col("first") + F.col("place")).alias("start"),
