@@ -234,9 +234,10 @@ def in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
 # ------------------------------------------------------------------ operator
 def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, trees: int = TREES,
                     depth: int = DEPTH, target: float = TARGET, block: int = BLOCK) -> DataFrame:
-    """(d, t, class, links, group): for each distinct document row its class, links and group of linked classes.
+    """(d, t, n, class, links, group): for each distinct document row its class, links and group of linked classes.
 
-    ``links`` counts the other classes of similarity ``threshold`` or more. ``d``, ``t``: see ``common``.
+    ``links`` counts the other classes of similarity ``threshold`` or more, ``n`` the row's shingles. ``d``, ``t``:
+    see ``common``.
     """
     rows = docs.select(id_key().alias("d"), text_key().alias("t"), F.col("text").alias("text"))
     signed = stored(rows.mapInArrow(lambda it: _sign(it, n, trees * depth),
@@ -294,8 +295,8 @@ def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, t
     mine = signed.select("d", "t", "n", "k1", "k2").distinct()
     out = mine.where("n > 0").join(of_class, ["n", "k1", "k2"])
     alone = mine.where("n = 0")
-    return (out.select("d", "t", "class", F.col("links").cast("long").alias("links"), "group")
-               .unionByName(alone.select("d", "t", F.col("d").alias("class"), F.lit(0).cast("long").alias("links"),
+    return (out.select("d", "t", "n", "class", F.col("links").cast("long").alias("links"), "group")
+               .unionByName(alone.select("d", "t", "n", F.col("d").alias("class"), F.lit(0).cast("long").alias("links"),
                                          F.col("d").alias("group"))))
 
 
@@ -311,11 +312,8 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
 
     If several rows carry that id, the one whose text hashes lowest stays, once. Texts without words all stay.
     """
-    found = similarity_join(docs, **options)
-    first = found.groupBy("group").agg(F.min(F.struct("d", "t")).alias("f")).select("f.d", "f.t")
-    alone = found.where(F.col("group") == F.col("d")).select("d", "t").join(
-        docs.where(F.length(F.trim(F.coalesce("text", F.lit("")))) == 0).select(id_key().alias("d"), text_key().alias("t")).distinct(),
-        ["d", "t"], "left_semi")
-    keys = first.union(alone).distinct()
+    found = stored(similarity_join(docs, **options).select("d", "t", "n", "group"), "near-copies")
+    first = found.where("n > 0").groupBy("group").agg(F.min(F.struct("d", "t")).alias("f"))
+    keys = first.select("f.d", "f.t").unionByName(found.where("n = 0").select("d", "t"))
     mine = docs.withColumns({"_d": id_key(), "_t": text_key()}).dropDuplicates(["_d", "_t"])
     return mine.join(keys.toDF("_d", "_t"), ["_d", "_t"], "left_semi").select(*docs.columns)

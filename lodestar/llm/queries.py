@@ -45,12 +45,15 @@ WITH docs_in AS (SELECT doc_id, text FROM documents), {_DEDUP_LINES}
 SELECT doc_id, n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(text) AS kept_sha256 FROM deduped"""
 
 
+def bpe_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
-    out = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe_digests(bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")))
 
 
 @register
