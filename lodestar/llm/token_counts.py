@@ -83,7 +83,8 @@ def _count(batches: Iterator[pa.RecordBatch], keep: Sequence[str], scores: dict[
 def count_tokens(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` of each row with n_pretokens and n_tokens (long)."""
     scores, names = zipf_scores(read_ranks(ranks_path)), list(keep)
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_pretokens", T.LongType()),
-                           T.StructField("n_tokens", T.LongType())])
-    return (docs.select(*names, F.col("text").alias("text"))
-                .mapInArrow(lambda it: _count(it, names, scores), schema))
+    kept = [f"k{i}" for i in range(len(names))]
+    schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for k, c in zip(kept, names)),
+                           T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())])
+    rows = docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
+    return rows.mapInArrow(lambda it: _count(it, kept, scores), schema).toDF(*names, "n_pretokens", "n_tokens")

@@ -95,10 +95,10 @@ def gram_scores(train: DataFrame, wanted: DataFrame, order: int = ORDER) -> Data
     return out.select("gram", (F.log("p_a") - F.log("p_b")).alias("diff"))
 
 
-def url_scores(urls: DataFrame, scores: DataFrame) -> DataFrame:
+def url_scores(urls: DataFrame, scores: DataFrame, order: int = ORDER) -> DataFrame:
     """``urls`` (key s) with ``score``: the mean difference per character, 0 without characters."""
     table = F.broadcast(scores) if scores.count() <= BROADCAST_ROWS else scores
-    sums = (grams(urls.select("s").distinct()).join(table, "gram")
+    sums = (grams(urls.select("s").distinct(), order).join(table, "gram")
             .groupBy("s").agg(F.sum("diff").alias("total")))
     return urls.join(sums, "s", "left").withColumn(
         "score", F.coalesce(F.col("total") / F.length("s"), F.lit(0.0))).drop("total")
@@ -135,8 +135,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, order: int
     rest = urls.where(F.col("verdict").isNull())
     wanted = grams(rest.unionByName(held), order).select("gram").distinct()
     scores = stored(gram_scores(train, wanted, order), "gram-scores")
-    threshold = calibrate(url_scores(held, scores))
-    judged = url_scores(rest, scores).select(
+    threshold = calibrate(url_scores(held, scores, order))
+    judged = url_scores(rest, scores, order).select(
         F.col("s").alias("_s"), "score",
         F.when(F.col("score") >= threshold, "allow").otherwise("block").alias("_said"))
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
