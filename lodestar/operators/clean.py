@@ -73,14 +73,19 @@ def strings_to_float(df: DataFrame, skip: Iterable[str] = (), on_string: str = "
 
 
 def downcast_numeric(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
-    """int64 -> int32 and float64 -> float32 (out-of-range ints become NULL, not an error)."""
+    """int64 -> int32 and float64 -> float32; an integer that does not fit fails the query.
+
+    Keys belong in ``skip``: they keep their 64 bits.
+    """
     exprs = {}
     sk = set(skip)
     for f in df.schema.fields:
         if f.name in sk:
             continue
         if isinstance(f.dataType, T.LongType):
-            exprs[f.name] = F.col(f.name).try_cast("int")
+            c = F.col(f.name)
+            exprs[f.name] = F.when(c.between(-2**31, 2**31 - 1), c.cast("int")).when(
+                c.isNotNull(), F.raise_error(F.concat(F.lit(f"{f.name} does not fit 32 bits: "), c.cast("string"))).cast("int"))
         elif isinstance(f.dataType, T.DoubleType):
             exprs[f.name] = F.col(f.name).cast("float")
     return df.withColumns(exprs) if exprs else df
@@ -179,10 +184,10 @@ def clean_frame(df: DataFrame, keep: Sequence[str], rename: Mapping[str, str] |
 
     ``filter_stage='raw'`` applies the range filters right after renaming, on
     the source values, so they are pushed into the Parquet scan (casts in
-    front of a predicate block pushdown). For open ranges whose lower bound is
-    above the fill value this gives the same rows as filtering after the fill;
-    ``'clean'`` filters the cleaned values instead. ``id_cols`` keep their
-    type and are never filled.
+    front of a predicate block pushdown), and again on the cleaned values, which
+    decide: a value just inside an open range may be rounded onto its bound.
+    ``'clean'`` filters the cleaned values only, as needed where the fill value is
+    inside a range. ``id_cols`` keep their type and are never filled.
     """
     out = normalize_names(df)
     if rename:
@@ -195,6 +200,4 @@ def clean_frame(df: DataFrame, keep: Sequence[str], rename: Mapping[str, str] |
     out = downcast_numeric(out, skip=id_cols)
     if fill is not None:
         out = fill_numeric(out, fill, skip=id_cols)
-    if filter_stage == "clean":
-        out = apply_range_filter(out, filters)
-    return out
+    return apply_range_filter(out, filters)

@@ -75,12 +75,12 @@ def kmeans(features: Sequence[str] | None, k: int = 8, max_iter: int = 300, tol:
 
 
 def logistic_regression(features: Sequence[str], label: str, penalty: str = "l2", C: float = 1.0,
-                        l1_ratio: float = 0.5, fit_intercept: bool = True, n_rows: int | None = None,
+                        l1_ratio: float = 0.5, fit_intercept: bool = True, *, n_rows: int,
                         max_iter: int = 100) -> Pipeline:
-    """Inverse strength C maps to regParam = 1 / (C * n); penalty none -> 0, l1 -> 1, l2 -> 0,
-    elasticnet -> l1_ratio. C is bounded below to avoid an infinite penalty."""
+    """Inverse strength C maps to regParam = 1 / (C * n) with ``n_rows`` the rows fitted on; penalty none -> 0,
+    l1 -> 1, l2 -> 0, elasticnet -> l1_ratio. C is bounded below to avoid an infinite penalty."""
     c = max(float(C), 1e-12)
-    reg = 0.0 if penalty in (None, "none") else 1.0 / (c * float(n_rows or 1))
+    reg = 0.0 if penalty in (None, "none") else 1.0 / (c * float(max(n_rows, 1)))
     enet = {"l1": 1.0, "l2": 0.0, "elasticnet": float(l1_ratio)}.get(penalty or "none", 0.0)
     est = LogisticRegression(featuresCol=FEATURES, labelCol=label, regParam=reg, elasticNetParam=enet,
                              fitIntercept=fit_intercept, maxIter=max_iter, standardization=True)
@@ -154,7 +154,7 @@ def random_fourier_features(array_col: str, dim: int, n_components: int = 64, ga
     return array_to_vector(F.array(*comps)).alias(out)
 
 
-def linear_svc(label: str, C: float = 100.0, n_rows: int = 1, features_col: str = "rff",
+def linear_svc(label: str, C: float = 100.0, *, n_rows: int, features_col: str = "rff",
                max_iter: int = 100) -> LinearSVC:
     return LinearSVC(featuresCol=features_col, labelCol=label, regParam=1.0 / (max(C, 1e-12) * n_rows),
                      maxIter=max_iter)

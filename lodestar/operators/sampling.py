@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from lodestar.functions.hashing import portable_bucket
 from lodestar.plans import scan
 
-MODULUS = 1000
+#: Samples and splits compare the whole 32-bit hash, so any fraction is met to one part in four thousand million.
+MODULUS = 1 << 32
 
 
 def _threshold(fraction: float, modulus: int = MODULUS) -> int:
-    # half-up rounding of the fraction to the bucket grid
     return int(math.floor(min(max(fraction, 0.0), 1.0) * modulus + 0.5))
 
 
@@ -42,14 +42,18 @@ def fixed_count_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def estimate_rows(sources: Mapping[str, DataFrame], key: str, fraction: float, seed: int) -> DataFrame:
-    """Per-source row estimate count(sample)/fraction, plus a total row (source NULL)."""
+    """Per-source row estimate count(sample)/fraction, plus a total row (source NULL).
+
+    Divides by the share of hashes that the sample takes.
+    """
     parts = [hash_sample(df.select(key), key, fraction, seed)
              .agg(F.count(F.lit(1)).alias("sampled")).withColumn("source", F.lit(name))
              for name, df in sources.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    est = (F.col("sampled") / F.lit(float(fraction)))
+    share = _threshold(fraction) / MODULUS
+    est = F.col("sampled") / F.lit(share) if share else F.lit(0.0)
     per = out.select("source", "sampled", F.round(est).cast("bigint").alias("estimate"))
     total = per.agg(F.lit(None).cast("string").alias("source"), F.sum("sampled").alias("sampled"),
                     F.sum("estimate").alias("estimate"))

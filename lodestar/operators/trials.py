@@ -174,9 +174,9 @@ def param_importance(scores: DataFrame, params: Sequence[str], score: str) -> Da
                      F.count(F.lit(1)).alias("__rows")).withColumn("__one", F.lit(1))
     j = groups.withColumn("__one", F.lit(1)).join(F.broadcast(tot), "__one")
     between = F.sum(F.col("__n") * F.pow(F.col("__m") - F.col("__mu"), 2))
-    out = j.groupBy("param").agg((between / (F.first("__rows") * F.first("__var"))).alias("eta_sq"))
+    out = j.groupBy("param").agg(F.try_divide(between, F.first("__rows") * F.first("__var")).alias("eta_sq"))
     from pyspark.sql import Window
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("eta_sq"), F.asc("param"))))
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("eta_sq"), F.asc("param"))))
 
 
 def scaling_fractions(workers: Sequence[int], max_fraction: float = 1.0) -> list[tuple[str, int, float]]:
@@ -193,8 +193,8 @@ def scaling_sweep(df: DataFrame, key: str, workers: Sequence[int], max_fraction:
                   seed: int = 11) -> DataFrame:
     """Rows selected by each sweep configuration, counted in ONE pass (conditional sums)."""
     configs = scaling_fractions(workers, max_fraction)
-    b = portable_bucket(key, seed, 1000)
-    aggs = [F.sum(F.when(b < F.lit(int(math.floor(f * 1000 + 0.5))), 1).otherwise(0)).alias(f"c{i}")
+    b = portable_bucket(key, seed, 1 << 32)
+    aggs = [F.sum(F.when(b < F.lit(int(math.floor(f * 2**32 + 0.5))), 1).otherwise(0)).alias(f"c{i}")
             for i, (_, _, f) in enumerate(configs)]
     counts = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(t).alias("scaling_type"), F.lit(n).alias("n_workers"),

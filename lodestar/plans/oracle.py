@@ -21,6 +21,17 @@ def _fr(x: str, digits: int = 6) -> str:
 
 
 
+def _b(key: str, seed, modulus: int = 1000) -> str:
+    """Portable bucket; ``seed`` may be an int or a SQL expression."""
+    s = f"'{seed}'" if isinstance(seed, int) else f"CAST({seed} AS VARCHAR)"
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '-' || {s}), 1, 8))::BIGINT % {modulus})"
+
+
+def _part(thousandths: int) -> int:
+    """The 32-bit hash below which so many thousandths of all hashes lie."""
+    return int(thousandths / 1000 * 4294967296 + 0.5)
+
+
 # Analogue taxi source, same projection as fixtures.taxi_trips.
 TAXI_RAW = f"""
   SELECT {LINE_ID} AS row_id, l_orderkey AS trip_id, CAST(l_linenumber AS BIGINT) AS leg,
@@ -33,8 +44,10 @@ TAXI_RAW = f"""
          40.5 + (l_partkey % 200) / 100 AS dropoff_latitude
   FROM lineitem"""
 
-CLEAN_TAXI = f"""
-  SELECT row_id, TRY_CAST(trip_id AS INTEGER) AS trip_id,
+
+def _clean_taxi(raw: str) -> str:
+    return f"""
+  SELECT * FROM (SELECT row_id, trip_id,
          COALESCE(TRY_CAST(leg AS INTEGER), -1) AS leg,
          COALESCE(CAST(fare_amount AS FLOAT), -1) AS fare_amount,
          COALESCE(TRY_CAST(passenger_count AS INTEGER), -1) AS passenger_count,
@@ -47,7 +60,13 @@ CLEAN_TAXI = f"""
          COALESCE(CAST(pickup_latitude AS FLOAT), -1) AS pickup_latitude,
          COALESCE(CAST(dropoff_longitude AS FLOAT), -1) AS dropoff_longitude,
          COALESCE(CAST(dropoff_latitude AS FLOAT), -1) AS dropoff_latitude
-  FROM ({TAXI_RAW}) raw
+  FROM ({raw}) raw
+  WHERE fare_amount > 1000 AND fare_amount < 100000
+    AND passenger_count > 0 AND passenger_count < 6
+    AND pickup_longitude > -75 AND pickup_longitude < -73
+    AND dropoff_longitude > -75 AND dropoff_longitude < -73
+    AND pickup_latitude > 40 AND pickup_latitude < 42
+    AND dropoff_latitude > 40 AND dropoff_latitude < 42) cleaned
   WHERE fare_amount > 1000 AND fare_amount < 100000
     AND passenger_count > 0 AND passenger_count < 6
     AND pickup_longitude > -75 AND pickup_longitude < -73
@@ -55,8 +74,13 @@ CLEAN_TAXI = f"""
     AND pickup_latitude > 40 AND pickup_latitude < 42
     AND dropoff_latitude > 40 AND dropoff_latitude < 42"""
 
+
+CLEAN_TAXI = _clean_taxi(TAXI_RAW)
+
 ORACLE["clean_taxi"] = CLEAN_TAXI
 
+ORACLE["clean_wide_keys"] = _clean_taxi(TAXI_RAW.replace("l_orderkey AS trip_id", "l_orderkey + 3000000000 AS trip_id"))
+
 ORACLE["row_counts"] = f"""
   SELECT (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS rows_loaded,
          (SELECT CAST(count(*) AS BIGINT) FROM ({CLEAN_TAXI}) c) AS rows_clean"""
@@ -67,24 +91,18 @@ ORACLE["taxi_fare_weekday"] = f"""
          {_fr(_xmean('trip_distance'))} AS mean_distance
   FROM (SELECT *, isodow(pickup_datetime) - 1 AS day_of_week,
                CAST(isodow(pickup_datetime) >= 6 AS INTEGER) AS is_weekend,
-               CASE WHEN {portable_bucket_sql('trip_id', 42)} < 800 THEN 'train' ELSE 'test' END AS split
+               CASE WHEN {_b('trip_id', 42, 4294967296)} < {_part(800)} THEN 'train' ELSE 'test' END AS split
         FROM ({CLEAN_TAXI}) c) t
   GROUP BY split, day_of_week, is_weekend"""
 
 
-def _b(key: str, seed, modulus: int = 1000) -> str:
-    """Portable bucket; ``seed`` may be an int or a SQL expression."""
-    s = f"'{seed}'" if isinstance(seed, int) else f"CAST({seed} AS VARCHAR)"
-    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '-' || {s}), 1, 8))::BIGINT % {modulus})"
-
-
 def _money(col: str) -> str:
     return f"CAST(SUM(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
 # ----------------------------------------------------------------- sampling / splitting
 ORACLE["hash_sample"] = f"""
-  SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_b('o_orderkey', 7)} < 800"""
+  SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_b('o_orderkey', 7, 4294967296)} < {_part(800)}"""
 
 ORACLE["fixed_count_sample"] = f"""
   SELECT o_orderkey, o_totalprice FROM orders
@@ -93,7 +111,7 @@ ORACLE["fixed_count_sample"] = f"""
 ORACLE["split_counts"] = f"""
   SELECT seed, split, COUNT(*) AS n, {_money('o_totalprice')} AS total_price
   FROM (SELECT o_totalprice, seed,
-               CASE WHEN {_b('o_orderkey', 'seed')} < 800 THEN 'train' ELSE 'test' END AS split
+               CASE WHEN {_b('o_orderkey', 'seed', 4294967296)} < {_part(800)} THEN 'train' ELSE 'test' END AS split
         FROM orders, (VALUES (0), (1), (2), (3), (4)) s(seed)) t
   GROUP BY seed, split"""
 
@@ -105,7 +123,7 @@ ORACLE["row_estimate"] = f"""
   WITH per AS (
     SELECT CAST(year(o_orderdate) AS VARCHAR) AS source, COUNT(*) AS sampled,
            CAST(round(COUNT(*) / 0.1) AS BIGINT) AS estimate
-    FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997) AND {_b('o_orderkey', 3)} < 100
+    FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997) AND {_b('o_orderkey', 3, 4294967296)} < {_part(100)}
     GROUP BY 1)
   SELECT * FROM per
   UNION ALL SELECT NULL, CAST(SUM(sampled) AS BIGINT), CAST(SUM(estimate) AS BIGINT) FROM per"""
@@ -119,9 +137,9 @@ ORACLE["ordered_split"] = """
   GROUP BY split"""
 
 ORACLE["train_infer_split"] = f"""
-  SELECT 'train' AS part, COUNT(*) AS n FROM orders WHERE {_b('o_orderkey', 5)} < 750
-  UNION ALL SELECT 'infer', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5)} >= 750
-  UNION ALL SELECT 'infer_overlapping', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5)} < 250"""
+  SELECT 'train' AS part, COUNT(*) AS n FROM orders WHERE {_b('o_orderkey', 5, 4294967296)} < {_part(750)}
+  UNION ALL SELECT 'infer', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5, 4294967296)} >= {_part(750)}
+  UNION ALL SELECT 'infer_overlapping', COUNT(*) FROM orders WHERE {_b('o_orderkey', 5, 4294967296)} < {_part(250)}"""
 
 # ----------------------------------------------------------------- date / geo
 ORACLE["date_features"] = """
@@ -185,8 +203,8 @@ ORACLE["taxi_features"] = f"""
 
 # ----------------------------------------------------------------- encoders
 ORACLE["label_encode"] = f"""
-  WITH train AS (SELECT * FROM part WHERE {_b('p_partkey', 1)} < 700),
-       test AS (SELECT * FROM part WHERE {_b('p_partkey', 1)} >= 700),
+  WITH train AS (SELECT * FROM part WHERE {_b('p_partkey', 1, 4294967296)} < {_part(700)}),
+       test AS (SELECT * FROM part WHERE {_b('p_partkey', 1, 4294967296)} >= {_part(700)}),
        db AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS code
               FROM (SELECT DISTINCT p_brand FROM train WHERE p_brand IS NOT NULL) x),
        dt AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
@@ -220,8 +238,8 @@ ORACLE["target_encode_oof"] = """
 
 ORACLE["target_encode_apply"] = f"""
   WITH d AS (SELECT o_orderkey, o_custkey % 97 AS cust_bucket, CAST(o_orderstatus = 'F' AS INTEGER) AS y FROM orders),
-       train AS (SELECT * FROM d WHERE {_b('o_orderkey', 2)} < 800),
-       test AS (SELECT * FROM d WHERE {_b('o_orderkey', 2)} >= 800),
+       train AS (SELECT * FROM d WHERE {_b('o_orderkey', 2, 4294967296)} < {_part(800)}),
+       test AS (SELECT * FROM d WHERE {_b('o_orderkey', 2, 4294967296)} >= {_part(800)}),
        c AS (SELECT cust_bucket, SUM(CAST(y AS DOUBLE)) AS s_c, COUNT(y) AS n_c FROM train GROUP BY 1),
        m AS (SELECT AVG(CAST(y AS DOUBLE)) AS mu FROM train)
   SELECT t.o_orderkey,
@@ -439,10 +457,10 @@ ORACLE["scaling_sweep"] = f"""
   WITH c(scaling_type, n_workers, fraction) AS (VALUES
          ('weak', 1, 0.0625::DOUBLE), ('strong', 1, 0.5::DOUBLE), ('weak', 2, 0.125::DOUBLE), ('strong', 2, 0.5::DOUBLE),
          ('weak', 4, 0.25::DOUBLE), ('strong', 4, 0.5::DOUBLE), ('weak', 8, 0.5::DOUBLE), ('strong', 8, 0.5::DOUBLE)),
-       b AS (SELECT {_b('o_orderkey', 11)} AS bucket FROM orders)
+       b AS (SELECT {_b('o_orderkey', 11, 4294967296)} AS bucket FROM orders)
   SELECT c.scaling_type, CAST(c.n_workers AS INTEGER) AS n_workers, round(c.fraction, 6) AS fraction,
-         CAST(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 1000) AS BIGINT) THEN 1 ELSE 0 END) AS BIGINT) AS rows,
-         round(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 1000) AS BIGINT) THEN 1 ELSE 0 END) / c.n_workers, 6)
+         CAST(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 4294967296) AS BIGINT) THEN 1 ELSE 0 END) AS BIGINT) AS rows,
+         round(SUM(CASE WHEN b.bucket < CAST(round(c.fraction * 4294967296) AS BIGINT) THEN 1 ELSE 0 END) / c.n_workers, 6)
            AS rows_per_worker
   FROM c, b GROUP BY c.scaling_type, c.n_workers, c.fraction"""
 
@@ -590,11 +608,11 @@ ORACLE["result_append"] = """
   SELECT user_id, COUNT(*) AS n, MAX(value) AS best, event_type AS kind FROM events
   WHERE event_type IN ('view', 'click') GROUP BY user_id, event_type"""
 
-ORACLE["split_artifact"] = f"SELECT * FROM ({CLEAN_TAXI}) c WHERE {_b('row_id', 0)} >= 800"
+ORACLE["split_artifact"] = f"SELECT * FROM ({CLEAN_TAXI}) c WHERE {_b('row_id', 0, 4294967296)} >= {_part(800)}"
 
 ORACLE["fold_scores"] = f"""
   WITH r AS ({ORACLE['ridge_grid']})
-  SELECT "lambda", round(AVG(mse), 6) AS mean_score, round(MAX(mse), 6) AS best_score, round(MIN(mse), 6) AS worst_score,
+  SELECT "lambda", round(AVG(mse), 6) AS mean_score, round(MIN(mse), 6) AS best_score, round(MAX(mse), 6) AS worst_score,
          round(SUM(mse), 6) AS total, COUNT(*) AS n_folds
   FROM r GROUP BY 1"""
 

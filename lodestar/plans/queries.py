@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import dates, portable_bucket
-from lodestar.operators import clean
+from lodestar.operators import clean, sampling
 from lodestar.plans import fixtures
 from lodestar.plans.catalog import load
 
@@ -44,11 +44,13 @@ def xmean(col, scale: int = 2):
 
 
 # --------------------------------------------------------------------------- cleaning / filters
-def cleaned_taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cleaned_taxi(spark: SparkSession, sf_dir: str, key_offset: int = 0) -> DataFrame:
     raw = fixtures.taxi_trips(spark, sf_dir)
+    if key_offset:
+        raw = raw.withColumn("Trip_Id", F.col("Trip_Id") + F.lit(key_offset))
     return clean.clean_frame(raw, keep=fixtures.TAXI_KEEP, rename=fixtures.TAXI_RENAME,
                              timestamp_cols=("pickup_datetime",), on_string="cast",
-                             null_text="-1", fill=-1, filters=fixtures.TAXI_FILTERS, id_cols=("row_id",))
+                             null_text="-1", fill=-1, filters=fixtures.TAXI_FILTERS, id_cols=("row_id", "trip_id"))
 
 
 @register("clean_taxi")
@@ -56,6 +58,12 @@ def clean_taxi(spark, sf_dir):
     return cleaned_taxi(spark, sf_dir)
 
 
+@register("clean_wide_keys")
+def clean_wide_keys(spark, sf_dir):
+    """The cleaning chain over trip ids beyond 32 bits."""
+    return cleaned_taxi(spark, sf_dir, key_offset=3_000_000_000)
+
+
 @register("row_counts")
 def row_counts(spark, sf_dir):
     """Rows loaded and rows kept by the cleaning chain (the counts behind load/ETL throughput)."""
@@ -72,7 +80,7 @@ def taxi_fare_weekday(spark, sf_dir):
     df = df.withColumns({
         "day_of_week": dates.weekday_mon0("pickup_datetime"),
         "is_weekend": dates.is_weekend("pickup_datetime"),
-        "split": F.when(portable_bucket("trip_id", 42) < 800, F.lit("train")).otherwise(F.lit("test")),
+        "split": sampling.split_column("trip_id", 0.8, 42),
     })
     return (df.groupBy("split", "day_of_week", "is_weekend")
               .agg(F.count(F.lit(1)).alias("n_trips"),
@@ -82,8 +90,6 @@ def taxi_fare_weekday(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- sampling / splitting
-from lodestar.operators import sampling  # noqa: E402
-
 
 def _orders(spark, sf_dir, cols=("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")):
     return load(spark, sf_dir, "orders", list(cols))
@@ -364,10 +370,19 @@ def union_years(spark, sf_dir):
     return aggregates.union_by_name([a, b, c])
 
 
+def _values(df: DataFrame, column: str) -> list:
+    """The distinct values that become columns, from the data; fails beyond Spark's limit of pivot columns."""
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    rows = df.select(column).distinct().orderBy(column).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{column} has more than {limit} values")
+    return [r[0] for r in rows]
+
+
 @register("score_heatmap")
 def score_heatmap(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", ["l_linenumber", "l_returnflag", "l_discount"])
-    return (li.groupBy("l_linenumber").pivot("l_returnflag", ["A", "N", "R"])
+    return (li.groupBy("l_linenumber").pivot("l_returnflag", _values(li, "l_returnflag"))
               .agg(fr(xmean("l_discount"))))
 
 
@@ -616,7 +631,7 @@ def gbt_fit(spark, sf_dir):
 def logreg_fit(spark, sf_dir):
     train, test = _delay_split(spark, sf_dir)
     m = models.fit_cached(models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary",
-                                                     penalty="elasticnet", C=1.0, l1_ratio=0.5, n_rows=1000), train)
+                                                     penalty="elasticnet", C=1.0, l1_ratio=0.5, n_rows=train.count()), train)
     return models.score(m, test, ["flight_id", "ArrDelayBinary"])
 
 
@@ -655,7 +670,7 @@ def rff_svm(spark, sf_dir):
     emb = emb.withColumn("y", (F.col("label") < 5).cast("double"))
     feats = emb.select("vec_id", "y", models.random_fourier_features("embedding", 64, 64, gamma=1.0, seed=0))
     train, test = sampling.train_test_split(feats, "vec_id", 0.8, seed=0)
-    m = models.linear_svc("y", C=100.0, n_rows=1000).fit(train)
+    m = models.linear_svc("y", C=100.0, n_rows=train.count()).fit(train)
     return m.transform(test).select("vec_id", "y", "prediction")
 
 
@@ -685,7 +700,7 @@ def leaderboard(spark, sf_dir):
     builders = {
         "random_forest": models.random_forest(feats, label, n_estimators=10, max_depth=6, seed=0),
         "boosted_trees": models.boosted_trees(feats, label, n_rounds=10, max_depth=4, seed=0),
-        "logistic_regression": models.logistic_regression(feats, label, penalty="l2", C=1.0, n_rows=1000),
+        "logistic_regression": models.logistic_regression(feats, label, penalty="l2", C=1.0, n_rows=train.count()),
     }
     preds = {}
     for name, est in builders.items():
@@ -745,7 +760,7 @@ def tree_shap_sampled(spark, sf_dir):
 def grid_search(spark, sf_dir):
     train, _ = _delay_split(spark, sf_dir)
     train = train.withColumn("fold", sampling.kfold_column("flight_id", 3, seed=0))
-    est = models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_rows=1000)
+    est = models.logistic_regression(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_rows=train.count())
     return models.grid_search(est, {"regParam": [0.0, 0.01], "elasticNetParam": [0.0, 1.0]}, train,
                               "ArrDelayBinary", "fold", parallelism=2)
 
@@ -817,8 +832,7 @@ def stream_score(spark, sf_dir):
 
     def prepare(df):
         return df.withColumn("features", array_to_vector(F.slice("embedding", 1, 16).cast("array<double>")))
-    return run_stream(spark, model, landing, emb.schema, out, ckpt, prepare, keep=["vec_id"],
-                      max_files_per_trigger=1)
+    return run_stream(spark, model, landing, emb.schema, out, ckpt, prepare, keep=["vec_id"])
 
 
 # --------------------------------------------------------------------------- sources and sinks
@@ -959,7 +973,7 @@ def feature_search(spark, sf_dir):
 def fold_scores(spark, sf_dir):
     """Per-lambda mean / best / worst / total of the held-out fold errors (fold mean = final score)."""
     folds = ridge_grid(spark, sf_dir)
-    out = metric_ops.fold_summary(folds, ["lambda"], "mse")
+    out = metric_ops.fold_summary(folds, ["lambda"], "mse", higher_is_better=False)
     return out.select("lambda", *[r(F.col(c), 6).alias(c) for c in ("mean_score", "best_score", "worst_score",
                                                                      "total")], "n_folds")
 
@@ -969,8 +983,7 @@ def aligned_runs(spark, sf_dir):
     """Runs (one per event type) aligned side by side by their step index (column-wise concat)."""
     ev = load(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
     steps = scan.row_number(ev, ["event_type"], ["ts", "event_id"], out="step")
-    return steps.groupBy("step").pivot("event_type", ["click", "error", "purchase", "signup", "view"]).agg(
-        F.first("value"))
+    return steps.groupBy("step").pivot("event_type", _values(ev, "event_type")).agg(F.first("value"))
 
 
 @register("optimization_history")
@@ -1030,18 +1043,16 @@ def tree_shap_interactions(spark, sf_dir):
 def json_score_stream(spark, sf_dir):
     """Request bodies land as JSON files; a streaming query scores them (malformed -> 'unsupported')."""
     from lodestar.streaming import score_requests
+    from lodestar.streaming.scoring import finish
     run = shared_path(spark, "json_score_stream", _tag(sf_dir), unique=True)
     bodies = _request_bodies(spark, sf_dir)
     bodies.repartition(4, "request_id").write.mode("overwrite").json(f"{run}/in")
     model = _embedding_classifier(spark, sf_dir)
-    stream = spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", 1).json(f"{run}/in")
+    stream = spark.readStream.schema(bodies.schema).option("maxBytesPerTrigger", 1 << 30).json(f"{run}/in")
     out = score_requests(model, stream, "request_id", "body", n_features=16, threshold=0.5)
     q = (out.writeStream.format("parquet").option("checkpointLocation", f"{run}/_checkpoint")
          .outputMode("append").trigger(availableNow=True).start(f"{run}/out"))
-    q.awaitTermination(600)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("request stream did not finish")
+    finish(q)
     return spark.read.parquet(f"{run}/out")
 
 

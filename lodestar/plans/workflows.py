@@ -68,10 +68,10 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
     train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
     ranked = chi2_vector_scores(train_cache, VEC, feats, LABEL)
     position = {f: i for i, f in enumerate(feats)}
-    space = trial_ops.SearchSpace({"k": ("int", 5, min(60, len(feats))), "C": ("loguniform", 1e-3, 10.0),
+    space = trial_ops.SearchSpace({"k": ("int", 5, len(feats)), "C": ("loguniform", 1e-3, 10.0),
                                    "l1": ("choice", [0.0, 1.0])})
     cands = space.random(n_trials, seed=seed)
-    n_rows = 1000
+    n_rows = train_cache.count()
     concurrent = max(1, min(len(cands), parallelism or len(cands)))
     share = -(-spark.sparkContext.defaultParallelism // concurrent)  # cores per concurrent fit
     train = models.right_size(train_cache, min_partitions=share)

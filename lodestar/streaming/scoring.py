@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 REQUEST_SCHEMA = T.ArrayType(T.ArrayType(T.DoubleType()))
@@ -56,23 +57,31 @@ def score_requests(model, df: DataFrame, request_id: str, body: str, n_features:
 
 def stream_score(spark: SparkSession, model, source_dir: str, schema: T.StructType, output_dir: str,
                  checkpoint_dir: str, prepare: Callable[[DataFrame], DataFrame], keep: list[str],
-                 max_files_per_trigger: int = 1, timeout_s: float | None = 600) -> DataFrame:
+                 max_bytes_per_trigger: int = 1 << 30, timeout_s: float | None = None) -> DataFrame:
     """Score every file that lands in ``source_dir`` (Parquet) and append results to ``output_dir``.
 
     Stateless: each micro-batch is ``prepare -> model.transform``. The trigger
-    processes what is available in bounded batches (``maxFilesPerTrigger``)
+    processes what is available in bounded batches (``maxBytesPerTrigger``)
     and stops; progress lives in ``checkpoint_dir`` so a restarted query skips
     files it already scored. Returns the output table.
     """
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = (spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes_per_trigger)
               .parquet(source_dir))
     scored = model.transform(prepare(stream)).select(*keep, F.col("prediction").cast("double").alias("prediction"))
     q = (scored.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
          .outputMode("append").trigger(availableNow=True).start(output_dir))
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream scoring did not finish in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finish(q, timeout_s)
     return spark.read.parquet(output_dir)
+
+
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for a query over what is available; no limit unless one is given. Errors of the query are raised."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError("the stream did not finish in time")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
