@@ -60,6 +60,8 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str, exact: bool = True,
         pa = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
         q = df.groupBy(*by).agg(pa.alias("__q")).select(
             *by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
+    # NaN counts as missing, as for the quartiles
+    df = df.withColumn(value, F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
     mm = df.groupBy(*by).agg(F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"),
                              F.count(F.col(value)).alias("n"))
     j = q.join(mm, on=list(by)) if by else q.withColumn("__one", F.lit(1)).join(
@@ -72,18 +74,19 @@ def throughput(df: DataFrame, by: str, elapsed: str, baseline: str, rows: str |
     """rows per second per group and speed-up relative to the ``baseline`` group.
 
     Elapsed times are summed (exactly, for decimal input), converted to double
-    and divided by ``divisor`` (e.g. 1000 for milliseconds). The baseline
+    and divided by ``divisor`` (e.g. 1000 for milliseconds); no time or a missing
+    baseline gives NULL rates. The baseline
     rate is a one-row aggregate joined back by broadcast, so no task ever
     holds the whole grouped table, however many groups there are.
     """
     n = F.sum(F.col(rows)) if rows else F.count(F.lit(1))
     g = df.groupBy(by).agg(n.alias("rows"),
                            (F.sum(elapsed).cast("double") / F.lit(float(divisor))).alias("elapsed"))
-    g = g.withColumn("rows_per_s", F.col("rows") / F.col("elapsed"))
+    g = g.withColumn("rows_per_s", F.try_divide("rows", "elapsed"))
     base = (g.agg(F.max(F.when(F.col(by) == F.lit(baseline), F.col("rows_per_s"))).alias("__base"))
              .withColumn("__one", F.lit(1)))
     out = g.withColumn("__one", F.lit(1)).join(F.broadcast(base), "__one")
-    return out.withColumn("speedup", F.col("rows_per_s") / F.col("__base")).drop("__one", "__base")
+    return out.withColumn("speedup", F.try_divide("rows_per_s", "__base")).drop("__one", "__base")
 
 
 def best_so_far(df: DataFrame, run: str, order: Sequence[str], metric: str, mode: str = "max",

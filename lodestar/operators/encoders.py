@@ -86,7 +86,7 @@ def target_encode_oof(df: DataFrame, category: str, target: str, fold: str,
            .withColumn("__one", F.lit(1)).join(F.broadcast(mean), "__one"))
     num = F.col("__s_c") - F.col("__s_cf") + F.lit(smooth) * F.col("__mu")
     den = (F.col("__n_c") - F.col("__n_cf")).cast("double") + F.lit(smooth)
-    enc = F.when(F.col("__n_c").isNull(), F.col("__mu")).otherwise(num / den)
+    enc = F.when(F.col("__n_c").isNull(), F.col("__mu")).otherwise(F.coalesce(F.try_divide(num, den), F.col("__mu")))
     return j.withColumn(out, enc).drop("__s_cf", "__n_cf", "__s_c", "__n_c", "__mu", "__one")
 
 

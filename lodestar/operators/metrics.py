@@ -35,7 +35,7 @@ def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Rows are first collapsed to distinct scores with positive/negative counts
     (partial aggregation), then ranks come from the skew-safe global scan over
-    the sorted distinct scores.
+    the sorted distinct scores. NULL if all labels are the same.
     """
     hist = df.groupBy(score).agg(F.sum(_c(label).cast("long")).alias("__pos"),
                                  F.count(F.lit(1)).alias("__cnt"))
@@ -43,8 +43,8 @@ def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
     avg_rank = F.col("__cum") - F.col("__cnt") + (F.col("__cnt") + F.lit(1)) / F.lit(2.0)
     tot = cum.agg(F.sum(F.col("__pos") * avg_rank).alias("__rsum"), F.sum("__pos").alias("n_pos"),
                   F.sum(F.col("__cnt") - F.col("__pos")).alias("n_neg"))
-    auc = (F.col("__rsum") - F.col("n_pos") * (F.col("n_pos") + F.lit(1)) / F.lit(2.0)) / (
-        F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
+    auc = F.try_divide(F.col("__rsum") - F.col("n_pos") * (F.col("n_pos") + F.lit(1)) / F.lit(2.0),
+                       F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
     return tot.select("n_pos", "n_neg", auc.alias("auc"))
 
 
@@ -56,12 +56,12 @@ def log_loss(df: DataFrame, label: str, prob: str, eps: float = 1e-15) -> DataFr
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """MSE, RMSE, MAE and R^2 (SST = n * population variance: one pass, stable)."""
+    """MSE, RMSE, MAE and R^2 (SST = n * population variance: one pass, stable; NULL for a constant label)."""
     err = _c(label).cast("double") - _c(prediction).cast("double")
     g = df.agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"),
                F.sum(err * err).alias("__sse"), F.var_pop(_c(label).cast("double")).alias("__var"))
     return g.select("n", "mse", F.sqrt("mse").alias("rmse"), "mae",
-                    (F.lit(1.0) - F.col("__sse") / (F.col("n") * F.col("__var"))).alias("r2"))
+                    (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("n") * F.col("__var"))).alias("r2"))
 
 
 def cluster_purity(df: DataFrame, cluster: str, label: str) -> DataFrame:
@@ -72,8 +72,9 @@ def cluster_purity(df: DataFrame, cluster: str, label: str) -> DataFrame:
                     (F.sum("__m") / F.sum("__n")).alias("purity"))
 
 
-def fold_summary(scores: DataFrame, by: list[str], score: str) -> DataFrame:
-    """mean / max / min / sum of per-fold scores (final score = fold mean)."""
-    return scores.groupBy(*by).agg(F.avg(score).alias("mean_score"), F.max(score).alias("best_score"),
-                                   F.min(score).alias("worst_score"), F.sum(score).alias("total"),
+def fold_summary(scores: DataFrame, by: list[str], score: str, higher_is_better: bool = True) -> DataFrame:
+    """mean / best / worst / sum of per-fold scores (final score = fold mean); of an error the smallest is best."""
+    best, worst = (F.max, F.min) if higher_is_better else (F.min, F.max)
+    return scores.groupBy(*by).agg(F.avg(score).alias("mean_score"), best(score).alias("best_score"),
+                                   worst(score).alias("worst_score"), F.sum(score).alias("total"),
                                    F.count(F.lit(1)).alias("n_folds"))

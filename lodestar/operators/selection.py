@@ -16,11 +16,16 @@ def chi2_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
     chi2_j = sum_c (observed - expected)^2 / expected.
     The only pass over the data is one ``groupBy(label)`` with partial
     aggregation; everything after it is on (#classes x #features) rows.
-    Output: feature, chi2, rank (1 = highest score).
+    Output: feature, chi2 (NULL for a feature that is zero throughout), rank (1 = highest score).
+    A negative value fails the query.
     """
     feats = list(features)
+
+    def counted(f: str):
+        c = F.col(f)
+        return F.when(c < 0, F.raise_error(F.lit(f"chi-square of a negative value in {f}")).cast("double")).otherwise(c)
     per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"),
-                                      *[F.sum(F.col(f)).cast("double").alias(f) for f in feats])
+                                      *[F.sum(counted(f)).cast("double").alias(f) for f in feats])
     long = per_class.unpivot([label, "__n"], feats, "feature", "observed")
     feat = Window.partitionBy("feature")
     long = long.withColumns({
@@ -28,10 +33,10 @@ def chi2_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
         "__tot": F.sum("observed").over(feat),
     })
     long = long.withColumn("__exp", F.col("__p") * F.col("__tot"))
-    term = F.pow(F.col("observed") - F.col("__exp"), 2) / F.col("__exp")
+    term = F.try_divide(F.pow(F.col("observed") - F.col("__exp"), 2), F.col("__exp"))
     scores = long.groupBy("feature").agg(F.sum(term).alias("chi2"))
-    # Ranking window over #features rows only.
-    rank = Window.orderBy(F.desc("chi2"), F.asc("feature"))
+    # Ranking window over #features rows only; features without a score come last.
+    rank = Window.orderBy(F.desc_nulls_last("chi2"), F.asc("feature"))
     return scores.withColumn("rank", F.row_number().over(rank))
 
 

@@ -42,8 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the deployment (a shared file
-    system path) and is only read here. When nothing is configured (local
-    tests) a private folder is created once and registered on the session.
+    system path) and is only read here. When nothing is configured and the
+    master is local (tests) a private folder is created once and registered
+    on the session; on a cluster that is an error, as executors don't share
+    the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
