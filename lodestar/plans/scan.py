@@ -26,6 +26,8 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,9 @@ from pyspark.sql import types as T
 _PID = "__pid"
 _OPS = ("sum", "max", "min", "count")
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: Bytes of a value, about; 16 for types that aren't named.
+_WIDTHS = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.StringType: 24, T.BinaryType: 64,
+           T.ArrayType: 128, T.MapType: 128, T.StructType: 64}
 
 
 def _out_type(op: str, dtype: T.DataType | None) -> T.DataType:
@@ -43,88 +48,91 @@ def _out_type(op: str, dtype: T.DataType | None) -> T.DataType:
     return T.DoubleType()
 
 
+def _same(a, b) -> bool:
+    """Equal key values; NULL equals NULL and NaN equals NaN."""
+    return a == b or (isinstance(a, float) and isinstance(b, float) and np.isnan(a) and np.isnan(b))
+
+
+def _segments(batch: pa.RecordBatch, key_cols: list[str]) -> np.ndarray:
+    """Number of the key run of each row (rows are sorted by key)."""
+    change = np.zeros(batch.num_rows, dtype=bool)
+    for c in key_cols:
+        codes = pc.dictionary_encode(batch[c], null_encoding="encode").indices.to_numpy()
+        change[1:] |= codes[1:] != codes[:-1]
+    return np.cumsum(change)
+
+
+def _values(column: pa.Array, integral: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Values (0 where missing) and flags of the rows that have one; NULL and NaN are missing."""
+    if integral:
+        has = np.asarray(pc.is_valid(column))
+        return np.asarray(pc.fill_null(column.cast(pa.int64()), 0)), has
+    floats = np.asarray(pc.fill_null(column.cast(pa.float64()), float("nan")))
+    has = ~np.isnan(floats)
+    return np.where(has, floats, 0.0), has
+
+
 def _local_scan_fn(key_cols: list[str], specs: list[tuple[str, str, str | None]],
                    out_types: dict[str, T.DataType]):
-    """Per-partition running aggregates over rows sorted by (keys, order)."""
-
-    def same_key(a, b) -> bool:
-        if a is None or b is None:
-            return False
-        for x, y in zip(a, b):
-            if x is None or (isinstance(x, float) and np.isnan(x)):
-                if not (y is None or (isinstance(y, float) and np.isnan(y))):
-                    return False
-            elif x != y:
-                return False
-        return True
+    """Per-partition running aggregates over rows sorted by (keys, order).
+
+    Arrow columns go through untouched; integers are added and compared as 64-bit integers.
+    """
+    lowest, highest = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
     def fn(batches):
-        prev_key = None
-        prev = {}
-        for pdf in batches:
-            n = len(pdf)
+        prev_key, prev = None, {}
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            if key_cols:
-                seg = pdf.groupby(key_cols, sort=False, dropna=False).ngroup().to_numpy()
-            else:
-                seg = np.zeros(n, dtype=np.int64)
-            first_key = tuple(pdf[c].iloc[0] for c in key_cols) if key_cols else ()
-            continues = same_key(prev_key, first_key) if key_cols else prev_key is not None
-            in_first = seg == seg[0]
+            seg = _segments(batch, key_cols)
+            first_key = [batch[c][0].as_py() for c in key_cols]
+            continues = prev_key is not None and all(_same(a, b) for a, b in zip(prev_key, first_key))
+            in_first = seg == 0
+            columns = {c: batch[c] for c in batch.schema.names}
             for out, op, col in specs:
+                integral = isinstance(out_types[out], T.LongType)
                 if col is None:
-                    vals = pd.Series(np.ones(n, dtype=np.float64))
+                    vals, has = np.ones(n, dtype=np.int64), np.ones(n, dtype=bool)
                 else:
-                    vals = pd.Series(pd.to_numeric(pdf[col], errors="coerce").to_numpy(dtype=np.float64, na_value=np.nan))
-                notna = vals.notna()
-                seen = notna.groupby(seg).cumsum().to_numpy(dtype=np.float64)
+                    vals, has = _values(batch[col], integral) if op != "count" else (
+                        np.zeros(n, dtype=np.int64), np.asarray(pc.is_valid(batch[col])))
+                    if op == "count" and pa.types.is_floating(batch[col].type):
+                        has = _values(batch[col], False)[1]
+                grouped = lambda x: pd.Series(x).groupby(seg)
+                seen = grouped(has.astype(np.int64)).cumsum().to_numpy()
                 if op == "count":
-                    res = seen
+                    res, join = seen, np.add
                 elif op == "sum":
-                    res = vals.fillna(0.0).groupby(seg).cumsum().to_numpy(dtype=np.float64)
+                    res, join = grouped(vals).cumsum().to_numpy(), np.add
                 elif op == "max":
-                    res = vals.fillna(-np.inf).groupby(seg).cummax().to_numpy(dtype=np.float64)
+                    res = grouped(np.where(has, vals, lowest if integral else -np.inf)).cummax().to_numpy()
+                    join = np.maximum
                 else:
-                    res = vals.fillna(np.inf).groupby(seg).cummin().to_numpy(dtype=np.float64)
+                    res = grouped(np.where(has, vals, highest if integral else np.inf)).cummin().to_numpy()
+                    join = np.minimum
                 if continues:
-                    carry_v, carry_seen = prev[out]
-                    if op in ("count",):
-                        res = np.where(in_first, res + carry_v, res)
-                    elif op == "sum":
-                        res = np.where(in_first, res + carry_v, res)
-                    elif op == "max":
-                        res = np.where(in_first, np.maximum(res, carry_v), res)
-                    else:
-                        res = np.where(in_first, np.minimum(res, carry_v), res)
-                    seen = np.where(in_first, seen + carry_seen, seen)
+                    carry, carry_seen = prev[out]
+                    res = np.where(in_first, join(res, carry), res)
+                    seen = np.where(in_first, seen + carry_seen, seen) if op != "count" else res
                 prev[out] = (res[-1], seen[-1])
-                if op != "count":
-                    res = np.where(seen > 0, res, np.nan)
-                if isinstance(out_types[out], T.LongType):
-                    pdf[out] = pd.array(np.where(np.isnan(res), 0, res).astype(np.int64), dtype="Int64")
-                    if op != "count":
-                        pdf.loc[np.isnan(res), out] = pd.NA
-                else:
-                    pdf[out] = res
-            prev_key = tuple(pdf[c].iloc[-1] for c in key_cols) if key_cols else ()
-            yield pdf
+                none = seen == 0 if op != "count" else np.zeros(n, dtype=bool)
+                columns[out] = pa.array(res, pa.int64() if integral else pa.float64(), mask=none)
+            prev_key = [batch[c][n - 1].as_py() for c in key_cols]
+            yield pa.RecordBatch.from_pydict(columns)
 
     return fn
 
 
 def scan_partitions(df: DataFrame, target_bytes: int = 128 << 20) -> int:
-    """Range partitions for a scan: the plan's size estimate / target, at least the default
-    parallelism, at most ``spark.sql.shuffle.partitions`` (AQE cannot coalesce a fixed-count
-    range exchange, so small inputs should not get hundreds of partitions)."""
-    spark = df.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: use the configured count
-        return cap
-    want = max(spark.sparkContext.defaultParallelism, -(-size // target_bytes))
-    return max(1, min(cap, want))
+    """Range partitions for a scan: enough for ``target_bytes`` of the rows counted at the width of their types.
+
+    The count reads no more columns than the plan below needs. There is no upper limit; the lower one is the default
+    parallelism, as AQE cannot coalesce a range exchange of a fixed number.
+    """
+    width = sum(_WIDTHS.get(type(f.dataType), 16) for f in df.schema.fields)
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * (width + 8) // target_bytes))
 
 
 def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -133,7 +141,8 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
     """Inclusive running aggregates, like ``agg(col).over(partitionBy.orderBy.rowsBetween(-inf, 0))``.
 
     ``aggs`` maps output name -> (op, column); op in sum/max/min/count and a
-    ``None`` column counts rows (a row number when the order is total).
+    ``None`` column counts rows (a row number when the order is total). NULL and
+    NaN values are missing: they change no aggregate.
     ``order_by`` must be a total order within each key for deterministic results
     (add a unique id as the last element).
 
@@ -163,18 +172,23 @@ def running_aggregate(df: DataFrame, partition_by: Sequence[str], order_by: Sequ
     ranged = parted.withColumn(_PID, F.spark_partition_id())
     schema = T.StructType(list(ranged.schema.fields)
                           + [T.StructField(o, out_types[o], True) for o, _, _ in specs])
-    local = ranged.mapInPandas(_local_scan_fn(keys, specs, out_types), schema=schema)
+    local = ranged.mapInArrow(_local_scan_fn(keys, specs, out_types), schema=schema)
 
     # Segment totals per (partition, key) from the raw values, with map-side
     # partial aggregation. With a materialised input they come straight from
     # the checkpoint (no second Python pass); otherwise from ``local``, whose
     # Python pass consumes every column so both branches share one exchange.
     seg_aggs = []
+    def present(col: str):
+        """The column with NaN as missing, as in the partitions' scan."""
+        c = F.col(col)
+        return F.nanvl(c, F.lit(None).cast(types[col])) if isinstance(types[col], (T.FloatType, T.DoubleType)) else c
+
     for out, op, col in specs:
         if op == "count":
-            seg_aggs.append((F.count(F.col(col)) if col else F.count(F.lit(1))).alias(out))
+            seg_aggs.append((F.count(present(col)) if col else F.count(F.lit(1))).alias(out))
         else:
-            seg_aggs.append(getattr(F, op)(F.col(col)).alias(out))
+            seg_aggs.append(getattr(F, op)(present(col)).alias(out))
     summary = (ranged if materialize else local).groupBy(_PID, *keys).agg(*seg_aggs)
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(_PID) \
         .rowsBetween(Window.unboundedPreceding, -1)

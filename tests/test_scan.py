@@ -52,7 +52,7 @@ def test_scan_reads_checkpoint_once_in_python(spark):
     d.collect()
     plan = d._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("MapInPandas") == 1          # one Python pass over the rows
+    assert final.count("MapInArrow") == 1           # one Python pass over the rows
     assert "Scan ExistingRDD" in final               # both branches read the checkpoint
     assert "rangepartitioning" not in final          # no second, independently sampled exchange
 
