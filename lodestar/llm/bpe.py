@@ -5,8 +5,10 @@ are put in one row (an Arrow step). A fold over that row's array merges the
 pre-tokens: the state is a string with one character per symbol, each step
 replaces the pair of the lowest rank, and ranks come from a literal map inside
 the plan. A last Arrow step lays the ids of the pre-tokens out in document
-order. Nothing is shuffled, and memory is bounded by the run of documents
-(``CHUNK`` characters, or one longer text).
+order. A task sends each distinct pre-token through the fold once, until it has
+seen ``KNOWN`` of them and begins anew. Nothing is shuffled, and memory is
+bounded by these and by the run of documents (``CHUNK`` characters, or one
+longer text).
 
 The rank file's path is a parameter. The map holds pairs of tokens whose
 concatenation is a token, so a pair's rank is the joined token's rank, as in
@@ -25,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +35,16 @@ from pyspark.sql import types as T
 
 from lodestar.llm import pretokens
 
-#: Characters of text whose distinct pre-tokens share a row.
-CHUNK = 16_000_000
-#: Buckets of the literal rank map; a look-up scans one of them.
-BUCKETS = 1 << 16
+#: Characters of text that share a row.
+CHUNK = 4_000_000
+#: Distinct pre-tokens that a task remembers from row to row before it begins anew.
+KNOWN = 400_000
 #: A merged token is the character at its rank plus this; lower characters are single bytes.
 FIRST = 256
 #: Sorts after every symbol: no rank.
-NONE = "￿"
+NONE = "\uffff"
+#: Symbols up to which a pre-token's pairs are cut out by place; longer ones are split into symbols.
+SHORT = 64
 
 
 @lru_cache(maxsize=4)
@@ -53,25 +58,47 @@ def _symbol(token: bytes, rank: int) -> str:
     return chr(token[0]) if len(token) == 1 else chr(rank + FIRST)
 
 
+def _pair_buckets(symbol: dict[bytes, str]) -> list[str]:
+    """The rank map as strings: bucket h holds ``joined first second`` of each pair with that hash, then ``NONE``.
+
+    A pair is found by searching its bucket. The number of buckets is chosen so that no two neighbouring characters
+    of a bucket that are no entry's pair have the bucket's hash as well; so nothing is found by mistake.
+    """
+    def hashed(pairs: list[str]) -> np.ndarray:
+        return np.array([xxhash.xxh64_intdigest(p.encode(), seed=42) for p in pairs], np.uint64).view(np.int64)
+
+    entries = [symbol[t] + symbol[t[:i]] + symbol[t[i:]] for t in symbol for i in range(1, len(t))
+               if t[:i] in symbol and t[i:] in symbol]
+    own, before = hashed([e[1:] for e in entries]), hashed([e[:2] for e in entries])
+    last = hashed([e[2] + NONE for e in entries])
+    for count in range(1 << 16, 1 << 20):
+        home = own % count
+        if (home == before % count).any() or (home == last % count).any():
+            continue
+        order = np.argsort(home, kind="stable")
+        same = home[order[1:]] == home[order[:-1]]
+        joints = [entries[i][2] + entries[k][0] for i, k in zip(order[:-1][same], order[1:][same])]
+        if (hashed(joints) % count == home[order[1:][same]]).any():
+            continue
+        buckets = [""] * count
+        for i in order:
+            buckets[home[i]] += entries[i]
+        return [text + NONE for text in buckets]
+    raise ValueError("no number of buckets keeps the pairs apart")
+
+
 @lru_cache(maxsize=4)
-def _tables(path: str) -> tuple[str, str, str]:
-    """JSON of the rank map in buckets, of the ranks of single bytes, and of the tokens' bytes in hex."""
+def _tables(path: str) -> tuple[str, int, str, str]:
+    """JSON of the rank map's buckets, their number, JSON of the ranks of single bytes, and of all tokens in hex."""
     ranks = read_ranks(path)
     if max(ranks.values()) + FIRST >= 0xD800:
         raise ValueError("too many tokens for one character each")
-    symbol = {t: _symbol(t, r) for t, r in ranks.items()}
-    buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-    for token in ranks:
-        for i in range(1, len(token)):
-            a, b = symbol.get(token[:i]), symbol.get(token[i:])
-            if a is not None and b is not None:
-                pair = a + b
-                h = xxhash.xxh64_intdigest(pair.encode(), seed=42)
-                buckets[h % BUCKETS][pair] = symbol[token]
+    symbol = {t: chr(t[0]) if len(t) == 1 else chr(r + FIRST) for t, r in ranks.items()}
+    buckets = _pair_buckets(symbol)
     hexes = [""] * (max(ranks.values()) + 1)
     for t, r in ranks.items():
         hexes[r] = t.hex()
-    return json.dumps(buckets), json.dumps([ranks[bytes([i])] for i in range(256)]), json.dumps(hexes)
+    return json.dumps(buckets), len(buckets), json.dumps([ranks[bytes([i])] for i in range(256)]), json.dumps(hexes)
 
 
 def _literal(text: str, kind: str) -> Column:
@@ -79,53 +106,84 @@ def _literal(text: str, kind: str) -> Column:
     return F.from_json(F.lit(text), kind)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def encode_words(words: Column, ranks_path: str) -> Column:
-    """``array<binary>`` of pre-tokens to ``array<array<int>>`` of their ids."""
-    rank_json, byte_json, _ = _tables(ranks_path)
-    ranks, single = _literal(rank_json, "array<map<string,string>>"), _literal(byte_json, "array<int>")
+    """``array<binary>`` of pre-tokens to ``array<array<int>>`` of their ids.
+
+    The state of the fold is a string: the pair of neighbours with the lowest rank, as ``joined first second``
+    (``NONE`` when no pair has a rank), then the symbols. A step replaces that pair wherever it stands.
+    """
+    bucket_json, count, byte_json, _ = _tables(ranks_path)
+    single = _literal(byte_json, "array<int>")
+    places = _literal(json.dumps(list(range(1, SHORT + 1))), "array<int>")
+    rest = 2**31 - 1
 
-    def lowest(s: Column) -> Column:
-        """The pair of neighbours with the lowest rank, as struct<symbol of the joined token, pair>."""
-        signs = F.split(s, "")
-        pairs = F.zip_with(signs, F.slice(signs, 2, F.length(s)), lambda a, b: F.concat(a, b))
-        bucket = lambda p: F.element_at(ranks, F.pmod(F.xxhash64(p), F.lit(BUCKETS)).cast("int") + 1)
-        found = lambda p: F.struct(F.coalesce(F.element_at(bucket(p), p), F.lit(NONE)).alias("to"), p.alias("pair"))
-        return F.array_min(F.transform(F.filter(pairs, lambda p: p.isNotNull()), found))
+    def encode_all(ranks: Column) -> Column:
+        def look(pair: Column) -> Column:
+            bucket = F.get(ranks, F.pmod(F.xxhash64(pair), F.lit(count)).cast("int"))
+            return F.substring(bucket, F.instr(bucket, pair) - 1, 3)  # not found: the last character, NONE
 
-    def step(state: Column, _: Column) -> Column:
-        done = F.coalesce(state["best"]["to"], F.lit(NONE)) == F.lit(NONE)
-        joined = F.replace(state["s"], state["best"]["pair"], state["best"]["to"])
-        return F.when(done, state).otherwise(F.struct(joined.alias("s"), lowest(joined).alias("best")))
+        def near(s: Column) -> Column:
+            """All pairs, each cut out by its place."""
+            return F.transform(F.slice(places, 1, F.length(s) - 1), lambda i: F.substring(s, i, 2))
 
-    def ids(s: Column) -> Column:
-        code = lambda c: F.ascii(c)
-        return F.transform(F.split(s, ""), lambda c: F.when(
-            code(c) < FIRST, F.element_at(single, code(c) + 1)).otherwise(code(c) - FIRST))
+        def far(s: Column) -> Column:
+            """All pairs of a long string."""
+            return _let(F.split(s, ""), lambda c: F.zip_with(
+                F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.concat(a, b)))
 
-    def encode(word: Column) -> Column:
-        start = F.decode(word, "ISO-8859-1")  # one character per byte
-        return F.aggregate(F.split(start, ""), F.struct(start.alias("s"), lowest(start).alias("best")), step,
-                           lambda state: ids(state["s"]))
+        def merge(s: Column, pairs) -> Column:
+            def state(s: Column) -> Column:
+                return F.concat(F.coalesce(F.array_min(F.transform(pairs(s), look)), F.lit(NONE)), s)
 
-    return F.transform(words, encode)
+            def step(z: Column, _: Column) -> Column:
+                joined = F.replace(F.substring(z, 4, rest), F.substring(z, 2, 2), F.substring(z, 1, 1))
+                return F.when(F.startswith(z, F.lit(NONE)), z).otherwise(_let(joined, state))
 
+            # every step but the last ones merges, so there are enough of them
+            return F.aggregate(F.split(s, ""), state(s), step)
 
-def decode_ids(ids: Column, ranks_path: str) -> Column:
-    """``array<int>`` of ids to the bytes of their tokens, put together."""
-    pieces = _literal(_tables(ranks_path)[2], "array<string>")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), ""))
+        def encode(word: Column) -> Column:
+            merged = _let(F.decode(word, "ISO-8859-1"),  # one character per byte
+                          lambda s: F.when(F.length(s) <= SHORT, merge(s, near)).otherwise(merge(s, far)))
+            code = F.ascii
+            return F.transform(F.split(F.substring(merged, 2, rest), ""), lambda c: F.when(
+                code(c) < FIRST, F.get(single, code(c))).otherwise(code(c) - FIRST))
+
+        return F.transform(words, encode)
+
+    return _let(_literal(bucket_json, "array<string>"), encode_all)
+
+
+def decode_words(words: Column, ranks_path: str) -> Column:
+    """``array<array<int>>`` of ids to ``array<binary>``: the bytes of their tokens, put together."""
+    return _let(_literal(_tables(ranks_path)[3], "array<string>"), lambda pieces: F.transform(
+        words, lambda ids: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))))
 
 
 # ------------------------------------------------------------------ operator
-def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, limit: int) -> Iterator[pa.RecordBatch]:
+    known: dict[bytes, int] = {}
     for batch in batches:
-        texts = [t or "" for t in batch["text"].to_pylist()]
-        for part in pretokens.batches(texts, size):
-            words, codes, docs = pretokens.split(texts[part])
-            row = {c: _one_list(batch[c].slice(part.start, part.stop - part.start)) for c in keep}
-            row["words"] = _one_list(words.cast(pa.binary()))
-            row["codes"] = pa.array([codes.astype(np.int32).tobytes()], pa.binary())
+        for part in pretokens.runs(batch["text"], size):
+            mine = batch.slice(part.start, part.stop - part.start)
+            words, codes, docs = pretokens.split(pretokens.texts_of(mine["text"]))
+            listed = words.to_pylist()
+            anew = not known or len(known) + len(listed) > limit
+            if anew:
+                known = {}
+            new = [w for w in listed if w not in known]
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            number = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
+            row = {c: _one_list(mine[c]) for c in keep}
+            row["words"] = _one_list(pa.array(new, pa.binary()))
+            row["codes"] = pa.array([number[codes].tobytes()], pa.binary())
             row["docs"] = pa.array([docs.astype(np.int64).tobytes()], pa.binary())
+            row["anew"] = pa.array([anew])
             yield pa.RecordBatch.from_pydict(row)
 
 
@@ -133,14 +191,19 @@ def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
+            lists, pieces = batch["ids"][r].values, batch["bytes"][r].values.cast(pa.large_binary())
+            new_values, new_lengths = np.asarray(lists.flatten()), np.asarray(pc.list_value_length(lists))
+            if batch["anew"][r].as_py():
+                values, lengths, texts = new_values, new_lengths, pieces
+            else:
+                values, lengths = np.concatenate([values, new_values]), np.concatenate([lengths, new_lengths])
+                texts = pa.concat_arrays([texts, pieces])
+            first = np.concatenate([[0], np.cumsum(lengths)])
             codes = np.frombuffer(batch["codes"][r].as_py(), np.int32)
             docs = np.frombuffer(batch["docs"][r].as_py(), np.int64)
-            lists, pieces = batch["ids"][r].values, batch["bytes"][r].values
-            first = np.asarray(lists.offsets)
-            values, lengths = np.asarray(lists.values), np.diff(first)
             carried = {c: batch[c][r].values for c in keep}
             a = 0
             while a < len(docs) - 1:  # documents with about ``step`` pre-tokens together
@@ -149,30 +212,35 @@ def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int =
                 n = lengths[mine]
                 ends = np.concatenate([[0], np.cumsum(n)])
                 at = np.repeat(first[mine] - ends[:-1], n) + np.arange(ends[-1])
-                cut = ends[docs[a:b + 1] - docs[a]]
+                bounds = docs[a:b + 1] - docs[a]
                 ids = pa.py_buffer(values[at].astype("<u4").tobytes())
-                text = pieces.cast(pa.large_binary()).take(pa.array(mine))
-                bytes_at = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+                taken = texts.take(pa.array(mine))
+                place = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
                 out = {c: carried[c].slice(a, b - a) for c in keep}
-                out["ids"] = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(4 * cut), ids]).cast(pa.binary())
-                out["decoded"] = pa.Array.from_buffers(
-                    pa.large_binary(), b - a,
-                    [None, pa.py_buffer(bytes_at[docs[a:b + 1] - docs[a]].astype(np.int64)), text.buffers()[2]]).cast(pa.binary())
+                for name, cut, data in (("ids", 4 * ends[bounds], ids), ("decoded", place[bounds], taken.buffers()[2])):
+                    out[name] = pa.Array.from_buffers(
+                        pa.large_binary(), b - a, [None, pa.py_buffer(cut.astype(np.int64)), data]).cast(pa.binary())
                 yield pa.RecordBatch.from_pydict(out)
                 a = b
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",),
-                     chunk: int = CHUNK) -> DataFrame:
-    """Columns ``keep`` of each row with ``ids`` (little-endian unsigned 32-bit) and ``decoded`` (bytes of the ids)."""
-    fields = [docs.schema[c] for c in keep]
-    packed = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in fields]
-                          + [T.StructField("words", T.ArrayType(T.BinaryType())),
-                             T.StructField("codes", T.BinaryType()), T.StructField("docs", T.BinaryType())])
-    laid = T.StructType([*fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+                     chunk: int = CHUNK, known: int = KNOWN) -> DataFrame:
+    """Columns ``keep`` of each row with ``ids`` (little-endian unsigned 32-bit) and ``decoded`` (bytes of the ids).
+
+    ``keep`` may hold ``text`` itself.
+    """
     names = list(keep)
-    runs = docs.select(*names, F.col("text").alias("text")).mapInArrow(lambda it: _pack(it, names, chunk), packed)
+    kept = [f"k{i}" for i in range(len(names))]  # out of the way of the columns that follow
+    kinds = [docs.schema[c].dataType for c in names]
+    fields = [*("words codes docs anew".split())]
+    packed = T.StructType([T.StructField(k, T.ArrayType(t)) for k, t in zip(kept, kinds)]
+                          + [T.StructField(f, t) for f, t in zip(fields, (T.ArrayType(T.BinaryType()), T.BinaryType(),
+                                                                          T.BinaryType(), T.BooleanType()))])
+    laid = T.StructType([*(T.StructField(k, t) for k, t in zip(kept, kinds)),
+                         T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    runs = (docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
+                .mapInArrow(lambda it: _pack(it, kept, chunk, known), packed))
     coded = runs.withColumn("ids", encode_words(F.col("words"), ranks_path))
-    both = coded.select(*names, "codes", "docs", "ids",
-                        F.transform("ids", lambda w: decode_ids(w, ranks_path)).alias("bytes"))
-    return both.mapInArrow(lambda it: _lay_out(it, names), laid)
+    both = coded.select(*kept, "codes", "docs", "anew", "ids", decode_words(F.col("ids"), ranks_path).alias("bytes"))
+    return both.mapInArrow(lambda it: _lay_out(it, kept), laid).toDF(*names, "ids", "decoded")
