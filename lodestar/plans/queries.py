@@ -862,11 +862,10 @@ def orc_cache(spark, sf_dir):
 
 
 def _orders_partitioned(spark, sf_dir) -> str:
-    base = shared_path(spark, "orders_by_month", f"{_tag(sf_dir)}-v1")
     od = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
-    (od.withColumns({"o_year": F.year("o_orderdate"), "o_month": F.month("o_orderdate")})
-       .write.mode("ignore").partitionBy("o_year", "o_month").parquet(base))
-    return base
+    od = od.withColumns({"o_year": F.year("o_orderdate"), "o_month": F.month("o_orderdate")})
+    return sources.write_once(od, shared_path(spark, "orders_by_month", f"{_tag(sf_dir)}-v1"),
+                              partition_by=["o_year", "o_month"])
 
 
 @register("partition_scan")

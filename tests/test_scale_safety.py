@@ -85,3 +85,19 @@ def test_neighbours_outside_the_querys_block():
     ids = np.arange(6)
     q, d, _ = neighbors.block_topk_arrays(np.array([0]), points[:1], ids[1:2], points[1:2], 3, include_self=False)
     assert list(d) == [1]
+
+
+def test_caches_of_killed_jobs_and_changed_inputs_are_written_anew(spark, tmp_path):
+    from lodestar import sources
+    source = str(tmp_path / "in")
+    spark.range(3).write.parquet(source)
+    place = sources.write_once(spark.read.parquet(source), str(tmp_path / "cache"))
+    assert sources.write_once(spark.read.parquet(source), str(tmp_path / "cache")) == place
+    spark.range(5).write.mode("overwrite").parquet(source)
+    changed = sources.write_once(spark.read.parquet(source), str(tmp_path / "cache"))
+    assert changed != place and spark.read.parquet(changed).count() == 5
+    spark.range(9).write.parquet(str(tmp_path / "other"))
+    other = spark.read.parquet(str(tmp_path / "other"))
+    half = f"{tmp_path / 'half'}-{sources.sinks.input_key(other)}"
+    spark.range(1).write.parquet(half)  # what a killed writer may leave: no mark
+    assert sources.write_once(other, str(tmp_path / "half")) == half and spark.read.parquet(half).count() == 9
