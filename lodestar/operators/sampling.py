@@ -32,13 +32,38 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int,
     return df.filter(portable_bucket(key, seed, modulus) < _threshold(fraction, modulus))
 
 
-def fixed_count_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+#: Rows up to which one task may merge the tasks' first rows.
+TOP_ROWS = 100_000
+#: Parts into which a range of hashes is cut when the n-th smallest is looked for; two rounds of it.
+CUTS = 4096
+
+
+def fixed_count_sample(df: DataFrame, key: str, n: int, seed: int, top_rows: int = TOP_ROWS) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: smallest 32-bit key hash first, key as tie-break.
 
-    Runs as a distributed top-n (each task keeps at most n rows).
+    A small ``n`` is a distributed top-n. For a larger one, two counting passes over the keys (``CUTS`` counts each)
+    narrow the n-th hash down to a millionth of the range: rows below it are a filter, and only the rows inside it are
+    ranked.
     """
-    h = portable_bucket(key, seed, 1 << 32)
-    return df.withColumn("__h", h).orderBy("__h", key).limit(n).drop("__h")
+    ranked = df.withColumn("__h", portable_bucket(key, seed, 1 << 32))
+    if n <= top_rows:
+        return ranked.orderBy("__h", key).limit(n).drop("__h")
+    low, width, left = 0, 1 << 32, n
+    hashes = ranked.select("__h")
+    for _ in range(2):
+        width //= CUTS
+        part = F.floor((F.col("__h") - low) / width)
+        inside = hashes.where((F.col("__h") >= low) & (F.col("__h") < low + width * CUTS))
+        counts = {r["p"]: r["c"] for r in inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
+        for p in range(CUTS):
+            if left <= counts.get(p, 0):
+                break
+            left -= counts.get(p, 0)
+        else:
+            return df  # fewer rows than asked for
+        low += p * width
+    rest = ranked.where((F.col("__h") >= low) & (F.col("__h") < low + width)).orderBy("__h", key).limit(left)
+    return ranked.where(F.col("__h") < low).unionByName(rest).drop("__h")
 
 
 def estimate_rows(sources: Mapping[str, DataFrame], key: str, fraction: float, seed: int) -> DataFrame:

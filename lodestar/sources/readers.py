@@ -136,9 +136,18 @@ def from_pandas(spark: SparkSession, pdf, num_partitions: int | None = None,
     return df.repartition(num_partitions) if num_partitions else df
 
 
-def limit_rows(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows; with ``order_by`` the choice is deterministic (TakeOrdered)."""
-    return df.orderBy(*order_by).limit(n) if order_by else df.limit(n)
+def limit_rows(df: DataFrame, n: int, order_by: Sequence[str] | None = None, top_rows: int = 100_000) -> DataFrame:
+    """First ``n`` rows; with ``order_by`` (a total order) the choice is deterministic.
+
+    Up to ``top_rows`` one task merges the tasks' first rows; a larger ``n`` numbers the rows in range partitions, so
+    no task holds them.
+    """
+    if not order_by:
+        return df.limit(n)
+    if n <= top_rows:
+        return df.orderBy(*order_by).limit(n)
+    from lodestar.plans.scan import row_number
+    return row_number(df, [], list(order_by), out="__row").where(F.col("__row") <= n).drop("__row")
 
 
 def read_dataset(spark: SparkSession, paths: str | Sequence[str], spec: DatasetSpec,

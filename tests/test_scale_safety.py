@@ -101,3 +101,12 @@ def test_caches_of_killed_jobs_and_changed_inputs_are_written_anew(spark, tmp_pa
     half = f"{tmp_path / 'half'}-{sources.sinks.input_key(other)}"
     spark.range(1).write.parquet(half)  # what a killed writer may leave: no mark
     assert sources.write_once(other, str(tmp_path / "half")) == half and spark.read.parquet(half).count() == 9
+
+
+def test_large_counts_are_cut_by_counting(spark):
+    from lodestar.sources import limit_rows
+    ids = spark.range(30_000).withColumnRenamed("id", "key")
+    for n in (1, 777, 29_999, 30_000, 40_000):
+        small = {r.key for r in sampling.fixed_count_sample(ids, "key", n, 3, top_rows=10**9).collect()}
+        assert {r.key for r in sampling.fixed_count_sample(ids, "key", n, 3, top_rows=0).collect()} == small
+    assert {r.key for r in limit_rows(ids, 700, ["key"], top_rows=0).collect()} == set(range(700))
