@@ -36,15 +36,19 @@ def trial_log_running_mean(df: DataFrame, trial: str, order: Sequence[str], metr
     return r.withColumn(out, F.round(F.col("__s") / F.col("__k"), digits)).drop("__s", "__k")
 
 
-def trial_summary(log: DataFrame, trial: str, step: str, metric: str, mode: str = "max",
+def trial_summary(log: DataFrame, trial: str, step: str | Sequence[str], metric: str, mode: str = "max",
                   complete_at: int | None = None, ts: str | None = None,
                   exact_scale: int | None = None) -> DataFrame:
-    """Per-trial result row: steps, best/last/mean metric, non-finite flag, state."""
+    """Per-trial result row: steps, best/last/mean metric, non-finite flag, state, in one aggregation.
+
+    ``step`` is the column or columns that order a trial's reports.
+    """
+    order = F.col(step) if isinstance(step, str) else F.struct(*step)
     best = F.max(metric) if mode == "max" else F.min(metric)
     mean = (F.sum(F.col(metric).cast(f"decimal(38,{exact_scale})")).cast("double") / F.count(metric)
             if exact_scale is not None else F.avg(metric))
     aggs = [F.count(F.lit(1)).alias("n_steps"), best.alias("best"),
-            F.max_by(metric, step).alias("last"), mean.alias("mean"),
+            F.max_by(F.col(metric), order).alias("last"), mean.alias("mean"),
             F.max((F.isnan(F.col(metric)) | (F.abs(F.col(metric)) == F.lit(float("inf")))).cast("int"))
              .alias("is_bad")]
     if ts:
