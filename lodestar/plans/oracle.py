@@ -630,3 +630,30 @@ ORACLE["optimization_history"] = f"""
   WITH s AS (SELECT user_id AS trial, {_fr(_xmean('value'))} AS score FROM events GROUP BY 1)
   SELECT trial, score, MAX(score) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far
   FROM s"""
+
+
+# ----------------------------------------------------------------- fits with a closed form
+# One feature: b = soft(cov, lambda * alpha) / (var + lambda * (1 - alpha) / std(y)); Spark ML scales the squared
+# penalty by the label's standard deviation.
+ORACLE["penalised_one_feature"] = """
+  WITH s AS (SELECT covar_pop(y, x) AS c, var_pop(x) AS v, avg(x) AS mx, avg(y) AS my, stddev_samp(y) AS sy
+             FROM (SELECT l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem) d),
+       p(model, lam, alpha) AS (VALUES ('lasso', 5.0::DOUBLE, 1.0::DOUBLE), ('lasso_zero', 1e6::DOUBLE, 1.0::DOUBLE),
+                                       ('elastic_net', 5.0::DOUBLE, 0.5::DOUBLE)),
+       b AS (SELECT model, mx, my, sign(c) * greatest(abs(c) - lam * alpha, 0) / (v + lam * (1 - alpha) / sy) AS b FROM s, p)
+  SELECT model, 'l_quantity' AS term, round(b, 4) AS value FROM b
+  UNION ALL SELECT model, 'intercept', round(my - b * mx, 4) FROM b"""
+
+ORACLE["logit_one_binary"] = """
+  WITH n AS (SELECT COUNT(*) FILTER (x AND y) AS n11, COUNT(*) FILTER (x AND NOT y) AS n10,
+                    COUNT(*) FILTER (NOT x AND y) AS n01, COUNT(*) FILTER (NOT x AND NOT y) AS n00
+             FROM (SELECT l_quantity > 25 AS x, l_extendedprice > 40000 AS y FROM lineitem) d)
+  SELECT 'logit' AS model, 'intercept' AS term, round(ln(n01 / n00), 2) AS value FROM n
+  UNION ALL SELECT 'logit', 'many', round(ln((n11 / n10) / (n01 / n00)), 2) FROM n"""
+
+ORACLE["batch_linear_score"] = """
+  WITH m AS (SELECT regr_slope(l_extendedprice / 1000, l_quantity) AS b,
+                    regr_intercept(l_extendedprice / 1000, l_quantity) AS a FROM lineitem)
+  SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 4) AS prediction FROM lineitem, m"""
+
+ORACLE["stream_linear_score"] = ORACLE["batch_linear_score"]

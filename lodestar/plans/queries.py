@@ -1088,3 +1088,57 @@ def holdout_cv(spark, sf_dir):
     # one summary row, joined by broadcast on a constant key
     return folds.withColumn("__one", F.lit(1)).join(F.broadcast(summary.select("__one", "mean_score")),
                                                     "__one").drop("__one")
+
+
+# --------------------------------------------------------------------------- fits with a closed form
+def _coefficients(spark, model_rows):
+    return spark.createDataFrame(model_rows, "model string, term string, value double").select(
+        "model", "term", r(F.col("value"), 4).alias("value"))
+
+
+@register("penalised_one_feature")
+def penalised_one_feature(spark, sf_dir):
+    """Lasso and elastic net on one feature, where soft thresholding gives the solution."""
+    df = _line_xy(spark, sf_dir).select("l_quantity", "y")
+    rows = []
+    for name, reg, enet in (("lasso", 5.0, 1.0), ("lasso_zero", 1e6, 1.0), ("elastic_net", 5.0, 0.5)):
+        lm = linear.spark_ml_linear(df, ["l_quantity"], "y", reg=reg, elastic_net=enet, max_iter=200).stages[-1]
+        rows += [(name, "intercept", float(lm.intercept)), (name, "l_quantity", float(lm.coefficients[0]))]
+    return _coefficients(spark, rows)
+
+
+@register("logit_one_binary")
+def logit_one_binary(spark, sf_dir):
+    """Unpenalised logistic regression on one binary feature, where the coefficients are log odds."""
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    df = li.select((F.col("l_quantity") > 25).cast("double").alias("many"),
+                   (F.col("l_extendedprice") > 40000).cast("double").alias("y"))
+    est = models.logistic_regression(["many"], "y", penalty="none", n_rows=1, max_iter=200)
+    lm = est.fit(df).stages[-1]
+    rows = [("logit", "intercept", float(lm.intercept)), ("logit", "many", float(lm.coefficients[0]))]
+    return spark.createDataFrame(rows, "model string, term string, value double").select(
+        "model", "term", r(F.col("value"), 2).alias("value"))
+
+
+def _quantity_model(spark, sf_dir):
+    return linear.spark_ml_linear(_line_xy(spark, sf_dir), ["l_quantity"], "y", solver="normal")
+
+
+@register("batch_linear_score")
+def batch_linear_score(spark, sf_dir):
+    """Batch scoring of every order line with a least-squares model of one feature."""
+    li = _line_xy(spark, sf_dir)
+    out = models.score(_quantity_model(spark, sf_dir), li, ["l_orderkey", "l_linenumber"], classification=False)
+    return out.select("l_orderkey", "l_linenumber", r(F.col("prediction"), 4).alias("prediction"))
+
+
+@register("stream_linear_score")
+def stream_linear_score(spark, sf_dir):
+    """The same scores from a stream over the files of the order lines."""
+    from lodestar.streaming import stream_score as run_stream
+    run = shared_path(spark, "stream_linear_score", _tag(sf_dir), unique=True)
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    li.repartition(4, "l_orderkey").write.parquet(f"{run}/landing")
+    out = run_stream(spark, _quantity_model(spark, sf_dir), f"{run}/landing", li.schema, f"{run}/scored",
+                     f"{run}/_checkpoint", lambda df: df, keep=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", r(F.col("prediction"), 4).alias("prediction"))
