@@ -44,10 +44,12 @@ def _subset_strategy(max_features) -> str:
 def random_forest(features: Sequence[str], label: str, task: str = "classification", n_estimators: int = 10,
                   max_depth: int = 5, max_features=1.0, n_bins: int = 64, bootstrap: bool = True,
                   seed: int = 0, subsample: float = 1.0) -> Pipeline:
-    """n_estimators->numTrees, max_depth->maxDepth (<=30), n_bins->maxBins,
+    """n_estimators->numTrees, max_depth->maxDepth (Spark allows 30), n_bins->maxBins,
     max_features->featureSubsetStrategy, bootstrap and seed passed through."""
+    if max_depth > 30:
+        raise ValueError(f"max_depth {max_depth}: trees can be 30 levels deep at most")
     cls = RandomForestClassifier if task == "classification" else RandomForestRegressor
-    est = cls(featuresCol=FEATURES, labelCol=label, numTrees=n_estimators, maxDepth=min(max_depth, 30),
+    est = cls(featuresCol=FEATURES, labelCol=label, numTrees=n_estimators, maxDepth=max_depth,
               maxBins=n_bins, featureSubsetStrategy=_subset_strategy(max_features), bootstrap=bootstrap,
               seed=seed, subsamplingRate=subsample)
     return Pipeline(stages=[assembler(features), est])

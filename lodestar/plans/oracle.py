@@ -657,3 +657,18 @@ ORACLE["batch_linear_score"] = """
   SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 4) AS prediction FROM lineitem, m"""
 
 ORACLE["stream_linear_score"] = ORACLE["batch_linear_score"]
+
+ORACLE["tree_stumps"] = """
+  WITH h AS (SELECT l_quantity AS x, COUNT(*)::DOUBLE AS n, SUM(l_extendedprice / 1000) AS sy FROM lineitem GROUP BY 1),
+       c AS (SELECT x, SUM(n) OVER w AS nl, SUM(sy) OVER w AS yl, SUM(n) OVER () AS n, SUM(sy) OVER () AS yt
+             FROM h WINDOW w AS (ORDER BY x)),
+       best AS (SELECT x, yl / nl AS y1, (yt - yl) / (n - nl) AS y2 FROM c WHERE nl < n
+                ORDER BY nl * (n - nl) * power(yl / nl - (yt - yl) / (n - nl), 2) DESC, x LIMIT 1)
+  SELECT m.model, h.x AS l_quantity, round(CASE WHEN h.x <= best.x THEN best.y1 ELSE best.y2 END, 4) AS value
+  FROM h, best, (VALUES ('forest'), ('boosted')) m(model)"""
+
+ORACLE["rotation_norms"] = """
+  WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+       m AS (SELECT i, avg(x) AS mu FROM e GROUP BY i)
+  SELECT vec_id, round(SUM((x - mu) * (x - mu)), 4) AS pca_square, round(SUM(x * x), 4) AS svd_square
+  FROM e JOIN m USING (i) GROUP BY vec_id"""

@@ -1142,3 +1142,35 @@ def stream_linear_score(spark, sf_dir):
     out = run_stream(spark, _quantity_model(spark, sf_dir), f"{run}/landing", li.schema, f"{run}/scored",
                      f"{run}/_checkpoint", lambda df: df, keep=["l_orderkey", "l_linenumber"])
     return out.select("l_orderkey", "l_linenumber", r(F.col("prediction"), 4).alias("prediction"))
+
+
+@register("tree_stumps")
+def tree_stumps(spark, sf_dir):
+    """Regression trees of one level on all rows, a forest of one and one boosting round, by feature value."""
+    li = load(spark, sf_dir, "lineitem", ["l_quantity", "l_extendedprice"])
+    df = li.select("l_quantity", (F.col("l_extendedprice") / 1000).alias("y")).persist()
+    values = df.select("l_quantity").distinct()
+    one = dict(n_estimators=1, max_depth=1, n_bins=64, bootstrap=False)
+    fits = {"forest": models.random_forest(["l_quantity"], "y", task="regression", **one),
+            "boosted": models.boosted_trees(["l_quantity"], "y", task="regression", n_rounds=1, max_depth=1, n_bins=64)}
+    parts = []
+    for name, est in fits.items():
+        scored = models.score(est.fit(df), values, ["l_quantity"], classification=False)
+        parts.append(scored.select(F.lit(name).alias("model"), "l_quantity", r(F.col("prediction"), 4).alias("value")))
+    df.unpersist()
+    return parts[0].unionByName(parts[1])
+
+
+@register("rotation_norms")
+def rotation_norms(spark, sf_dir):
+    """Over all components, PCA keeps each row's distance from the mean and SVD its length."""
+    from pyspark.ml.functions import vector_to_array
+    emb = _embedding_vectors(spark, sf_dir)
+    dim = emb.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
+    square = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
+    pca = models.centered_pca(None, k=dim, vector_col="features").fit(emb).transform(emb)
+    raw = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    vecs, _ = models.truncated_svd(raw, "embedding", dim, k=dim)
+    svd = raw.select("vec_id", square(F.array(*models.project("embedding", vecs).values())).alias("s"))
+    return (pca.select("vec_id", r(square(vector_to_array("pca")), 4).alias("pca_square"))
+               .join(svd.select("vec_id", r(F.col("s"), 4).alias("svd_square")), "vec_id"))
