@@ -7,6 +7,7 @@ from conftest import SF_SMALL
 import __spark_entry__
 import corpus_pipeline
 from lodestar.llm import queries
+from lodestar.llm.common import stored
 from lodestar.plans.catalog import load, table_path
 
 
@@ -35,7 +36,7 @@ def test_pipeline_stages(spark):
     items = [(r.item_id, r.text) for r in load(spark, SF_SMALL, "benchmark").collect()]
     plain = None
     for name, stage in corpus_pipeline.STAGES:
-        docs = queries.stored(stage(spark, docs, SF_SMALL), f"test-{name}") if hasattr(queries, "stored") else stage(spark, docs, SF_SMALL)
+        docs = stored(stage(spark, docs, SF_SMALL), f"test-{name}")
         if name != "byte_bpe":
             assert docs.columns == columns
         rows = docs.collect()
