@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from lodestar.llm import pretokens
 
 #: Characters of text that share a row.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Distinct pre-tokens that a task remembers from row to row before it begins anew.
 KNOWN = 400_000
 #: A merged token is the character at its rank plus this; lower characters are single bytes.
@@ -136,7 +136,7 @@ def encode_words(words: Column, ranks_path: str) -> Column:
             return _let(F.split(s, ""), lambda c: F.zip_with(
                 F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.concat(a, b)))
 
-        def merge(s: Column, pairs) -> Column:
+        def merge(s: Column, pairs, steps) -> Column:
             def state(s: Column) -> Column:
                 return F.concat(F.coalesce(F.array_min(F.transform(pairs(s), look)), F.lit(NONE)), s)
 
@@ -144,12 +144,12 @@ def encode_words(words: Column, ranks_path: str) -> Column:
                 joined = F.replace(F.substring(z, 4, rest), F.substring(z, 2, 2), F.substring(z, 1, 1))
                 return F.when(F.startswith(z, F.lit(NONE)), z).otherwise(_let(joined, state))
 
-            # every step but the last ones merges, so there are enough of them
-            return F.aggregate(F.split(s, ""), state(s), step)
+            return F.aggregate(steps(s), state(s), step)  # each step but the last ones merges, so there are enough
 
         def encode(word: Column) -> Column:
             merged = _let(F.decode(word, "ISO-8859-1"),  # one character per byte
-                          lambda s: F.when(F.length(s) <= SHORT, merge(s, near)).otherwise(merge(s, far)))
+                          lambda s: F.when(F.length(s) <= SHORT, merge(s, near, lambda s: F.slice(places, 1, F.length(s) - 1)))
+                          .otherwise(merge(s, far, lambda s: F.sequence(F.lit(1), F.length(s)))))
             code = F.ascii
             return F.transform(F.split(F.substring(merged, 2, rest), ""), lambda c: F.when(
                 code(c) < FIRST, F.get(single, code(c))).otherwise(code(c) - FIRST))
@@ -173,10 +173,10 @@ def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, lim
             mine = batch.slice(part.start, part.stop - part.start)
             words, codes, docs = pretokens.split(pretokens.texts_of(mine["text"]))
             listed = words.to_pylist()
-            anew = not known or len(known) + len(listed) > limit
-            if anew:
-                known = {}
             new = [w for w in listed if w not in known]
+            anew = not known or len(known) + len(new) > limit
+            if anew:
+                known, new = {}, listed
             known.update(zip(new, range(len(known), len(known) + len(new))))
             number = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
             row = {c: _one_list(mine[c]) for c in keep}
@@ -184,15 +184,19 @@ def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, lim
             row["codes"] = pa.array([number[codes].tobytes()], pa.binary())
             row["docs"] = pa.array([docs.astype(np.int64).tobytes()], pa.binary())
             row["anew"] = pa.array([anew])
+            del words, codes, docs, listed, new, number  # what follows waits for the next step, with this in memory
             yield pa.RecordBatch.from_pydict(row)
+            del row
+            pa.default_memory_pool().release_unused()
 
 
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int = 1 << 17) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         for r in range(batch.num_rows):
             lists, pieces = batch["ids"][r].values, batch["bytes"][r].values.cast(pa.large_binary())
             new_values, new_lengths = np.asarray(lists.flatten()), np.asarray(pc.list_value_length(lists))
