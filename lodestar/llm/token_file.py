@@ -11,7 +11,9 @@ executor's half-written segment is never seen, and the file can lie in any
 store that Spark reads.
 
 Encoding uses the tokenizers library on distinct pre-tokens; a document's ids
-are those of its pre-tokens in order, then the end id.
+are those of its pre-tokens in order, then the end id. As in the library's
+``encode``, a text is cut at the file's added tokens first, which have ids of
+their own; the texts between them are cut into pre-tokens each by itself.
 
 Defined results: a null or empty text has the end id alone; a null ``doc_id``
 comes after all others; repeated rows are stored each, side by side.
@@ -19,8 +21,10 @@ comes after all others; repeated rows are stored each, side by side.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -100,8 +104,15 @@ class _Encoder:
 
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.library = tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = tokenizer.model
+        added = [t for t in json.loads(tokenizer_json).get("added_tokens") or [] if t["content"]]
+        # the first match counts, of those the longest
+        contents = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.marks = re.compile("|".join(map(re.escape, contents)))
+        self.added = {c: i for i, c in enumerate(contents, 1)}
+        self.added_ids = [np.array([tokenizer.token_to_id(c)], np.uint32) for c in contents]
+        self.plain = not any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
         # Fixed rule of byte-level tokenizers: printable bytes stand for themselves, the others for 256 and up.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
@@ -109,6 +120,29 @@ class _Encoder:
         self.signs = {b: signs[b] for b in range(256)}
         self.known: dict[bytes, np.ndarray] = {}
 
+    def cut(self, texts: Sequence[str], end_id: int) -> tuple[list[str], list[int], list[int], list[np.ndarray]]:
+        """Texts cut at added tokens: the pieces, the number of the ids that follow each, each text's first piece (plus
+        the end) and the ids by number. The end id, number 0, follows a text's last piece."""
+        pieces, follow, edges = [], [], [0]
+        tails = [np.array([end_id], np.uint32), *self.added_ids]
+        for t in texts:
+            if not any(c in t for c in self.added):
+                pieces.append(t)
+            elif self.plain:
+                last = 0
+                for m in self.marks.finditer(t):
+                    pieces.append(t[last:m.start()])
+                    follow.append(self.added[m.group()])
+                    last = m.end()
+                pieces.append(t[last:])
+            else:  # tokens that look at or take their neighbours: the library's own rules
+                pieces += ["", ""]
+                follow.append(len(tails))
+                tails.append(np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32))
+            follow.append(0)
+            edges.append(len(pieces))
+        return pieces, follow, edges, tails
+
     def ids(self, words: list[bytes]) -> list[np.ndarray]:
         known, model, signs = self.known, self.model, self.signs
         if len(known) + len(words) > REMEMBERED:
@@ -141,18 +175,19 @@ def _segments(batches: Iterator[pa.RecordBatch], tokenizer_json: str, end_id: in
         ids = batch["d"].to_numpy()
         for part in pretokens.runs(batch["text"], SEGMENT):
             lo, hi = part.start, part.stop
-            words, codes, docs = pretokens.split(pretokens.texts_of(batch["text"].slice(lo, hi - lo)))
+            pieces, follow, edges, tails = encoder.cut(pretokens.texts_of(batch["text"].slice(lo, hi - lo)), end_id)
+            words, codes, docs = pretokens.split(pieces)
             lists = encoder.ids(words.to_pylist())
+            # each piece's pre-tokens, then the ids that follow it (the entries after all words)
+            order = np.insert(codes.astype(np.int64), docs[1:], len(lists) + np.array(follow))
+            lists = [*lists, *tails]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            values = np.concatenate([*lists, np.array([end_id], np.uint32)])
+            values = np.concatenate(lists)
             first = np.concatenate([[0], np.cumsum(lengths)])
-            # each document's pre-tokens, then the end id (the entry after all words)
-            order = np.insert(codes.astype(np.int64), docs[1:], len(lists))
-            lengths = np.append(lengths, 1)
             n = lengths[order]
             ends = np.concatenate([[0], np.cumsum(n)])
             stream = values[np.repeat(first[order] - ends[:-1], n) + np.arange(ends[-1])]
-            cut = ends[docs + np.arange(len(docs))]
+            cut = ends[docs + np.arange(len(docs))][edges]
             row = pack(stream)
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int64()), "segment": pa.array([segment], pa.int64()),

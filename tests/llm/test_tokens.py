@@ -1,5 +1,7 @@
 """Pre-tokens, byte-level BPE, token files and unigram token counts against plain versions."""
 
+import functools
+import json
 import math
 import random
 import zlib
@@ -98,6 +100,44 @@ def test_token_file_holds_the_librarys_ids_in_order(spark, odd_docs):
         start += len(ids)
 
 
+MARK = "<|endoftext|>"
+MARKED = [MARK, f"{MARK} start", f"end of one {MARK} start", f"at the end  {MARK}", f"{MARK}{MARK}\n\n{MARK} é 漢", "<|endof", None,
+          f"it{MARK}'s {MARK[1:]} <|{MARK}|>", "after", f"  {MARK}  "]
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}, {"single_word": True, "rstrip": True}, {"normalized": True}])
+def test_token_file_holds_added_tokens(spark, flags):
+    with open(JSON, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0].update(flags)
+    text, path = json.dumps(spec), token_file.new_path(spark)
+    token_file.write_token_file(spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string"), text, path, end_id=2)
+    got = {r.doc_id: r for r in token_file.read_token_file(spark, path).collect()}
+    library, start = Tokenizer.from_str(text), 0
+    for i, t in enumerate(MARKED):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (got[i].start, got[i].n_tokens, np.frombuffer(got[i].ids, "<u4").tolist()) == (start, len(ids), ids)
+        start += len(ids)
+
+
+@given(st.lists(st.sampled_from(["<|a|>", "<|a|><|b|>", "|>", "<|", "a", " ", "'s", "\n", "é", MARK]), max_size=12).map("".join))
+@settings(max_examples=200, deadline=None)
+def test_cuts_at_added_tokens_are_the_librarys(text):
+    library, encoder = _two_marks()
+    pieces, follow, edges, tails = encoder.cut([text], 2)
+    got = [i for p, f in zip(pieces, follow) for i in [*library.encode(p).ids, *tails[f].tolist()]]
+    assert edges == [0, len(pieces)] and got == [*library.encode(text).ids, 2]
+
+
+@functools.lru_cache(maxsize=1)
+def _two_marks():
+    with open(JSON, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"] += [spec["added_tokens"][0] | {"id": 50257 + i, "content": c} for i, c in enumerate(["<|a|>", "<|a|><|b|>"])]
+    text = json.dumps(spec)
+    return Tokenizer.from_str(text), token_file._Encoder(text)
+
+
 def test_token_file_of_an_empty_table(spark):
     path = token_file.new_path(spark)
     with open(JSON, encoding="utf-8") as f:
