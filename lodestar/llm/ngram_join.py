@@ -54,7 +54,7 @@ def shingles(texts: list[str], n: int = N) -> list[np.ndarray]:
     counts = np.bincount(doc, minlength=len(texts))
     first = np.concatenate([[0], np.cumsum(counts)])
     mixed = np.zeros(len(words), np.uint64)
-    for k in range(n):  # the run of n words from each place; runs over a text's end aren't used
+    for k in range(min(n, len(words))):  # the run of n words from each place; runs over a text's end aren't used
         mixed[:len(words) - k] = scramble(mixed[:len(words) - k] * np.uint64(0x9E3779B97F4A7C15) + words[k:] + np.uint64(k))
     out = []
     for i in range(len(texts)):

@@ -174,6 +174,21 @@ def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.drop_near_copies(frame(spark, [(1, None), (2, "")])).count() == 2
 
 
+@pytest.mark.parametrize("words", [0, 1, 2, 3, 4, 5, 6])
+def test_shingles_of_few_words(words):
+    with np.errstate(over="ignore"):
+        (alone,) = ngram_join.shingles([" ".join(VOCABULARY[:words])])
+        among = ngram_join.shingles([" ".join(VOCABULARY[:words]), " ".join(VOCABULARY[20:40])])[0]
+    assert alone.tolist() == among.tolist() and len(alone) == (max(1, words - 4) if words else 0)
+
+
+def test_ngram_join_of_one_row_partitions(spark):
+    rows = [(i, " ".join(VOCABULARY[:1 + i % 4])) for i in range(8)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    got = ngram_join.joined(docs).collect()
+    assert {(r.doc_id, r.class_id, r.n_links, r.group_id) for r in got} == plain_join(rows)
+
+
 def test_prefixes_are_shortened_to_the_target():
     assert ngram_join.shortened(0.8, 20, 6, 0.999) == 5
     assert ngram_join.shortened(0.99, 20, 6, 0.999) == 6
