@@ -125,6 +125,59 @@ def test_string_dedup_of_an_empty_table(spark):
     assert suffix_dedup.dedup_strings(frame(spark, [])).count() == 0
 
 
+@pytest.fixture(scope="module")
+def phrases():
+    """Documents that hold one short phrase among neighbours of their own; a few of them repeat others' neighbours."""
+    rng = random.Random(12)
+    own = [babble(rng, 12) + " All rights reserved, see the licence. " + babble(rng, 12) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(own)] + [(60 + i, "x " + own[i][:100 + i] + babble(rng, 5)) for i in range(20)]
+    return rows + [(None, "y " + own[3][20:]), (7, "z " + own[9][10:])]
+
+
+@pytest.mark.parametrize("hot", [0, 1, 5, 10**6])
+def test_strings_around_common_phrases(spark, corpus, phrases, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RUN_BUCKET", 2000)
+    for rows in (phrases, [(i, t) for i, t in corpus if t != "a" * 700]):
+        wanted = rows_of_removed(suffix_dedup, spark, rows, monkeypatch, 10**6)
+        assert rows_of_removed(suffix_dedup, spark, rows, monkeypatch, hot) == wanted and any(w[2] for w in wanted)
+
+
+def rows_of_removed(module, spark, rows, monkeypatch, hot):
+    """The operator's rows, with ``HOT`` as given in the workers as well."""
+    shared = module._shared
+
+    def with_hot(batches):
+        from lodestar.llm import suffix_dedup as there
+        there.HOT = hot
+        yield from shared(batches)
+    monkeypatch.setattr(module, "_shared", with_hot)
+    out = module.dedup_strings(frame(spark, rows), keep=["doc_id"]).collect()
+    monkeypatch.setattr(module, "_shared", shared)
+    return sorted((late(r.doc_id), bytes(r.kept), r.n_removed, r.n_spans) for r in out)
+
+
+def test_a_common_phrase_is_dealt_out(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)
+    rng, length, buckets = random.Random(2), 50, 64
+    texts = [babble(rng, 8) + " All rights reserved, see the licence. " + babble(rng, 8) for _ in range(2000)]
+    table = pa.table({"text": texts, "d": pa.array(range(2000), pa.int64()), "t": pa.array(range(2000), pa.int64())})
+    with np.errstate(over="ignore"):
+        posted = pa.Table.from_batches(suffix_dedup._post(iter(table.to_batches(max_chunksize=100)), buckets, length))
+        shared = pa.Table.from_batches(suffix_dedup._shared(iter(posted.sort_by("bucket").to_batches()))).to_pylist()
+        hot = np.array([r["hot"] for r in shared if r["hot"] is not None], np.int64).view(np.uint64)
+        at = {}
+        for r in shared:
+            if r["hot"] is None:
+                at.setdefault(r["d"], []).append(r["at"])
+        table = table.append_column("at", pa.array([at.get(i, []) for i in range(2000)], pa.list_(pa.int64())))
+        sent = pa.Table.from_batches(suffix_dedup._contexts(iter(table.to_batches(max_chunksize=100)), buckets, length, hot))
+    size = {}
+    for b, data in zip(sent["bucket"].to_pylist(), sent["bytes"].to_pylist()):
+        size[b] = size.get(b, 0) + len(data)
+    assert len(hot) and max(size.values()) < 3 * sum(size.values()) / buckets
+
+
 # ------------------------------------------------------------------ n-grams
 def plain_join(rows, n=5, threshold=0.8):
     sets = {}
