@@ -83,9 +83,7 @@ def downcast_numeric(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
         if f.name in sk:
             continue
         if isinstance(f.dataType, T.LongType):
-            c = F.col(f.name)
-            exprs[f.name] = F.when(c.between(-2**31, 2**31 - 1), c.cast("int")).when(
-                c.isNotNull(), F.raise_error(F.concat(F.lit(f"{f.name} does not fit 32 bits: "), c.cast("string"))).cast("int"))
+            exprs[f.name] = F.expr(f"CAST(`{f.name}` AS INT)")
         elif isinstance(f.dataType, T.DoubleType):
             exprs[f.name] = F.col(f.name).cast("float")
     return df.withColumns(exprs) if exprs else df
