@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import ann, bpe, decontaminate, line_dedup, ngram_join, suffix_dedup, token_counts, token_file, toxicity, url_filter
+from lodestar.llm import (ann, bpe, conversation_trie, decontaminate, hard_negatives, line_dedup, ngram_join, quality,
+                          suffix_dedup, token_counts, token_file, toxicity, url_filter)
+from lodestar.llm.common import stored
 from lodestar.plans.catalog import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +150,87 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_strings(load(spark, sf_dir, "documents", ["doc_id", "text"]))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _crc(col: str) -> Column:
+    """Unsigned crc32 of a number's decimal text; a null's text is empty."""
+    return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
+@register
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", ["doc_id", "text"])
+    held_out = _crc("doc_id") % 5 == 0
+    model = quality.fit_quality(docs, load(spark, sf_dir, "labels", ["doc_id", "quality"]), learn=~held_out)
+    return quality.score_documents(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), label.alias("label"),
+                       hard_negatives.whole_numbers(F.col("embedding")).alias("v"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH vecs AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+  scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+             FROM vecs a JOIN vecs b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+  positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+@register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversation_trie.turn_sequences(load(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+    own = stored(own, "trie-turns")
+    base = own.where(F.col("conv") % 20 == 0).select(F.col("conv").alias("base"), F.slice("ids", 1, 3).alias("head"))
+    h = (_crc("conv") % 4).cast("int")
+    none = F.array().cast("array<binary>")
+    rebuilt = own.join(base, F.col("conv") - F.col("conv") % 20 == F.col("base"), "left").select(
+        "conv", F.concat(F.slice(F.coalesce("head", none), F.lit(1), h), F.slice("ids", h + 1, F.size("ids"))).alias("ids"))
+    return conversation_trie.prefix_trie(rebuilt)
+
+
+#: crc32 % 4 of the bytes of a text of digits, bit by bit.
+_CRC4 = """list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1),
+             lambda i: CAST(ascii(CAST({0} AS VARCHAR)[i]) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                                      lambda c, b: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+
+ORACLE["op13_prefix_trie"] = rf"""
+WITH turns AS (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                      len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS w
+               FROM conversations WHERE conv_id IS NOT NULL),
+  own AS (SELECT conv_id, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, k) AS s,
+                 xor({_CRC4.format('conv_id')}, 4294967295) % 4 AS h
+          FROM turns GROUP BY conv_id),
+  rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.s, []) [1:o.h], o.s[o.h + 1:]) AS s
+              FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+  prefixes AS (SELECT conv_id, d, len(s) = d AS ends, array_to_string(list_transform(s[1:d], lambda x: x.k), '') AS p,
+                      CASE WHEN d > 0 THEN s[d].w ELSE 0 END AS w
+               FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+  nodes AS (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+            FROM prefixes GROUP BY d, p),
+  kids AS (SELECT d - 1 AS d, left(p, 64 * (d - 1)) AS p, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1, 2),
+  sums AS (SELECT a AS d, left(p, 64 * a) AS p, count(*) FILTER (kids IS NULL) AS leaves, sum((n - 1) * w) AS saved
+           FROM (SELECT nodes.*, kids, unnest(range(0, nodes.d + 1)) AS a FROM nodes LEFT JOIN kids USING (d, p)) GROUP BY 1, 2)
+SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(kids, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(x.ids) AS ends_sha256
+FROM nodes x JOIN sums USING (d, p) LEFT JOIN kids USING (d, p)
+LEFT JOIN nodes up ON up.d = x.d - 1 AND up.p = left(x.p, 64 * (x.d - 1))"""
