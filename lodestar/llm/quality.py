@@ -223,7 +223,7 @@ def _cycles(steps: list, codes: list, y: np.ndarray, z: np.ndarray, stop: tuple,
             z += tree[code]
             stop_z += tree[code_out]
         now = _loss(stop_z, stop_y)
-        if now < best - 1e-6:
+        if now < best - 1e-5:
             best, best_tables, since = now, [t.copy() for t in tables], 0
         elif (since := since + 1) >= PATIENCE:
             break
