@@ -672,3 +672,73 @@ ORACLE["rotation_norms"] = """
        m AS (SELECT i, avg(x) AS mu FROM e GROUP BY i)
   SELECT vec_id, round(SUM((x - mu) * (x - mu)), 4) AS pca_square, round(SUM(x * x), 4) AS svd_square
   FROM e JOIN m USING (i) GROUP BY vec_id"""
+
+
+# Second-order trees of two levels over two features, per objective: lambda 1, alpha 0.5, learning rate 0.3.
+# Nodes are numbered as they are made: 0, its sides 1 and 2, then the sides of 1, then of 2.
+_NEWTON = """
+  raw AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_discount AS d, m.model,
+                 CASE m.model WHEN 'binary' THEN CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0 END
+                              ELSE l_extendedprice / 1000 END AS y
+          FROM lineitem, (VALUES ('binary'), ('regression')) m(model)),
+  mean AS (SELECT model, avg(y) AS p FROM raw GROUP BY model),
+  base AS (SELECT model, p, CASE model WHEN 'binary' THEN ln(p / (1 - p)) ELSE p END AS base FROM mean),
+  cells AS (SELECT model, q, d, count(*) AS n, sum(p - y) AS g,
+                   sum(CASE model WHEN 'binary' THEN p * (1 - p) ELSE 1 END) AS h
+            FROM raw JOIN mean USING (model) GROUP BY model, q, d),
+  root_hist AS (SELECT model, 'l_quantity' AS f, q AS v, sum(n) AS n, sum(g) AS g, sum(h) AS h FROM cells GROUP BY ALL
+                UNION ALL SELECT model, 'l_discount', d, sum(n), sum(g), sum(h) FROM cells GROUP BY ALL),
+  root_sums AS (SELECT model, f, v, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+                       sum(n) OVER a AS n, sum(g) OVER a AS g, sum(h) OVER a AS h
+                FROM root_hist WINDOW w AS (PARTITION BY model, f ORDER BY v), a AS (PARTITION BY model, f)),
+  root AS (SELECT *, {score} AS gain FROM root_sums WHERE nl < n AND hl >= 1 AND h - hl >= 1 AND {score} > 1e-12
+           QUALIFY row_number() OVER (PARTITION BY model ORDER BY {score} DESC, f DESC, v) = 1),
+  sided AS (SELECT c.*, CASE WHEN CASE r.f WHEN 'l_quantity' THEN c.q ELSE c.d END <= r.v THEN 1 ELSE 2 END AS node
+            FROM cells c JOIN root r USING (model)),
+  kid_hist AS (SELECT model, node, 'l_quantity' AS f, q AS v, sum(n) AS n, sum(g) AS g, sum(h) AS h FROM sided GROUP BY ALL
+               UNION ALL SELECT model, node, 'l_discount', d, sum(n), sum(g), sum(h) FROM sided GROUP BY ALL),
+  kid_sums AS (SELECT model, node, f, v, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+                      sum(n) OVER a AS n, sum(g) OVER a AS g, sum(h) OVER a AS h
+               FROM kid_hist WINDOW w AS (PARTITION BY model, node, f ORDER BY v), a AS (PARTITION BY model, node, f)),
+  kid AS (SELECT *, {score} AS gain FROM kid_sums WHERE nl < n AND hl >= 1 AND h - hl >= 1 AND {score} > 1e-12
+          QUALIFY row_number() OVER (PARTITION BY model, node ORDER BY {score} DESC, f DESC, v) = 1),
+  totals AS (SELECT model, node, any_value(n) AS n, any_value(g) AS g, any_value(h) AS h FROM kid_sums GROUP BY model, node),
+  tops AS (SELECT model, 0 AS node, f, v, gain, n, g, h, NULL::INT AS up, NULL::BOOLEAN AS is_left FROM root
+           UNION ALL SELECT t.model, t.node, k.f, k.v, k.gain, t.n, t.g, t.h, 0, t.node = 1
+                     FROM totals t LEFT JOIN kid k USING (model, node)),
+  ends AS (SELECT model, 2 * dense_rank() OVER (PARTITION BY model ORDER BY node) + 1 + side AS node, NULL AS f, NULL AS v, NULL AS gain,
+                  CASE side WHEN 0 THEN nl ELSE n - nl END AS n, CASE side WHEN 0 THEN gl ELSE g - gl END AS g,
+                  CASE side WHEN 0 THEN hl ELSE h - hl END AS h, node AS up, side = 0 AS is_left
+           FROM kid, (VALUES (0), (1)) s(side)),
+  nodes AS (SELECT *, -0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 1) + 0.0 AS value
+            FROM (SELECT * FROM tops UNION ALL SELECT * FROM ends))"""
+_NEWTON = _NEWTON.format(score="(" + " ".join(
+    f"{sign} power(greatest(abs({g}) - 0.5, 0), 2) / ({h} + 1)" for sign, g, h in (("", "gl", "hl"), ("+", "g - gl", "h - hl"), ("-", "g", "h"))
+) + ") / 2")
+
+ORACLE["newton_two_levels"] = f"""
+  WITH {_NEWTON}
+  SELECT model, node, f AS feature, v AS threshold, round(gain, 4) AS gain, n::BIGINT AS n, round(value, 5) AS value FROM nodes"""
+
+# A leaf's weight for a set of known features: 1 or 0 at cuts of these, the share of curvature at the others.
+ORACLE["tree_contributions"] = f"""
+  WITH {_NEWTON},
+    leaves AS (SELECT l.model, l.value, l.f1, l.v1, l.left1, l.r1, l.f2, l.v2, l.left2, l.r2
+               FROM (SELECT a.model, a.value, b.f AS f1, b.v AS v1, a.is_left AS left1, a.h / b.h AS r1,
+                            c.f AS f2, c.v AS v2, b.is_left AS left2, b.h / c.h AS r2
+                     FROM nodes a JOIN nodes b ON a.model = b.model AND a.up = b.node
+                     LEFT JOIN nodes c ON c.model = b.model AND b.up = c.node WHERE a.f IS NULL) l),
+    seen AS (SELECT DISTINCT model, q, d FROM raw),
+    games AS (SELECT s.model, q, d, k.kq, k.kd, sum(value
+                * CASE WHEN f1 IS NULL THEN 1 WHEN CASE f1 WHEN 'l_quantity' THEN kq ELSE kd END
+                       THEN ((CASE f1 WHEN 'l_quantity' THEN q ELSE d END <= v1) = left1)::INT ELSE r1 END
+                * CASE WHEN f2 IS NULL THEN 1 WHEN CASE f2 WHEN 'l_quantity' THEN kq ELSE kd END
+                       THEN ((CASE f2 WHEN 'l_quantity' THEN q ELSE d END <= v2) = left2)::INT ELSE r2 END) AS v
+              FROM seen s JOIN leaves USING (model), (VALUES (false, false), (true, false), (false, true), (true, true)) k(kq, kd)
+              GROUP BY ALL),
+    wide AS (SELECT model, q, d, max(v) FILTER (NOT kq AND NOT kd) AS v0, max(v) FILTER (kq AND NOT kd) AS vq,
+                    max(v) FILTER (NOT kq AND kd) AS vd, max(v) FILTER (kq AND kd) AS vb FROM games GROUP BY ALL)
+  SELECT l_orderkey, l_linenumber, model, round(((vq - v0) + (vb - vd)) / 2, 5) AS c_quantity,
+         round(((vd - v0) + (vb - vq)) / 2, 5) AS c_discount, round(base + v0, 5) AS bias,
+         round((vb - vq - vd + v0) / 2, 5) AS pair, round(vq - v0, 5) AS own_quantity
+  FROM raw JOIN wide USING (model, q, d) JOIN base USING (model)"""

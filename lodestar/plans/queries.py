@@ -1174,3 +1174,85 @@ def rotation_norms(spark, sf_dir):
     svd = raw.select("vec_id", square(F.array(*models.project("embedding", vecs).values())).alias("s"))
     return (pca.select("vec_id", r(square(vector_to_array("pca")), 4).alias("pca_square"))
                .join(svd.select("vec_id", r(F.col("s"), 4).alias("svd_square")), "vec_id"))
+
+
+# --------------------------------------------------------------------------- boosted trees with second-order gradients
+from lodestar.operators import newton_trees  # noqa: E402
+
+TWO_FEATURES = ["l_quantity", "l_discount"]
+
+
+def _two_level_fits(spark, sf_dir):
+    """One round of two levels over two features of all line items, per objective."""
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", *TWO_FEATURES])
+    rows = li.withColumns({"binary": (F.col("l_returnflag") == "R").cast("double"), "regression": F.col("l_extendedprice") / 1000})
+    fits = {o: newton_trees.fit_newton(rows, TWO_FEATURES, o, newton_trees.NewtonParams(
+        objective=o, rounds=1, max_depth=2, learning_rate=0.3, reg_lambda=1.0, reg_alpha=0.5, max_bins=64))
+        for o in ("binary", "regression")}
+    return rows, fits
+
+
+@register("newton_two_levels")
+def newton_two_levels(spark, sf_dir):
+    """Node tables of regularised second-order trees."""
+    _, fits = _two_level_fits(spark, sf_dir)
+    parts = [m.nodes(spark).withColumn("model", F.lit(o)) for o, m in fits.items()]
+    nodes = parts[0].unionByName(parts[1])
+    return nodes.select("model", "node", "feature", "threshold", r(F.when(F.col("feature").isNotNull(), F.col("gain")), 4).alias("gain"),
+                        F.col("rows").alias("n"), r("value", 5).alias("value"))
+
+
+@register("tree_contributions")
+def tree_contributions(spark, sf_dir):
+    """Exact contributions and interactions of the two-level trees for every line item."""
+    rows, fits = _two_level_fits(spark, sf_dir)
+    keys = ["l_orderkey", "l_linenumber"]
+    parts = []
+    for o, m in fits.items():
+        cells = rows.select(*TWO_FEATURES).distinct().withColumn("cell", F.concat_ws("|", *TWO_FEATURES))
+        phi = m.contributions(cells, ["cell", *TWO_FEATURES])
+        both = m.interactions(cells, "cell").groupBy("cell").agg(
+            F.max(F.when((F.col("feature_i") == TWO_FEATURES[0]) & (F.col("feature_j") == TWO_FEATURES[1]), F.col("value"))).alias("pair"),
+            F.max(F.when((F.col("feature_i") == TWO_FEATURES[0]) & (F.col("feature_j") == TWO_FEATURES[0]), F.col("value"))).alias("own"))
+        explained = phi.join(both, "cell").select(
+            *TWO_FEATURES, r("c_l_quantity", 5).alias("c_quantity"), r("c_l_discount", 5).alias("c_discount"), r("bias", 5).alias("bias"),
+            r(F.coalesce("pair", F.lit(0.0)), 5).alias("pair"), r(F.coalesce("own", F.lit(0.0)), 5).alias("own_quantity"))
+        parts.append(rows.select(*keys, *TWO_FEATURES).join(explained, TWO_FEATURES).withColumn("model", F.lit(o)))
+    return parts[0].unionByName(parts[1]).drop(*TWO_FEATURES)
+
+
+@register("gbt_newton")
+def gbt_newton(spark, sf_dir):
+    """Boosted classifier of the delay label with all penalties and samples; every held-out row is scored."""
+    train, test = _delay_split(spark, sf_dir)
+    m = newton_trees.fit_newton(train, list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", newton_trees.NewtonParams(
+        rounds=10, max_depth=5, learning_rate=0.15, reg_lambda=1.0, reg_alpha=0.1, gamma=0.01, subsample=0.8,
+        colsample_bytree=0.8, colsample_bylevel=0.8, max_bins=64), id_col="flight_id")
+    return m.transform(test, ["flight_id", "ArrDelayBinary"])
+
+
+def _delay_newton(spark, sf_dir):
+    train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
+    m = newton_trees.fit_newton(train, list(fixtures.FLIGHT_FEATURES), "ArrDelay", newton_trees.NewtonParams(
+        objective="regression", rounds=10, max_depth=4, learning_rate=0.3, max_bins=64))
+    return m, test
+
+
+@register("gbt_newton_regress")
+def gbt_newton_regress(spark, sf_dir):
+    m, test = _delay_newton(spark, sf_dir)
+    return m.transform(test, ["flight_id", "ArrDelay"])
+
+
+@register("tree_shap_exact")
+def tree_shap_exact(spark, sf_dir):
+    """Exact contributions of a boosted-tree delay model, with the constant, for every held-out row."""
+    m, test = _delay_newton(spark, sf_dir)
+    return m.contributions(test, ["flight_id"])
+
+
+@register("tree_interactions_exact")
+def tree_interactions_exact(spark, sf_dir):
+    """Exact pairwise interactions of the same model, diagonal and constant included, for every held-out row."""
+    m, test = _delay_newton(spark, sf_dir)
+    return m.interactions(test, "flight_id")
