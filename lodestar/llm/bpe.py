@@ -5,10 +5,22 @@ are put in one row (an Arrow step). A fold over that row's array merges the
 pre-tokens: the state is a string with one character per symbol, each step
 replaces the pair of the lowest rank, and ranks come from a literal map inside
 the plan. A last Arrow step lays the ids of the pre-tokens out in document
-order. A task sends each distinct pre-token through the fold once, until it has
-seen ``KNOWN`` of them and begins anew. Nothing is shuffled, and memory is
-bounded by these and by the run of documents (``CHUNK`` characters, or one
-longer text).
+order.
+
+The ``COMMON`` most frequent pre-tokens of a sample of ``PRIMER`` documents are
+folded once for all tasks and broadcast (their number bounds the size); a task
+folds each other pre-token once, until it has seen ``KNOWN`` of them and begins
+anew. What is in the sample decides who folds a pre-token, never its ids.
+Documents are not shuffled, and memory is bounded by these numbers and by the
+run of documents (``CHUNK`` characters, or one longer text).
+
+A pre-token of more than ``LONG`` bytes is folded as overlapping windows, so its
+cost grows with its length only. Two windows are joined at a token that both
+have at the same place: a sequence of tokens is the encoding of its bytes if
+and only if each two neighbours are the encoding of theirs, because the first
+merge across a boundary would depend on the two tokens beside it alone. All
+neighbours of the joined sequence are neighbours in some window. A pre-token
+with windows that share no token is merged with a heap instead.
 
 The rank file's path is a parameter. The map holds pairs of tokens whose
 concatenation is a token, so a pair's rank is the joined token's rank, as in
@@ -21,9 +33,11 @@ alike; every column named in ``keep`` passes through, nulls included.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +51,12 @@ from lodestar.llm import pretokens
 
 #: Characters of text that share a row.
 CHUNK = 2_000_000
-#: Distinct pre-tokens that a task remembers from row to row before it begins anew.
-KNOWN = 400_000
+#: Distinct pre-tokens that a task remembers from row to row before it begins anew, besides the common ones.
+KNOWN = 200_000
+#: Documents whose pre-tokens are counted, about, and pre-tokens that all tasks know from the beginning.
+PRIMER, COMMON = 20_000, 400_000
+#: Bytes of a pre-token that is folded in windows, of the part that a window is for, and of what it has on either side.
+LONG, PART, LAP = 192, 64, 32
 #: A merged token is the character at its rank plus this; lower characters are single bytes.
 FIRST = 256
 #: Sorts after every symbol: no rank.
@@ -165,26 +183,92 @@ def decode_words(words: Column, ranks_path: str) -> Column:
         words, lambda ids: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))))
 
 
+# ------------------------------------------------------------------ long pre-tokens
+def windows(word: bytes, part: int = PART, lap: int = LAP) -> list[tuple[int, bytes]]:
+    """Overlapping parts of a word, with their places."""
+    return [(max(0, a - lap), word[max(0, a - lap):a + part + lap]) for a in range(0, len(word), part)]
+
+
+def join_windows(parts: Sequence[tuple[int, np.ndarray]], length_of: np.ndarray) -> np.ndarray | None:
+    """The ids of a word from its windows' (place, ids); None if two neighbours have no token in common."""
+    out, cut = [], 0  # tokens from ``cut`` on are still to come
+    for k, (at, ids) in enumerate(parts):
+        edges = at + np.concatenate([[0], np.cumsum(length_of[ids])])
+        begin = int(np.searchsorted(edges, cut))
+        if k + 1 == len(parts):
+            out.append(ids[begin:])
+            break
+        next_at, next_ids = parts[k + 1]
+        next_edges = next_at + np.concatenate([[0], np.cumsum(length_of[next_ids])])
+        # a token is the same in both if it starts and ends at the same places
+        mine, other = edges[begin:-1] * 65536 + np.diff(edges[begin:]), next_edges[:-1] * 65536 + np.diff(next_edges)
+        same = np.flatnonzero(np.isin(mine, other))
+        if not len(same):
+            return None
+        last = begin + int(same[len(same) // 2])
+        out.append(ids[begin:last + 1])
+        cut = int(edges[last + 1])
+    return np.concatenate(out)
+
+
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word by ranked merges with a heap; for stretches whose windows don't meet."""
+    n = len(word)
+    end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
+    alive = [True] * n
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, stop = heapq.heappop(heap)
+        j = after[i] if alive[i] else n
+        if j >= n or end[j] != stop:
+            continue
+        alive[j], end[i], after[i] = False, stop, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < n and (r := ranks.get(word[a:end[b]])) is not None:
+                heapq.heappush(heap, (r, a, end[b]))
+    return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
+
+
 # ------------------------------------------------------------------ operator
-def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, limit: int) -> Iterator[pa.RecordBatch]:
-    known: dict[bytes, int] = {}
+class Known(NamedTuple):
+    """The pre-tokens that all tasks know: the words, their ids one after the other, their numbers of ids and decoded bytes."""
+
+    words: list
+    values: np.ndarray
+    lengths: np.ndarray
+    pieces: list
+
+
+def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, limit: int, common) -> Iterator[pa.RecordBatch]:
+    base = {w: i for i, w in enumerate(common.value.words)}
+    known: dict[bytes, int] | None = None
     for batch in batches:
         for part in pretokens.runs(batch["text"], size):
             mine = batch.slice(part.start, part.stop - part.start)
             words, codes, docs = pretokens.split(pretokens.texts_of(mine["text"]))
             listed = words.to_pylist()
-            new = [w for w in listed if w not in known]
-            anew = not known or len(known) + len(new) > limit
+            long = [i for i, w in enumerate(listed) if len(w) > LONG]
+            cut = [windows(listed[i]) for i in long]
+            whole = [w for w in listed if len(w) <= LONG] + list(dict.fromkeys(w for parts in cut for _, w in parts))
+            new = [w for w in whole if w not in known] if known else whole
+            anew = known is None or len(known) - len(base) + len(new) > limit
             if anew:
-                known, new = {}, listed
+                known = dict(base)
+                new = [w for w in whole if w not in known]
+            new = list(dict.fromkeys(new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
-            number = np.fromiter(map(known.__getitem__, listed), np.int32, len(listed))
+            number = np.fromiter((known[w] if len(w) <= LONG else -1 for w in listed), np.int32, len(listed))
+            number[long] = -1 - np.arange(len(long), dtype=np.int32)
             row = {c: _one_list(mine[c]) for c in keep}
             row["words"] = _one_list(pa.array(new, pa.binary()))
             row["codes"] = pa.array([number[codes].tobytes()], pa.binary())
             row["docs"] = pa.array([docs.astype(np.int64).tobytes()], pa.binary())
             row["anew"] = pa.array([anew])
-            del words, codes, docs, listed, new, number  # what follows waits for the next step, with this in memory
+            row["windows"] = pa.array([[[x for at, w in parts for x in (at, known[w])] for parts in cut]], pa.list_(pa.list_(pa.int64())))
+            del words, codes, docs, listed, whole, new, number, cut  # what follows waits for the next step, with this in memory
             yield pa.RecordBatch.from_pydict(row)
             del row
             pa.default_memory_pool().release_unused()
@@ -194,31 +278,53 @@ def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+def _joined(parts: Sequence[int], first: np.ndarray, lengths: np.ndarray, values: np.ndarray, texts: pa.Array, tokens) -> np.ndarray:
+    """The ids of a long pre-token from its windows (place, number, place, number, ...)."""
+    found = [(at, values[first[w]:first[w] + lengths[w]]) for at, w in zip(parts[::2], parts[1::2])]
+    ids = join_windows(found, tokens.value[0])
+    if ids is None:
+        word = b""
+        for at, w in zip(parts[::2], parts[1::2]):
+            word = word[:at] + texts[w].as_py()
+        ids = np.array(merge_bytes(word, {t: r for r, t in enumerate(tokens.value[1]) if t is not None}), np.int64)
+    return ids
+
+
+def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], common, tokens, step: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    start = common.value
+    base = pa.array(start.pieces, pa.large_binary())
     for batch in batches:
         pa.default_memory_pool().release_unused()
         for r in range(batch.num_rows):
             lists, pieces = batch["ids"][r].values, batch["bytes"][r].values.cast(pa.large_binary())
             new_values, new_lengths = np.asarray(lists.flatten()), np.asarray(pc.list_value_length(lists))
             if batch["anew"][r].as_py():
-                values, lengths, texts = new_values, new_lengths, pieces
-            else:
-                values, lengths = np.concatenate([values, new_values]), np.concatenate([lengths, new_lengths])
-                texts = pa.concat_arrays([texts, pieces])
+                values, lengths, texts = start.values, start.lengths, base
+            values, lengths = np.concatenate([values, new_values]), np.concatenate([lengths, new_lengths])
+            texts = pa.concat_arrays([texts, pieces])
             first = np.concatenate([[0], np.cumsum(lengths)])
             codes = np.frombuffer(batch["codes"][r].as_py(), np.int32)
             docs = np.frombuffer(batch["docs"][r].as_py(), np.int64)
+            all_values, all_lengths, all_texts = values, lengths, texts
+            if long := batch["windows"][r].as_py():  # these are numbered after the known ones
+                whole = [_joined(parts, first, lengths, values, texts, tokens) for parts in long]
+                decoded = [b"".join(tokens.value[1][i] for i in ids) for ids in whole]
+                all_values = np.concatenate([values, *whole])
+                all_lengths = np.concatenate([lengths, [len(ids) for ids in whole]])
+                all_texts = pa.concat_arrays([texts, pa.array(decoded, pa.large_binary())])
+                first = np.concatenate([[0], np.cumsum(all_lengths)])
+                codes = np.where(codes < 0, len(lengths) - 1 - codes, codes)
             carried = {c: batch[c][r].values for c in keep}
             a = 0
             while a < len(docs) - 1:  # documents with about ``step`` pre-tokens together
                 b = max(a + 1, int(np.searchsorted(docs, docs[a] + step, "right")) - 1)
                 mine = codes[docs[a]:docs[b]]
-                n = lengths[mine]
+                n = all_lengths[mine]
                 ends = np.concatenate([[0], np.cumsum(n)])
                 at = np.repeat(first[mine] - ends[:-1], n) + np.arange(ends[-1])
                 bounds = docs[a:b + 1] - docs[a]
-                ids = pa.py_buffer(values[at].astype("<u4").tobytes())
-                taken = texts.take(pa.array(mine))
+                ids = pa.py_buffer(all_values[at].astype("<u4").tobytes())
+                taken = all_texts.take(pa.array(mine))
                 place = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1]
                 out = {c: carried[c].slice(a, b - a) for c in keep}
                 for name, cut, data in (("ids", 4 * ends[bounds], ids), ("decoded", place[bounds], taken.buffers()[2])):
@@ -228,8 +334,32 @@ def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], step: int =
                 a = b
 
 
+def _counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pretokens.runs(batch["text"], size):
+            words, codes, _ = pretokens.split(pretokens.texts_of(batch["text"].slice(part.start, part.stop - part.start)))
+            short = np.flatnonzero(np.asarray(pc.binary_length(words)) <= LONG)
+            yield pa.RecordBatch.from_pydict({
+                "word": words.take(pa.array(short)).cast(pa.binary()),
+                "n": pa.array(np.bincount(codes, minlength=len(words))[short].astype(np.int64))})
+
+
+def common_words(docs: DataFrame, ranks_path: str, primer: int = PRIMER, limit: int = COMMON, chunk: int = CHUNK) -> Known:
+    """The ``limit`` most frequent pre-tokens of about ``primer`` documents, folded."""
+    share = min(1.0, primer / max(docs.count(), 1))
+    counts = (docs.select("text").sample(share, seed=7).mapInArrow(lambda it: _counted(it, chunk), "word binary, n long")
+                  .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
+    lists = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(32))).agg(F.collect_list("word").alias("words"))
+    folded = lists.repartition(32).withColumn("ids", encode_words(F.col("words"), ranks_path))
+    rows = folded.select("words", "ids", decode_words(F.col("ids"), ranks_path).alias("pieces")).toArrow()  # ``limit`` words at most
+    rows = rows.combine_chunks()
+    words, ids, pieces = (pc.list_flatten(rows[c]) for c in ("words", "ids", "pieces"))
+    values = pc.list_flatten(ids).to_numpy().astype(np.int32)
+    return Known(words.to_pylist(), values, pc.list_value_length(ids).to_numpy().astype(np.int32), pieces.to_pylist())
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",),
-                     chunk: int = CHUNK, known: int = KNOWN) -> DataFrame:
+                     chunk: int = CHUNK, known: int = KNOWN, primer: int = PRIMER, common: int = COMMON) -> DataFrame:
     """Columns ``keep`` of each row with ``ids`` (little-endian unsigned 32-bit) and ``decoded`` (bytes of the ids).
 
     ``keep`` may hold ``text`` itself.
@@ -237,14 +367,22 @@ def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("d
     names = list(keep)
     kept = [f"k{i}" for i in range(len(names))]  # out of the way of the columns that follow
     kinds = [docs.schema[c].dataType for c in names]
-    fields = [*("words codes docs anew".split())]
+    fields = [*("words codes docs anew windows".split())]
     packed = T.StructType([T.StructField(k, T.ArrayType(t)) for k, t in zip(kept, kinds)]
-                          + [T.StructField(f, t) for f, t in zip(fields, (T.ArrayType(T.BinaryType()), T.BinaryType(),
-                                                                          T.BinaryType(), T.BooleanType()))])
+                          + [T.StructField(f, t) for f, t in zip(fields, (
+                              T.ArrayType(T.BinaryType()), T.BinaryType(), T.BinaryType(), T.BooleanType(),
+                              T.ArrayType(T.ArrayType(T.LongType()))))])
     laid = T.StructType([*(T.StructField(k, t) for k, t in zip(kept, kinds)),
                          T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    sc = docs.sparkSession.sparkContext
+    ranks = read_ranks(ranks_path)
+    by_rank: list = [None] * (max(ranks.values()) + 1)
+    for t, i in ranks.items():
+        by_rank[i] = t
+    tokens = sc.broadcast((np.array([len(t or b"") for t in by_rank], np.int64), by_rank))
+    shared = sc.broadcast(common_words(docs, ranks_path, primer, common, chunk))
     runs = (docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
-                .mapInArrow(lambda it: _pack(it, kept, chunk, known), packed))
+                .mapInArrow(lambda it: _pack(it, kept, chunk, known, shared), packed))
     coded = runs.withColumn("ids", encode_words(F.col("words"), ranks_path))
-    both = coded.select(*kept, "codes", "docs", "anew", "ids", decode_words(F.col("ids"), ranks_path).alias("bytes"))
-    return both.mapInArrow(lambda it: _lay_out(it, kept), laid).toDF(*names, "ids", "decoded")
+    both = coded.select(*kept, "codes", "docs", "anew", "windows", "ids", decode_words(F.col("ids"), ranks_path).alias("bytes"))
+    return both.mapInArrow(lambda it: _lay_out(it, kept, shared, tokens), laid).toDF(*names, "ids", "decoded")

@@ -59,6 +59,36 @@ def test_bpe_of_random_bytes(spark):
     assert [list(i) for i in got.ids] == [library._core_bpe.encode_single_piece(w) for w in words]
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def long_words():
+    rng = random.Random(3)
+    words = ["".join(rng.choice(LETTERS) for _ in range(n)) for n in (191, 193, 700, 5_000, 100_000)]
+    words += ["a" * 3_001, "=" * 5_003, "abc" * 1_001, "the" * 900 + "The" * 77, "\u00e9\u4e2d" * 400, "z" * 193]
+    words += ["".join(rng.choice(["tion", "ing", "er", "the", "q"]) for _ in range(300)) for _ in range(40)]
+    return words
+
+
+def test_bpe_of_long_words(spark):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = long_words() + ["one " + " ".join(long_words()[2:4]) + " two"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in bpe.encode_documents(df, RANKS, keep=["doc_id", "text"], chunk=10_000, known=50).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode_ordinary(r["text"])
+        assert bytes(r["decoded"]) == r["text"].encode()
+
+
+def test_windows_without_a_common_token_are_merged_with_a_heap():
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for word in long_words():
+        assert bpe.merge_bytes(word.encode(), ranks) == library._core_bpe.encode_single_piece(word.encode())
+    lengths = np.array([len(t) for t, _ in sorted(ranks.items(), key=lambda x: x[1])])
+    once = np.array(library._core_bpe.encode_single_piece(b"tion"))
+    assert bpe.join_windows([(0, once), (2, once)], lengths) is None
+
+
 def test_bpe_of_an_empty_table(spark):
     assert bpe.encode_documents(spark.createDataFrame([], SCHEMA), RANKS).count() == 0
 
