@@ -86,7 +86,7 @@ class Tree:
             getattr(self, name).append(v)
         return len(self.feature) - 1
 
-    def leaf_of(self, x: np.ndarray, missing: np.ndarray | None = None) -> np.ndarray:
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
         """The leaf that each row of values ends in."""
         feature, threshold = np.array(self.feature), np.array(self.threshold)
         left, right, by_default = np.array(self.left), np.array(self.right), np.array(self.missing_left)
@@ -413,8 +413,9 @@ def _grow(state: DataFrame, cuts: list[np.ndarray], n_bins: int, n: int, params:
         # the level below the last cuts only counts its nodes; one column is enough for that
         mine = draw(columns, params.colsample_bylevel) if level < params.max_depth else columns[:1]
         args = (tree, list(cut), list(open_nodes), mine, p, n_bins, scale, params, round_)
+        # a task's rows are sums already, so they go straight to where the running sums are made
         sums = (state.mapInArrow(lambda it, a=args: _histograms(it, *a), "node int, feature int, bin int, n long, g long, h long")
-                     .groupBy("node", "feature", "bin").agg(*(F.sum(c).alias(c) for c in "ngh")))
+                     .repartition("node", "feature").groupBy("node", "feature", "bin").agg(*(F.sum(c).alias(c) for c in "ngh")))
         found = best_cuts(sums, scale, params).collect()  # one row for each open node
         below = []
         for r in sorted(found, key=lambda r: r["node"]):
