@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -35,11 +36,17 @@ def test_ridge_cv_matches_refit(spark):
         assert abs(((te.y - a - b * te.l_quantity) ** 2).mean() - row.mse) < 1e-8
 
 
-def test_knn_blocks_match_brute_force(spark):
+@pytest.mark.parametrize("shape, pivots", [("loose", 1), ("loose", 7), ("clusters", 12), ("copies", 5)])
+def test_knn_matches_brute_force_with_any_pivots(spark, shape, pivots):
     rng = np.random.default_rng(0)
     pts = rng.normal(size=(120, 5)).round(3)
+    if shape == "clusters":
+        pts = (pts + 40 * rng.integers(0, 4, size=(120, 1))).round(3)
+    elif shape == "copies":
+        pts[:60] = pts[0]
     df = spark.createDataFrame([(i, pts[i].tolist()) for i in range(len(pts))], "id long, v array<double>")
-    got = neighbors.knn(df, df, "id", "v", k=4, include_self=False, num_blocks=3).toPandas()
+    got = neighbors.knn(df, df, "id", "v", k=4, include_self=False, pivots=pivots, block_rows=16).toPandas()
+    assert len(got) == 480
     d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     for q, g in got.groupby("query_id"):
@@ -47,6 +54,34 @@ def test_knn_blocks_match_brute_force(spark):
         assert g.sort_values("rank").neighbor_id.tolist() == exp.tolist()
 
 
+def test_knn_visits_few_cells_of_clustered_rows():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 8)) * 50
+    pts = centres[rng.integers(0, 20, 2_000)] + rng.normal(size=(2_000, 8))
+    chosen = [0]
+    while len(chosen) < 20:
+        chosen.append(int(np.min([((pts - pts[c]) ** 2).sum(1) for c in chosen], axis=0).argmax()))
+    dist, _ = neighbors._distances(pts, pts[chosen])
+    own = dist.argmin(1)
+    far = dist[np.arange(len(pts)), own]
+    cells = neighbors.Cells(pts[chosen], np.bincount(own, minlength=20), *(
+        np.array([f(far[own == c]) for c in range(20)]) for f in (np.min, np.max)))
+    exact = np.sqrt(((pts[:200, None] - pts[None]) ** 2).sum(-1))
+    kth = np.sort(exact, axis=1)[:, 4]
+    least = cells.least(dist[:200])
+    for c in range(20):
+        assert (least[:, c] <= exact[:, own == c].min(axis=1) + 1e-6).all()
+    assert (least <= kth[:, None]).sum(axis=1).mean() < 3  # of 20 cells
+
+
+def test_knn_of_nothing(spark):
+    none = spark.createDataFrame([], "id long, v array<double>")
+    one = spark.createDataFrame([(1, [0.0, 1.0]), (2, None)], "id long, v array<double>")
+    assert neighbors.knn(one, none, "id", "v").count() == 0
+    assert neighbors.knn(none, one, "id", "v").count() == 0
+    assert [tuple(r) for r in neighbors.knn(one, one, "id", "v", k=3).collect()] == [(1, 1, 0.0, 1)]
+
+
 def test_rf_predictions_cover_test_rows(spark):
     pred = queries.rf_fit(spark, SF_SMALL)
     _, test = queries._delay_split(spark, SF_SMALL)
