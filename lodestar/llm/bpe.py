@@ -54,7 +54,7 @@ CHUNK = 2_000_000
 #: Distinct pre-tokens that a task remembers from row to row before it begins anew, besides the common ones.
 KNOWN = 200_000
 #: Documents whose pre-tokens are counted, about, and pre-tokens that all tasks know from the beginning.
-PRIMER, COMMON = 20_000, 400_000
+PRIMER, COMMON = 20_000, 300_000
 #: Bytes of a pre-token that is folded in windows, of the part that a window is for, and of what it has on either side.
 LONG, PART, LAP = 192, 64, 32
 #: A merged token is the character at its rank plus this; lower characters are single bytes.
@@ -234,16 +234,15 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # ------------------------------------------------------------------ operator
 class Known(NamedTuple):
-    """The pre-tokens that all tasks know: the words, their ids one after the other, their numbers of ids and decoded bytes."""
+    """The pre-tokens that all tasks know: the words, which are also their decoded bytes, their ids in a row and how many."""
 
-    words: list
+    words: pa.Array
     values: np.ndarray
     lengths: np.ndarray
-    pieces: list
 
 
 def _pack(batches: Iterator[pa.RecordBatch], keep: Sequence[str], size: int, limit: int, common) -> Iterator[pa.RecordBatch]:
-    base = {w: i for i, w in enumerate(common.value.words)}
+    base = {w: i for i, w in enumerate(common.value.words.to_pylist())}
     known: dict[bytes, int] | None = None
     for batch in batches:
         for part in pretokens.runs(batch["text"], size):
@@ -292,7 +291,7 @@ def _joined(parts: Sequence[int], first: np.ndarray, lengths: np.ndarray, values
 
 def _lay_out(batches: Iterator[pa.RecordBatch], keep: Sequence[str], common, tokens, step: int = 1 << 17) -> Iterator[pa.RecordBatch]:
     start = common.value
-    base = pa.array(start.pieces, pa.large_binary())
+    base = start.words
     for batch in batches:
         pa.default_memory_pool().release_unused()
         for r in range(batch.num_rows):
@@ -352,10 +351,10 @@ def common_words(docs: DataFrame, ranks_path: str, primer: int = PRIMER, limit:
     lists = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(32))).agg(F.collect_list("word").alias("words"))
     folded = lists.repartition(32).withColumn("ids", encode_words(F.col("words"), ranks_path))
     rows = folded.select("words", "ids", decode_words(F.col("ids"), ranks_path).alias("pieces")).toArrow()  # ``limit`` words at most
-    rows = rows.combine_chunks()
-    words, ids, pieces = (pc.list_flatten(rows[c]) for c in ("words", "ids", "pieces"))
-    values = pc.list_flatten(ids).to_numpy().astype(np.int32)
-    return Known(words.to_pylist(), values, pc.list_value_length(ids).to_numpy().astype(np.int32), pieces.to_pylist())
+    words, ids, pieces = (pc.list_flatten(rows[c].combine_chunks()) for c in ("words", "ids", "pieces"))
+    if not words.equals(pieces):
+        raise ValueError("some pre-tokens don't decode to themselves")
+    return Known(words.cast(pa.large_binary()), np.asarray(pc.list_flatten(ids), np.int32), np.asarray(pc.list_value_length(ids), np.int32))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",),
