@@ -147,3 +147,71 @@ def spark_ml_linear(train: DataFrame, features: Sequence[str], label: str, reg:
     lr = LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=elastic_net,
                           solver=solver, maxIter=max_iter, standardization=False)
     return Pipeline(stages=[va, lr]).fit(train)
+
+
+# --------------------------------------------------------------------------- coordinate descent
+@dataclass
+class Centred:
+    """Means and per-row covariances of features and label: all that a penalised fit with an intercept needs."""
+
+    features: list[str]
+    n: int
+    means: np.ndarray
+    label_mean: float
+    gram: np.ndarray
+    cov: np.ndarray
+
+
+def centred_stats(df: DataFrame, features: Sequence[str], label: str) -> Centred:
+    """One aggregation of centred co-moments, which don't cancel when means are large. Rows with a null are left out."""
+    feats = list(features)
+    x = [F.col(f).cast("double") for f in feats]
+    y = F.col(label).cast("double")
+    rows = df.select(*(c.alias(f"x{i}") for i, c in enumerate(x)), y.alias("y")).dropna()
+    names = [f"x{i}" for i in range(len(feats))]
+    row = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"), *(F.avg(c).alias(f"m{i}") for i, c in enumerate(names)),
+                   *(F.covar_pop(names[i], names[j]).alias(f"g{i}_{j}") for i, j in _pairs(len(names))),
+                   *(F.covar_pop(c, F.col("y")).alias(f"c{i}") for i, c in enumerate(names))).first()
+    if not row["n"]:
+        raise ValueError("no complete rows")
+    gram = np.zeros((len(names), len(names)))
+    for i, j in _pairs(len(names)):
+        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"]
+    return Centred(feats, int(row["n"]), np.array([row[f"m{i}"] for i in range(len(names))]), float(row["my"]), gram,
+                   np.array([row[f"c{i}"] for i in range(len(names))]))
+
+
+def descend(st: Centred, alpha: float, l1_ratio: float, start: np.ndarray, tol: float = 1e-10, max_iter: int = 10_000) -> np.ndarray:
+    """Coefficients that minimise |y - Xw|^2 / 2n + alpha (l1_ratio |w|_1 + (1 - l1_ratio) |w|^2 / 2).
+
+    Coordinates are solved in turn from the covariances alone; ``rest`` keeps the covariance of each feature with
+    what is left of the label. A feature without variance gets 0.
+    """
+    w, l1, l2 = start.astype(float).copy(), alpha * l1_ratio, alpha * (1 - l1_ratio)
+    rest = st.cov - st.gram @ w
+    for _ in range(max_iter):
+        moved = 0.0
+        for j in range(len(w)):
+            curve = st.gram[j, j] + l2
+            if curve <= 0:
+                continue
+            pull = rest[j] + st.gram[j, j] * w[j]
+            new = np.sign(pull) * max(abs(pull) - l1, 0.0) / curve
+            if new != w[j]:
+                rest -= st.gram[:, j] * (new - w[j])
+                moved = max(moved, abs(new - w[j]) * np.sqrt(curve))
+                w[j] = new
+        if moved <= tol:
+            break
+    return w
+
+
+def coordinate_path(df: DataFrame, features: Sequence[str], label: str, alphas: Sequence[float],
+                    l1_ratio: float = 1.0) -> list[tuple[float, LinearFit]]:
+    """A fit per penalty, the strongest first, each started from the one before; the rows are read once."""
+    st = centred_stats(df, features, label)
+    w, out = np.zeros(len(st.features)), []
+    for alpha in sorted(alphas, reverse=True):
+        w = descend(st, float(alpha), l1_ratio, w)
+        out.append((float(alpha), LinearFit(st.features, w.copy(), float(st.label_mean - st.means @ w), st.means, st.label_mean)))
+    return out

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,3 +82,38 @@ def fold_summary(scores: DataFrame, by: list[str], score: str, higher_is_better:
     return scores.groupBy(*by).agg(F.avg(score).alias("mean_score"), best(score).alias("best_score"),
                                    worst(score).alias("worst_score"), F.sum(score).alias("total"),
                                    F.count(F.lit(1)).alias("n_folds"))
+
+
+def silhouette(df: DataFrame, vector: str, cluster: str, max_clusters: int = 10_000) -> DataFrame:
+    """Rows with their silhouette (squared Euclidean distance): (``cluster``, n, silhouette) per cluster, and a null cluster for all.
+
+    A row's mean squared distance to a cluster follows from the cluster's number of rows, mean and sum of squares, so
+    no pairs are formed. A row alone in its cluster has 0. Clusters' figures are one row each and go to every task;
+    more than ``max_clusters`` raise ``ValueError``.
+    """
+    rows = df.where(F.col(vector).isNotNull() & F.col(cluster).isNotNull()).select(
+        F.col(cluster).cast("long").alias("c"), F.col(vector).cast("array<double>").alias("v"))
+    figures = rows.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square"),
+        Summarizer.mean(array_to_vector("v")).alias("mean")).limit(max_clusters + 1).collect()
+    if len(figures) > max_clusters:
+        raise ValueError(f"more than {max_clusters} clusters")
+    figures.sort(key=lambda f: f["c"])
+    ids, n = np.array([f["c"] for f in figures], np.int64), np.array([f["n"] for f in figures], np.float64)
+    mean, spread = np.array([f["mean"].toArray() for f in figures]), np.array([f["square"] for f in figures])
+
+    def run(batches):
+        for pdf in batches:
+            v = np.stack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, mean.shape[1] if len(ids) else 0))
+            own = np.searchsorted(ids, pdf["c"].to_numpy())
+            if not len(pdf):
+                continue
+            far = (v * v).sum(1)[:, None] + (spread / n)[None] - 2 * v @ mean.T
+            at = np.arange(len(v))
+            inner = far[at, own] * n[own] / np.maximum(n[own] - 1, 1)
+            far[at, own] = np.inf
+            outer = far.min(axis=1)
+            s = np.where((n[own] > 1) & np.isfinite(outer), (outer - inner) / np.maximum(np.maximum(inner, outer), 1e-300), 0.0)
+            yield pd.DataFrame({"c": pdf["c"], "s": s})
+    each = rows.mapInPandas(run, "c long, s double")
+    return each.rollup("c").agg(F.count(F.lit(1)).alias("n"), F.avg("s").alias("silhouette")).withColumnRenamed("c", cluster)

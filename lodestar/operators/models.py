@@ -7,6 +7,7 @@ without a Spark counterpart (L1/L2 leaf penalties) are not emulated.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -17,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -162,6 +163,65 @@ def linear_svc(label: str, C: float = 100.0, *, n_rows: int, features_col: str =
                      maxIter=max_iter)
 
 
+class CalibratedSVC:
+    """A linear SVM whose margins a sigmoid turns into probabilities."""
+
+    def __init__(self, model, slope: float, constant: float):
+        self.model, self.slope, self.constant = model, slope, constant
+
+    def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        margin = vector_to_array("rawPrediction")[1]
+        return self.model.transform(df).select(*keep, margin.alias("margin"), F.col("prediction").cast("double").alias("prediction"),
+                                               (1 / (1 + F.exp(-(F.lit(self.slope) * margin + F.lit(self.constant))))).alias("prob"))
+
+
+def fit_sigmoid(margin: np.ndarray, n: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
+    """Slope and constant of P(1 | margin) from binned margins, by Newton steps on the likelihood.
+
+    Targets are (positives + 1) / (positives + 2) and 1 / (negatives + 2), so separable margins stay finite.
+    """
+    pos, neg = positive.sum(), (n - positive).sum()
+    high, low = (pos + 1) / (pos + 2), 1 / (neg + 2)
+    target = positive * high + (n - positive) * low
+    a, b = 0.0, math.log((pos + 1) / (neg + 1))
+    loss = lambda a, b: float((n * np.logaddexp(0, a * margin + b) - target * (a * margin + b)).sum())
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
+        r, w = n * p - target, n * p * (1 - p)
+        grad = np.array([(r * margin).sum(), r.sum()])
+        curve = np.array([[(w * margin * margin).sum(), (w * margin).sum()], [(w * margin).sum(), w.sum()]]) + 1e-12 * np.eye(2)
+        step, t = np.linalg.solve(curve, grad), 1.0
+        while loss(a - t * step[0], b - t * step[1]) > loss(a, b) + 1e-12 and t > 1e-8:
+            t /= 2
+        a, b = a - t * step[0], b - t * step[1]
+        if np.abs(t * step).max() < 1e-10:
+            break
+    return float(a), float(b)
+
+
+def calibrated_svc(df: DataFrame, label: str, fold: str, C: float = 100.0, features_col: str = "rff", bins: int = 2_000) -> CalibratedSVC:
+    """``linear_svc`` on all rows; its sigmoid is fitted to margins of models that did not see the row (folds 0..k-1).
+
+    Margins are added up in bins, so ``bins`` sums at most reach the driver.
+    """
+    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    parts = []
+    for k in folds:
+        train, held = df.where(F.col(fold) != k), df.where(F.col(fold) == k)
+        model = linear_svc(label, C, n_rows=train.count(), features_col=features_col).fit(train)
+        parts.append(model.transform(held).select(vector_to_array("rawPrediction")[1].alias("m"), F.col(label).cast("double").alias("y")))
+    margins = functools.reduce(DataFrame.unionByName, parts).persist()
+    try:
+        edge = margins.agg(F.min("m").alias("low"), F.max("m").alias("high")).first()
+        width = max((edge["high"] - edge["low"]) / bins, 1e-300)
+        cell = F.least(F.floor((F.col("m") - F.lit(edge["low"])) / F.lit(width)), F.lit(bins - 1))
+        sums = margins.groupBy(cell.alias("b")).agg(F.avg("m").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).collect()
+    finally:
+        margins.unpersist()
+    slope, constant = fit_sigmoid(*(np.array([r[c] for r in sums], float) for c in ("m", "n", "pos")))
+    return CalibratedSVC(linear_svc(label, C, n_rows=df.count(), features_col=features_col).fit(df), slope, constant)
+
+
 def scaled_linear(features: Sequence[str], label: str, reg: float = 0.0) -> Pipeline:
     """Standardise (mean 0, sample std 1) then ordinary/ridge least squares."""
     from pyspark.ml.regression import LinearRegression
@@ -237,10 +297,6 @@ def auc_binned(pred: DataFrame, label: str, prob: str = "prob", bins: int = 1000
     return float(ev.evaluate(pred.withColumn(label, F.col(label).cast("double"))))
 
 
-def silhouette(clustered: DataFrame, features_col: str = FEATURES, prediction: str = "cluster") -> float:
-    return float(ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction).evaluate(clustered))
-
-
 def grid_search(estimator: Pipeline, grid: Mapping, train: DataFrame, label: str, fold_col: str,
                 parallelism: int = 2) -> DataFrame:
     """K-fold grid search with a user fold column (``foldCol``): table of params and mean AUC."""

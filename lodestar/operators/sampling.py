@@ -85,6 +85,17 @@ def estimate_rows(sources: Mapping[str, DataFrame], key: str, fraction: float, s
     return per.unionByName(total)
 
 
+def estimate_rows_by(df: DataFrame, source: str, key: str, fraction: float, seed: int) -> DataFrame:
+    """``estimate_rows`` for the values of a column, in one scan: source, sampled, estimate and a total (source NULL)."""
+    share = _threshold(fraction) / MODULUS
+    hit = (portable_bucket(key, seed, MODULUS) < _threshold(fraction)).cast("long")
+    per = df.groupBy(F.col(source).alias("source")).agg(F.sum(hit).alias("sampled"))
+    est = F.col("sampled") / F.lit(share) if share else F.lit(0.0)
+    per = per.withColumn("estimate", F.round(est).cast("bigint"))
+    total = per.agg(F.lit(None).cast("string").alias("source"), F.sum("sampled").alias("sampled"), F.sum("estimate").alias("estimate"))
+    return per.unionByName(total)
+
+
 def split_column(key: str, train_fraction: float, seed: int, modulus: int = MODULUS) -> Column:
     """'train' / 'test' label for each row."""
     return F.when(portable_bucket(key, seed, modulus) < _threshold(train_fraction, modulus),

@@ -8,16 +8,19 @@ statistics rather than by pairing trials with each other.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import math
 import random
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.functions.hashing import portable_bucket
+from lodestar.operators.aggregates import mean_std_count
 from lodestar.plans import scan
 
 
@@ -168,6 +171,74 @@ def successive_halving(log: DataFrame, trial: str, step: str, metric: str, max_t
     return out
 
 
+def _bracket_decisions(pdf: pd.DataFrame, reduction: int, mode: str) -> pd.DataFrame:
+    """One bracket's reports in the order of arrival: each is held against those that its rung has seen so far."""
+    sign = 1.0 if mode == "max" else -1.0
+    seen: dict[int, list[float]] = {}
+    stopped: set = set()
+    out = []
+    for trial, rung, value in pdf.sort_values(["arrival", "trial", "rung"])[["trial", "rung", "value"]].itertuples(index=False):
+        if trial in stopped or not math.isfinite(value):
+            continue
+        earlier = seen.setdefault(rung, [])
+        cutoff = None
+        if earlier:  # linear interpolation between the neighbouring order statistics
+            place = (1 - 1 / reduction) * (len(earlier) - 1)
+            low = math.floor(place)
+            high = min(low + 1, len(earlier) - 1)
+            cutoff = earlier[low] + (place - low) * (earlier[high] - earlier[low])
+        stop = cutoff is not None and sign * value < cutoff
+        out.append((pdf["bracket"].iloc[0], rung, trial, value, None if cutoff is None else sign * cutoff, bool(stop)))
+        bisect.insort(earlier, sign * value)
+        if stop:
+            stopped.add(trial)
+    return pd.DataFrame(out, columns=["bracket", "rung", "trial", "metric", "cutoff", "stopped"])
+
+
+def async_halving(reports: DataFrame, trial: str, step: str, metric: str, arrival: str, bracket: str, brackets: int = 3,
+                  max_t: int = 50, grace_period: int = 1, reduction: int = 3, mode: str = "max") -> DataFrame:
+    """Asynchronous successive halving with several brackets.
+
+    Bracket s has rungs at ``grace_period * reduction**(s + k)`` steps, up to ``max_t``. A trial that reaches a rung is
+    held against the reports that had arrived there before its own: below their (1 - 1/reduction) quantile it stops, and
+    its later reports count nowhere. Nobody waits, so a decision depends on the order of arrival. A bracket's reports at
+    rungs (a number per trial and rung, not its log) are taken one after the other by one task; non-finite ones count
+    nowhere. Output: bracket, rung, trial, metric, cutoff (null for a rung's first report), stopped.
+    """
+    rungs = F.array(*(F.array(*(F.lit(r).cast("long") for r in halving_rungs(max_t, grace_period * reduction**s, reduction)))
+                      for s in range(brackets)))
+    rows = reports.select(F.col(bracket).cast("int").alias("bracket"), F.col(trial).alias("trial"), F.col(step).cast("long").alias("rung"),
+                          F.col(metric).cast("double").alias("value"), F.col(arrival).alias("arrival"))
+    at_rung = rows.where(F.col("bracket").between(0, brackets - 1) & F.array_contains(F.get(rungs, F.col("bracket")), F.col("rung")))
+    schema = T.StructType([T.StructField("bracket", T.IntegerType()), T.StructField("rung", T.LongType()),
+                           T.StructField("trial", reports.schema[trial].dataType), T.StructField("metric", T.DoubleType()),
+                           T.StructField("cutoff", T.DoubleType()), T.StructField("stopped", T.BooleanType())])
+    return at_rung.groupBy("bracket").applyInPandas(lambda pdf: _bracket_decisions(pdf, reduction, mode), schema)
+
+
+def slice_table(scores: DataFrame, trial: str, params: Sequence[str], score: str) -> DataFrame:
+    """One row per trial and parameter: (trial, param, level, score), the table behind slice plots."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(p).alias("param"), F.col(p).cast("double").alias("level")) for p in params)))
+    return scores.select(trial, score, pairs.alias("p")).select(trial, "p.param", "p.level", score)
+
+
+def parallel_table(scores: DataFrame, trial: str, params: Sequence[str], score: str) -> DataFrame:
+    """Each trial's parameters and score, scaled to 0..1 by their least and largest value (0.5 where these are equal)."""
+    columns = [*params, score]
+    bounds = scores.agg(*(F.min(c).cast("double").alias(f"__low_{c}") for c in columns),
+                        *(F.max(c).cast("double").alias(f"__high_{c}") for c in columns)).withColumn("__one", F.lit(1))
+    rows = scores.withColumn("__one", F.lit(1)).join(F.broadcast(bounds), "__one")  # one row
+    place = {c: F.coalesce(F.try_divide(F.col(c).cast("double") - F.col(f"__low_{c}"), F.col(f"__high_{c}") - F.col(f"__low_{c}")),
+                           F.lit(0.5)) for c in columns}
+    return rows.select(trial, *(place[c].alias(c) for c in columns))
+
+
+def marginal_stats(scores: DataFrame, params: Sequence[str], score: str) -> DataFrame:
+    """Mean, sample deviation and number of scores for each level of each parameter, in one aggregation."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(p).alias("param"), F.col(p).cast("string").alias("level")) for p in params)))
+    return mean_std_count(scores.select(score, pairs.alias("p")).select("p.param", "p.level", score), ["param", "level"], score)
+
+
 def param_importance(scores: DataFrame, params: Sequence[str], score: str) -> DataFrame:
     """Share of score variance explained by each (binned) parameter: eta^2 = SS_between / SS_total."""
     long = scores.select(score, F.explode(F.array(*[

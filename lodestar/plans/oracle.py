@@ -121,10 +121,9 @@ ORACLE["kfold_counts"] = f"""
 
 ORACLE["row_estimate"] = f"""
   WITH per AS (
-    SELECT CAST(year(o_orderdate) AS VARCHAR) AS source, COUNT(*) AS sampled,
-           CAST(round(COUNT(*) / 0.1) AS BIGINT) AS estimate
-    FROM orders WHERE year(o_orderdate) IN (1995, 1996, 1997) AND {_b('o_orderkey', 3, 4294967296)} < {_part(100)}
-    GROUP BY 1)
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS source, COUNT(*) FILTER (hit) AS sampled,
+           CAST(round(COUNT(*) FILTER (hit) / 0.1) AS BIGINT) AS estimate
+    FROM (SELECT o_orderdate, {_b('o_orderkey', 3, 4294967296)} < {_part(100)} AS hit FROM orders) o GROUP BY 1)
   SELECT * FROM per
   UNION ALL SELECT NULL, CAST(SUM(sampled) AS BIGINT), CAST(SUM(estimate) AS BIGINT) FROM per"""
 
@@ -334,11 +333,9 @@ ORACLE["replicate_band"] = f"""
         FROM ({TRIAL_LOG}) l GROUP BY step) g"""
 
 ORACLE["union_years"] = """
-  SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE year(l_shipdate) = 1995
-  UNION ALL BY NAME
-  SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem WHERE year(l_shipdate) = 1996
-  UNION ALL BY NAME
-  SELECT l_orderkey, l_linenumber, l_tax, l_quantity FROM lineitem WHERE year(l_shipdate) = 1997"""
+  SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN year(l_shipdate) % 3 = 1 THEN l_discount END AS l_discount,
+         CASE WHEN year(l_shipdate) % 3 = 2 THEN l_tax END AS l_tax
+  FROM lineitem WHERE l_shipdate IS NOT NULL"""
 
 ORACLE["score_heatmap"] = f"""
   SELECT l_linenumber,
@@ -391,7 +388,7 @@ ORACLE["r2"] = f"""
   FROM ({PRICE_PRED}) p"""
 
 ORACLE["purity"] = """
-  WITH c AS (SELECT CAST(list_position(embedding[1:8], list_max(embedding[1:8])) - 1 AS INTEGER) AS cluster, label
+  WITH c AS (SELECT CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS cluster, label
              FROM embeddings),
        cnt AS (SELECT cluster, label, COUNT(*) AS c FROM c GROUP BY 1, 2),
        b AS (SELECT cluster, MAX(c) AS m, SUM(c) AS n FROM cnt GROUP BY 1)
@@ -606,7 +603,7 @@ ORACLE["spec_ingest"] = """
 
 ORACLE["result_append"] = """
   SELECT user_id, COUNT(*) AS n, MAX(value) AS best, event_type AS kind FROM events
-  WHERE event_type IN ('view', 'click') GROUP BY user_id, event_type"""
+  GROUP BY user_id, event_type"""
 
 ORACLE["split_artifact"] = f"SELECT * FROM ({CLEAN_TAXI}) c WHERE {_b('row_id', 0, 4294967296)} >= {_part(800)}"
 

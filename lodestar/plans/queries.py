@@ -136,8 +136,7 @@ def _in_year(df: DataFrame, column: str, year: int):
 @register("row_estimate")
 def row_estimate(spark, sf_dir):
     orders = _orders(spark, sf_dir, ("o_orderkey", "o_orderdate"))
-    sources = {str(y): orders.filter(_in_year(orders, "o_orderdate", y)) for y in (1995, 1996, 1997)}
-    return sampling.estimate_rows(sources, "o_orderkey", 0.1, seed=3)
+    return sampling.estimate_rows_by(orders.withColumn("source", F.year("o_orderdate").cast("string")), "source", "o_orderkey", 0.1, seed=3)
 
 
 @register("ordered_split")
@@ -369,11 +368,10 @@ def replicate_band(spark, sf_dir):
 def union_years(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
                                           "l_shipdate"])
-    y = {n: _in_year(li, "l_shipdate", n) for n in (1995, 1996, 1997)}
-    a = li.filter(y[1995]).select("l_orderkey", "l_linenumber", "l_quantity")
-    b = li.filter(y[1996]).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    c = li.filter(y[1997]).select("l_orderkey", "l_linenumber", "l_tax", "l_quantity")
-    return aggregates.union_by_name([a, b, c])
+    extra = (["l_quantity"], ["l_quantity", "l_discount"], ["l_tax", "l_quantity"])  # the years' files differ in columns
+    years = [r[0] for r in li.select(F.year("l_shipdate")).distinct().collect()]
+    return aggregates.union_by_name([li.filter(_in_year(li, "l_shipdate", y)).select("l_orderkey", "l_linenumber", *extra[y % 3])
+                                     for y in sorted(y for y in years if y is not None)])
 
 
 def _values(df: DataFrame, column: str) -> list:
@@ -445,10 +443,9 @@ def r2(spark, sf_dir):
     return out.select("n", r(F.col("r2"), 6).alias("r2"))
 
 
-def embedding_cluster(col: str = "embedding", dims: int = 8):
-    """Cluster id = position of the largest of the first ``dims`` coordinates (0-based)."""
-    head = F.slice(F.col(col), 1, dims)
-    return (F.array_position(head, F.array_max(head)) - 1).cast("int")
+def embedding_cluster(col: str = "embedding"):
+    """Cluster id = position of the largest coordinate (0-based)."""
+    return (F.array_position(F.col(col), F.array_max(F.col(col))) - 1).cast("int")
 
 
 @register("purity")
@@ -796,12 +793,12 @@ def _tag(sf_dir: str) -> str:
     return hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
 
 
-def _request_bodies(spark, sf_dir, n_features=16):
+def _request_bodies(spark, sf_dir):
     """Request bodies built from embeddings: 8 consecutive vectors per request; every
     ninth request is malformed text."""
     emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     inst = emb.select(F.floor(F.col("vec_id") / 8).cast("long").alias("request_id"), "vec_id",
-                      F.slice("embedding", 1, n_features).cast("array<double>").alias("x"))
+                      F.col("embedding").cast("array<double>").alias("x"))
     grouped = inst.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("vec_id", "x"))).alias("__r"))
     body = F.to_json(F.transform("__r", lambda s: s["x"]))
     return grouped.select("request_id", F.when(F.pmod("request_id", F.lit(9)) == 0,
@@ -809,10 +806,10 @@ def _request_bodies(spark, sf_dir, n_features=16):
                           .otherwise(body).alias("body"))
 
 
-def _embedding_classifier(spark, sf_dir, n_features=16):
+def _embedding_classifier(spark, sf_dir):
     from pyspark.ml.functions import array_to_vector
     emb = load(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    train = emb.select(array_to_vector(F.slice("embedding", 1, n_features).cast("array<double>")).alias("features"),
+    train = emb.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
                        (F.col("label") < 5).cast("double").alias("y"))
     from pyspark.ml.classification import LogisticRegression
     return LogisticRegression(featuresCol="features", labelCol="y", regParam=0.01, maxIter=50).fit(train)
@@ -822,7 +819,7 @@ def _embedding_classifier(spark, sf_dir, n_features=16):
 def json_score_batch(spark, sf_dir):
     from lodestar.streaming import score_requests
     model = _embedding_classifier(spark, sf_dir)
-    return score_requests(model, _request_bodies(spark, sf_dir), "request_id", "body", n_features=16,
+    return score_requests(model, _request_bodies(spark, sf_dir), "request_id", "body", n_features=model.numFeatures,
                           threshold=0.5)
 
 
@@ -838,7 +835,7 @@ def stream_score(spark, sf_dir):
     model = _embedding_classifier(spark, sf_dir)
 
     def prepare(df):
-        return df.withColumn("features", array_to_vector(F.slice("embedding", 1, 16).cast("array<double>")))
+        return df.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
     return run_stream(spark, model, landing, emb.schema, out, ckpt, prepare, keep=["vec_id"])
 
 
@@ -946,7 +943,7 @@ def fixtures_path(sf_dir, name):
 
 @register("result_append")
 def result_append(spark, sf_dir):
-    """Overwrite a result table with one batch of records, append a second, read the table."""
+    """Overwrite a result table with the first event type's records, append those of the others, read the table."""
     path = shared_path(spark, "results", _tag(sf_dir), unique=True)
     ev = load(spark, sf_dir, "events", ["user_id", "event_type", "value"])
 
@@ -954,8 +951,9 @@ def result_append(spark, sf_dir):
         return (ev.filter(F.col("event_type") == kind).groupBy("user_id")
                   .agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("best"))
                   .withColumn("kind", F.lit(kind)))
-    sources.write_result_table(batch("view"), path, append_to_existing=False)
-    return sources.write_result_table(batch("click"), path, append_to_existing=True)
+    for i, kind in enumerate(_values(ev, "event_type")):
+        table = sources.write_result_table(batch(kind), path, append_to_existing=i > 0)
+    return table
 
 
 @register("split_artifact")
@@ -1055,7 +1053,7 @@ def json_score_stream(spark, sf_dir):
     bodies.repartition(4, "request_id").write.mode("overwrite").json(f"{run}/in")
     model = _embedding_classifier(spark, sf_dir)
     stream = spark.readStream.schema(bodies.schema).option("maxBytesPerTrigger", 1 << 30).json(f"{run}/in")
-    out = score_requests(model, stream, "request_id", "body", n_features=16, threshold=0.5)
+    out = score_requests(model, stream, "request_id", "body", n_features=model.numFeatures, threshold=0.5)
     q = (out.writeStream.format("parquet").option("checkpointLocation", f"{run}/_checkpoint")
          .outputMode("append").trigger(availableNow=True).start(f"{run}/out"))
     finish(q)
@@ -1256,3 +1254,6 @@ def tree_interactions_exact(spark, sf_dir):
     """Exact pairwise interactions of the same model, diagonal and constant included, for every held-out row."""
     m, test = _delay_newton(spark, sf_dir)
     return m.interactions(test, "flight_id")
+
+
+from lodestar.plans import modelling  # noqa: E402, F401  more queries

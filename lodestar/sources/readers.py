@@ -8,8 +8,11 @@ the driver; listing files uses the Hadoop file system API (metadata only).
 from __future__ import annotations
 
 import functools
+import math
 import operator
 from collections.abc import Sequence
+from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +129,44 @@ def read_date_range(df: DataFrame, ts_col: str, start: str, end: str) -> DataFra
                      & (F.col(ts_col) <= F.lit(end).cast("timestamp_ntz")))
 
 
+class ScanPlan(NamedTuple):
+    files: int
+    bytes: int
+    split_bytes: int
+    open_cost: int
+    partitions: int
+
+
+def plan_scan(spark: SparkSession, paths: str | Sequence[str], target_bytes: int = 128 << 20, min_partitions: int = 1) -> ScanPlan:
+    """Split size and open cost for a read, from the files' sizes alone (their contents aren't read).
+
+    Splits hold ``target_bytes``, or less where that would make fewer than ``min_partitions``; opening a file counts as
+    much as the average file, at most 4 MB, so that many small files share a partition. ``partitions`` is the estimate
+    that follows: each file's bytes and open cost, added up, over the split size.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("length")
+    sizes = found.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    n, size = sizes["n"], int(sizes["bytes"] or 0)
+    cost = min(4 << 20, size // n) if n else 0
+    split = max(1, min(target_bytes, math.ceil((size + n * cost) / max(min_partitions, 1))))
+    return ScanPlan(n, size, split, cost, max(1, math.ceil((size + n * cost) / split)))
+
+
+@contextmanager
+def planned_reads(spark: SparkSession, plan: ScanPlan):
+    """Reads whose jobs run inside use the plan's split size and open cost; the session's own come back afterwards."""
+    wanted = {"spark.sql.files.maxPartitionBytes": plan.split_bytes, "spark.sql.files.openCostInBytes": plan.open_cost}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def from_pandas(spark: SparkSession, pdf, num_partitions: int | None = None,
                 schema: T.StructType | None = None) -> DataFrame:
     """Driver-local frame to a partitioned DataFrame (Arrow path).

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,17 +42,31 @@ def parse_requests(df: DataFrame, request_id: str, body: str, n_features: int |
 
 def score_requests(model, df: DataFrame, request_id: str, body: str, n_features: int | None = None,
                    threshold: float | None = None, features_col: str = "features") -> DataFrame:
-    """Scored instances plus rejected requests: request_id, position, prediction, status."""
-    inst, rejected = parse_requests(df, request_id, body, n_features)
-    scored = model.transform(inst.withColumn(features_col, array_to_vector("values")))
-    pred = F.col("prediction").cast("double")
+    """Scored instances plus rejected requests: request_id, position, prediction, status.
+
+    With ``n_features`` each body is parsed once: a rejected request goes on as one row without a position, is scored
+    as zeros, and its prediction is dropped.
+    """
+    if n_features is None:
+        inst, rejected = parse_requests(df, request_id, body)
+        scored = model.transform(inst.withColumn(features_col, array_to_vector("values")))
+        good = scored.select(request_id, "position", _prediction(scored, threshold).alias("prediction"), F.lit("ok").alias("status"))
+        return good.unionByName(rejected.select(request_id, F.lit(None).cast("int").alias("position"),
+                                                F.lit(None).cast("double").alias("prediction"), "status"))
+    parsed = df.select(request_id, F.from_json(F.col(body), REQUEST_SCHEMA).alias("__rows"))
+    valid = (F.size("__rows") > 0) & F.forall("__rows", lambda x: F.size(x) == F.lit(n_features))
+    rows = parsed.select(request_id, F.posexplode_outer(F.when(valid, F.col("__rows"))).alias("position", "values"))
+    zeros = F.array_repeat(F.lit(0.0), n_features)
+    scored = model.transform(rows.withColumn(features_col, array_to_vector(F.coalesce("values", zeros))))
+    ok = F.col("position").isNotNull()
+    return scored.select(request_id, "position", F.when(ok, _prediction(scored, threshold)).alias("prediction"),
+                         F.when(ok, F.lit("ok")).otherwise(F.lit("unsupported")).alias("status"))
+
+
+def _prediction(scored: DataFrame, threshold: float | None):
     if threshold is not None and "probability" in scored.columns:
-        from pyspark.ml.functions import vector_to_array
-        pred = (vector_to_array("probability")[1] > F.lit(threshold)).cast("double")
-    good = scored.select(request_id, "position", pred.alias("prediction"), F.lit("ok").alias("status"))
-    bad = rejected.select(request_id, F.lit(None).cast("int").alias("position"),
-                          F.lit(None).cast("double").alias("prediction"), "status")
-    return good.unionByName(bad)
+        return (vector_to_array("probability")[1] > F.lit(threshold)).cast("double")
+    return F.col("prediction").cast("double")
 
 
 def stream_score(spark: SparkSession, model, source_dir: str, schema: T.StructType, output_dir: str,
