@@ -111,7 +111,8 @@ def best_partners(block: Summary, other: Summary, i: int, of: np.ndarray, k: int
         if len(of) <= k:
             break
         low, high = block.bounds(level, of, other, i)
-        of = of[high >= _kth(low, k)]
+        likely = of[np.argpartition(-high, k)[:k]]  # their scores say more than bounds do
+        of = of[high >= max(_kth(low, k), float(block.scores(likely, other.rows[i]).min()))]
     return of, block.scores(of, other.rows[i])
 
 
@@ -125,7 +126,10 @@ def band_partners(block: Summary, other: Summary, i: int, of: np.ndarray, bands:
         needed = np.zeros(len(of), bool)
         for floor, ceiling in bands:
             inside = low[(low >= floor) & (high <= ceiling)]  # these lie in the band for certain
-            needed |= (low <= ceiling) & (high >= max(floor, _kth(inside, k)))
+            middle = np.where(low + high <= 2 * ceiling, low + high, -np.inf)
+            likely = block.scores(of[np.argpartition(-middle, k)[:2 * k]], other.rows[i])
+            cut = max(floor, _kth(inside, k), _kth(likely[(likely >= floor) & (likely <= ceiling)], k))
+            needed |= (low <= ceiling) & (high >= cut)
         of = of[needed]
     scores = block.scores(of, other.rows[i])
     keep = np.zeros(len(of), bool)
