@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm import pretokens
+from lodestar.llm.common import without
 
 #: Characters of text that share a row.
 CHUNK = 2_000_000
@@ -363,7 +364,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("d
 
     ``keep`` may hold ``text`` itself.
     """
-    names = list(keep)
+    names = without(keep, ("ids", "decoded"))
     kept = [f"k{i}" for i in range(len(names))]  # out of the way of the columns that follow
     kinds = [docs.schema[c].dataType for c in names]
     fields = [*("words codes docs anew windows".split())]
@@ -380,7 +381,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("d
         by_rank[i] = t
     tokens = sc.broadcast((np.array([len(t or b"") for t in by_rank], np.int64), by_rank))
     shared = sc.broadcast(common_words(docs, ranks_path, primer, common, chunk))
-    runs = (docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
+    runs = (docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
                 .mapInArrow(lambda it: _pack(it, kept, chunk, known, shared), packed))
     coded = runs.withColumn("ids", encode_words(F.col("words"), ranks_path))
     both = coded.select(*kept, "codes", "docs", "anew", "windows", "ids", decode_words(F.col("ids"), ranks_path).alias("bytes"))

@@ -4,11 +4,14 @@ Identity of documents: a row's ``doc_id`` names its document. A null id is an
 id of its own that sorts after all others (``id_key``). Rows may repeat; where
 an operator has to bring results back to rows it joins on the id together with
 a hash of the text (``text_key``), so that two texts under one id stay apart
-and repeated rows each get the same result.
+and repeated rows each get the same result. Extra columns pass through under
+any name; one with the name of an operator's result is replaced by the result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,24 @@ def ascii_lower(c: Column) -> Column:
         F.translate(c, upper, upper.lower()))
 
 
+def spare_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """``wanted`` as column names that none of ``taken`` has, whatever its case: underscores go in front."""
+    held = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in held:
+            name = f"_{name}"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(columns: Iterable[str], results: Iterable[str]) -> list[str]:
+    """``columns`` without those that have a result's name: results take their place."""
+    made = {c.lower() for c in results}
+    return [c for c in columns if c.lower() not in made]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import ascii_lower, id_key, stored, text_key, text_of
+from lodestar.llm.common import ascii_lower, id_key, spare_names, stored, text_key, text_of, without
 
 # The characters stripped from the ends of a line.
 STRIPPED = " \t\n\x0b\f\r"
 #: Distinct keys in a shard, about; bounds the memory of a task that builds or probes one.
 SHARD_KEYS = 50_000
+#: Levels of a minimal perfect hash; a level leaves less than half of distinct keys, so a shard needs some twenty.
+MAX_LEVELS = 200
 
 
 # ------------------------------------------------------------------ minimal perfect hash
@@ -45,10 +47,13 @@ def build_hash(keys: np.ndarray, gamma: float = 2.0) -> tuple[np.ndarray, np.nda
 
     At each level a key takes the slot of its hash if no other key wants it; the
     others go on to the next level. A key's number is the rank of its slot's bit
-    over all levels. Returns the packed bits and the sizes of the levels.
+    over all levels. Returns the packed bits and the sizes of the levels. Equal
+    keys would want the same slot at every level; they raise ``ValueError``.
     """
     bits, sizes, left = [], [], keys
     while len(left):
+        if len(sizes) == MAX_LEVELS:
+            raise ValueError("the keys are not distinct")
         size = max(64, int(gamma * len(left)))
         slot = (_mix(left, len(sizes) + 1) % np.uint64(size)).astype(np.int64)
         alone = np.bincount(slot, minlength=size) == 1
@@ -72,25 +77,34 @@ def lookup_hash(packed: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.n
     return out
 
 
+def _folded(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """One 64-bit key of a line's two hashes."""
+    return h1.view(np.uint64) ^ _mix(h2.view(np.uint64), 0)
+
+
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = pdf.h1.to_numpy().view(np.uint64) ^ _mix(pdf.h2.to_numpy().view(np.uint64), 0)
-    packed, sizes = build_hash(keys)
-    at = lookup_hash(packed, sizes, keys)
-    prints, counts, firsts = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-    prints[at] = pdf.h2.to_numpy().view(np.uint64).astype(np.uint32)
-    counts[at] = pdf.n_lines.to_numpy()
-    firsts[at] = np.where(pdf["first"] != pdf["last"], pdf["first"], -1)
+    h1, h2, lines = (pdf[c].to_numpy(np.int64) for c in ("h1", "h2", "n_lines"))
+    first = np.where(pdf["first"] != pdf["last"], pdf["first"], -1).astype(np.int64)
+    keys = _folded(h1, h2)
+    _, at, times = np.unique(keys, return_inverse=True, return_counts=True)
+    twins = times[at] > 1  # lines that only both hashes together tell apart: listed with them
+    packed, sizes = build_hash(keys[~twins])
+    at = lookup_hash(packed, sizes, keys[~twins])
+    n = len(at)
+    prints, counts, firsts = np.zeros(n, np.uint32), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    prints[at], counts[at], firsts[at] = h2[~twins].view(np.uint64).astype(np.uint32), lines[~twins], first[~twins]
     has = firsts != -1
-    return pd.DataFrame({"shard": [pdf.shard.iloc[0]], "load": [int(counts.sum())], "bits": [packed.tobytes()],
+    listed = np.stack([h1[twins], h2[twins], lines[twins], first[twins]], axis=1)
+    return pd.DataFrame({"shard": [pdf.shard.iloc[0]], "load": [int(lines.sum())], "bits": [packed.tobytes()],
                          "sizes": [sizes.tobytes()], "prints": [prints.tobytes()], "counts": [counts.tobytes()],
-                         "has": [np.packbits(has).tobytes()], "firsts": [firsts[has].tobytes()]})
+                         "has": [np.packbits(has).tobytes()], "firsts": [firsts[has].tobytes()], "twins": [listed.tobytes()]})
 
 
 SHARD_SCHEMA = ("shard long, load long, bits binary, sizes binary, prints binary, counts binary, "
-                "has binary, firsts binary")
+                "has binary, firsts binary, twins binary")
 
 
-BLOBS = ("bits", "sizes", "prints", "counts", "has", "firsts")
+BLOBS = ("bits", "sizes", "prints", "counts", "has", "firsts", "twins")
 
 
 class _Shard:
@@ -102,15 +116,18 @@ class _Shard:
         has = np.unpackbits(np.frombuffer(row["has"], np.uint8), count=len(self.prints)).astype(bool)
         self.firsts = np.full(len(has), -1, np.int64)
         self.firsts[has] = np.frombuffer(row["firsts"], np.int64)
+        self.twins = np.frombuffer(row["twins"], np.int64).reshape(-1, 4)
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count and first document of each line; 0 and -1 where the fingerprint says that the line isn't in."""
-        h2 = h2.view(np.uint64)
-        at = lookup_hash(self.packed, self.sizes, h1.view(np.uint64) ^ _mix(h2, 0))
+        at = lookup_hash(self.packed, self.sizes, _folded(h1, h2))
         known = at >= 0
-        known[known] = self.prints[at[known]] == h2[known].astype(np.uint32)
+        known[known] = self.prints[at[known]] == h2[known].view(np.uint64).astype(np.uint32)
         count, first = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
         count[known], first[known] = self.counts[at[known]], self.firsts[at[known]]
+        for a, b, lines, document in self.twins:
+            mine = (h1 == a) & (h2 == b)
+            count[mine], first[mine] = lines, document
         return count, first
 
 
@@ -172,14 +189,15 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, shard_keys: int = SHARD_
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``docs`` with its text cut to the lines that stay, and n_lines (before) and n_dropped (long) added."""
-    gone = (dropped_lines(docs, min_chars, shard_keys).groupBy("d", "t")
-            .agg(F.collect_set("line").alias("_gone")))
-    mine = docs.withColumns({"_d": id_key(), "_t": text_key()})
+    d, t, gone = spare_names(docs.columns, "d", "t", "gone")
+    found = (dropped_lines(docs, min_chars, shard_keys).groupBy(F.col("d").alias(d), F.col("t").alias(t))
+             .agg(F.collect_set("line").alias(gone)))
+    out = docs.withColumns({d: id_key(), t: text_key()}).join(found, [d, t], "left")
     lines = F.split(text_of(), "\n")
-    out = mine.join(gone, (mine["_d"] == gone["d"]) & (mine["_t"] == gone["t"]), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
-    return out.select(*[text.alias("text") if c == "text" else mine[c] for c in docs.columns],
+    names = without(docs.columns, ("n_lines", "n_dropped"))
+    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
                       F.size(lines).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
+                      F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"))

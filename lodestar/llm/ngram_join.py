@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import pretokens
-from lodestar.llm.common import id_key, id_value, stored, text_key
+from lodestar.llm.common import id_key, id_value, spare_names, stored, text_key
 from lodestar.llm.groups import components
 from lodestar.llm.toxicity import scramble, span_hashes, word_spans
 
@@ -315,5 +315,6 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     found = stored(similarity_join(docs, **options).select("d", "t", "n", "group"), "near-copies")
     first = found.where("n > 0").groupBy("group").agg(F.min(F.struct("d", "t")).alias("f"))
     keys = first.select("f.d", "f.t").unionByName(found.where("n = 0").select("d", "t"))
-    mine = docs.withColumns({"_d": id_key(), "_t": text_key()}).dropDuplicates(["_d", "_t"])
-    return mine.join(keys.toDF("_d", "_t"), ["_d", "_t"], "left_semi").select(*docs.columns)
+    d, t = spare_names(docs.columns, "d", "t")
+    mine = docs.withColumns({d: id_key(), t: text_key()}).dropDuplicates([d, t])
+    return mine.join(keys.toDF(d, t), [d, t], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm import pretokens
-from lodestar.llm.common import stored
+from lodestar.llm.common import stored, without
 from lodestar.llm.toxicity import span_hashes
 
 FEATURES = (
@@ -334,9 +334,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", lear
 
 def score_documents(docs: DataFrame, model: QualityModel, keep: Sequence[str] = ("doc_id",), score: str = "score") -> DataFrame:
     """Columns ``keep`` with the score (double, six digits)."""
-    names = list(keep)
-    if score in names:
-        raise ValueError(f"the score needs another name than the kept column {score!r}")
+    names = without(keep, [score])
     kept = [f"k{i}" for i in range(len(names))]
     schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for k, c in zip(kept, names)), T.StructField("p", T.DoubleType())])
 
@@ -347,5 +345,5 @@ def score_documents(docs: DataFrame, model: QualityModel, keep: Sequence[str] =
                 p = model.score(features_of(pretokens.texts_of(mine["text"])))
                 yield pa.RecordBatch.from_pydict({**{k: mine[k] for k in kept}, "p": pa.array(np.round(p, 6))})
 
-    rows = docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
     return rows.mapInArrow(run, schema).toDF(*names, score)

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from lodestar.llm import pretokens
 from lodestar.llm.bpe import read_ranks
+from lodestar.llm.common import without
 
 SHIFT = 2.7
 #: Bytes of text whose distinct pre-tokens make one trie.
@@ -81,10 +82,10 @@ def _count(batches: Iterator[pa.RecordBatch], keep: Sequence[str], scores: dict[
 
 
 def count_tokens(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of each row with n_pretokens and n_tokens (long)."""
-    scores, names = zipf_scores(read_ranks(ranks_path)), list(keep)
+    """Columns ``keep`` of each row with n_pretokens and n_tokens (long), which replace kept ones of these names."""
+    scores, names = zipf_scores(read_ranks(ranks_path)), without(keep, ("n_pretokens", "n_tokens"))
     kept = [f"k{i}" for i in range(len(names))]
     schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for k, c in zip(kept, names)),
                            T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())])
-    rows = docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), F.col("text").alias("text"))
     return rows.mapInArrow(lambda it: _count(it, kept, scores), schema).toDF(*names, "n_pretokens", "n_tokens")

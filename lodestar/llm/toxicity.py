@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from lodestar.functions.hashing import portable_bucket
 from lodestar.llm import pretokens
-from lodestar.llm.common import stored
+from lodestar.llm.common import stored, without
 
 #: Labelled documents that the models are fitted on, at most.
 MAX_TRAIN = 20_000
@@ -306,7 +306,7 @@ def _best_f1(bins: Sequence[tuple[int, int, int]]) -> float:
 
 def score_documents(docs: DataFrame, chain: Chain, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` with ``p_<category>`` (double, six digits) for each category and ``flagged`` (boolean)."""
-    names = list(keep)
+    names = without(keep, [*(f"p_{c}" for c in chain.categories), "flagged"])
     kept = [f"k{i}" for i in range(len(names))]
     schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for k, c in zip(kept, names)),
                            *(T.StructField(f"p{i}", T.DoubleType()) for i in range(len(chain.models))),
@@ -321,5 +321,5 @@ def score_documents(docs: DataFrame, chain: Chain, keep: Sequence[str] = ("doc_i
                 columns |= {f"p{i}": pa.array(np.round(probs[:, i], 6)) for i in range(probs.shape[1])}
                 yield pa.RecordBatch.from_pydict({**columns, "flagged": pa.array(probs[:, -1] >= chain.threshold)})
 
-    scored = docs.select(*(F.col(c).alias(k) for c, k in zip(names, kept)), F.col("text").alias("text")).mapInArrow(run, schema)
+    scored = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), F.col("text").alias("text")).mapInArrow(run, schema)
     return scored.toDF(*names, *(f"p_{c}" for c in chain.categories), "flagged")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.hashing import portable_bucket
-from lodestar.llm.common import ascii_lower, stored
+from lodestar.llm.common import ascii_lower, spare_names, stored, without
 
 # The rules, (verdict, rule).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -124,11 +124,13 @@ def calibrate(scored: DataFrame) -> float:
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, order: int = ORDER) -> DataFrame:
     """``pages`` with host, path, rule, verdict, score (null where a rule decided)."""
+    results = ("host", "path", "rule", "verdict", "score")
+    h, p, s, r, ruled, said, value = spare_names(pages.columns + list(results), "h", "p", "s", "r", "ruled", "said", "value")
     host, path = url_parts(F.col("url"))
-    split = pages.withColumns({"_host": host, "_path": path, "_s": model_text(F.col("url"))})
-    rule, ruled = fitting_rule(F.col("_host"), F.col("_path"), rules)
-    split = split.withColumns({"_rule": rule, "_ruled": ruled})
-    urls = stored(split.select(F.col("_s").alias("s"), F.col("_ruled").alias("verdict")).distinct(), "urls")
+    split = pages.withColumns({h: host, p: path, s: model_text(F.col("url"))})
+    rule, verdict = fitting_rule(F.col(h), F.col(p), rules)
+    split = split.withColumns({r: rule, ruled: verdict})
+    urls = stored(split.select(F.col(s).alias("s"), F.col(ruled).alias("verdict")).distinct(), "urls")
     fold = portable_bucket("s", SEED, FOLDS)
     known = urls.where(F.col("verdict").isNotNull())
     train, held = known.where(fold != HELD_OUT), known.where(fold == HELD_OUT)
@@ -137,10 +139,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, order: int
     scores = stored(gram_scores(train, wanted, order), "gram-scores")
     threshold = calibrate(url_scores(held, scores, order))
     judged = url_scores(rest, scores, order).select(
-        F.col("s").alias("_s"), "score",
-        F.when(F.col("score") >= threshold, "allow").otherwise("block").alias("_said"))
-    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
-    out = split.join(judged, "_s", "left")
-    return out.select(*names, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
-                      F.coalesce("_ruled", "_said").alias("verdict"),
-                      F.when(F.col("_rule").isNull(), F.col("score")).alias("score"))
+        F.col("s").alias(s), F.col("score").alias(value),
+        F.when(F.col("score") >= threshold, "allow").otherwise("block").alias(said))
+    out = split.join(judged, s, "left")
+    return out.select(*(F.col(f"`{c}`") for c in without(pages.columns, results)), F.col(h).alias("host"), F.col(p).alias("path"),
+                      F.col(r).alias("rule"), F.coalesce(ruled, said).alias("verdict"),
+                      F.when(F.col(r).isNull(), F.col(value)).alias("score"))
