@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm import pretokens
-from lodestar.llm.common import without
+from lodestar.llm.common import stored, without
 
 #: Characters of text that share a row.
 CHUNK = 2_000_000
@@ -349,8 +349,10 @@ def common_words(docs: DataFrame, ranks_path: str, primer: int = PRIMER, limit:
     share = min(1.0, primer / max(docs.count(), 1))
     counts = (docs.select("text").sample(share, seed=7).mapInArrow(lambda it: _counted(it, chunk), "word binary, n long")
                   .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
-    lists = counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(32))).agg(F.collect_list("word").alias("words"))
-    folded = lists.repartition(32).withColumn("ids", encode_words(F.col("words"), ranks_path))
+    # stored first: a plan that holds the ranks has no exchange, so it is planned once and the driver keeps one of it
+    lists = stored(counts.groupBy(F.pmod(F.xxhash64("word"), F.lit(64)).alias("part")).agg(F.collect_list("word").alias("words"))
+                         .repartition(32, "part"), "common-words")
+    folded = lists.select("words", encode_words(F.col("words"), ranks_path).alias("ids"))
     rows = folded.select("words", "ids", decode_words(F.col("ids"), ranks_path).alias("pieces")).toArrow()  # ``limit`` words at most
     words, ids, pieces = (pc.list_flatten(rows[c].combine_chunks()) for c in ("words", "ids", "pieces"))
     if not words.equals(pieces):
