@@ -9,7 +9,7 @@ from lodestar import sources
 from lodestar.functions.hashing import portable_bucket
 from lodestar.operators import (clean, combos, encoder_stages, explain, features, linear, metrics, models, newton_trees, sampling)
 from lodestar.operators import trials as trial_ops
-from lodestar.plans import fixtures
+from lodestar.plans import fixtures, workflows
 from lodestar.plans.catalog import TABLES, load, table_path
 from lodestar.plans.oracle import LINE_ID, ORACLE, RUNNING_MEAN, TRIAL_LOG, _b, _fr, _hav, _part, _round01, _xmean
 from lodestar.plans.queries import _embedding_vectors, _line_xy, _tag, _trial_log_running, embedding_cluster, fr, r, register, xmean
@@ -378,3 +378,42 @@ def _blackbox_sql() -> str:
 
 
 ORACLE["blackbox_importance"] = _blackbox_sql()
+
+
+# --------------------------------------------------------------------------- the full feature search
+@register("engineered_scores")
+def engineered_scores(spark, sf_dir):
+    """Chi-square of all inputs, three target encodings among them, and of all their pairwise sums."""
+    train, _, inputs = workflows.encoded_flights(spark, sf_dir)
+    scores = workflows.pair_scores(train.persist(), inputs, workflows.LABEL)
+    return spark.createDataFrame(scores, "feature string, chi2 double").withColumn("chi2", r("chi2", 4))
+
+
+def _engineered_sql() -> str:
+    cats, label = workflows.CATEGORICAL, workflows.LABEL
+    parts, joins, means = [], "", []
+    for c in cats:
+        parts.append(f"""f_{c} AS (SELECT {c} AS v, fold, sum(y) AS s, count(*) AS n FROM t GROUP BY 1, 2),
+        a_{c} AS (SELECT v, sum(s) AS s, sum(n) AS n FROM f_{c} GROUP BY 1)""")
+        joins += f" JOIN a_{c} ON a_{c}.v = t.{c} JOIN f_{c} ON f_{c}.v = t.{c} AND f_{c}.fold = t.fold"
+        means.append(f"(a_{c}.s - f_{c}.s + 0.001 * mu) / (a_{c}.n - f_{c}.n + 0.001) AS {c}_mean")
+    inputs = [*fixtures.FLIGHT_FEATURES, *(f"{c}_mean" for c in cats)]
+    pairs = [(a,) for a in inputs] + [(a, b) for i, a in enumerate(inputs) for b in inputs[i + 1:]]
+    long = " UNION ALL ".join(f"SELECT '{'+'.join(p)}' AS feature, y, n, {' + '.join(p)} AS seen FROM sums" for p in pairs)
+    return f"""
+  WITH t AS (SELECT *, CAST({label} AS DOUBLE) AS y, flight_id % 5 AS fold FROM ({ORACLE['delay_label']}) d
+             WHERE {_b('flight_id', 0, 4294967296)} < {_part(800)}),
+    m AS (SELECT avg(y) AS mu FROM t), {', '.join(parts)},
+    e AS (SELECT t.*, {', '.join(means)} FROM t CROSS JOIN m {joins}),
+    sums AS (SELECT y, count(*) AS n, {', '.join(f'sum(CAST({c} AS DOUBLE)) AS {c}' for c in inputs)} FROM e GROUP BY y),
+    seen AS ({long}),
+    x AS (SELECT feature, seen, n / sum(n) OVER w * sum(seen) OVER w AS expected FROM seen WINDOW w AS (PARTITION BY feature))
+  SELECT feature, round(sum(power(seen - expected, 2) / expected), 4) AS chi2 FROM x GROUP BY feature"""
+
+
+ORACLE["engineered_scores"] = _engineered_sql()
+
+
+@register("full_feature_search")
+def full_feature_search(spark, sf_dir):
+    return workflows.full_feature_search(spark, sf_dir)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.operators import combos, encoders, models, sampling
+from lodestar.operators import combos, encoder_stages, encoders, models, sampling
 from lodestar.operators import trials as trial_ops
 from lodestar.plans import fixtures
 
@@ -104,3 +104,78 @@ def feature_engineering(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_cache.unpersist()
     test_cache.unpersist()
     return out
+
+
+# --------------------------------------------------------------------------- full search
+CATEGORICAL = ["Origin_code", "Month", "DayOfWeek"]
+PENALTIES = ("none", "l1", "l2", "elasticnet")
+
+
+def encoded_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test flights with three columns label- and target-encoded (training rows out of fold), and the inputs."""
+    from lodestar.plans.queries import delay_table
+    base = delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double"))
+    train, test = sampling.train_test_split(base, "flight_id", 0.8, seed=0)
+    train = train.withColumn("fold", sampling.interleaved_fold("flight_id", 5))
+    codes, means = [f"{c}_label" for c in CATEGORICAL], [f"{c}_mean" for c in CATEGORICAL]
+    pipeline = Pipeline(stages=[
+        encoder_stages.DictionaryEncoder(inputCols=CATEGORICAL, outputCols=codes),
+        encoder_stages.TargetMeanEncoder(inputCols=codes, outputCols=means, labelCol=LABEL, smooth=0.001, foldCol="fold")]).fit(train)
+    inputs = [*fixtures.FLIGHT_FEATURES, *means]
+    return (*(pipeline.transform(part).select("flight_id", LABEL, *inputs) for part in (train, test)), inputs)
+
+
+def pair_scores(train: DataFrame, inputs: list[str], label: str) -> list[tuple[str, float]]:
+    """Chi-square of every input and every sum of two, best first.
+
+    A sum's class totals are the sums of its parts' totals, so one aggregation over the inputs scores them all.
+    """
+    sums = train.groupBy(label).agg(F.count(F.lit(1)).alias("__n"), *(F.sum(F.col(c).cast("double")).alias(c) for c in inputs)).collect()
+    n = np.array([r["__n"] for r in sums], float)
+    total = {c: np.array([r[c] for r in sums], float) for c in inputs}
+    total |= {f"{a}+{b}": total[a] + total[b] for i, a in enumerate(inputs) for b in inputs[i + 1:]}
+    scores = {}
+    for name, seen in total.items():
+        expected = n / n.sum() * seen.sum()
+        scores[name] = float(((seen - expected) ** 2 / expected).sum()) if seen.sum() else 0.0
+    return sorted(scores.items(), key=lambda s: (-s[1], s[0]))
+
+
+def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, seed: int = 0, max_iter: int = 30) -> DataFrame:
+    """Encodings, pairwise sums, chi-square selection and a search over k, penalty, C, mixing ratio and intercept; then a refit.
+
+    One row per trial with its parameters, AUC on held-out rows, state and features; the best trial's parameters, fitted
+    again on all rows, are the row with state ``refit`` (its AUC is over the rows that it was fitted on).
+    """
+    train, test, inputs = encoded_flights(spark, sf_dir)
+    train, test = train.persist(), test.persist()
+    try:
+        ranked = pair_scores(train, inputs, LABEL)
+        space = trial_ops.SearchSpace({"k": ("int", 5, len(ranked)), "penalty": ("choice", list(range(len(PENALTIES)))),
+                                       "C": ("loguniform", 1e-3, 10.0), "l1_ratio": ("uniform", 0.0, 1.0), "fit_intercept": ("choice", [0, 1])})
+        candidates = space.random(n_trials, seed=seed)
+        n_rows = train.count()
+
+        def build(c, rows=None):
+            names = [name for name, _ in ranked[:int(c["k"])]]
+            select = ", ".join([f"`{LABEL}`", "`flight_id`", *(" + ".join(f"CAST(`{part}` AS DOUBLE)" for part in name.split("+")) + f" AS f{i}"
+                                                              for i, name in enumerate(names))])
+            fit = models.logistic_regression([f"f{i}" for i in range(len(names))], LABEL, penalty=PENALTIES[int(c["penalty"])], C=c["C"],
+                                             l1_ratio=c["l1_ratio"], fit_intercept=bool(c["fit_intercept"]), n_rows=rows or n_rows, max_iter=max_iter)
+            return Pipeline(stages=[SQLTransformer(statement=f"SELECT {select} FROM __THIS__"), *fit.getStages()])
+
+        trials = models.evaluate_candidates(candidates, build, train, test, LABEL, parallelism=n_trials)
+        rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: r["trial_id"])  # a row per trial
+        good = [r for r in rows if r["state"] == "complete"]
+        if good:
+            best = max(good, key=lambda r: (r["auc"], -r["trial_id"]))
+            both = train.unionByName(test)
+            model = build(best, n_rows + test.count()).fit(both)
+            rows.append({**best, "state": "refit", "auc": models.auc(models.score(model, both, [LABEL]), LABEL)})
+        table = [(r["trial_id"], int(r["k"]), PENALTIES[int(r["penalty"])], r["C"], r["l1_ratio"], bool(r["fit_intercept"]), r["auc"], r["state"],
+                  ",".join(name for name, _ in ranked[:int(r["k"])])) for r in rows]
+        return spark.createDataFrame(table, "trial_id int, k int, penalty string, C double, l1_ratio double, fit_intercept boolean, "
+                                            "auc double, state string, features string")
+    finally:
+        train.unpersist()
+        test.unpersist()
