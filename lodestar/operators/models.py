@@ -256,10 +256,20 @@ def right_size(df: DataFrame, target_bytes: int = 256 << 20, grow: bool = False,
     return df
 
 
-def fit_cached(estimator: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the training rows persisted (right-sized first) for the fit's passes, then
-    release them."""
-    cached = right_size(train, grow=True).persist()
+def dealt(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
+    """``df`` in ``partitions`` parts by the hash of ``key`` and in its order.
+
+    Spark ML draws bootstrap and row samples per partition, by its number and its rows' order; so dealt, a forest or
+    boosted model is the same on any machine and for any file layout. ``partitions`` is part of the model's parameters.
+    """
+    rest = [c for c, t in df.dtypes if c != key and t in ("string", "int", "bigint", "double", "float")]
+    return df.repartition(partitions, key).sortWithinPartitions(key, *rest)
+
+
+def fit_cached(estimator: Pipeline, train: DataFrame, key: str | None = None) -> PipelineModel:
+    """Fit with the training rows persisted for the fit's passes, then release them. Rows are ``dealt`` by ``key``,
+    which models that sample rows need; without one they are right-sized."""
+    cached = (dealt(train, key) if key else right_size(train, grow=True)).persist()
     try:
         cached.count()
         return estimator.fit(cached)
@@ -407,7 +417,7 @@ def holdout_cv(df: DataFrame, key: str, label: str, build: Callable[[], Pipeline
     """
     from lodestar.operators.metrics import accuracy
     from lodestar.operators.sampling import train_test_split
-    data = right_size(df, grow=True).persist()
+    data = dealt(df, key).persist()
     rows = []
     try:
         for s in seeds:

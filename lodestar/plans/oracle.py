@@ -495,7 +495,7 @@ ORACLE["ridge_grid"] = f"""
   FROM a"""
 
 
-def _linear_shap_sql() -> str:
+def _linear_shap_sql(fitted: str = "true", scored: str = "true", more: str = "") -> str:
     feats = ["l_quantity", "l_discount", "l_tax"]
     p = len(feats)
     sums = ", ".join([f"SUM(x{i}) AS sx{i}" for i in range(p)]
@@ -524,16 +524,20 @@ def _linear_shap_sql() -> str:
     pred = " + ".join(f"k.c{i} * x.x{i}" for i in range(p))
     return f"""
   WITH x AS (SELECT l_orderkey, l_linenumber, {xs}, l_extendedprice / 1000 AS y FROM lineitem),
-       s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(y) AS sy, {sums} FROM x),
+       s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(y) AS sy, {sums} FROM x WHERE {fitted}),
        c AS (SELECT n, {cent} FROM s),
        k AS (SELECT *, {', '.join(coefs)} FROM c)
-  SELECT x.l_orderkey, x.l_linenumber, {contrib}, round(k.my, 6) AS bias,
+  SELECT x.l_orderkey, x.l_linenumber, {more} {contrib}, round(k.my, 6) AS bias,
          round(k.my - ({' + '.join(f'k.m{i} * k.c{i}' for i in range(p))}) + {pred}, 6) AS prediction
-  FROM x, k"""
+  FROM x, k WHERE {scored}"""
 
 
 ORACLE["linear_shap"] = _linear_shap_sql()
 
+# Scaling changes no least-squares prediction.
+ORACLE["scaled_linear"] = "SELECT l_orderkey, l_linenumber, y, prediction FROM (" + _linear_shap_sql(
+    f"{_b('l_orderkey', 4, 4294967296)} < {_part(800)}", f"{_b('l_orderkey', 4, 4294967296)} >= {_part(800)}", "x.y,") + ") x"
+
 ORACLE["importance_topk"] = f"""
   WITH c AS ({_linear_shap_sql()}),
        imp AS (SELECT 'l_quantity' AS feature, AVG(abs(c_l_quantity)) AS importance FROM c

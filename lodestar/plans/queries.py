@@ -608,7 +608,8 @@ def _delay_split(spark, sf_dir):
 def rf_fit(spark, sf_dir):
     train, test = _delay_split(spark, sf_dir)
     m = models.fit_cached(models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelayBinary", n_estimators=10,
-                                               max_depth=5, max_features=1.0, n_bins=64, seed=0), train)
+                                               max_depth=5, max_features=1.0, n_bins=64, seed=0), train,
+                          key="flight_id")
     return models.score(m, test, ["flight_id", "ArrDelayBinary"])
 
 
@@ -625,7 +626,7 @@ def gbt_fit(spark, sf_dir):
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     m = models.fit_cached(models.boosted_trees(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression",
                                                n_rounds=10, max_depth=5, learning_rate=0.15, subsample=0.7,
-                                               colsample=0.7), train)
+                                               colsample=0.7), train, key="flight_id")
     return models.score(m, test, ["flight_id", "ArrDelay"], classification=False)
 
 
@@ -695,7 +696,7 @@ def leaderboard(spark, sf_dir):
     """RF, boosted trees, logistic regression and KNN on one split; soft-vote ensemble row."""
     train, test = _delay_split(spark, sf_dir)
     # Several fits and evaluations read the same split: cache it once, release at the end.
-    train = models.right_size(train, grow=True).persist()
+    train = models.dealt(train, "flight_id").persist()
     test = models.right_size(test, grow=True).persist()
     feats = list(fixtures.FLIGHT_FEATURES)
     label = "ArrDelayBinary"
@@ -755,7 +756,7 @@ def tree_shap_sampled(spark, sf_dir):
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     feats = list(fixtures.FLIGHT_FEATURES)
     m = models.fit_cached(models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4),
-                          train)
+                          train, key="flight_id")
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
     return explain.sampled_shapley(m, test, background, "flight_id", feats, n_samples=16, seed=0)
 
@@ -780,7 +781,7 @@ def random_search(spark, sf_dir):
     def build(c):
         return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(c["n_estimators"]),
                                     max_depth=int(c["max_depth"]), max_features=float(c["max_features"]), seed=0)
-    return models.evaluate_candidates(cands, build, train, test, "ArrDelayBinary", parallelism=2)
+    return models.evaluate_candidates(cands, build, models.dealt(train, "flight_id").persist(), test.persist(), "ArrDelayBinary", parallelism=2)
 
 
 # --------------------------------------------------------------------------- request / stream scoring
@@ -1002,7 +1003,7 @@ def optimization_history(spark, sf_dir):
 def rf_regress_fit(spark, sf_dir):
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     m = models.fit_cached(models.random_forest(list(fixtures.FLIGHT_FEATURES), "ArrDelay", task="regression",
-                                               n_estimators=10, max_depth=12, seed=0), train)
+                                               n_estimators=10, max_depth=12, seed=0), train, key="flight_id")
     return models.score(m, test, ["flight_id", "ArrDelay"], classification=False)
 
 
@@ -1012,7 +1013,8 @@ def scaled_linear(spark, sf_dir):
     df = _line_xy(spark, sf_dir).withColumn("row_id", portable_bucket("l_orderkey", 9, 1000))
     train, test = sampling.train_test_split(df, "l_orderkey", 0.8, seed=4)
     m = models.scaled_linear(["l_quantity", "l_discount", "l_tax"], "y").fit(train)
-    return models.score(m, test, ["l_orderkey", "l_linenumber", "y"], classification=False)
+    out = models.score(m, test, ["l_orderkey", "l_linenumber", "y"], classification=False)
+    return out.withColumn("prediction", r("prediction", 6))
 
 
 @register("refit_best_model")
@@ -1025,8 +1027,9 @@ def refit_best_model(spark, sf_dir):
         return models.random_forest(feats, "ArrDelayBinary", n_estimators=int(c["n_estimators"]),
                                     max_depth=int(c["max_depth"]), seed=0)
     space = trial_ops.SearchSpace({"max_depth": ("int", 3, 7), "n_estimators": ("int", 5, 10)})
+    everything = models.dealt(train.unionByName(test), "flight_id").persist()
+    train, test = (models.dealt(part, "flight_id").persist() for part in (train, test))
     table = models.evaluate_candidates(space.random(3, seed=1), build, train, test, "ArrDelayBinary")
-    everything = train.unionByName(test)
     model = models.refit_best(table, build, everything)
     return models.score(model, everything, ["flight_id", "ArrDelayBinary"])
 
@@ -1038,7 +1041,7 @@ def tree_shap_interactions(spark, sf_dir):
     train, test = sampling.train_test_split(delay_days_table(spark, sf_dir), "flight_id", 0.8, seed=0)
     feats = list(fixtures.FLIGHT_FEATURES)
     m = models.fit_cached(models.boosted_trees(feats, "ArrDelay", task="regression", n_rounds=10, max_depth=4),
-                          train)
+                          train, key="flight_id")
     background = sampling.fixed_count_sample(train, "flight_id", 200, seed=1)
     return explain.sampled_interactions(m, test, background, "flight_id", feats, n_samples=8, seed=0)
 

@@ -71,6 +71,15 @@ def test_coordinate_descent_meets_the_optimality_conditions(spark):
         linear.coordinate_path(df.limit(0), names, "y", [1.0])
 
 
+def test_sampled_trees_do_not_depend_on_the_files(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, *map(float, rng.normal(size=3)), float(rng.integers(0, 2))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, y double")
+    est = models.random_forest(["a", "b", "c"], "y", n_estimators=4, max_depth=4, max_features=0.6, bootstrap=True, seed=3)
+    fits = [models.score(models.fit_cached(est, df.repartition(n), key="id"), df, ["id"]).orderBy("id").collect() for n in (1, 5)]
+    assert fits[0] == fits[1]
+
+
 def test_sigmoid_probabilities_are_calibrated(spark):
     rng = np.random.default_rng(2)
     margin = rng.normal(size=4000) * 2
