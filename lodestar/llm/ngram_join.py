@@ -8,17 +8,23 @@ smallest ``doc_id``; only classes are compared.
 Each class has ``TREES`` labels of ``DEPTH`` MinHash values. A tree of the
 forest is the sorted sequence of the labels, in which a run of labels that
 agree on a prefix is a subtrie. Prefixes are matched at full depth and
-shortened until the trees together reach the target recall for the threshold
-(a pair of similarity s agrees on d values in one of L trees with probability
-``1 - (1 - s**d)**L``). Members of a subtrie at that depth are candidates. The
-same set of members in several trees is looked at once.
+shortened one value at a time until the trees together reach the target recall.
+Recall is measured: ``PROBES`` classes meet all classes that agree with them on
+``FLOOR`` values in some tree, up to ``MAX_PAIRS`` of these pairs (by hash) are
+verified exactly, and a level's recall is the share of linked pairs, the least
+similar of them if there are enough, that agree on so many values in some tree.
+Without linked pairs the level comes from the probability
+``1 - (1 - s**d)**L`` that a pair of similarity s agrees on d values in one of L
+trees. Members of a subtrie at that depth are candidates. The same set of
+members in several trees is looked at once.
 
 Candidates whose signatures agree in less than ``threshold - MARGIN`` (more
 than five standard deviations below) are dropped; the others form families,
-inside which all pairs are verified exactly from their shingles. Large
-subtries and families are cut into blocks of ``BLOCK`` members and compared
-block against block, so no task holds a group; a task returns a member's number
-of links and a spanning forest of its links, never the list of pairs.
+inside which all pairs whose signatures agree so far are verified exactly from
+their shingles. Large subtries and families are cut into blocks of ``BLOCK``
+members and compared block against block, so no task holds a group; a task
+returns a member's number of links and a spanning forest of its links, never the
+list of pairs. Classes are numbered, not hashed, so no two of them share a name.
 
 Defined results: a text without words (null, empty) is a class of its own per
 document and has no links; repeated rows of a ``doc_id`` count once in a class
@@ -27,6 +33,7 @@ and get the same result; a null ``doc_id`` is an id after all others.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +50,10 @@ N, THRESHOLD = 5, 0.8
 TREES, DEPTH, TARGET = 20, 6, 0.999
 MARGIN = 0.2
 BLOCK = 512
+#: Classes and pairs that recall is measured on, at most; values on which these pairs agree in some tree, at least.
+PROBES, MAX_PAIRS, FLOOR = 200, 4_000, 2
+#: Linked pairs within so much of the threshold are the least similar ones; so many of them are enough.
+NEAR, ENOUGH = 0.1, 30
 BATCH = 1 << 20
 
 
@@ -101,12 +112,74 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, count: int) -> Iterator[pa.
 
 
 def shortened(threshold: float, trees: int, depth: int, target: float) -> int:
-    """The longest prefix, from full depth down, at which the forest reaches the target recall."""
+    """The longest prefix, from full depth down, at which the forest should reach the target recall."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
         depth -= 1
     return depth
 
 
+def measured(pairs: list[tuple[float, int]], threshold: float, depth: int, target: float) -> tuple[int, float] | None:
+    """The longest prefix, from full depth down, that finds the target share of linked pairs (similarity, values agreed on).
+
+    With that share; None without linked pairs.
+    """
+    linked = [p for p in pairs if p[0] >= threshold - 1e-9]
+    near = [p for p in linked if p[0] < threshold + NEAR]
+    judged = near if len(near) >= ENOUGH else linked
+    if not judged:
+        return None
+    while True:
+        recall = sum(agreed >= depth for _, agreed in judged) / len(judged)
+        if recall >= target or depth <= FLOOR:
+            return depth, recall
+        depth -= 1
+
+
+def _pair_similarity(batches: Iterator[pa.RecordBatch], n: int, trees: int) -> Iterator[pa.RecordBatch]:
+    """Exact similarity of two texts, and the most first values on which their labels agree in a tree."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                a, b = shingles([batch["a_text"][i].as_py() or "", batch["b_text"][i].as_py() or ""], n)
+                met = np.intersect1d(a, b, assume_unique=True).size
+                same = np.frombuffer(batch["a_sig"][i].as_py(), "<u4") == np.frombuffer(batch["b_sig"][i].as_py(), "<u4")
+                agreed = int(np.logical_and.accumulate(same.reshape(trees, -1), axis=1).sum(axis=1).max())
+                out.append((met / max(len(a) + len(b) - met, 1), agreed))
+            yield pa.RecordBatch.from_pydict({"similarity": pa.array([x for x, _ in out], pa.float64()),
+                                              "agreed": pa.array([x for _, x in out], pa.int32())})
+
+
+def probed_pairs(rows: DataFrame, classes: DataFrame, n: int, trees: int, depth: int) -> list[tuple[float, int]]:
+    """(similarity, values agreed on) of the pairs that recall is measured on; ``MAX_PAIRS`` at most."""
+    probes = classes.orderBy(F.xxhash64("n", "k1", "k2"), "c").limit(PROBES).select("c", "c0", "ct", "sig")
+    floor = min(FLOOR, depth)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+
+    def places(of: DataFrame, name: str) -> DataFrame:
+        at = of.select(F.col("c").alias(name), "sig", tree.alias("tree"))
+        return at.select(name, F.xxhash64("tree", F.substring(F.col("sig"), F.col("tree") * (4 * depth) + 1, F.lit(4 * floor))).alias("g"))
+
+    probes = stored(probes, "probes")
+    met = F.broadcast(places(probes, "a")).join(places(classes, "b"), "g").where("a <> b").select("a", "b")  # PROBES * trees rows
+    lot = F.xxhash64("a", "b")
+    share = max(1, met.count() // (8 * MAX_PAIRS))  # a pair may meet in several trees, and is drawn in all or none
+    met = stored(met.where(F.pmod(lot, F.lit(share)) == 0).distinct(), "probed")
+    rest = max(1, -(-met.count() // MAX_PAIRS))
+    chosen = met.where(F.pmod(F.xxhash64("a", "b", F.lit(1)), F.lit(rest)) == 0)
+    of = lambda side: classes.select(F.col("c").alias(side), F.col("c0").alias(f"{side}_d"), F.col("ct").alias(f"{side}_t"),
+                                     F.col("sig").alias(f"{side}_sig"))
+    pairs = stored(chosen.join(of("a"), "a").join(of("b"), "b"), "probed-pairs")
+    texts = rows.dropDuplicates(["d", "t"])
+    for side in ("a", "b"):
+        mine = texts.select(F.col("d").alias(f"{side}_d"), F.col("t").alias(f"{side}_t"), F.col("text").alias(f"{side}_text"))
+        wanted = pairs.select(f"{side}_d", f"{side}_t").distinct()
+        mine = mine.join(F.broadcast(wanted), [f"{side}_d", f"{side}_t"], "left_semi")  # some MAX_PAIRS rows
+        pairs = pairs.join(mine, [f"{side}_d", f"{side}_t"])
+    found = pairs.select("a_text", "b_text", "a_sig", "b_sig").mapInArrow(lambda it: _pair_similarity(it, n, trees), "similarity double, agreed int")
+    return [(r["similarity"], r["agreed"]) for r in found.collect()]
+
+
 # ------------------------------------------------------------------ blocks
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows sorted by ``keys``, one table per group."""
@@ -153,16 +226,22 @@ def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, np.flatnonzero(side == i), np.flatnonzero(side == j)
 
 
+def _same_values(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many values the signatures of each pair agree."""
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(table.num_rows, -1)
+    same = np.zeros((len(left), len(right)), np.int16)
+    for k in range(sig.shape[1]):
+        same += sig[left, k][:, None] == sig[right, k][None, :]
+    return same
+
+
 def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Edges of a spanning forest of the pairs whose signatures agree in a share of ``least`` or more."""
     for table in _runs(batches, ["g", "i", "j"]):
         table = table.sort_by("c")
         ids, left, right = _sides(table)
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(len(ids), -1)
-        same = np.zeros((len(left), len(right)), np.int16)
-        for k in range(sig.shape[1]):
-            same += sig[left, k][:, None] == sig[right, k][None, :]
-        a, b = np.nonzero(same >= least * sig.shape[1])
+        same = _same_values(table, left, right)
+        a, b = np.nonzero(same >= least * (len(table["sig"][0].as_py()) // 4))
         a, b = left[a], right[b]
         forest = _Forest(len(ids))
         forest.link(a[a != b], b[a != b])
@@ -171,10 +250,13 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
             yield pa.RecordBatch.from_pydict({"a": pa.array(ids[far]), "b": pa.array(ids[forest.up[far]])})
 
 
-def common(a: list[np.ndarray], b: list[np.ndarray], step: int = 2048) -> np.ndarray:
-    """Sizes of the intersections of every set of ``a`` with every set of ``b``."""
-    if len(a) * len(b) <= 64:
-        return np.array([[np.intersect1d(x, y, assume_unique=True).size for y in b] for x in a], np.int64).reshape(len(a), len(b))
+def common(a: list[np.ndarray], b: list[np.ndarray], wanted: np.ndarray, step: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of sets of ``a`` with sets of ``b``, of the ``wanted`` pairs at least."""
+    if wanted.sum() <= max(64, wanted.size // 50):  # few: one by one
+        out = np.zeros(wanted.shape, np.int64)
+        for i, j in zip(*np.nonzero(wanted)):
+            out[i, j] = np.intersect1d(a[i], b[j], assume_unique=True).size
+        return out
     left, right = np.concatenate(a), np.concatenate(b)
     both = np.intersect1d(left, right)
     out = np.zeros((len(a), len(b)), np.float32)
@@ -201,12 +283,18 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     for table in _runs(batches, ["g", "i", "j"]):
         table = table.sort_by("c")
         ids, left, right = _sides(table)
-        sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
-        size = np.array([len(s) for s in sets])
-        met = common([sets[k] for k in left], [sets[k] for k in right])
+        likely = _same_values(table, left, right) >= (threshold - MARGIN) * (len(table["sig"][0].as_py()) // 4)
+        likely &= left[:, None] != right[None, :]
+        rows, columns = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+        if not len(rows):
+            continue
+        left, right, likely = left[rows], right[columns], likely[np.ix_(rows, columns)]
+        sets = {k: np.frombuffer(table["set"][int(k)].as_py(), np.uint64) for k in np.union1d(left, right)}
+        met = common([sets[k] for k in left], [sets[k] for k in right], likely)
+        size = np.array([len(sets[k]) if k in sets else 0 for k in range(len(ids))])
         union = size[left][:, None] + size[right][None, :] - met
         # a similarity of exactly the threshold counts, whatever the rounding of the division
-        linked = (met >= threshold * union - 1e-9) & (left[:, None] != right[None, :])
+        linked = (met >= threshold * union - 1e-9) & likely
         a, b = np.nonzero(linked)
         forest = _Forest(len(ids))
         forest.link(left[a], right[b])
@@ -247,10 +335,12 @@ def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, t
     first = F.min(F.struct("d", "t")).alias("first")
     classes = stored(keyed.agg(first, F.min("sig").alias("sig"))
                           .select("n", "k1", "k2", F.col("first.d").alias("c0"), F.col("first.t").alias("ct"), "sig",
-                                  F.xxhash64("n", "k1", "k2").alias("c")), "classes")
+                                  F.monotonically_increasing_id().alias("c")), "classes")
 
     # the forest: subtries at the shortened depth, and which members they hold
-    d = shortened(threshold, trees, depth, target)
+    found = measured(probed_pairs(rows, classes, n, trees, depth), threshold, depth, target)
+    d = found[0] if found else shortened(threshold, trees, depth, target)
+    logging.getLogger(__name__).info("prefixes of %d values, measured recall %s", d, found[1] if found else "none")
     tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     prefix = F.xxhash64("tree", F.substring(F.col("sig"), F.col("tree") * (4 * depth) + 1, F.lit(4 * d)))
     places = classes.select("c", "sig", tree.alias("tree")).select("c", "tree", prefix.alias("g"))
@@ -269,8 +359,8 @@ def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, t
     families = stored(families, "families")
 
     # exact verification inside families, from the representatives' texts
-    chosen = families.join(classes.select("c", F.col("c0").alias("d"), F.col("ct").alias("t")), "c")
-    texts = rows.join(chosen, ["d", "t"]).dropDuplicates(["c"]).select("g", "c", "text")
+    chosen = families.join(classes.select("c", F.col("c0").alias("d"), F.col("ct").alias("t"), "sig"), "c")
+    texts = rows.join(chosen, ["d", "t"]).dropDuplicates(["c"]).select("g", "c", "sig", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -278,9 +368,9 @@ def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, t
                 for part in pretokens.runs(batch["text"], BATCH):
                     mine = batch.slice(part.start, part.stop - part.start)
                     found = [s.tobytes() for s in shingles(pretokens.texts_of(mine["text"]), n)]
-                    yield pa.RecordBatch.from_pydict({"g": mine["g"], "c": mine["c"], "set": pa.array(found, pa.binary())})
+                    yield pa.RecordBatch.from_pydict({"g": mine["g"], "c": mine["c"], "sig": mine["sig"], "set": pa.array(found, pa.binary())})
 
-    listed = texts.mapInArrow(sets, "g long, c long, set binary")
+    listed = texts.mapInArrow(sets, "g long, c long, sig binary, set binary")
     sizes = families.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
     verified = stored(in_blocks(listed, sizes, block).mapInArrow(
         lambda it: _verify(it, threshold), "c long, links long, root long"), "links")

@@ -222,6 +222,41 @@ def test_one_document_of_each_group_stays(spark, corpus):
     assert got.columns == frame(spark, corpus).columns
 
 
+def test_prefixes_are_shortened_until_the_measured_recall_is_met():
+    rng = random.Random(7)
+    near = [(0.8 + 0.1 * rng.random(), rng.choice([3, 4, 5, 6])) for _ in range(200)]
+    equal = [(1.0, 6)] * 5000
+    depth, recall = ngram_join.measured(near + equal + [(0.5, 0)] * 50, 0.8, 6, 0.999)
+    assert depth == 3 and recall == 1.0  # the many equal pairs don't hide the near ones
+    assert ngram_join.measured(equal, 0.8, 6, 0.999) == (6, 1.0)
+    assert ngram_join.measured([(0.79, 6)], 0.8, 6, 0.999) is None
+    assert ngram_join.measured([(0.9, 0)] * 40, 0.8, 6, 0.999) == (ngram_join.FLOOR, 0.0)
+
+
+def test_recall_of_near_copies(spark):
+    """Pairs of similarity around the threshold in a larger corpus: at least nine of ten are found (all of them, mostly)."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(150):
+        words = [rng.choice(VOCABULARY) + str(rng.randrange(50)) for _ in range(120)]
+        rows.append((2 * i, " ".join(words)))
+        for k in rng.sample(range(120), rng.randint(1, 3)):
+            words[k] = "changed"
+        rows.append((2 * i + 1, " ".join(words)))
+    want, got = {r[0]: r[2] for r in plain_join(rows)}, {r.doc_id: r.n_links for r in ngram_join.joined(frame(spark, rows)).collect()}
+    assert sum(want.values()) > 100 and sum(got.values()) >= 0.9 * sum(want.values())
+    assert all(got[i] <= want[i] for i in want)
+
+
+def test_only_agreeing_pairs_are_compared():
+    sets = [np.arange(k, k + 50, dtype=np.uint64) for k in range(0, 200, 10)]
+    wanted = np.zeros((20, 20), bool)
+    wanted[0, 1] = wanted[3, 4] = True
+    assert ngram_join.common(sets, sets, wanted).sum() == 80
+    every = ngram_join.common(sets, sets, np.ones((20, 20), bool))
+    assert (every == [[max(0, 50 - 10 * abs(i - j)) for j in range(20)] for i in range(20)]).all()
+
+
 def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.joined(frame(spark, [])).count() == 0
     assert ngram_join.drop_near_copies(frame(spark, [(1, None), (2, "")])).count() == 2
