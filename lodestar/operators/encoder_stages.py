@@ -13,9 +13,10 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
                              MLReadable, MLReader, MLWritable, MLWriter)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.encoders import SMALL_DICTIONARY
 from lodestar.plans import scan
 from lodestar.session import ensure_checkpoint_dir
 
@@ -83,7 +84,10 @@ class DictionaryEncoder(Estimator, HasInputCols, HasOutputCols, DefaultParamsRea
 
     def _fit(self, df: DataFrame) -> DictionaryEncoderModel:
         seen = _long(df, self.getInputCols()).where(F.col("value").isNotNull()).distinct()
-        numbered = scan.row_number(seen, ["column"], ["value"], out="place")  # all columns in one scan
+        if seen.limit(SMALL_DICTIONARY + 1).count() <= SMALL_DICTIONARY:  # counted, not estimated
+            numbered = seen.withColumn("place", F.row_number().over(Window.partitionBy("column").orderBy("value")))
+        else:
+            numbered = scan.row_number(seen, ["column"], ["value"], out="place")  # all columns in one scan
         model = DictionaryEncoderModel()
         model.tables = {"codes": _kept(numbered.select("column", "value", (F.col("place") - 1).cast("int").alias("code")))}
         return self._copyValues(model)

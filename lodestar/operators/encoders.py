@@ -10,15 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.plans import scan
 
 
+#: Values up to which one task numbers a dictionary; larger ones are numbered in range partitions.
+SMALL_DICTIONARY = 100_000
+
+
 def fit_dictionary(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null values with codes 0..n-1 in value order (skew-safe numbering)."""
+    """Distinct non-null values with codes 0..n-1 in value order."""
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct()
+    if distinct.limit(SMALL_DICTIONARY + 1).count() <= SMALL_DICTIONARY:  # counted, not estimated
+        place = F.row_number().over(Window.orderBy(column))
+        return distinct.select(column, (place - 1).cast("int").alias(f"{column}__code"))
     numbered = scan.row_number(distinct, [], [column], out="__pos")
     return numbered.select(column, (F.col("__pos") - 1).cast("int").alias(f"{column}__code"))
 

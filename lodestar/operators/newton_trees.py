@@ -210,7 +210,7 @@ def _shrunk(g: Column, alpha: float) -> Column:
 
 
 def best_cuts(histogram: DataFrame, scale: tuple[float, float], params: NewtonParams) -> DataFrame:
-    """The best cut of each node of (node, feature, bin, n, g, h), with its node's totals; ``feature`` is null without one.
+    """The best cut of each node of (node, feature, bin, n, g, h), with the totals of its node and its left side; ``gain`` is null without one.
 
     Bin 0 holds missing values, which are tried on both sides of every cut.
     """
@@ -228,10 +228,10 @@ def best_cuts(histogram: DataFrame, scale: tuple[float, float], params: NewtonPa
     gain = (score(gl, hl) + score(ga - gl, ha - hl) - score(ga, ha)) / 2 - params.gamma
     valid = ((F.col("bin") > 0) & (put["n"] > 0) & (put["n"] < F.col("n_all"))
              & (hl >= params.min_child_weight) & (ha - hl >= params.min_child_weight) & (gain > 1e-12))
-    first = F.min_by(F.struct("feature", "bin", "miss_left", F.col("gain")),
+    first = F.min_by(F.struct("feature", "bin", "miss_left", "gain", "n_left", "g_left", "h_left"),
                      F.struct(F.col("gain").isNull(), -F.col("gain"), "feature", "bin", ~F.col("miss_left")))
-    rated = sides.select("node", "feature", "bin", "miss_left", "n_all", "g_all", "h_all",
-                         F.when(valid, gain).alias("gain"))
+    rated = sides.select("node", "feature", "bin", "miss_left", "n_all", "g_all", "h_all", F.when(valid, gain).alias("gain"),
+                         *(put[c].alias(f"{c}_left") for c in "ngh"))
     return rated.groupBy("node").agg(F.first("n_all").alias("n"), F.first("g_all").alias("g"), F.first("h_all").alias("h"),
                                      first.alias("best")).select("node", "n", "g", "h", "best.*")
 
@@ -364,20 +364,23 @@ def fit_newton(df: DataFrame, features: Sequence[str], label: str, params: Newto
     model = NewtonModel(params, features, base, [])
     n_bins = max((len(c) for c in cuts), default=0) + 2
     rng = np.random.default_rng(params.seed)
+    before = None
     try:
         for k in range(params.rounds):
             tree, cut = _grow(state, cuts, n_bins, int(start["n"]), params, k, rng)
             model.trees.append(tree)
             if k + 1 == params.rounds:
                 break
-            after = _with_tree(state, tree, cut, schema, len(features)).persist(StorageLevel.MEMORY_AND_DISK)
+            after = _with_tree(state, tree, cut, schema, len(features))
             if (k + 1) % params.checkpoint_every == 0:
                 after = after.checkpoint()  # short lineage: a lost executor recomputes a few rounds at most
-            after.count()
-            state.unpersist()
-            state = after
+            if before is not None:
+                before.unpersist()
+            before, state = state, after.persist(StorageLevel.MEMORY_AND_DISK)  # filled by the next level's job
     finally:
         state.unpersist()
+        if before is not None:
+            before.unpersist()
     return model
 
 
@@ -407,33 +410,40 @@ def _grow(state: DataFrame, cuts: list[np.ndarray], n_bins: int, n: int, params:
     columns = draw(range(p), params.colsample_bytree)
     scale = _scales(state, n, params)
     tree, cut = Tree(), [0]
+    totals: list[tuple[int, int, int]] = []  # rows, gradients and curvatures of each node, the latter in fixed point
+
+    def add(sums: tuple[int, int, int]) -> int:
+        g, h = sums[1] / scale[0], sums[2] / scale[1]
+        shrunk = math.copysign(max(abs(g) - params.reg_alpha, 0.0), g)
+        totals.append(sums)
+        return tree.add(sums[0], h, -params.learning_rate * shrunk / (h + params.reg_lambda) + 0.0)  # no minus zero
+
     tree.add(n, 0.0, 0.0)
     open_nodes = [0]
-    for level in range(params.max_depth + 1):
-        # the level below the last cuts only counts its nodes; one column is enough for that
-        mine = draw(columns, params.colsample_bylevel) if level < params.max_depth else columns[:1]
+    for _ in range(max(params.max_depth, 1)):
+        mine = draw(columns, params.colsample_bylevel)
         args = (tree, list(cut), list(open_nodes), mine, p, n_bins, scale, params, round_)
         # a task's rows are sums already, so they go straight to where the running sums are made
         sums = (state.mapInArrow(lambda it, a=args: _histograms(it, *a), "node int, feature int, bin int, n long, g long, h long")
                      .repartition("node", "feature").groupBy("node", "feature", "bin").agg(*(F.sum(c).alias(c) for c in "ngh")))
-        found = best_cuts(sums, scale, params).collect()  # one row for each open node
-        below = []
-        for r in sorted(found, key=lambda r: r["node"]):
-            at, g, h = r["node"], r["g"] / scale[0], r["h"] / scale[1]
-            shrunk = math.copysign(max(abs(g) - params.reg_alpha, 0.0), g)
-            tree.rows[at], tree.cover[at] = r["n"], h
-            tree.value[at] = -params.learning_rate * shrunk / (h + params.reg_lambda) + 0.0  # no minus zero
-            if level == params.max_depth or r["gain"] is None:
+        found = sorted(best_cuts(sums, scale, params).collect(), key=lambda r: r["node"])  # one row for each open node
+        if not totals:
+            tree = Tree()
+            for r in found or [None]:
+                add((r["n"], r["g"], r["h"]) if r else (0, 0, 0))
+        open_nodes = []
+        for r in found if params.max_depth else ():
+            if r["gain"] is None:
                 continue
-            f, b = r["feature"], r["bin"]
+            at, f, b = r["node"], r["feature"], r["bin"]
             tree.feature[at], tree.gain[at], tree.missing_left[at] = f, r["gain"], r["miss_left"]
             edge = cuts[f]
             tree.threshold[at] = float(edge[b - 1]) if b <= len(edge) else math.inf  # the last bin: only missing values go right
             cut[at] = b
-            tree.left[at], tree.right[at] = tree.add(0, 0.0, 0.0), tree.add(0, 0.0, 0.0)
+            left = (r["n_left"], r["g_left"], r["h_left"])
+            tree.left[at], tree.right[at] = add(left), add(tuple(a - b for a, b in zip(totals[at], left)))
             cut += [0, 0]
-            below += [tree.left[at], tree.right[at]]
-        open_nodes = below
+            open_nodes += [tree.left[at], tree.right[at]]
         if not open_nodes:
             break
     return tree, cut
