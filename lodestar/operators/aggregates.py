@@ -96,11 +96,6 @@ def best_so_far(df: DataFrame, run: str, order: Sequence[str], metric: str, mode
     return scan.running_aggregate(df, [run], list(order), {step: ("count", None), out: (op, metric)})
 
 
-def mean_curve(curves: DataFrame, step: str, value: str) -> DataFrame:
-    """Average of a per-run curve at each step across runs."""
-    return curves.groupBy(step).agg(F.avg(value).alias("mean"), F.count(F.col(value)).alias("n_runs"))
-
-
 def replicate_band(df: DataFrame, step: str, value: str, exact_scale: int | None = None) -> DataFrame:
     """Per step: mean, std, max, min across replicate runs and the clipped mean+/-std band."""
     mean = exact_mean(value, exact_scale) if exact_scale is not None else F.avg(value)
@@ -118,14 +113,3 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
-
-
-def pivot_mean(df: DataFrame, row: str, col: str, value: str, values: Sequence) -> DataFrame:
-    """Two-parameter table of means (explicit pivot values: no distinct pass)."""
-    return df.groupBy(row).pivot(col, list(values)).agg(F.avg(value))
-
-
-def top_k(df: DataFrame, score: str, k: int, tie: str | None = None) -> DataFrame:
-    """Top-k rows by score (distributed top-n: each task keeps k rows)."""
-    order = [F.desc(score)] + ([F.asc(tie)] if tie else [])
-    return df.orderBy(*order).limit(k)

@@ -23,17 +23,6 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
                   (F.lit(1.0) - F.avg(eq)).alias("error_rate"))
 
 
-def threshold_prediction(prob: Column | str, t: float = 0.5) -> Column:
-    """1.0 where probability > t (strict), else 0.0."""
-    return (_c(prob) > F.lit(t)).cast("double")
-
-
-def positive_probability(probability_vector: str = "probability") -> Column:
-    """Probability of class 1 from an ML probability vector."""
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(F.col(probability_vector))[1]
-
-
 def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
     """ROC AUC by the rank-sum formula with average ranks on ties.
 

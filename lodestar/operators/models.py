@@ -300,13 +300,6 @@ def auc(pred: DataFrame, label: str, prob: str = "prob") -> float:
     return float(auc_rank(pred, label, prob).collect()[0]["auc"])
 
 
-def auc_binned(pred: DataFrame, label: str, prob: str = "prob", bins: int = 1000) -> float:
-    """Spark ML's ROC AUC (down-sampled to ``bins`` thresholds: approximate)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol=prob, labelCol=label, metricName="areaUnderROC",
-                                       numBins=bins)
-    return float(ev.evaluate(pred.withColumn(label, F.col(label).cast("double"))))
-
-
 def grid_search(estimator: Pipeline, grid: Mapping, train: DataFrame, label: str, fold_col: str,
                 parallelism: int = 2) -> DataFrame:
     """K-fold grid search with a user fold column (``foldCol``): table of params and mean AUC."""
@@ -334,25 +327,26 @@ def evaluate_candidates(candidates: Sequence[dict], build: Callable[[dict], Pipe
                         test: DataFrame, label: str, parallelism: int = 2) -> DataFrame:
     """Fit/evaluate each candidate (each fit is a distributed job; ``parallelism`` jobs at once).
 
-    Returns a trial table: trial_id, params..., auc, state (non-finite -> 'failed').
+    Returns a trial table: trial_id, params..., auc, state (non-finite -> 'failed'), error (why a fit failed).
     """
     def run(i_c):
         i, cand = i_c
         try:
             model = build(cand).fit(train)
-            val = auc(score(model, test, [label]), label)
-        except Exception:  # noqa: BLE001 - a failing trial is recorded, not raised
-            val = float("nan")
-        return i, cand, val
+            val, why = auc(score(model, test, [label]), label), None
+        except Exception as failure:  # noqa: BLE001 - a failing trial is recorded, not raised
+            val, why = float("nan"), str(failure).split("\n")[0]
+        return i, cand, val, why
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, enumerate(candidates)))
     names = list(candidates[0]) if candidates else []
-    rows = [(i, *[float(c[n]) for n in names], v, "complete" if math.isfinite(v) else "failed")
-            for i, c, v in results]
+    rows = [(i, *[float(c[n]) for n in names], v, "complete" if math.isfinite(v) else "failed", why)
+            for i, c, v, why in results]
     schema = T.StructType([T.StructField("trial_id", T.IntegerType())]
                           + [T.StructField(n, T.DoubleType()) for n in names]
-                          + [T.StructField("auc", T.DoubleType()), T.StructField("state", T.StringType())])
+                          + [T.StructField("auc", T.DoubleType()), T.StructField("state", T.StringType()),
+                             T.StructField("error", T.StringType())])
     return train.sparkSession.createDataFrame(rows, schema)
 
 
@@ -381,7 +375,7 @@ def refit_best(trials: DataFrame, build: Callable[[dict], Pipeline], data: DataF
                trial_col: str = "trial_id") -> PipelineModel:
     """Refit the best trial's parameters (by name) on all rows."""
     best = trials.orderBy(F.desc(metric), F.asc(trial_col)).limit(1).collect()[0].asDict()
-    params = {k: v for k, v in best.items() if k not in (trial_col, metric, "state")}
+    params = {k: v for k, v in best.items() if k not in (trial_col, metric, "state", "error")}
     return build(params).fit(data)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
@@ -45,17 +47,26 @@ def engineered_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 
 
 def chi2_vector_scores(df: DataFrame, vec: str, names: list[str], label: str) -> list[tuple[str, float]]:
-    """Chi-square score per vector slot (non-negative features): one grouped pass, per-class sums."""
+    """Chi-square score per vector slot: inputs, and sums ``<a>_<b>_plus`` of two of them (non-negative).
+
+    One grouped pass over the inputs' slots; a sum's class totals are those of its parts together.
+    """
+    inputs = [n for n in names if not n.endswith("_plus")]
     arr = vector_to_array(F.col(vec))
     sums = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"),
-                                 *[F.sum(arr[i]).alias(f"s{i}") for i in range(len(names))]).collect()
-    n = np.array([r["__n"] for r in sums], dtype=float)
-    obs = np.array([[r[f"s{i}"] for i in range(len(names))] for r in sums], dtype=float)
-    expected = (n / n.sum())[:, None] * obs.sum(axis=0)[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi2 = np.nansum((obs - expected) ** 2 / expected, axis=0)
-    order = sorted(range(len(names)), key=lambda i: (-chi2[i], names[i]))
-    return [(names[i], float(chi2[i])) for i in order]
+                                 *[F.sum(arr[names.index(c)]).alias(f"s{i}") for i, c in enumerate(inputs)]).collect()
+    total = {c: np.array([r[f"s{i}"] for r in sums], dtype=float) for i, c in enumerate(inputs)}
+    total |= {f"{a}_{b}_plus": total[a] + total[b] for a, b in itertools.combinations(inputs, 2)}
+    return _chi2_ranked(np.array([r["__n"] for r in sums], dtype=float), {c: total[c] for c in names})
+
+
+def _chi2_ranked(n: np.ndarray, observed: dict[str, np.ndarray]) -> list[tuple[str, float]]:
+    """(name, chi-square) of class totals, the largest first; 0 for a feature that is zero throughout."""
+    scores = {}
+    for name, seen in observed.items():
+        expected = n / n.sum() * seen.sum()
+        scores[name] = float(((seen - expected) ** 2 / expected).sum()) if seen.sum() else 0.0
+    return sorted(scores.items(), key=lambda s: (-s[1], s[0]))
 
 
 def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int | None = None,
@@ -131,14 +142,9 @@ def pair_scores(train: DataFrame, inputs: list[str], label: str) -> list[tuple[s
     A sum's class totals are the sums of its parts' totals, so one aggregation over the inputs scores them all.
     """
     sums = train.groupBy(label).agg(F.count(F.lit(1)).alias("__n"), *(F.sum(F.col(c).cast("double")).alias(c) for c in inputs)).collect()
-    n = np.array([r["__n"] for r in sums], float)
     total = {c: np.array([r[c] for r in sums], float) for c in inputs}
-    total |= {f"{a}+{b}": total[a] + total[b] for i, a in enumerate(inputs) for b in inputs[i + 1:]}
-    scores = {}
-    for name, seen in total.items():
-        expected = n / n.sum() * seen.sum()
-        scores[name] = float(((seen - expected) ** 2 / expected).sum()) if seen.sum() else 0.0
-    return sorted(scores.items(), key=lambda s: (-s[1], s[0]))
+    total |= {f"{a}+{b}": total[a] + total[b] for a, b in itertools.combinations(inputs, 2)}
+    return _chi2_ranked(np.array([r["__n"] for r in sums], float), total)
 
 
 def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, seed: int = 0, max_iter: int = 30) -> DataFrame:

@@ -35,13 +35,3 @@ class DatasetSpec:
 
     def ddl(self) -> str:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.columns.fields)
-
-
-def float_spec(names: list[str], label: str | None = None, label_type: T.DataType | None = None,
-               **kw) -> DatasetSpec:
-    """A spec where every column is float32, optionally with a typed label."""
-    fields = []
-    for n in names:
-        dt = label_type if (n == label and label_type is not None) else T.FloatType()
-        fields.append(T.StructField(n, dt, True))
-    return DatasetSpec(T.StructType(fields), label=label, **kw)

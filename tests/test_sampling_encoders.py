@@ -77,3 +77,11 @@ def test_chi2_matches_manual(spark):
         exp = pdf.y.value_counts(normalize=True).reindex(obs.index) * pdf[f].sum()
         assert abs(((obs - exp) ** 2 / exp).sum() - got.loc[f, "chi2"]) < 1e-9
     assert selection.select_k_best(spark.createDataFrame(pdf), ["a", "b"], "y", 1) == [got.chi2.idxmax()]
+
+
+def test_dictionaries_of_any_size_are_numbered_alike(spark, monkeypatch):
+    from lodestar.operators import encoders
+    df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "b", "a a"]], "c string")
+    small = sorted(map(tuple, encoders.fit_dictionary(df, "c").collect()))
+    monkeypatch.setattr(encoders, "SMALL_DICTIONARY", 2)
+    assert sorted(map(tuple, encoders.fit_dictionary(df, "c").collect())) == small == [("a", 0), ("a a", 1), ("b", 2), ("c", 3)]
