@@ -9,9 +9,9 @@ Each class has ``TREES`` labels of ``DEPTH`` MinHash values. A tree of the
 forest is the sorted sequence of the labels, in which a run of labels that
 agree on a prefix is a subtrie. Prefixes are matched at full depth and
 shortened one value at a time until the trees together reach the target recall.
-Recall is measured: ``PROBES`` classes meet all classes that agree with them on
-``FLOOR`` values in some tree, up to ``MAX_PAIRS`` of these pairs (by hash) are
-verified exactly, and a level's recall is the share of linked pairs, the least
+Recall is measured: ``PROBES`` classes meet classes that agree with them on
+``FLOOR`` values in some tree (all of these, or about ``MET`` of a large
+subtrie), up to ``MAX_PAIRS`` of these pairs (by hash) are verified exactly, and a level's recall is the share of linked pairs, the least
 similar of them if there are enough, that agree on so many values in some tree.
 Without linked pairs the level comes from the probability
 ``1 - (1 - s**d)**L`` that a pair of similarity s agrees on d values in one of L
@@ -52,6 +52,8 @@ MARGIN = 0.2
 BLOCK = 512
 #: Classes and pairs that recall is measured on, at most; values on which these pairs agree in some tree, at least.
 PROBES, MAX_PAIRS, FLOOR = 200, 4_000, 2
+#: Members of a subtrie that a probe meets, about.
+MET = 32
 #: Linked pairs within so much of the threshold are the least similar ones; so many of them are enough.
 NEAR, ENOUGH = 0.1, 30
 BATCH = 1 << 20
@@ -161,10 +163,11 @@ def probed_pairs(rows: DataFrame, classes: DataFrame, n: int, trees: int, depth:
         return at.select(name, F.xxhash64("tree", F.substring(F.col("sig"), F.col("tree") * (4 * depth) + 1, F.lit(4 * floor))).alias("g"))
 
     probes = stored(probes, "probes")
-    met = F.broadcast(places(probes, "a")).join(places(classes, "b"), "g").where("a <> b").select("a", "b")  # PROBES * trees rows
-    lot = F.xxhash64("a", "b")
-    share = max(1, met.count() // (8 * MAX_PAIRS))  # a pair may meet in several trees, and is drawn in all or none
-    met = stored(met.where(F.pmod(lot, F.lit(share)) == 0).distinct(), "probed")
+    at, every = F.broadcast(places(probes, "a")), places(classes, "b")  # PROBES * trees rows
+    sizes = every.join(at.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    # of a large subtrie's members a few are drawn, the same ones in every tree, before they meet the probes
+    drawn = every.join(F.broadcast(sizes), "g").where(F.pmod(F.xxhash64("b"), F.col("size")) < MET)
+    met = stored(at.join(drawn, "g").where("a <> b").select("a", "b").distinct(), "probed")
     rest = max(1, -(-met.count() // MAX_PAIRS))
     chosen = met.where(F.pmod(F.xxhash64("a", "b", F.lit(1)), F.lit(rest)) == 0)
     of = lambda side: classes.select(F.col("c").alias(side), F.col("c0").alias(f"{side}_d"), F.col("ct").alias(f"{side}_t"),
