@@ -110,11 +110,14 @@ def test_pca_components_are_centred(spark):
 def test_request_scoring_flags_malformed(spark):
     from lodestar.streaming import score_requests
     model = queries._embedding_classifier(spark, SF_SMALL)
-    reqs = spark.createDataFrame([(1, json.dumps([[0.1] * 16, [0.2] * 16])), (2, "not json"),
-                                  (3, json.dumps([[0.1] * 3]))], "rid long, body string")
-    out = score_requests(model, reqs, "rid", "body", n_features=16, threshold=0.5).toPandas()
+    width = model.numFeatures  # whole vectors
+    reqs = spark.createDataFrame([(1, json.dumps([[0.1] * width, [0.2] * width])), (2, "not json"),
+                                  (3, json.dumps([[0.1] * 3])), (4, "[]"), (5, None)], "rid long, body string")
+    out = score_requests(model, reqs, "rid", "body", n_features=width, threshold=0.5).toPandas()
     assert set(out[out.status == "ok"].rid) == {1} and len(out[out.rid == 1]) == 2
-    assert set(out[out.status == "unsupported"].rid) == {2, 3}
+    assert sorted(out[out.status == "unsupported"].rid) == [2, 3, 4, 5] and out[out.status == "unsupported"].prediction.isna().all()
+    apart = score_requests(model, reqs.where("rid <> 3"), "rid", "body", threshold=0.5).toPandas()
+    assert sorted(apart[apart.status == "unsupported"].rid) == [2, 4, 5] and len(apart[apart.rid == 1]) == 2
     assert set(out[out.status == "ok"].prediction) <= {0.0, 1.0}
 
 
@@ -175,11 +178,11 @@ def test_request_scoring_in_a_stream(spark):
     from lodestar.streaming import score_requests
     model = queries._embedding_classifier(spark, SF_SMALL)
     base = shared_path(spark, "t_req_stream", unique=True)
-    reqs = spark.createDataFrame([(1, json.dumps([[0.1] * 16])), (2, "oops"), (3, json.dumps([[0.3] * 16, [0.0] * 16]))],
+    reqs = spark.createDataFrame([(1, json.dumps([[0.1] * model.numFeatures])), (2, "oops"), (3, json.dumps([[0.3] * model.numFeatures, [0.0] * model.numFeatures]))],
                                  "rid long, body string")
     reqs.coalesce(1).write.json(f"{base}/in")
     stream = spark.readStream.schema("rid long, body string").option("maxFilesPerTrigger", 1).json(f"{base}/in")
-    out = score_requests(model, stream, "rid", "body", n_features=16, threshold=0.5)
+    out = score_requests(model, stream, "rid", "body", n_features=model.numFeatures, threshold=0.5)
     q = (out.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination(300)
