@@ -24,6 +24,7 @@ HEADLINE = [
     "elapsed_ci", "box_stats", "throughput_ratio", "best_so_far", "median_stop", "halving_rungs",
     "auc_rank", "rmse", "linear_shap", "ridge_grid", "knn_exact", "csv_roundtrip", "rf_fit", "gbt_fit",
     "kmeans_fit", "json_score_batch", "feature_engineering", "feature_search",
+    "gbt_newton", "tree_contributions", "encoder_pipeline", "taxi_model_table", "async_halving",
 ]
 
 
