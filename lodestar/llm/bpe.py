@@ -345,7 +345,9 @@ def _counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 
 
 def common_words(docs: DataFrame, ranks_path: str, primer: int = PRIMER, limit: int = COMMON, chunk: int = CHUNK) -> Known:
-    """The ``limit`` most frequent pre-tokens of about ``primer`` documents, folded."""
+    """The ``limit`` most frequent pre-tokens of about ``primer`` documents, folded; without a limit above 0 none, and no job."""
+    if limit <= 0:
+        return Known(pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(0, np.int32))
     share = min(1.0, primer / max(docs.count(), 1))
     counts = (docs.select("text").sample(share, seed=7).mapInArrow(lambda it: _counted(it, chunk), "word binary, n long")
                   .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
@@ -364,7 +366,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, keep: Sequence[str] = ("d
                      chunk: int = CHUNK, known: int = KNOWN, primer: int = PRIMER, common: int = COMMON) -> DataFrame:
     """Columns ``keep`` of each row with ``ids`` (little-endian unsigned 32-bit) and ``decoded`` (bytes of the ids).
 
-    ``keep`` may hold ``text`` itself.
+    ``keep`` may hold ``text`` itself. ``common`` = 0 leaves every pre-token to the tasks: more folding, but one plan
+    with the ranks less in the driver's memory.
     """
     names = without(keep, ("ids", "decoded"))
     kept = [f"k{i}" for i in range(len(names))]  # out of the way of the columns that follow

@@ -70,6 +70,11 @@ def long_words():
     return words
 
 
+def test_bpe_without_common_words(spark, odd_docs):
+    with_common = bpe.encode_documents(odd_docs, RANKS, keep=["doc_id", "text"], chunk=60, known=20).collect()
+    assert sorted(map(repr, bpe.encode_documents(odd_docs, RANKS, keep=["doc_id", "text"], chunk=60, common=0).collect())) == sorted(map(repr, with_common))
+
+
 def test_bpe_of_long_words(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
     texts = long_words() + ["one " + " ".join(long_words()[2:4]) + " two"]
