@@ -172,3 +172,23 @@ def test_whole_queries(spark):
     assert 0 < row["purity"] <= 1 and -1 <= row["silhouette"] <= 1
     fare = modelling.taxi_regression(spark, SF_SMALL).first()
     assert fare["n"] > 500 and -0.3 < fare["r2"] <= 1  # fares of these trips don't depend on them
+
+
+def test_full_feature_search_refits_its_best_trial(spark):
+    from lodestar.plans import workflows
+    rows = workflows.full_feature_search(spark, SF_SMALL, n_trials=2, max_iter=5).collect()
+    trials_, refit = [x for x in rows if x["state"] != "refit"], [x for x in rows if x["state"] == "refit"]
+    assert len(trials_) == 2 and len(refit) == 1
+    best = max((x for x in trials_ if x["state"] == "complete"), key=lambda x: x["auc"])
+    assert all(refit[0][c] == best[c] for c in ("trial_id", "k", "penalty", "C", "l1_ratio", "fit_intercept", "features"))
+    assert all(len(x["features"].split(",")) == x["k"] for x in rows) and any("_mean" in x["features"] for x in rows)
+
+
+def test_sums_are_scored_from_their_parts(spark):
+    from lodestar.operators import selection
+    from lodestar.plans import workflows
+    df = spark.createDataFrame([(float(i % 3), float(i % 5), 0.0, i % 2) for i in range(40)], "a double, b double, z double, y int")
+    df = df.withColumns({"a+b": F.col("a") + F.col("b"), "a+z": F.col("a") + F.col("z"), "b+z": F.col("b") + F.col("z")})
+    want = {x["feature"]: x["chi2"] or 0.0 for x in selection.chi2_scores(df, ["a", "b", "z", "a+b", "a+z", "b+z"], "y").collect()}
+    got = dict(workflows.pair_scores(df, ["a", "b", "z"], "y"))
+    assert got.keys() == want.keys() and all(abs(got[f] - want[f]) < 1e-9 for f in want)
