@@ -64,7 +64,7 @@ class Summary:
     """Segments' means and deviations of a matrix, at each level."""
 
     def __init__(self, rows: np.ndarray):
-        self.rows, self.levels = rows, []
+        self.rows, self.levels, self.largest = rows, [], float(np.abs(rows).max(initial=0))
         wide = rows.astype(np.float64)
         self.norms = np.sqrt((wide * wide).sum(axis=1))
         for n in LEVELS:
@@ -88,7 +88,7 @@ class Summary:
 
     def scores(self, of: np.ndarray, vector: np.ndarray) -> np.ndarray:
         """Exact scores of rows ``of``."""
-        most = float(np.abs(self.rows).max(initial=0)) * float(np.abs(vector).max(initial=0)) * max(len(vector), 1)
+        most = self.largest * float(np.abs(vector).max(initial=0)) * max(len(vector), 1)
         if most >= 2.0**62:
             raise ValueError("scores don't fit 62 bits")
         if most < 2.0**53:  # whole numbers that doubles add exactly
