@@ -1,8 +1,9 @@
 """Boosted trees with second-order gradients, and their exact additive explanations.
 
 Fitting: features become bins at quantiles of mergeable sketches (or at their
-distinct values when these are few), written to one byte or two per value. A
-round grows one tree level by level. Each level is one aggregation: tasks add
+distinct values when these are few), written to two bytes per value. Rows are
+dealt evenly to parts and kept as runs of packed bytes, so a pass hands Python
+a few buffers instead of rows. A round grows one tree level by level. Each level is one aggregation: tasks add
 their rows' gradients and curvatures up by (node, feature, bin), Spark adds the
 tasks up, and running sums over the bins give every cut's gain. Only the best
 cut of each node reaches the driver.
@@ -30,6 +31,7 @@ import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,12 @@ from pyspark.sql import types as T
 #: Histogram cells up to which a task adds up in arrays; beyond, each batch gives its own sparse sums.
 DENSE_CELLS = 1 << 22
 
+#: Rows of a part of the training table, at most on average.
+PART_ROWS = 500_000
+
+#: The packed training table: a row is a run of rows, each column their values one after the other.
+PACKED = "y binary, h binary, margin binary, bins binary"
+
 
 @dataclass(frozen=True)
 class NewtonParams:
@@ -123,13 +131,34 @@ def _values(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
         else np.zeros((batch.num_rows, 0))
 
 
+class Run(NamedTuple):
+    """Labels, hashes, margins and bins (rows, features) of a run of rows."""
+
+    y: np.ndarray
+    h: np.ndarray
+    margin: np.ndarray
+    bins: np.ndarray
+
+    def packed(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({name: pa.array([v.tobytes()], pa.binary()) for name, v in self._asdict().items()})
+
+
+def _runs(batches: Iterator[pa.RecordBatch], n_features: int) -> Iterator[Run]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            y, h, margin, bins = (batch[name][i].as_buffer() for name in Run._fields)
+            yield Run(np.frombuffer(y), np.frombuffer(h, np.int64), np.frombuffer(margin), np.frombuffer(bins, np.int16).reshape(-1, n_features))
+
+
 def _binned(batches: Iterator[pa.RecordBatch], edges: list[np.ndarray], margin: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = {"y": batch["y"], "h": batch["h"], "margin": pa.array(np.full(batch.num_rows, margin))}
+        if not batch.num_rows:
+            continue
+        bins = np.zeros((batch.num_rows, len(edges)), np.int16)
         for i, e in enumerate(edges):
             x = batch[f"x{i}"].to_numpy(zero_copy_only=False).astype(np.float64)
-            out[f"b{i}"] = pa.array(np.where(np.isnan(x), 0, np.searchsorted(e, x, "left") + 1).astype(np.int16))
-        yield pa.RecordBatch.from_pydict(out)
+            bins[:, i] = np.where(np.isnan(x), 0, np.searchsorted(e, x, "left") + 1)
+        yield Run(np.asarray(batch["y"], np.float64), np.asarray(batch["h"], np.int64), np.full(batch.num_rows, margin), bins).packed()
 
 
 # ------------------------------------------------------------------ one level
@@ -140,10 +169,6 @@ def _gradients(y: np.ndarray, margin: np.ndarray, objective: str) -> tuple[np.nd
     return p - y, np.maximum(p * (1 - p), 1e-16)
 
 
-def _bins(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
-    return np.stack([np.asarray(batch[f"b{i}"]) for i in range(n_features)], axis=1).astype(np.int64)
-
-
 def _walk(bins: np.ndarray, tree: Tree, cut: Sequence[int]) -> np.ndarray:
     """The node that each binned row has come to; ``cut`` is the last bin that goes left."""
     feature, last = np.array(tree.feature), np.array(cut)
@@ -173,17 +198,20 @@ def _histograms(batches: Iterator[pa.RecordBatch], tree: Tree, cut: list[int], o
             "node": pa.array(np.array(open_nodes)[node], pa.int32()), "feature": pa.array(np.array(columns)[f], pa.int32()),
             "bin": pa.array(b, pa.int32()), "n": pa.array(sums[0]), "g": pa.array(sums[1]), "h": pa.array(sums[2])})
 
-    for batch in batches:
-        bins = _bins(batch, n_features)
-        here = slot[_walk(bins, tree, cut)]
+    for run in _runs(batches, n_features):
+        here = slot[_walk(run.bins, tree, cut)]
         used = here >= 0
         if params.subsample < 1:
-            used &= _drawn(np.asarray(batch["h"]), params, round_)
-        g, h = _gradients(np.asarray(batch["y"]), np.asarray(batch["margin"]), params.objective)
+            used &= _drawn(run.h, params, round_)
+        g, h = _gradients(run.y, run.margin, params.objective)
         g, h = (np.rint(v[used] * s).astype(np.int64) for v, s in zip((g, h), scale))
-        code = ((here[used, None] * len(columns) + np.arange(len(columns))) * n_bins + bins[used][:, columns]).ravel()
+        code = ((here[used, None] * len(columns) + np.arange(len(columns))) * n_bins + run.bins[used][:, columns]).ravel()
         one, gs, hs = np.ones(len(code), np.int64), np.repeat(g, len(columns)), np.repeat(h, len(columns))
-        if dense:
+        if dense and cells <= len(code):  # np.bincount is the faster one, but makes all cells
+            totals[0] += np.bincount(code, minlength=cells)
+            totals[1] += _whole_sums(code, gs, cells)
+            totals[2] += _whole_sums(code, hs, cells)
+        elif dense:
             for total, v in zip(totals, (one, gs, hs)):
                 np.add.at(total, code, v)
         elif len(code):
@@ -196,6 +224,13 @@ def _histograms(batches: Iterator[pa.RecordBatch], tree: Tree, cut: list[int], o
         yield rows(some, [t[some] for t in totals])
 
 
+def _whole_sums(code: np.ndarray, values: np.ndarray, cells: int) -> np.ndarray:
+    """Exact sums of whole numbers by code: doubles hold the sums of each half of the bits."""
+    low = np.bincount(code, (values & ((1 << 30) - 1)).astype(np.float64), cells)
+    high = np.bincount(code, (values >> 30).astype(np.float64), cells)
+    return (high.astype(np.int64) << 30) + low.astype(np.int64)
+
+
 def _drawn(hashes: np.ndarray, params: NewtonParams, round_: int) -> np.ndarray:
     """The rows of a round's sample: a remix of the id's hash, the same on any machine."""
     x = hashes.view(np.uint64) ^ np.uint64((params.seed * 1_000_003 + round_ + 1) * 0x9E3779B97F4A7C15 % 2**64)
@@ -347,20 +382,27 @@ def fit_newton(df: DataFrame, features: Sequence[str], label: str, params: Newto
     features = list(features)
     y = F.nanvl(F.col(label).cast("double"), F.lit(None).cast("double"))
     rows = df.where(y.isNotNull())
-    start = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean")).first()
-    if not start["n"]:
-        raise ValueError("no rows with a label")
-    given = dict(edges or {})
-    found = iter(bin_edges(rows, [f for f in features if f not in given], params.max_bins) if len(given) < len(features) else [])
-    cuts = [np.unique(np.array(given[f], np.float64)) if f in given else next(found) for f in features]
-    base = float(start["mean"])
-    if params.objective == "binary":
-        share = min(max(base, 1e-9), 1 - 1e-9)
-        base = math.log(share / (1 - share))
     key = F.xxhash64(F.col(id_col)) if id_col else F.lit(0).cast("long")
-    schema = "y double, h long, margin double, " + ", ".join(f"b{i} smallint" for i in range(len(features)))
-    state = (rows.select(y.alias("y"), key.alias("h"), *(F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
-                 .mapInArrow(lambda it: _binned(it, cuts, base), schema)).persist(StorageLevel.MEMORY_AND_DISK)
+    xs = [f"x{i}" for i in range(len(features))]
+    # counted, sketched and binned from one reading of the source
+    rows = rows.select(y.alias("y"), key.alias("h"), *(F.col(f).cast("double").alias(x) for f, x in zip(features, xs))).persist(StorageLevel.MEMORY_AND_DISK)
+    state = None
+    try:
+        start = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean")).first()
+        if not start["n"]:
+            raise ValueError("no rows with a label")
+        given = dict(edges or {})
+        found = iter(bin_edges(rows, [x for f, x in zip(features, xs) if f not in given], params.max_bins) if len(given) < len(features) else [])
+        cuts = [np.unique(np.array(given[f], np.float64)) if f in given else next(found) for f in features]
+        base = float(start["mean"])
+        if params.objective == "binary":
+            share = min(max(base, 1e-9), 1 - 1e-9)
+            base = math.log(share / (1 - share))
+        parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-start["n"] // PART_ROWS))
+        state = rows.repartition(parts).mapInArrow(lambda it: _binned(it, cuts, base), PACKED).persist(StorageLevel.MEMORY_AND_DISK)
+        state.count()
+    finally:
+        rows.unpersist()
     model = NewtonModel(params, features, base, [])
     n_bins = max((len(c) for c in cuts), default=0) + 2
     rng = np.random.default_rng(params.seed)
@@ -371,7 +413,7 @@ def fit_newton(df: DataFrame, features: Sequence[str], label: str, params: Newto
             model.trees.append(tree)
             if k + 1 == params.rounds:
                 break
-            after = _with_tree(state, tree, cut, schema, len(features))
+            after = _with_tree(state, tree, cut, len(features))
             if (k + 1) % params.checkpoint_every == 0:
                 after = after.checkpoint()  # short lineage: a lost executor recomputes a few rounds at most
             if before is not None:
@@ -384,21 +426,21 @@ def fit_newton(df: DataFrame, features: Sequence[str], label: str, params: Newto
     return model
 
 
-def _with_tree(state: DataFrame, tree: Tree, cut: list[int], schema: str, n_features: int) -> DataFrame:
+def _with_tree(state: DataFrame, tree: Tree, cut: list[int], n_features: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value = np.array(tree.value)
-        for batch in batches:
-            margin = np.asarray(batch["margin"]) + value[_walk(_bins(batch, n_features), tree, cut)]
-            yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
-    return state.mapInArrow(run, schema)
+        for rows in _runs(batches, n_features):
+            yield rows._replace(margin=rows.margin + value[_walk(rows.bins, tree, cut)]).packed()
+    return state.mapInArrow(run, PACKED)
 
 
-def _scales(state: DataFrame, n: int, params: NewtonParams) -> tuple[float, float]:
+def _scales(state: DataFrame, n: int, params: NewtonParams, p: int) -> tuple[float, float]:
     """Powers of two for fixed-point sums of n gradients and curvatures: as fine as 62 bits allow, 2**-40 at most."""
     room = 61 - math.ceil(math.log2(max(n, 2)))
     most = 1.0
     if params.objective == "regression":
-        most = max(state.agg(F.max(F.abs(F.col("margin") - F.col("y")))).first()[0] or 1.0, 1e-300)
+        far = lambda it: (pa.RecordBatch.from_pydict({"far": pa.array([np.abs(r.margin - r.y).max()])}) for r in _runs(it, p))
+        most = max(state.mapInArrow(far, "far double").agg(F.max("far")).first()[0] or 1.0, 1e-300)
     return 2.0 ** min(room - math.ceil(math.log2(most)), 40), 2.0 ** min(room, 40)
 
 
@@ -408,7 +450,7 @@ def _grow(state: DataFrame, cuts: list[np.ndarray], n_bins: int, n: int, params:
     draw = lambda pool, share: sorted(rng.choice(pool, max(1, round(share * len(pool))), replace=False).tolist()) \
         if share < 1 else list(pool)
     columns = draw(range(p), params.colsample_bytree)
-    scale = _scales(state, n, params)
+    scale = _scales(state, n, params, p)
     tree, cut = Tree(), [0]
     totals: list[tuple[int, int, int]] = []  # rows, gradients and curvatures of each node, the latter in fixed point
 
