@@ -67,6 +67,11 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _sent(table: DataFrame, rows: int) -> DataFrame:
+    """A table to join rows with: sent to every task when its counted rows are few, so that a frequent value is no hot key."""
+    return F.broadcast(table) if rows <= SMALL_DICTIONARY else table
+
+
 def _long(df: DataFrame, columns: list[str], *others) -> DataFrame:
     """(column, value, others...): one row per row and column, values as text."""
     pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))
@@ -83,7 +88,7 @@ class DictionaryEncoder(Estimator, HasInputCols, HasOutputCols, DefaultParamsRea
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> DictionaryEncoderModel:
-        seen = _long(df, self.getInputCols()).where(F.col("value").isNotNull()).distinct()
+        seen = _kept(_long(df, self.getInputCols()).where(F.col("value").isNotNull()).distinct())
         if seen.limit(SMALL_DICTIONARY + 1).count() <= SMALL_DICTIONARY:  # counted, not estimated
             numbered = seen.withColumn("place", F.row_number().over(Window.partitionBy("column").orderBy("value")))
         else:
@@ -99,6 +104,7 @@ class DictionaryEncoderModel(_TableModel):
         sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
         for source, out in zip(self.getInputCols(), self.getOutputCols()):
             mine = codes.where(F.col("column") == source).select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+            mine = _sent(mine, sizes.get(source, 0))
             joined = df.withColumn("__value", F.col(source).cast("string")).join(mine, "__value", "left")
             code = F.when(F.col(source).isNull(), F.lit(-1)).otherwise(F.coalesce("__code", F.lit(int(sizes.get(source, 0)))))
             df = joined.withColumn(out, code.cast("int")).drop("__value", "__code")
@@ -144,15 +150,16 @@ class TargetMeanEncoderModel(_TableModel, _TargetParams):
         mean = self.tables["mean"].first()["mean"]  # one number
         fold, smooth = self.getOrDefault("foldCol"), self.getOrDefault("smooth")
         out_of_fold = bool(fold) and fold in df.columns
+        sizes = {r["column"]: r["n"] for r in self.tables["sums"].groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
         for source, out in zip(self.getInputCols(), self.getOutputCols()):
             mine = self.tables["sums"].where(F.col("column") == source)
             whole = mine.groupBy(F.col("value").alias("__value")).agg(F.sum("s").alias("__s"), F.sum("n").alias("__n"))
-            rows = df.withColumn("__value", F.col(source).cast("string")).join(whole, "__value", "left")
+            rows = df.withColumn("__value", F.col(source).cast("string")).join(_sent(whole, sizes.get(source, 0)), "__value", "left")
             s, n = F.col("__s"), F.col("__n")
             if out_of_fold:
                 own = mine.where(F.col("fold").isNotNull()).select(
                     F.col("value").alias("__value"), F.col("fold").alias("__fold"), F.col("s").alias("__own_s"), F.col("n").alias("__own_n"))
-                rows = rows.withColumn("__fold", F.col(fold).cast("long")).join(own, ["__value", "__fold"], "left")
+                rows = rows.withColumn("__fold", F.col(fold).cast("long")).join(_sent(own, sizes.get(source, 0)), ["__value", "__fold"], "left")
                 s, n = s - F.coalesce("__own_s", F.lit(0.0)), n - F.coalesce("__own_n", F.lit(0))
             code = F.coalesce(F.try_divide(s + F.lit(smooth * mean), n + F.lit(smooth)), F.lit(mean)) if mean is not None else F.lit(None).cast("double")
             df = rows.withColumn(out, code).drop("__value", "__s", "__n", "__fold", "__own_s", "__own_n")

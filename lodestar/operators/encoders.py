@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.plans import scan
+from lodestar.session import ensure_checkpoint_dir
 
 
 #: Values up to which one task numbers a dictionary; larger ones are numbered in range partitions.
@@ -74,6 +75,16 @@ class LabelEncoder:
         return out
 
 
+def _kept(stats: DataFrame) -> tuple[DataFrame, bool]:
+    """Sums by category, written once, and whether they are few enough to be sent to every task.
+
+    Counted, not estimated: a join on a handful of categories would otherwise deal all rows to a handful of tasks.
+    """
+    ensure_checkpoint_dir(stats.sparkSession)
+    kept = stats.checkpoint()
+    return kept, kept.count() <= SMALL_DICTIONARY
+
+
 def target_encode_oof(df: DataFrame, category: str, target: str, fold: str,
                       smooth: float = 0.001, out: str | None = None) -> DataFrame:
     """Out-of-fold target encoding for training rows.
@@ -86,10 +97,11 @@ def target_encode_oof(df: DataFrame, category: str, target: str, fold: str,
     out = out or f"{category}_te"
     per_cf = df.groupBy(category, fold).agg(F.sum(F.col(target).cast("double")).alias("__s_cf"),
                                             F.count(F.col(target)).alias("__n_cf"))
+    per_cf, few = _kept(per_cf)
     per_c = per_cf.groupBy(category).agg(F.sum("__s_cf").alias("__s_c"), F.sum("__n_cf").alias("__n_c"))
     mean = df.agg(F.avg(F.col(target).cast("double")).alias("__mu")).withColumn("__one", F.lit(1))
     stats = per_cf.join(per_c, on=category)
-    j = (df.join(stats, on=[category, fold], how="left")
+    j = (df.join(F.broadcast(stats) if few else stats, on=[category, fold], how="left")
            .withColumn("__one", F.lit(1)).join(F.broadcast(mean), "__one"))
     num = F.col("__s_c") - F.col("__s_cf") + F.lit(smooth) * F.col("__mu")
     den = (F.col("__n_c") - F.col("__n_cf")).cast("double") + F.lit(smooth)
@@ -103,8 +115,9 @@ def target_encode_apply(train: DataFrame, df: DataFrame, category: str, target:
     out = out or f"{category}_te"
     per_c = train.groupBy(category).agg(F.sum(F.col(target).cast("double")).alias("__s_c"),
                                         F.count(F.col(target)).alias("__n_c"))
+    per_c, few = _kept(per_c)
     mean = train.agg(F.avg(F.col(target).cast("double")).alias("__mu")).withColumn("__one", F.lit(1))
-    j = (df.join(per_c, on=category, how="left")
+    j = (df.join(F.broadcast(per_c) if few else per_c, on=category, how="left")
            .withColumn("__one", F.lit(1)).join(F.broadcast(mean), "__one"))
     enc = F.when(F.col("__n_c").isNull(), F.col("__mu")).otherwise(
         (F.col("__s_c") + F.lit(smooth) * F.col("__mu")) / (F.col("__n_c").cast("double") + F.lit(smooth)))
