@@ -384,8 +384,12 @@ ORACLE["blackbox_importance"] = _blackbox_sql()
 @register("engineered_scores")
 def engineered_scores(spark, sf_dir):
     """Chi-square of all inputs, three target encodings among them, and of all their pairwise sums."""
-    train, _, inputs = workflows.encoded_flights(spark, sf_dir)
-    scores = workflows.pair_scores(train.persist(), inputs, workflows.LABEL)
+    base = workflows.labelled_flights(spark, sf_dir).persist()
+    try:
+        train, _, inputs = workflows.encoded_flights(base)
+        scores = workflows.pair_scores(train, inputs, workflows.LABEL)
+    finally:
+        base.unpersist()
     return spark.createDataFrame(scores, "feature string, chi2 double").withColumn("chi2", r("chi2", 4))
 
 

@@ -21,12 +21,18 @@ LABEL = "ArrDelayBinary"
 VEC = "all_features"
 
 
-def engineered_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Train/test flights with the out-of-fold target-encoded origin and pairwise sums of the
-    numeric inputs, assembled into one vector column. Returns (train, test, feature names);
-    both frames hold only flight_id, label and the vector, and are persisted (caller unpersists)."""
+def labelled_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delay table with its label as a double."""
     from lodestar.plans.queries import delay_table
-    base = delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double")).persist()
+    return delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double"))
+
+
+def engineered_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str], list[DataFrame]]:
+    """Train/test flights with the out-of-fold target-encoded origin and pairwise sums of the
+    numeric inputs, assembled into one vector column. Returns (train, test, feature names, kept frames).
+    Train and test hold flight_id, label and the vector, made anew on each pass; only their inputs, a sixth
+    of the vector, are kept (caller unpersists)."""
+    base = labelled_flights(spark, sf_dir).persist()
     train, test = sampling.train_test_split(base, "flight_id", 0.8, seed=0)
     train = train.withColumn("__fold", sampling.interleaved_fold("flight_id", 5))
     train_te = encoders.target_encode_oof(train, "Origin_code", LABEL, "__fold", smooth=0.001,
@@ -34,16 +40,17 @@ def engineered_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     test_te = encoders.target_encode_apply(train, test, "Origin_code", LABEL, smooth=0.001, out="Origin_te")
     cols = [*fixtures.FLIGHT_FEATURES, "Origin_te"]
     feats = None
-    out = []
+    out, kept = [], []
     for part in (train_te, test_te):
-        wide = combos.pairwise_features(part.select("flight_id", LABEL, *cols), cols, "+")
+        kept.append(part.select("flight_id", LABEL, *cols).persist())
+        wide = combos.pairwise_features(kept[-1], cols, "+")
         feats = [c for c in wide.columns if c not in ("flight_id", LABEL)]
         va = VectorAssembler(inputCols=feats, outputCol=VEC, handleInvalid="keep")
-        out.append(va.transform(wide).select("flight_id", LABEL, VEC).persist())
-    for o in out:
-        o.count()  # materialise both caches before the shared base is released
+        out.append(va.transform(wide).select("flight_id", LABEL, VEC))
+    for k in kept:
+        k.count()  # materialise both caches before the shared base is released
     base.unpersist()
-    return out[0], out[1], feats
+    return out[0], out[1], feats, kept
 
 
 def chi2_vector_scores(df: DataFrame, vec: str, names: list[str], label: str) -> list[tuple[str, float]]:
@@ -73,20 +80,20 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
                    seed: int = 0) -> DataFrame:
     """Chi-square-ranked features (scored once), then a seeded random search over (k, C, penalty)
     of logistic regression; each trial fits on the top-k slots of the cached feature vector.
-    Trials are independent distributed jobs; by default all of them are submitted at once, so the
+    Trials are independent distributed jobs; by default as many are submitted at once as have room, so the
     per-iteration job latency of one fit overlaps the work of the others (results do not depend on it).
     Returns the trial table (trial_id, k, C, l1, auc, state, features)."""
-    train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
-    ranked = chi2_vector_scores(train_cache, VEC, feats, LABEL)
+    train_rows, test_rows, feats, kept = engineered_flights(spark, sf_dir)
+    ranked = chi2_vector_scores(train_rows, VEC, feats, LABEL)
     position = {f: i for i, f in enumerate(feats)}
     space = trial_ops.SearchSpace({"k": ("int", 5, len(feats)), "C": ("loguniform", 1e-3, 10.0),
                                    "l1": ("choice", [0.0, 1.0])})
     cands = space.random(n_trials, seed=seed)
-    n_rows = train_cache.count()
-    concurrent = max(1, min(len(cands), parallelism or len(cands)))
+    n_rows = kept[0].count()
+    concurrent = min(parallelism or len(cands), models.fits_at_once(n_rows, [int(c["k"]) for c in cands]))
     share = -(-spark.sparkContext.defaultParallelism // concurrent)  # cores per concurrent fit
-    train = models.right_size(train_cache, min_partitions=share)
-    test = models.right_size(test_cache, min_partitions=share)
+    train = models.right_size(train_rows, min_partitions=share)
+    test = models.right_size(test_rows, min_partitions=share)
 
     def build(c):
         top = [position[f] for f, _ in ranked[: int(c["k"])]]
@@ -94,26 +101,26 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
         return Pipeline(stages=[VectorSlicer(inputCol=VEC, outputCol="features", indices=sorted(top)),
                                 LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
                                                    elasticNetParam=1.0 if c["l1"] >= 0.5 else 0.0, maxIter=50)])
-    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=parallelism or len(cands))
+    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=concurrent)
     top_names = spark.createDataFrame([(i, ",".join(f for f, _ in ranked[: int(c["k"])]))
                                        for i, c in enumerate(cands)],
                                       T.StructType([T.StructField("trial_id", T.IntegerType()),
                                                     T.StructField("features", T.StringType())]))
     out = table.join(top_names, "trial_id").checkpoint(eager=True)
-    train_cache.unpersist()
-    test_cache.unpersist()
+    for k in kept:
+        k.unpersist()
     return out
 
 
 def feature_engineering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode + pairwise features + chi-square ranking of every generated feature (no search).
     Returns feature, chi2, rank."""
-    train_cache, test_cache, feats = engineered_flights(spark, sf_dir)
-    ranked = chi2_vector_scores(train_cache, VEC, feats, LABEL)
+    train, _, feats, kept = engineered_flights(spark, sf_dir)
+    ranked = chi2_vector_scores(train, VEC, feats, LABEL)
     out = spark.createDataFrame([(f, c, i + 1) for i, (f, c) in enumerate(ranked)],
                                 "feature string, chi2 double, rank int")
-    train_cache.unpersist()
-    test_cache.unpersist()
+    for k in kept:
+        k.unpersist()
     return out
 
 
@@ -122,10 +129,11 @@ CATEGORICAL = ["Origin_code", "Month", "DayOfWeek"]
 PENALTIES = ("none", "l1", "l2", "elasticnet")
 
 
-def encoded_flights(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Train and test flights with three columns label- and target-encoded (training rows out of fold), and the inputs."""
-    from lodestar.plans.queries import delay_table
-    base = delay_table(spark, sf_dir).withColumn(LABEL, F.col(LABEL).cast("double"))
+def encoded_flights(base: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test flights with three columns label- and target-encoded (training rows out of fold), and the inputs.
+
+    ``base`` (``labelled_flights``) is read once per fit and frame, so callers keep it meanwhile.
+    """
     train, test = sampling.train_test_split(base, "flight_id", 0.8, seed=0)
     train = train.withColumn("fold", sampling.interleaved_fold("flight_id", 5))
     codes, means = [f"{c}_label" for c in CATEGORICAL], [f"{c}_mean" for c in CATEGORICAL]
@@ -153,14 +161,16 @@ def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, see
     One row per trial with its parameters, AUC on held-out rows, state and features; the best trial's parameters, fitted
     again on all rows, are the row with state ``refit`` (its AUC is over the rows that it was fitted on).
     """
-    train, test, inputs = encoded_flights(spark, sf_dir)
+    base = labelled_flights(spark, sf_dir).persist()
+    train, test, inputs = encoded_flights(base)
     train, test = train.persist(), test.persist()
     try:
+        n_rows, n_test = train.count(), test.count()
+        base.unpersist()  # both frames hold what they need
         ranked = pair_scores(train, inputs, LABEL)
         space = trial_ops.SearchSpace({"k": ("int", 5, len(ranked)), "penalty": ("choice", list(range(len(PENALTIES)))),
                                        "C": ("loguniform", 1e-3, 10.0), "l1_ratio": ("uniform", 0.0, 1.0), "fit_intercept": ("choice", [0, 1])})
         candidates = space.random(n_trials, seed=seed)
-        n_rows = train.count()
 
         def build(c, rows=None):
             names = [name for name, _ in ranked[:int(c["k"])]]
@@ -170,18 +180,20 @@ def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, see
                                              l1_ratio=c["l1_ratio"], fit_intercept=bool(c["fit_intercept"]), n_rows=rows or n_rows, max_iter=max_iter)
             return Pipeline(stages=[SQLTransformer(statement=f"SELECT {select} FROM __THIS__"), *fit.getStages()])
 
-        trials = models.evaluate_candidates(candidates, build, train, test, LABEL, parallelism=n_trials)
+        trials = models.evaluate_candidates(candidates, build, train, test, LABEL,
+                                            parallelism=models.fits_at_once(n_rows, [int(c["k"]) for c in candidates]))
         rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: r["trial_id"])  # a row per trial
         good = [r for r in rows if r["state"] == "complete"]
         if good:
             best = max(good, key=lambda r: (r["auc"], -r["trial_id"]))
             both = train.unionByName(test)
-            model = build(best, n_rows + test.count()).fit(both)
+            model = build(best, n_rows + n_test).fit(both)
             rows.append({**best, "state": "refit", "auc": models.auc(models.score(model, both, [LABEL]), LABEL)})
         table = [(r["trial_id"], int(r["k"]), PENALTIES[int(r["penalty"])], r["C"], r["l1_ratio"], bool(r["fit_intercept"]), r["auc"], r["state"],
                   ",".join(name for name, _ in ranked[:int(r["k"])])) for r in rows]
         return spark.createDataFrame(table, "trial_id int, k int, penalty string, C double, l1_ratio double, fit_intercept boolean, "
                                             "auc double, state string, features string")
     finally:
+        base.unpersist()
         train.unpersist()
         test.unpersist()
