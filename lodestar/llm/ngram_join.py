@@ -8,14 +8,11 @@ smallest ``doc_id``; only classes are compared.
 Each class has ``TREES`` labels of ``DEPTH`` MinHash values. A tree of the
 forest is the sorted sequence of the labels, in which a run of labels that
 agree on a prefix is a subtrie. Prefixes are matched at full depth and
-shortened one value at a time until the trees together reach the target recall.
-Recall is measured: ``PROBES`` classes meet classes that agree with them on
-``FLOOR`` values in some tree (all of these, or about ``MET`` of a large
-subtrie), up to ``MAX_PAIRS`` of these pairs (by hash) are verified exactly, and a level's recall is the share of linked pairs, the least
-similar of them if there are enough, that agree on so many values in some tree.
-Without linked pairs the level comes from the probability
-``1 - (1 - s**d)**L`` that a pair of similarity s agrees on d values in one of L
-trees. Members of a subtrie at that depth are candidates. The same set of
+shortened one value at a time until a pair at the threshold itself meets in some
+tree with the target probability: a pair of similarity s agrees on d values in
+one of L trees with ``1 - (1 - s**d)**L``, and more similar pairs meet more
+often. The depth so follows from the parameters alone; no row is sampled for
+it. Members of a subtrie at that depth are candidates. The same set of
 members in several trees is looked at once.
 
 Candidates whose signatures agree in less than ``threshold - MARGIN`` (more
@@ -33,7 +30,6 @@ and get the same result; a null ``doc_id`` is an id after all others.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,10 +46,8 @@ N, THRESHOLD = 5, 0.8
 TREES, DEPTH, TARGET = 20, 6, 0.999
 MARGIN = 0.2
 BLOCK = 512
-#: Classes and pairs that recall is measured on, at most; values on which these pairs agree in some tree, at least.
-PROBES, MAX_PAIRS, FLOOR = 200, 4_000, 2
-#: Members of a subtrie that a probe meets, about.
-MET = 32
+#: Values on which pairs agree in some tree, at least, when recall is measured.
+FLOOR = 2
 #: Linked pairs within so much of the threshold are the least similar ones; so many of them are enough.
 NEAR, ENOUGH = 0.1, 30
 BATCH = 1 << 20
@@ -123,7 +117,7 @@ def shortened(threshold: float, trees: int, depth: int, target: float) -> int:
 def measured(pairs: list[tuple[float, int]], threshold: float, depth: int, target: float) -> tuple[int, float] | None:
     """The longest prefix, from full depth down, that finds the target share of linked pairs (similarity, values agreed on).
 
-    With that share; None without linked pairs.
+    With that share; None without linked pairs. It judges a forest by known pairs; the join's own depth is ``shortened``.
     """
     linked = [p for p in pairs if p[0] >= threshold - 1e-9]
     near = [p for p in linked if p[0] < threshold + NEAR]
@@ -137,52 +131,6 @@ def measured(pairs: list[tuple[float, int]], threshold: float, depth: int, targe
         depth -= 1
 
 
-def _pair_similarity(batches: Iterator[pa.RecordBatch], n: int, trees: int) -> Iterator[pa.RecordBatch]:
-    """Exact similarity of two texts, and the most first values on which their labels agree in a tree."""
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                a, b = shingles([batch["a_text"][i].as_py() or "", batch["b_text"][i].as_py() or ""], n)
-                met = np.intersect1d(a, b, assume_unique=True).size
-                same = np.frombuffer(batch["a_sig"][i].as_py(), "<u4") == np.frombuffer(batch["b_sig"][i].as_py(), "<u4")
-                agreed = int(np.logical_and.accumulate(same.reshape(trees, -1), axis=1).sum(axis=1).max())
-                out.append((met / max(len(a) + len(b) - met, 1), agreed))
-            yield pa.RecordBatch.from_pydict({"similarity": pa.array([x for x, _ in out], pa.float64()),
-                                              "agreed": pa.array([x for _, x in out], pa.int32())})
-
-
-def probed_pairs(rows: DataFrame, classes: DataFrame, n: int, trees: int, depth: int) -> list[tuple[float, int]]:
-    """(similarity, values agreed on) of the pairs that recall is measured on; ``MAX_PAIRS`` at most."""
-    probes = classes.orderBy(F.xxhash64("n", "k1", "k2"), "c").limit(PROBES).select("c", "c0", "ct", "sig")
-    floor = min(FLOOR, depth)
-    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-
-    def places(of: DataFrame, name: str) -> DataFrame:
-        at = of.select(F.col("c").alias(name), "sig", tree.alias("tree"))
-        return at.select(name, F.xxhash64("tree", F.substring(F.col("sig"), F.col("tree") * (4 * depth) + 1, F.lit(4 * floor))).alias("g"))
-
-    probes = stored(probes, "probes")
-    at, every = F.broadcast(places(probes, "a")), places(classes, "b")  # PROBES * trees rows
-    sizes = every.join(at.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    # of a large subtrie's members a few are drawn, the same ones in every tree, before they meet the probes
-    drawn = every.join(F.broadcast(sizes), "g").where(F.pmod(F.xxhash64("b"), F.col("size")) < MET)
-    met = stored(at.join(drawn, "g").where("a <> b").select("a", "b").distinct(), "probed")
-    rest = max(1, -(-met.count() // MAX_PAIRS))
-    chosen = met.where(F.pmod(F.xxhash64("a", "b", F.lit(1)), F.lit(rest)) == 0)
-    of = lambda side: classes.select(F.col("c").alias(side), F.col("c0").alias(f"{side}_d"), F.col("ct").alias(f"{side}_t"),
-                                     F.col("sig").alias(f"{side}_sig"))
-    pairs = stored(chosen.join(of("a"), "a").join(of("b"), "b"), "probed-pairs")
-    texts = rows.dropDuplicates(["d", "t"])
-    for side in ("a", "b"):
-        mine = texts.select(F.col("d").alias(f"{side}_d"), F.col("t").alias(f"{side}_t"), F.col("text").alias(f"{side}_text"))
-        wanted = pairs.select(f"{side}_d", f"{side}_t").distinct()
-        mine = mine.join(F.broadcast(wanted), [f"{side}_d", f"{side}_t"], "left_semi")  # some MAX_PAIRS rows
-        pairs = pairs.join(mine, [f"{side}_d", f"{side}_t"])
-    found = pairs.select("a_text", "b_text", "a_sig", "b_sig").mapInArrow(lambda it: _pair_similarity(it, n, trees), "similarity double, agreed int")
-    return [(r["similarity"], r["agreed"]) for r in found.collect()]
-
-
 # ------------------------------------------------------------------ blocks
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows sorted by ``keys``, one table per group."""
@@ -341,9 +289,7 @@ def similarity_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, t
                                   F.monotonically_increasing_id().alias("c")), "classes")
 
     # the forest: subtries at the shortened depth, and which members they hold
-    found = measured(probed_pairs(rows, classes, n, trees, depth), threshold, depth, target)
-    d = found[0] if found else shortened(threshold, trees, depth, target)
-    logging.getLogger(__name__).info("prefixes of %d values, measured recall %s", d, found[1] if found else "none")
+    d = shortened(threshold, trees, depth, target)
     tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     prefix = F.xxhash64("tree", F.substring(F.col("sig"), F.col("tree") * (4 * depth) + 1, F.lit(4 * d)))
     places = classes.select("c", "sig", tree.alias("tree")).select("c", "tree", prefix.alias("g"))

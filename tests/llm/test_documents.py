@@ -233,6 +233,20 @@ def test_prefixes_are_shortened_until_the_measured_recall_is_met():
     assert ngram_join.measured([(0.9, 0)] * 40, 0.8, 6, 0.999) == (ngram_join.FLOOR, 0.0)
 
 
+def test_the_joins_depth_comes_from_its_parameters_not_from_sampled_pairs(spark, corpus, monkeypatch):
+    asked = []
+
+    def spied(*parameters):
+        asked.append(parameters)
+        return plain(*parameters)
+
+    plain = ngram_join.shortened
+    monkeypatch.setattr(ngram_join, "shortened", spied)
+    got = ngram_join.joined(frame(spark, corpus)).collect()
+    assert asked == [(ngram_join.THRESHOLD, ngram_join.TREES, ngram_join.DEPTH, ngram_join.TARGET)]
+    assert {(r.doc_id, late(r.class_id), r.n_links, late(r.group_id)) for r in got} == plain_join(corpus)
+
+
 def test_recall_of_near_copies(spark):
     """Pairs of similarity around the threshold in a larger corpus: at least nine of ten are found (all of them, mostly)."""
     rng = random.Random(11)
