@@ -74,6 +74,70 @@ def test_knn_visits_few_cells_of_clustered_rows():
     assert (least <= kth[:, None]).sum(axis=1).mean() < 3  # of 20 cells
 
 
+def _brute(ids, pts, k, include_self):
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    if not include_self:
+        d[ids[:, None] == ids[None, :]] = np.inf
+    return {int(ids[q]): [int(ids[x]) for x in np.lexsort((ids, d[q]))[:k]] for q in range(len(ids))}
+
+
+@pytest.mark.parametrize("shape, passing", [("loose", True), ("plane", False), ("copies", False), ("grid", None)])
+@pytest.mark.parametrize("include_self", [True, False])
+def test_knn_in_boxes_matches_brute_force(spark, monkeypatch, shape, passing, include_self):
+    rng = np.random.default_rng(3)
+    n, width = 400, 24 if shape == "loose" else 2
+    pts = rng.normal(size=(n, width)).round(3)
+    if shape == "copies":
+        pts[:150] = pts[0]
+    elif shape == "grid":
+        pts = rng.integers(0, 4, size=(n, width)).astype(float)
+    ids = rng.permutation(n) * 3
+    used = []
+    plain = neighbors._passing
+    monkeypatch.setattr(neighbors, "_passing", lambda *a: used.append(1) or plain(*a))
+    df = spark.createDataFrame([(int(i), p.tolist()) for i, p in zip(ids, pts)], "id long, v array<double>").repartition(5)
+    got = neighbors.knn(df, df, "id", "v", k=4, include_self=include_self, block_rows=16).collect()
+    assert len(got) == 4 * n
+    assert passing is None or bool(used) == passing
+    want = _brute(ids, pts, 4, include_self)
+    assert {(r.query_id, r["rank"], r.neighbor_id) for r in got} == {(q, i + 1, x) for q, near in want.items() for i, x in enumerate(near)}
+
+
+def test_boxes_bound_their_rows_and_rule_out_most_of_evenly_spread_ones():
+    rng = np.random.default_rng(5)
+    pts = rng.random((20_000, 6))
+    boxes = neighbors.Boxes.cut_at(pts[:2_000], 256)
+    own, _ = boxes.place(pts)
+    assert boxes.count == 256 and np.bincount(own, minlength=256).min() > 0
+    boxes = boxes.sized(np.bincount(own, minlength=256), *(
+        np.array([f(pts[own == c], axis=0) for c in range(256)]) for f in (np.min, np.max)))
+    exact = ((pts[:100, None] - pts[None]) ** 2).sum(-1)
+    least = boxes.least(pts[:100])
+    assert all((least[:, c] <= exact[:, own == c].min(axis=1) + 1e-12).all() for c in range(256))
+    kth = np.sqrt(np.sort(exact, axis=1)[:, 4])
+    assert boxes.flags(pts[:100], 5, kth).sum(axis=1).mean() < 26  # of 256 cells
+
+
+def test_visits_to_all_cells_come_in_small_batches():
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    rows, width, count = 4_096, 32, 256
+    cells = neighbors.Cells(rng.normal(size=(count, width)), np.full(count, 9), np.zeros(count), np.full(count, 1e9))
+    batch = pa.RecordBatch.from_pydict({"qid": pa.array(range(rows), pa.int64()), "bound": pa.nulls(rows, pa.float64()),
+                                        "qvec": pa.array(rng.normal(size=(rows, width)).tolist(), pa.list_(pa.float64()))})
+    sizes = [b.num_rows for b in neighbors._visits(iter([batch]), cells, 5, True)]
+    assert sum(sizes) == rows * (count - 1)
+    assert max(sizes) * width <= 1 << 20
+
+
+def test_knn_leaves_out_rows_without_distances(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (5, [0.0, 3.0])],
+                               "id long, v array<double>")
+    got = neighbors.knn(df, df, "id", "v", k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.neighbor_id, r.distance) for r in got) == [(1, 1, 1, 0.0), (1, 2, 5, 2.0),
+                                                                                    (5, 1, 5, 0.0), (5, 2, 1, 2.0)]
+
+
 def test_knn_of_nothing(spark):
     none = spark.createDataFrame([], "id long, v array<double>")
     one = spark.createDataFrame([(1, [0.0, 1.0]), (2, None)], "id long, v array<double>")
