@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.operators import combos, encoder_stages, encoders, models, sampling
+from lodestar.operators import combos, encoder_stages, encoders, logits, models, sampling
 from lodestar.operators import trials as trial_ops
 from lodestar.plans import fixtures
 
@@ -79,9 +79,9 @@ def _chi2_ranked(n: np.ndarray, observed: dict[str, np.ndarray]) -> list[tuple[s
 def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, parallelism: int | None = None,
                    seed: int = 0) -> DataFrame:
     """Chi-square-ranked features (scored once), then a seeded random search over (k, C, penalty)
-    of logistic regression; each trial fits on the top-k slots of the cached feature vector.
-    Trials are independent distributed jobs; by default as many are submitted at once as have room, so the
-    per-iteration job latency of one fit overlaps the work of the others (results do not depend on it).
+    of logistic regression; each trial fits on the top-k slots of the feature vector.
+    Features are inputs or sums of two, so all trials are fitted in shared passes over the packed inputs. Rows with
+    missing values fall back to fits of their own, of which as many are submitted at once as have room.
     Returns the trial table (trial_id, k, C, l1, auc, state, features)."""
     train_rows, test_rows, feats, kept = engineered_flights(spark, sf_dir)
     ranked = chi2_vector_scores(train_rows, VEC, feats, LABEL)
@@ -101,7 +101,20 @@ def feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 10, paralle
         return Pipeline(stages=[VectorSlicer(inputCol=VEC, outputCol="features", indices=sorted(top)),
                                 LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
                                                    elasticNetParam=1.0 if c["l1"] >= 0.5 else 0.0, maxIter=50)])
-    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=concurrent)
+    inputs = [c for c in kept[0].columns if c not in ("flight_id", LABEL)]
+    number = {c: (i,) for i, c in enumerate(inputs)}
+    number |= {combos.pairwise_name(a, b): number[a] + number[b] for a, b in itertools.combinations(inputs, 2)}
+
+    def together(many):
+        specs = [logits.Spec(tuple(number[f] for f, _ in ranked[: int(c["k"])]), 1.0 / (max(float(c["C"]), 1e-12) * n_rows),
+                             1.0 if c["l1"] >= 0.5 else 0.0, max_iter=50) for c in many]
+        packed = [logits.blocks(part, inputs, LABEL, rows=n_rows) for part in kept]
+        try:
+            return logits.areas(packed[1], logits.fit(packed[0], len(inputs), specs))
+        finally:
+            for part in packed:
+                part.unpersist()
+    table = models.evaluate_candidates(cands, build, train, test, LABEL, parallelism=concurrent, together=together)
     top_names = spark.createDataFrame([(i, ",".join(f for f, _ in ranked[: int(c["k"])]))
                                        for i, c in enumerate(cands)],
                                       T.StructType([T.StructField("trial_id", T.IntegerType()),
@@ -164,6 +177,7 @@ def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, see
     base = labelled_flights(spark, sf_dir).persist()
     train, test, inputs = encoded_flights(base)
     train, test = train.persist(), test.persist()
+    packed = []
     try:
         n_rows, n_test = train.count(), test.count()
         base.unpersist()  # both frames hold what they need
@@ -180,20 +194,36 @@ def full_feature_search(spark: SparkSession, sf_dir: str, n_trials: int = 6, see
                                              l1_ratio=c["l1_ratio"], fit_intercept=bool(c["fit_intercept"]), n_rows=rows or n_rows, max_iter=max_iter)
             return Pipeline(stages=[SQLTransformer(statement=f"SELECT {select} FROM __THIS__"), *fit.getStages()])
 
-        trials = models.evaluate_candidates(candidates, build, train, test, LABEL,
+        packed = [logits.blocks(part, inputs, LABEL, rows=n_rows) for part in (train, test)]
+        place = {c: i for i, c in enumerate(inputs)}
+
+        def spec(c, rows):
+            fit = models.logistic_regression([], LABEL, penalty=PENALTIES[int(c["penalty"])], C=c["C"], l1_ratio=c["l1_ratio"],
+                                             fit_intercept=bool(c["fit_intercept"]), n_rows=rows, max_iter=max_iter).getStages()[-1]
+            return logits.Spec(tuple(tuple(place[part] for part in name.split("+")) for name, _ in ranked[:int(c["k"])]),
+                               fit.getRegParam(), fit.getElasticNetParam(), fit.getFitIntercept(), fit.getMaxIter())
+
+        def together(many):
+            return logits.areas(packed[1], logits.fit(packed[0], len(inputs), [spec(c, n_rows) for c in many]))
+
+        trials = models.evaluate_candidates(candidates, build, train, test, LABEL, together=together,
                                             parallelism=models.fits_at_once(n_rows, [int(c["k"]) for c in candidates]))
         rows = sorted((r.asDict() for r in trials.collect()), key=lambda r: r["trial_id"])  # a row per trial
         good = [r for r in rows if r["state"] == "complete"]
         if good:
             best = max(good, key=lambda r: (r["auc"], -r["trial_id"]))
-            both = train.unionByName(test)
-            model = build(best, n_rows + n_test).fit(both)
-            rows.append({**best, "state": "refit", "auc": models.auc(models.score(model, both, [LABEL]), LABEL)})
+            everything = packed[0].union(packed[1])
+            try:
+                area = logits.areas(everything, logits.fit(everything, len(inputs), [spec(best, n_rows + n_test)]))[0]
+            except logits.Unfit:
+                both = train.unionByName(test)
+                model = build(best, n_rows + n_test).fit(both)
+                area = models.auc(models.score(model, both, [LABEL]), LABEL)
+            rows.append({**best, "state": "refit", "auc": area})
         table = [(r["trial_id"], int(r["k"]), PENALTIES[int(r["penalty"])], r["C"], r["l1_ratio"], bool(r["fit_intercept"]), r["auc"], r["state"],
                   ",".join(name for name, _ in ranked[:int(r["k"])])) for r in rows]
         return spark.createDataFrame(table, "trial_id int, k int, penalty string, C double, l1_ratio double, fit_intercept boolean, "
                                             "auc double, state string, features string")
     finally:
-        base.unpersist()
-        train.unpersist()
-        test.unpersist()
+        for part in (base, train, test, *packed):
+            part.unpersist()
