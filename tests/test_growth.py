@@ -104,3 +104,19 @@ def test_whole_sums_are_exact():
     want = np.zeros(5, np.int64)
     np.add.at(want, code, values)
     assert (newton_trees._whole_sums(code, values, 6) == [*want, 0]).all()
+
+
+def test_trees_are_explained_without_hybrids(spark, monkeypatch):
+    feats = ["a", "b", "c"]
+    rows = spark.range(300).select((F.col("id") % 290).alias("id"), *((F.col("id") * (7 * i + 3) % (11 + i)).cast("double").alias(f) for i, f in enumerate(feats))).coalesce(2)
+    model = models.boosted_trees(feats, "y", task="regression", n_rounds=3, max_depth=3).fit(rows.withColumn("y", F.col("a") * F.col("b") - F.col("c")))
+    odd = rows.withColumn("b", F.when(F.col("a") == 3, None).otherwise(F.col("b"))).unionByName(rows.limit(3).withColumn("id", F.lit(None).cast("bigint")))
+    ground, fast, seen = rows.limit(20), explain._tree_tables, []
+    monkeypatch.setattr(type(model), "transform", lambda *a: seen.append(1) or pytest.fail("hybrids"))
+    got = [{tuple(r)[:-1]: r[-1] for r in f(model, odd, ground, "id", feats, n_samples=4).collect()} for f in (explain.sampled_shapley, explain.sampled_interactions)]
+    monkeypatch.undo()
+    assert fast(model, feats, "other") is None and not seen
+    monkeypatch.setattr(explain, "_tree_tables", lambda *_: None)
+    for mine, f in zip(got, (explain.sampled_shapley, explain.sampled_interactions)):
+        want = {tuple(r)[:-1]: r[-1] for r in f(model, odd, ground, "id", feats, n_samples=4).collect()}
+        assert len(want) in (291 * 3, 291 * 6) and mine == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
